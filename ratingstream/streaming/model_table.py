@@ -1,0 +1,73 @@
+"""The model as a table keyed by batch id: ``<root>/batch_id=N`` with K rows each.
+
+A batch's state folder is written last in the batch, so its ``_SUCCESS``
+marker means the whole batch (predictions, quarantine, offsets) is done. A
+replayed batch whose state exists is skipped; one without is recomputed from
+the state of the batch before it and overwrites any partial output.
+"""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..plans.pipeline import read_state, write_state
+from ..session import is_complete
+
+SEED_BATCH = -1
+_DIR = re.compile(r"batch_id=(-?\d+)$")
+
+
+def batch_path(root: str, batch_id: int) -> str:
+    return f"{root.rstrip('/')}/batch_id={int(batch_id)}"
+
+
+def has_batch(spark: SparkSession, root: str, batch_id: int) -> bool:
+    return is_complete(spark, batch_path(root, batch_id))
+
+
+def complete_batches(spark: SparkSession, root: str) -> list[int]:
+    """Batch ids with a complete state folder (one listing of the root)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    ids = []
+    for st in fs.listStatus(p):
+        m = _DIR.search(st.getPath().getName())
+        if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            ids.append(int(m.group(1)))
+    return sorted(ids)
+
+
+def previous_batch(spark: SparkSession, root: str, batch_id: int) -> int:
+    """The newest complete batch before ``batch_id`` (usually ``batch_id - 1``)."""
+    if has_batch(spark, root, batch_id - 1):
+        return batch_id - 1
+    earlier = [b for b in complete_batches(spark, root) if b < batch_id]
+    if not earlier:
+        raise RuntimeError(f"no model state before batch {batch_id} under {root}")
+    return earlier[-1]
+
+
+def write_seed(spark: SparkSession, root: str, state0: DataFrame) -> None:
+    if not has_batch(spark, root, SEED_BATCH):
+        write_state(state0, batch_path(root, SEED_BATCH))
+
+
+def read_batch(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
+    return read_state(spark, batch_path(root, batch_id))
+
+
+def write_batch(state: DataFrame, root: str, batch_id: int) -> None:
+    write_state(state, batch_path(root, batch_id))
+
+
+def read_all(spark: SparkSession, root: str) -> DataFrame:
+    """Every complete state with its ``batch_id``."""
+    ids = complete_batches(spark, root)
+    if not ids:
+        raise RuntimeError(f"no model state under {root}")
+    return spark.read.option("basePath", root).parquet(*[batch_path(root, b) for b in ids])
