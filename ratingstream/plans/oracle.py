@@ -268,9 +268,9 @@ FROM grid g LEFT JOIN mx ON mx.movie_id = g.movie_id AND mx.tag_id = g.tag_id"""
 SELECT msg_id, user_id, movie_id, rating, {_summary('features')} FROM joined"""
     q["scale_features"] = joined + f"""
 , scaled AS (SELECT msg_id, movie_id, rating,
-    list_transform(scores, lambda e: CAST(CAST(CAST(e * rating AS FLOAT) AS VARCHAR) AS DOUBLE)) AS features
+    list_transform(scores, lambda e: CAST(CAST(e * rating AS FLOAT) AS DOUBLE)) AS scaled
   FROM joined)
-SELECT msg_id, movie_id, rating, {_summary('features')} FROM scaled"""
+SELECT msg_id, movie_id, rating, {_summary('scaled')} FROM scaled"""
     q["label_points"] = joined + f"""
 SELECT CAST(user_id AS DOUBLE) AS label, msg_id, movie_id, {_summary('features')} FROM joined"""
     q["project_features"] = joined + f"\nSELECT msg_id, {_summary('features')} FROM joined"
