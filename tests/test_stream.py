@@ -1,0 +1,93 @@
+import os
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from ratingstream.operators import kmeans as km
+from ratingstream.options import KMeansOptions, StreamOptions
+from ratingstream.plans import pipeline as pl
+from ratingstream.session import fresh_path
+from ratingstream.sources import fixtures as fx
+from ratingstream.sources.kafka import stream_ratings
+from ratingstream.streaming import model_table as mt
+from ratingstream.streaming.job import StreamPaths, process_batch, run_stream
+
+from conftest import SF_SMOKE
+
+
+def _setup(spark):
+    emb = fx.table(spark, SF_SMOKE, "embeddings")
+    dim = fx.embedding_dim(emb)
+    vt = pl.materialize_vectors(spark, pl.movie_vectors(fx.tag_scores_from_embeddings(emb), dim), dim)
+    state0 = km.centers_from_vectors(vt.df, 3)
+    recs = fx.kafka_records(fx.table(spark, SF_SMOKE, "events"))
+    return vt, state0, recs
+
+
+def test_stream_equals_batch_fold_and_survives_restart(spark):
+    vt, state0, recs = _setup(spark)
+    day = fx.epoch_day("timestamp")
+    days = [r[0] for r in recs.select(day.alias("d")).distinct().orderBy("d").collect()][:4]
+    root = fresh_path(spark, "t_stream")
+    opts = StreamOptions(sample_fraction=0.2)
+    kopts = KMeansOptions(k=3, dim=vt.dim)
+    for d in days:  # publish one day, consume it, stop: every run after the first is a restart
+        recs.where(day == d).write.parquet(f"{root}/inbox/day={d}")
+        q, paths = run_stream(
+            spark, stream_ratings(spark, "parquet", f"{root}/inbox/*"), vt, state0,
+            out_dir=f"{root}/out", kmeans=kopts, opts=opts, available_now=True,
+        )
+        q.awaitTermination()
+        assert q.exception() is None
+    assert mt.complete_batches(spark, paths.state) == [-1, 0, 1, 2, 3]
+
+    # the same days folded as a batch job give the same model
+    from ratingstream.operators.parse import accepted, parse_rating
+
+    good = accepted(
+        parse_rating(recs.select(F.col("value").cast("string").alias("value"), "timestamp"), keep=["timestamp"])
+    ).withColumn("day", day).where(F.col("day").isin(days))
+    states = pl.fold_batches(spark, good, "day", vt, state0, kopts, opts)
+    fold_c, fold_w = km.model_arrays(km.latest_model(states).drop("batch_id"))
+    stream_c, stream_w = km.model_arrays(mt.read_batch(spark, paths.state, 3))
+    np.testing.assert_allclose(stream_c, fold_c, rtol=1e-12, atol=1e-15)
+    np.testing.assert_array_equal(stream_w, fold_w)
+
+    # replaying a finished batch changes nothing
+    before = mt.read_batch(spark, paths.state, 3).collect()
+    batch = spark.read.parquet(f"{root}/inbox/day={days[3]}")
+    assert process_batch(spark, batch, 3, vt, paths, kopts, opts) is False
+    assert mt.read_batch(spark, paths.state, 3).collect() == before
+
+    # a crash after predictions but before the state write: the replay redoes the batch
+    lost = StreamPaths(f"{root}/lost")
+    mt.write_seed(spark, lost.state, mt.read_batch(spark, paths.state, 2))
+    spark.read.parquet(f"{paths.predictions}/batch_id=3").limit(1).write.parquet(f"{lost.predictions}/batch_id=3")
+    assert process_batch(spark, batch, 0, vt, lost, kopts, opts) is True
+    np.testing.assert_allclose(km.model_arrays(mt.read_batch(spark, lost.state, 0))[0], stream_c, rtol=1e-12)
+
+    preds = spark.read.parquet(paths.predictions)
+    assert preds.count() > 0 and set(preds.columns) >= {"user_id", "movie_id", "cluster", "offset"}
+    offs = spark.read.parquet(paths.offsets).collect()
+    assert all(r["until_offset"] > r["from_offset"] for r in offs)
+
+
+def test_text_stream_source(spark):
+    """Lines without Kafka columns: one batch; weights add up to the rows that found a vector."""
+    from ratingstream.operators.parse import accepted, parse_rating
+
+    vt, state0, recs = _setup(spark)
+    root = fresh_path(spark, "t_text")
+    lines = recs.select(F.col("value").cast("string").alias("value"))
+    lines.write.text(f"{root}/inbox")
+    q, paths = run_stream(
+        spark, stream_ratings(spark, "text", f"{root}/inbox"), vt, state0, out_dir=f"{root}/out",
+        kmeans=KMeansOptions(k=3, dim=vt.dim), available_now=True,
+    )
+    q.awaitTermination()
+    assert q.exception() is None
+    _, w = km.model_arrays(mt.read_batch(spark, paths.state, 0))
+    expected = accepted(parse_rating(lines)).join(vt.df.select("movie_id"), "movie_id").count()
+    assert w.sum() == expected
+    bad = spark.read.parquet(paths.quarantine).count()
+    assert bad == lines.count() - accepted(parse_rating(lines)).count()
