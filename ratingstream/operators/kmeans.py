@@ -146,6 +146,85 @@ def cluster_stats(assigned: DataFrame, features: str = "features", weight_col: s
     )
 
 
+def _model_list(rows: DataFrame, fields: list[str]) -> Column:
+    """All K model rows as one array (a global aggregate over K rows, bounded by K)."""
+    return F.collect_list(F.struct(*fields))
+
+
+def _update_expr(s: Column, decay: float, time_unit: str) -> Column:
+    """Mini-batch rule on an array of ``(cluster, center, weight, n, total)`` structs."""
+    if time_unit == "points":
+        m_total = F.aggregate(s, F.lit(0.0), lambda acc, r: acc + F.coalesce(r["n"], F.lit(0.0)))
+        disc = F.pow(F.lit(float(decay)), m_total)
+    else:
+        disc = F.lit(float(decay))
+
+    def one(r: Column) -> Column:
+        m = F.coalesce(r["n"], F.lit(0.0))
+        w1 = r["weight"] * disc
+        nw = w1 + m
+        lam = m / F.greatest(nw, F.lit(WEIGHT_FLOOR))
+        moved = F.zip_with(r["center"], r["total"], lambda c, t: (F.lit(1.0) - lam) * c + (lam / m) * t)
+        has = m > 0
+        return F.struct(
+            r["cluster"].alias("cluster"),
+            F.when(has, moved).otherwise(r["center"]).alias("center"),
+            F.when(has, nw).otherwise(w1).alias("weight"),
+        )
+
+    return F.transform(s, one)
+
+
+def _split(df: DataFrame, arr: str) -> DataFrame:
+    """Dying-cluster split on an array column of ``(cluster, center, weight)`` structs.
+
+    The extremes, their clusters and the heavy centre are computed once in
+    their own projections and then used by the per-cluster transform.
+    """
+    s = F.col(arr)
+    ws = F.transform(s, lambda r: r["weight"])
+    df = df.select(s.alias("_s"), F.array_max(ws).alias("_max"), F.array_min(ws).alias("_min"))
+    s, maxw, minw = F.col("_s"), F.col("_max"), F.col("_min")
+    df = df.select(
+        "_s",
+        "_max",
+        "_min",
+        F.array_min(F.transform(F.filter(s, lambda r: r["weight"] == maxw), lambda r: r["cluster"])).alias("_big"),
+        F.array_min(F.transform(F.filter(s, lambda r: r["weight"] == minw), lambda r: r["cluster"])).alias("_small"),
+    )
+    big, small = F.col("_big"), F.col("_small")
+    df = df.withColumn("_x", F.element_at(F.filter(s, lambda r: r["cluster"] == big), 1)["center"])
+    df = df.withColumn("_dying", minw < F.lit(DYING_RATIO) * maxw)
+    x, dying = F.col("_x"), F.col("_dying")
+
+    def shifted(sign: float) -> Column:
+        return F.transform(x, lambda e: e + F.lit(sign) * (F.lit(SPLIT_EPS) * F.greatest(F.abs(e), F.lit(1.0))))
+
+    def one(r: Column) -> Column:
+        is_big = dying & (r["cluster"] == big)
+        is_small = dying & (r["cluster"] == small)
+        return F.struct(
+            r["cluster"].alias("cluster"),
+            F.when(is_big, shifted(1.0)).when(is_small, shifted(-1.0)).otherwise(r["center"]).alias("center"),
+            F.when(is_big | is_small, (maxw + minw) / F.lit(2.0)).otherwise(r["weight"]).alias("weight"),
+        )
+
+    return df.select(F.transform(s, one).alias(arr))
+
+
+def _explode_model(df: DataFrame, arr: str) -> DataFrame:
+    return df.select(F.explode(arr).alias("m")).select(
+        F.col("m.cluster").cast("int").alias("cluster"),
+        F.col("m.center").alias("center"),
+        F.col("m.weight").cast("double").alias("weight"),
+    )
+
+
+def _with_stats(state: DataFrame, stats: DataFrame) -> DataFrame:
+    # both sides are K rows: the broadcast keeps the join inside one stage
+    return state.join(F.broadcast(stats.select("cluster", "n", "total")), "cluster", "left")
+
+
 def update_centers(
     state: DataFrame, stats: DataFrame, decay: float = 1.0, time_unit: str = "batches"
 ) -> DataFrame:
@@ -155,27 +234,14 @@ def update_centers(
     weight ``w``, batch count ``m`` and sum ``s``:
     ``w' = a*w + m``; ``l = m / max(w', 1e-16)``; ``c' = (1-l)*c + (l/m)*s``.
     A cluster without points keeps its centre and only its weight decays.
+    The K model rows are gathered into one array (bounded by K), updated with
+    higher-order functions and exploded back.
     """
     if time_unit not in ("batches", "points"):
         raise ValueError("time_unit must be 'batches' or 'points'")
-    j = state.join(F.broadcast(stats), "cluster", "left")  # both sides are K rows
-    m = F.coalesce(F.col("n"), F.lit(0.0))
-    if time_unit == "points":
-        disc = F.pow(F.lit(float(decay)), F.sum(m).over(Window.partitionBy(F.lit(0))))
-    else:
-        disc = F.lit(float(decay))
-    j = j.withColumn("_m", m).withColumn("_w1", F.col("weight") * disc)
-    nw = F.col("_w1") + F.col("_m")
-    lam = F.col("_m") / F.greatest(nw, F.lit(WEIGHT_FLOOR))
-    moved = F.zip_with(
-        "center", "total", lambda c, s: (F.lit(1.0) - lam) * c + (lam / F.col("_m")) * s
-    )
-    has = F.col("_m") > 0
-    return j.select(
-        F.col("cluster").cast("int").alias("cluster"),
-        F.when(has, moved).otherwise(F.col("center")).alias("center"),
-        F.when(has, nw).otherwise(F.col("_w1")).cast("double").alias("weight"),
-    )
+    j = _with_stats(state, stats)
+    s = j.agg(_model_list(j, ["cluster", "center", "weight", "n", "total"]).alias("s"))
+    return _explode_model(s.select(_update_expr(F.col("s"), decay, time_unit).alias("s")), "s")
 
 
 def decay_weights(state: DataFrame, decay: float) -> DataFrame:
@@ -188,35 +254,20 @@ def split_dying_cluster(state: DataFrame) -> DataFrame:
 
     Both get weight ``(max+min)/2``; the heaviest centre ``x`` becomes ``x+p``
     and the lightest ``x-p`` with ``p = 1e-14*max(|x|,1)`` per element. Ties
-    pick the lowest cluster index. At most one split per batch. The window
-    spans the K model rows only.
+    pick the lowest cluster index. At most one split per batch.
     """
-    w = Window.partitionBy(F.lit(0))
-    s = state.withColumn("_max", F.max("weight").over(w)).withColumn("_min", F.min("weight").over(w))
-    s = s.withColumn("_big", F.min(F.when(F.col("weight") == F.col("_max"), F.col("cluster"))).over(w))
-    s = s.withColumn("_small", F.min(F.when(F.col("weight") == F.col("_min"), F.col("cluster"))).over(w))
-    s = s.withColumn("_x", F.first(F.when(F.col("cluster") == F.col("_big"), F.col("center")), True).over(w))
-    dying = F.col("_min") < F.lit(DYING_RATIO) * F.col("_max")
-    is_big = dying & (F.col("cluster") == F.col("_big"))
-    is_small = dying & (F.col("cluster") == F.col("_small"))
-
-    def shifted(sign: float) -> Column:
-        return F.transform(
-            "_x", lambda x: x + F.lit(sign) * (F.lit(SPLIT_EPS) * F.greatest(F.abs(x), F.lit(1.0)))
-        )
-
-    return s.select(
-        "cluster",
-        F.when(is_big, shifted(1.0)).when(is_small, shifted(-1.0)).otherwise(F.col("center")).alias("center"),
-        F.when(is_big | is_small, (F.col("_max") + F.col("_min")) / 2.0)
-        .otherwise(F.col("weight"))
-        .alias("weight"),
-    )
+    s = state.agg(_model_list(state, ["cluster", "center", "weight"]).alias("s"))
+    return _explode_model(_split(s, "s"), "s")
 
 
 def train_step(state: DataFrame, stats: DataFrame, decay: float = 1.0, time_unit: str = "batches") -> DataFrame:
-    """One model update: decay + mini-batch rule + dying-cluster split."""
-    return split_dying_cluster(update_centers(state, stats, decay, time_unit))
+    """One model update: decay + mini-batch rule + dying-cluster split, in one K-row aggregate."""
+    if time_unit not in ("batches", "points"):
+        raise ValueError("time_unit must be 'batches' or 'points'")
+    j = _with_stats(state, stats)
+    s = j.agg(_model_list(j, ["cluster", "center", "weight", "n", "total"]).alias("s"))
+    u = s.select(_update_expr(F.col("s"), decay, time_unit).alias("s"))
+    return _explode_model(_split(u, "s"), "s")
 
 
 def latest_model(states: DataFrame) -> DataFrame:

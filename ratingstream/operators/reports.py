@@ -36,7 +36,8 @@ def prediction_report(preds: DataFrame, cluster_col: str = "cluster", max_per_li
 
 def offset_ranges(records: DataFrame) -> DataFrame:
     """Per topic partition: first offset, one past the last offset, and record count."""
-    return records.groupBy("topic", "partition").agg(
+    keys = [c for c in ("topic", "partition") if c in records.columns]
+    return records.groupBy(*keys).agg(
         F.min("offset").alias("from_offset"),
         (F.max("offset") + 1).alias("until_offset"),
         F.count(F.lit(1)).alias("n"),

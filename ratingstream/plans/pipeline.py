@@ -24,7 +24,14 @@ from ..operators.features import (
     maybe_broadcast,
     scale_features,
 )
-from ..operators.kmeans import assign_clusters, check_dim, cluster_stats, model_arrays, train_step
+from ..operators.kmeans import (
+    assign_clusters,
+    check_dim,
+    cluster_stats,
+    model_arrays,
+    state_frame,
+    train_step,
+)
 from ..options import KMeansOptions, StreamOptions
 from ..schemas import MODEL_STATE
 from ..session import fresh_path
@@ -162,16 +169,17 @@ def fold_batches(
     batch_ids = [r[0] for r in counts_all.select("batch_id").distinct().orderBy("batch_id").collect()]
 
     state_path = f"{out_dir}/state"
-    write_state(state0, f"{state_path}/batch_id=-1")
-    state = read_state(spark, f"{state_path}/batch_id=-1")
+    centers, weights = model_arrays(state0)
+    check_dim(centers, vt.dim)
+    write_state(state_frame(spark, centers, weights), f"{state_path}/batch_id=-1")
     for b in batch_ids:
-        centers, _ = model_arrays(state)
-        check_dim(centers, vt.dim)
         counts = counts_all.where(F.col("batch_id") == F.lit(b)).drop("batch_id")
         stats = batch_stats(
             counts, vt, centers, stream.scale_by_rating, stream.assign_method, stream.broadcast_limit_bytes
         )
-        new_state = train_step(state, stats, kmeans.decay, kmeans.time_unit)
-        write_state(new_state, f"{state_path}/batch_id={b}")
-        state = read_state(spark, f"{state_path}/batch_id={b}")
+        # the K new rows come back to the driver: they are the next step's
+        # centres, and rebuilding the frame from them cuts the lineage
+        new_state = train_step(state_frame(spark, centers, weights), stats, kmeans.decay, kmeans.time_unit)
+        centers, weights = model_arrays(new_state)
+        write_state(state_frame(spark, centers, weights), f"{state_path}/batch_id={b}")
     return spark.read.parquet(state_path)

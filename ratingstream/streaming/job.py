@@ -82,14 +82,22 @@ def process_batch(
     paths: StreamPaths,
     kmeans: KMeansOptions,
     opts: StreamOptions,
+    memo: dict | None = None,
 ) -> bool:
-    """Run one micro-batch; returns False when it was already complete."""
+    """Run one micro-batch; returns False when it was already complete.
+
+    ``memo`` keeps the last written model on the driver (K rows), so the next
+    batch need not read it back; after a restart it is read from the table.
+    """
     if mt.has_batch(spark, paths.state, batch_id):
         return False
     prev_id = mt.previous_batch(spark, paths.state, batch_id)
-    prev = mt.read_batch(spark, paths.state, prev_id)
-    centers, _ = km.model_arrays(prev)
+    if memo is not None and memo.get("batch_id") == prev_id:
+        centers, weights = memo["centers"], memo["weights"]
+    else:
+        centers, weights = km.model_arrays(mt.read_batch(spark, paths.state, prev_id))
     km.check_dim(centers, vt.dim)
+    prev = km.state_frame(spark, centers, weights)
 
     keep, key = _record_columns(batch)
     lines = batch.select(*keep, F.col("value").cast("string").alias("value"))
@@ -112,11 +120,13 @@ def process_batch(
             sample = sample_rows(good, opts.sample_fraction, seed=opts.sample_seed + int(batch_id))
         preds = pl.assign_ratings(sample, vt, new_centers, opts.assign_method, opts.broadcast_limit_bytes)
         preds.write.mode("overwrite").parquet(mt.batch_path(paths.predictions, batch_id))
-        if "offset" in batch.columns and "partition" in batch.columns:
-            rng = offset_ranges(batch.select(*[c for c in ("topic", "partition", "offset") if c in batch.columns]))
+        if "offset" in keep and "partition" in keep:
+            rng = offset_ranges(parsed.select(*[c for c in ("topic", "partition", "offset") if c in keep]))
             rng.write.mode("overwrite").parquet(mt.batch_path(paths.offsets, batch_id))
 
         mt.write_batch(km.state_frame(spark, new_centers, new_weights), paths.state, batch_id)
+        if memo is not None:
+            memo.update(batch_id=batch_id, centers=new_centers, weights=new_weights)
     finally:
         parsed.unpersist()
     return True
@@ -143,8 +153,10 @@ def run_stream(
     paths = StreamPaths(out_dir or fresh_path(spark, "stream"))
     mt.write_seed(spark, paths.state, state0)
 
+    memo: dict = {}
+
     def fn(batch: DataFrame, batch_id: int) -> None:
-        process_batch(spark, batch, batch_id, vt, paths, kmeans, opts)
+        process_batch(spark, batch, batch_id, vt, paths, kmeans, opts, memo)
 
     writer = source.writeStream.foreachBatch(fn).option("checkpointLocation", paths.checkpoint)
     if query_name:
