@@ -14,6 +14,13 @@ from pyspark.sql import functions as F
 SEPARATOR = ","
 INT_PATTERN = r"^[+-]?[0-9]+$"
 FLOAT_PATTERN = r"^[+-]?(NaN|Infinity|([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?)$"
+# A whole good rating message: user id, movie id, rating (blanks and control
+# chars around it, optional f/F/d/D suffix), then nothing but trailing commas.
+RATING_MESSAGE = (
+    r"^([+-]?[0-9]+),([+-]?[0-9]+),[\x00-\x20]*"
+    r"([+-]?(?:NaN|Infinity|(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?))"
+    r"[fFdD]?[\x00-\x20]*,*\z"
+)
 # Java's String.trim removes every char up to and including the space.
 _EDGE_CONTROL = r"^[\x00-\x20]+|[\x00-\x20]+$"
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import field, java_float, split_fields, strict_int
+from ..functions.text import RATING_MESSAGE, SEPARATOR, field, java_float, split_fields, strict_int
 
 REJECT_COL = "reject_reason"
 
@@ -15,19 +15,17 @@ def project_value(records: DataFrame, value_col: str = "value") -> DataFrame:
     return records.select(F.col(value_col).cast("string").alias("value"))
 
 
-def _parsed_columns(value: Column):
+def _reject_reason(value: Column) -> Column:
+    """Why a line is not a rating; the split-based check, run for bad lines only."""
     fields = split_fields(value)
-    user = strict_int(field(fields, 0))
-    movie = strict_int(field(fields, 1))
-    rating = java_float(field(fields, 2))
-    reason = (
+    return (
         F.when(value.isNull(), F.lit("null_value"))
         .when(F.size(fields) != 3, F.lit("field_count"))
-        .when(user.isNull(), F.lit("user_id"))
-        .when(movie.isNull(), F.lit("movie_id"))
-        .when(rating.isNull(), F.lit("rating"))
+        .when(strict_int(field(fields, 0)).isNull(), F.lit("user_id"))
+        .when(strict_int(field(fields, 1)).isNull(), F.lit("movie_id"))
+        .when(java_float(field(fields, 2)).isNull(), F.lit("rating"))
+        .otherwise(F.lit("rating"))
     )
-    return user, movie, rating, reason
 
 
 def parse_rating(
@@ -41,22 +39,38 @@ def parse_rating(
     Every input row comes out once, with ``reject_reason`` null for a good row.
     Split with :func:`accepted` / :func:`quarantined`. With ``on_error="fail"``
     the first bad row fails the task, as the reference's parse does.
+
+    A good line is recognised by one whole-line pattern; the field-by-field
+    diagnosis only runs for lines that fail it.
     """
+    if on_error not in ("quarantine", "fail"):
+        raise ValueError("on_error must be 'quarantine' or 'fail'")
     v = F.col(value_col).cast("string")
-    user, movie, rating, reason = _parsed_columns(v)
+    staged = lines.select(*[F.col(c) for c in keep], v.alias("_v"))
+    v = F.col("_v")
+    # one pattern match decides the shape; the fields then come from a plain
+    # split, and Spark's float cast trims and reads suffixes like Java's does
+    f = F.split(v, SEPARATOR, 4)
+    user = F.get(f, 0).try_cast("int")
+    movie = F.get(f, 1).try_cast("int")
+    rating = F.get(f, 2).try_cast("float")
+    ok = v.rlike(RATING_MESSAGE) & user.isNotNull() & movie.isNotNull() & rating.isNotNull()
+    staged = staged.select(*[F.col(c) for c in keep], "_v", ok.alias("_ok"), user.alias("_u"),
+                           movie.alias("_m"), rating.alias("_r"))
+    ok = F.col("_ok")
+    reason = F.when(ok, F.lit(None).cast("string")).otherwise(_reject_reason(F.col("_v")))
     if on_error == "fail":
         reason = F.when(
-            reason.isNotNull(),
-            F.raise_error(F.concat(F.lit("bad rating line ("), reason, F.lit("): "), F.coalesce(v, F.lit("null")))),
+            ~ok,
+            F.raise_error(
+                F.concat(F.lit("bad rating line ("), reason, F.lit("): "), F.coalesce(F.col("_v"), F.lit("null")))
+            ),
         ).cast("string")
-    elif on_error != "quarantine":
-        raise ValueError("on_error must be 'quarantine' or 'fail'")
-    ok = reason.isNull()
-    return lines.select(
+    return staged.select(
         *[F.col(c) for c in keep],
-        F.when(ok, user).alias("user_id"),
-        F.when(ok, movie).alias("movie_id"),
-        F.when(ok, rating).alias("rating"),
+        F.when(ok, F.col("_u")).alias("user_id"),
+        F.when(ok, F.col("_m")).alias("movie_id"),
+        F.when(ok, F.col("_r")).alias("rating"),
         reason.alias(REJECT_COL),
     )
 

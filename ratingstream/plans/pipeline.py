@@ -115,15 +115,22 @@ def assign_ratings(
     centers,
     method: str = "arrow",
     broadcast_limit_bytes: int = StreamOptions.broadcast_limit_bytes,
+    per_movie: bool = True,
 ) -> DataFrame:
     """Every rating with the cluster of its movie (ratings without a vector drop out).
 
-    Each distinct movie is scored once; the ``movie_id → cluster`` table has
-    at most one row per vector, so its size bound is known before the join
-    back and decides the broadcast.
+    With ``per_movie`` each distinct movie is scored once; the
+    ``movie_id → cluster`` table has at most one row per vector, so its size
+    bound is known before the join back and decides the broadcast. Without
+    it each row is scored where it is (no shuffle), which suits small inputs
+    such as a 1 % sample.
     """
+    side = vt.df.select("movie_id", "features")
+    if not per_movie:
+        pts = join_ratings_features(ratings, side, vt.n, vt.dim, broadcast_limit_bytes)
+        return assign_clusters(pts, centers, method=method).drop("features")
     movies = ratings.select("movie_id").distinct()
-    pts = join_ratings_features(movies, vt.df.select("movie_id", "features"), vt.n, vt.dim, broadcast_limit_bytes)
+    pts = join_ratings_features(movies, side, vt.n, vt.dim, broadcast_limit_bytes)
     clusters = assign_clusters(pts, centers, method=method).select("movie_id", "cluster")
     clusters = maybe_broadcast(clusters, vt.n, _ASSIGN_ROW_BYTES, broadcast_limit_bytes)
     return ratings.join(clusters, "movie_id", "inner")

@@ -118,7 +118,9 @@ def process_batch(
             sample = sample_rows(good, opts.sample_fraction, seed=opts.sample_seed, key_cols=key)
         else:
             sample = sample_rows(good, opts.sample_fraction, seed=opts.sample_seed + int(batch_id))
-        preds = pl.assign_ratings(sample, vt, new_centers, opts.assign_method, opts.broadcast_limit_bytes)
+        preds = pl.assign_ratings(
+            sample, vt, new_centers, opts.assign_method, opts.broadcast_limit_bytes, per_movie=False
+        )
         preds.write.mode("overwrite").parquet(mt.batch_path(paths.predictions, batch_id))
         if "offset" in keep and "partition" in keep:
             rng = offset_ranges(parsed.select(*[c for c in ("topic", "partition", "offset") if c in keep]))
