@@ -28,6 +28,9 @@ WEIGHT_FLOOR = 1e-16
 DYING_RATIO = 1e-8
 SPLIT_EPS = 1e-14
 
+# Vector width up to which "auto" assignment stays in the JVM.
+AUTO_SQL_MAX_DIM = 128
+
 
 # --------------------------------------------------------------------------- init
 
@@ -106,15 +109,19 @@ def assign_clusters(
     centers,
     features: str = "features",
     out: str = "cluster",
-    method: str = "arrow",
+    method: str = "auto",
 ) -> DataFrame:
     """Nearest centre (squared Euclidean distance, ties to the lowest index).
 
     ``centers`` is the K x D model (K rows collected from the model table).
     ``method="arrow"`` scores Arrow batches with numpy; ``method="sql"`` uses
-    built-in higher-order functions and stays in the JVM.
+    built-in higher-order functions and stays in the JVM; ``"auto"`` picks
+    the JVM form for narrow vectors (no Python workers) and Arrow above
+    ``AUTO_SQL_MAX_DIM`` elements, where it was 6x faster at 1128.
     """
     c = np.asarray(centers, dtype=np.float64)
+    if method == "auto":
+        method = "sql" if c.shape[-1] <= AUTO_SQL_MAX_DIM else "arrow"
     if method == "arrow":
         col: Column = _arrow_nearest(c)(F.col(features))
     elif method == "sql":
@@ -270,6 +277,48 @@ def train_step(state: DataFrame, stats: DataFrame, decay: float = 1.0, time_unit
     return _explode_model(_split(u, "s"), "s")
 
 
+def stats_arrays(stats_rows, k: int, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per-cluster counts and sums from the K collected rows of :func:`cluster_stats`."""
+    n = np.zeros(k)
+    total = np.zeros((k, dim))
+    for r in stats_rows:
+        n[r["cluster"]] = r["n"]
+        total[r["cluster"]] = r["total"]
+    return n, total
+
+
+def train_step_arrays(
+    centers: np.ndarray,
+    weights: np.ndarray,
+    n: np.ndarray,
+    total: np.ndarray,
+    decay: float = 1.0,
+    time_unit: str = "batches",
+) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`train_step` on the driver's copy of the K x D model (same rule, same rounding).
+
+    A stream or fold has to bring the K cluster sums to the driver anyway (they
+    seed the next batch's assignment), so the K-row update runs there instead
+    of as another Spark job; tests hold it equal to the DataFrame form.
+    """
+    c = np.array(centers, dtype=np.float64, copy=True)
+    disc = float(decay) ** float(n.sum()) if time_unit == "points" else float(decay)
+    w = np.asarray(weights, dtype=np.float64) * disc
+    for j in np.flatnonzero(n > 0):
+        nw = w[j] + n[j]
+        lam = n[j] / max(nw, WEIGHT_FLOOR)
+        c[j] = (1.0 - lam) * c[j] + (lam / n[j]) * total[j]
+        w[j] = nw
+    big, small = int(np.argmax(w)), int(np.argmin(w))
+    if w[small] < DYING_RATIO * w[big]:
+        half = (w[big] + w[small]) / 2.0
+        x = c[big].copy()
+        p = SPLIT_EPS * np.maximum(np.abs(x), 1.0)
+        c[big], c[small] = x + p, x + (-1.0) * p
+        w[big] = w[small] = half
+    return c, w
+
+
 def latest_model(states: DataFrame) -> DataFrame:
     """Rows of the newest ``batch_id`` of a model table that keeps every batch."""
     last = states.agg(F.max("batch_id").alias("batch_id"))

@@ -57,7 +57,7 @@ class StreamOptions:
     on_error: str = "quarantine"  # or "fail"
     max_records_per_s_per_partition: int = 2000
     broadcast_limit_bytes: int = 256 * 1024 * 1024
-    assign_method: str = "arrow"  # or "sql"
+    assign_method: str = "auto"  # "arrow", "sql" or "auto" (by vector width)
 
 
 @dataclass(frozen=True)

@@ -30,7 +30,8 @@ from ..operators.kmeans import (
     cluster_stats,
     model_arrays,
     state_frame,
-    train_step,
+    stats_arrays,
+    train_step_arrays,
 )
 from ..options import KMeansOptions, StreamOptions
 from ..schemas import MODEL_STATE
@@ -101,7 +102,7 @@ def batch_stats(
     vt: VectorTable,
     centers,
     scale_by_rating: bool = False,
-    method: str = "arrow",
+    method: str = "auto",
     broadcast_limit_bytes: int = StreamOptions.broadcast_limit_bytes,
 ) -> DataFrame:
     """K rows of ``cluster, n, total`` for one batch of rating counts."""
@@ -113,7 +114,7 @@ def assign_ratings(
     ratings: DataFrame,
     vt: VectorTable,
     centers,
-    method: str = "arrow",
+    method: str = "auto",
     broadcast_limit_bytes: int = StreamOptions.broadcast_limit_bytes,
     per_movie: bool = True,
 ) -> DataFrame:
@@ -184,9 +185,9 @@ def fold_batches(
         stats = batch_stats(
             counts, vt, centers, stream.scale_by_rating, stream.assign_method, stream.broadcast_limit_bytes
         )
-        # the K new rows come back to the driver: they are the next step's
-        # centres, and rebuilding the frame from them cuts the lineage
-        new_state = train_step(state_frame(spark, centers, weights), stats, kmeans.decay, kmeans.time_unit)
-        centers, weights = model_arrays(new_state)
+        # the K cluster sums come back to the driver: the update of the K x D
+        # model runs there, and the new model seeds the next step's scoring
+        n, total = stats_arrays(stats.collect(), len(centers), vt.dim)
+        centers, weights = train_step_arrays(centers, weights, n, total, kmeans.decay, kmeans.time_unit)
         write_state(state_frame(spark, centers, weights), f"{state_path}/batch_id={b}")
     return spark.read.parquet(state_path)

@@ -97,7 +97,6 @@ def process_batch(
     else:
         centers, weights = km.model_arrays(mt.read_batch(spark, paths.state, prev_id))
     km.check_dim(centers, vt.dim)
-    prev = km.state_frame(spark, centers, weights)
 
     keep, key = _record_columns(batch)
     lines = batch.select(*keep, F.col("value").cast("string").alias("value"))
@@ -111,8 +110,10 @@ def process_batch(
         stats = pl.batch_stats(
             counts, vt, centers, opts.scale_by_rating, opts.assign_method, opts.broadcast_limit_bytes
         )
-        new_state = km.train_step(prev, stats, kmeans.decay, kmeans.time_unit)
-        new_centers, new_weights = km.model_arrays(new_state)  # K rows
+        n, total = km.stats_arrays(stats.collect(), len(centers), vt.dim)  # K rows
+        new_centers, new_weights = km.train_step_arrays(
+            centers, weights, n, total, kmeans.decay, kmeans.time_unit
+        )
 
         if key:
             sample = sample_rows(good, opts.sample_fraction, seed=opts.sample_seed, key_cols=key)

@@ -109,3 +109,26 @@ def test_centers_from_vectors_takes_first_k(spark):
     assert [r["center"][0] for r in rows] == [1.0, 3.0]
     assert [r["cluster"] for r in rows] == [0, 1]
     assert F is not None
+
+
+@pytest.mark.parametrize("name,centers,weights,pts,decay,unit,exp_c,exp_w", GOLDEN, ids=[g[0] for g in GOLDEN])
+def test_driver_update_equals_dataframe_update(spark, name, centers, weights, pts, decay, unit, exp_c, exp_w):
+    c0 = np.array(centers, float)
+    if pts:
+        assigned = km.assign_clusters(_points(spark, pts), c0, method="sql")
+        n, total = km.stats_arrays(km.cluster_stats(assigned).collect(), len(c0), c0.shape[1])
+    else:
+        n, total = np.zeros(len(c0)), np.zeros_like(c0)
+    c, w = km.train_step_arrays(c0, np.array(weights, float), n, total, decay, unit)
+    c2, w2 = _step(spark, centers, weights, pts, decay, unit)
+    np.testing.assert_array_equal(c, c2)
+    np.testing.assert_array_equal(w, w2)
+
+
+def test_driver_update_split_cases():
+    c, w = km.train_step_arrays(
+        np.array([[0.0, 0.0], [1000.0, 1000.0], [2000.0, 2000.0]]), np.zeros(3),
+        np.array([2.0, 0.0, 0.0]), np.array([[4.0, 4.0], [0.0, 0.0], [0.0, 0.0]]),
+    )
+    assert list(w) == [1.0, 1.0, 0.0]
+    assert c[0][0] == 2.0 + 2e-14 and c[1][0] == 2.0 - 2e-14 and list(c[2]) == [2000.0, 2000.0]
