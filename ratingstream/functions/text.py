@@ -68,10 +68,20 @@ def java_float(text) -> Column:
     return F.when(t.rlike(FLOAT_PATTERN), F.coalesce(special, body.try_cast("float")))
 
 
+def first_field(value) -> Column:
+    """Text before the first comma (Java's ``split(",")(0)``; empty when there is none)."""
+    return F.substring_index(_c(value), SEPARATOR, 1)
+
+
 def drop_last_field(value) -> Column:
-    """Remove the last comma-separated field and join the rest back with commas."""
-    f = split_fields(value)
-    return F.array_join(F.slice(f, 1, F.greatest(F.size(f) - 1, F.lit(0))), SEPARATOR)
+    """Remove the last comma-separated field and join the rest back with commas.
+
+    Same as Java's ``split(",").dropRight(1).mkString(",")``: trailing empty
+    fields go first, then the last remaining field with its comma.
+    """
+    s = F.rtrim(_c(value), F.lit(SEPARATOR))
+    last = F.substring_index(s, SEPARATOR, -1)
+    return F.substring(s, F.lit(1), F.length(s) - F.length(last) - F.lit(1))
 
 
 def encode_int_key(c) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import RATING_MESSAGE, SEPARATOR, field, java_float, split_fields, strict_int
+from ..functions.text import RATING_MESSAGE, SEPARATOR, field, first_field, java_float, split_fields, strict_int
 
 REJECT_COL = "reject_reason"
 
@@ -88,8 +88,7 @@ def reject_bad_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
 
     Adds ``user_id`` (null for a rejected line) and ``rejected`` (boolean).
     """
-    first = field(split_fields(F.col(value_col)), 0)
-    user = strict_int(first)
+    user = strict_int(first_field(F.col(value_col)))
     return lines.withColumn("user_id", user).withColumn("rejected", user.isNull())
 
 
