@@ -34,8 +34,8 @@ from ..operators.kmeans import (
     train_step_arrays,
 )
 from ..options import KMeansOptions, StreamOptions
-from ..schemas import MODEL_STATE
-from ..session import fresh_path
+from ..session import fresh_path, is_complete
+from . import model_table as mt
 
 # Bytes per row of a (movie_id, cluster) table, for the broadcast size check.
 _ASSIGN_ROW_BYTES = 32
@@ -137,14 +137,6 @@ def assign_ratings(
     return ratings.join(clusters, "movie_id", "inner")
 
 
-def write_state(state: DataFrame, path: str) -> None:
-    state.select("cluster", "center", "weight").write.mode("overwrite").parquet(path)
-
-
-def read_state(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(MODEL_STATE).parquet(path)
-
-
 def fold_batches(
     spark: SparkSession,
     ratings: DataFrame,
@@ -160,27 +152,36 @@ def fold_batches(
     All batches are counted per movie in one pass first (a single shuffle of
     the ratings), written to the shared folder partitioned by batch; each
     step then reads only its own small partition. Each state is written as a
-    K-row table, which also cuts the lineage between steps.
+    K-row table under ``out_dir/state/batch_id=N``. Given the ``out_dir`` of an
+    interrupted run, the fold goes on after the last complete state instead
+    of starting again.
     """
     out_dir = out_dir or fresh_path(spark, "fold")
     keys = [batch_col, "movie_id"] + (["rating"] if stream.scale_by_rating else [])
     counts_path = f"{out_dir}/counts"
-    (
-        ratings.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumnRenamed(batch_col, "batch_id")
-        .write.mode("overwrite")
-        .partitionBy("batch_id")
-        .parquet(counts_path)
-    )
+    if not is_complete(spark, counts_path):
+        (
+            ratings.groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("n"))
+            .withColumnRenamed(batch_col, "batch_id")
+            .write.mode("overwrite")
+            .partitionBy("batch_id")
+            .parquet(counts_path)
+        )
     counts_all = spark.read.parquet(counts_path)
     batch_ids = [r[0] for r in counts_all.select("batch_id").distinct().orderBy("batch_id").collect()]
 
     state_path = f"{out_dir}/state"
-    centers, weights = model_arrays(state0)
+    done = set(mt.complete_batches(spark, state_path))
+    if mt.SEED_BATCH not in done:
+        centers, weights = model_arrays(state0)
+        mt.write_batch(state_frame(spark, centers, weights), state_path, mt.SEED_BATCH)
+    last = max([b for b in done if b in batch_ids] or [mt.SEED_BATCH])
+    centers, weights = model_arrays(mt.read_batch(spark, state_path, last))
     check_dim(centers, vt.dim)
-    write_state(state_frame(spark, centers, weights), f"{state_path}/batch_id=-1")
     for b in batch_ids:
+        if b <= last:
+            continue
         counts = counts_all.where(F.col("batch_id") == F.lit(b)).drop("batch_id")
         stats = batch_stats(
             counts, vt, centers, stream.scale_by_rating, stream.assign_method, stream.broadcast_limit_bytes
@@ -189,5 +190,5 @@ def fold_batches(
         # model runs there, and the new model seeds the next step's scoring
         n, total = stats_arrays(stats.collect(), len(centers), vt.dim)
         centers, weights = train_step_arrays(centers, weights, n, total, kmeans.decay, kmeans.time_unit)
-        write_state(state_frame(spark, centers, weights), f"{state_path}/batch_id={b}")
-    return spark.read.parquet(state_path)
+        mt.write_batch(state_frame(spark, centers, weights), state_path, b)
+    return mt.read_all(spark, state_path)

@@ -34,7 +34,7 @@ from ..operators.reports import offset_ranges
 from ..options import KMeansOptions, StreamOptions
 from ..plans import pipeline as pl
 from ..session import fresh_path
-from . import model_table as mt
+from ..plans import model_table as mt
 
 
 @dataclass(frozen=True)

@@ -17,7 +17,7 @@ from ..plans import queries as bq
 from ..session import fresh_path
 from ..sources import fixtures as fx
 from ..sources.kafka import stream_ratings
-from . import model_table as mt
+from ..plans import model_table as mt
 from .job import StreamPaths, run_stream
 
 

@@ -6,7 +6,7 @@ from ratingstream.operators.parse import accepted, parse_rating
 from ratingstream.options import KMeansOptions, PublishOptions, StreamOptions
 from ratingstream.session import fresh_path
 from ratingstream.sources import fixtures as fx
-from ratingstream.streaming import model_table as mt
+from ratingstream.plans import model_table as mt
 
 from conftest import SF_SMOKE
 

@@ -9,7 +9,7 @@ from ratingstream.plans import pipeline as pl
 from ratingstream.session import fresh_path
 from ratingstream.sources import fixtures as fx
 from ratingstream.sources.kafka import stream_ratings
-from ratingstream.streaming import model_table as mt
+from ratingstream.plans import model_table as mt
 from ratingstream.streaming.job import StreamPaths, process_batch, run_stream
 
 from conftest import SF_SMOKE
@@ -91,3 +91,37 @@ def test_text_stream_source(spark):
     assert w.sum() == expected
     bad = spark.read.parquet(paths.quarantine).count()
     assert bad == lines.count() - accepted(parse_rating(lines)).count()
+
+
+def test_fold_resumes_after_a_crash(spark, monkeypatch):
+    from ratingstream.operators.parse import accepted, parse_rating
+
+    vt, state0, recs = _setup(spark)
+    good = accepted(
+        parse_rating(recs.select(F.col("value").cast("string").alias("value"), "timestamp"), keep=["timestamp"])
+    ).withColumn("day", fx.epoch_day("timestamp"))
+    kopts = KMeansOptions(k=3, dim=vt.dim)
+    whole = km.model_arrays(km.latest_model(pl.fold_batches(spark, good, "day", vt, state0, kopts)).drop("batch_id"))
+
+    out = fresh_path(spark, "t_fold_crash")
+    real = mt.write_batch
+    calls = {"n": 0}
+
+    def crashing(state, root, batch_id):
+        calls["n"] += 1
+        if calls["n"] == 6:  # seed + 4 batches written, the 5th dies
+            raise RuntimeError("driver lost")
+        real(state, root, batch_id)
+
+    monkeypatch.setattr(mt, "write_batch", crashing)
+    try:
+        pl.fold_batches(spark, good, "day", vt, state0, kopts, out_dir=out)
+        raise AssertionError("expected the simulated crash")
+    except RuntimeError as e:
+        assert "driver lost" in str(e)
+    monkeypatch.setattr(mt, "write_batch", real)
+    assert len(mt.complete_batches(spark, f"{out}/state")) == 5
+    resumed = pl.fold_batches(spark, good, "day", vt, state0, kopts, out_dir=out)
+    c, w = km.model_arrays(km.latest_model(resumed).drop("batch_id"))
+    np.testing.assert_array_equal(c, whole[0])
+    np.testing.assert_array_equal(w, whole[1])
