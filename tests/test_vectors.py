@@ -61,3 +61,36 @@ def test_hash_sample_is_deterministic_and_close_to_fraction(spark):
     assert a == b
     assert 1700 < a < 2300
     assert sample_threshold(0.01) == "028f5c29"
+
+
+def test_aggregate_below_join_equals_per_rating_plan(spark):
+    """Counting per movie (or per movie and rating) before the join gives the per-rating stats."""
+    import numpy as np
+
+    from ratingstream.operators import kmeans as km
+    from ratingstream.plans import pipeline as pl
+    from ratingstream.sources import fixtures as fx
+
+    from conftest import SF_SMOKE
+
+    emb = fx.table(spark, SF_SMOKE, "embeddings")
+    dim = fx.embedding_dim(emb)
+    vt = pl.materialize_vectors(spark, pl.movie_vectors(fx.tag_scores_from_embeddings(emb), dim), dim)
+    centers = km.model_arrays(km.centers_from_vectors(vt.df, 4))[0]
+    ratings = fx.ratings_from_events(fx.table(spark, SF_SMOKE, "events"))
+    for scale in (False, True):
+        for limit in (256 * 1024 * 1024, 0):  # broadcast, then the shuffle join
+            fast = pl.batch_stats(pl.movie_counts(ratings, scale), vt, centers, scale, "sql", limit)
+            side = vt.df.select("movie_id", "scores", "features")
+            per_row = ratings.join(side, "movie_id")
+            if scale:
+                per_row = per_row.drop("features").transform(
+                    lambda d: d.withColumn("features", F.transform("scores", lambda x: x * F.col("rating")))
+                ).withColumn("features", F.transform("features", lambda x: x.cast("string").cast("double")))
+            slow = km.cluster_stats(km.assign_clusters(per_row, centers, method="sql"))
+            a = {r["cluster"]: r for r in fast.collect()}
+            b = {r["cluster"]: r for r in slow.collect()}
+            assert a.keys() == b.keys()
+            for c in a:
+                assert a[c]["n"] == b[c]["n"]
+                np.testing.assert_allclose(a[c]["total"], b[c]["total"], rtol=1e-9, atol=1e-9)
