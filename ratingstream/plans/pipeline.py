@@ -89,9 +89,15 @@ def batch_points(
     scale_by_rating: bool = False,
     broadcast_limit_bytes: int = StreamOptions.broadcast_limit_bytes,
 ) -> DataFrame:
-    """Per-movie (or per movie and rating) counts joined to their feature vectors."""
+    """Per-movie (or per movie and rating) counts joined to their feature vectors.
+
+    The vectors stay where they are cached (hash-partitioned on ``movie_id``):
+    the per-batch counts are the small side, so Spark either broadcasts them
+    (its size check, or AQE at run time) or shuffles only them to the
+    vectors' partitioning. The static side is never re-broadcast per batch.
+    """
     side = vt.df.select("movie_id", "scores") if scale_by_rating else vt.df.select("movie_id", "features")
-    joined = join_ratings_features(counts, side, vt.n, vt.dim, broadcast_limit_bytes)
+    joined = counts.join(side, "movie_id", "inner")
     if scale_by_rating:
         joined = scale_features(joined, by="rating", src="scores", dst="features").drop("scores")
     return joined
@@ -131,7 +137,7 @@ def assign_ratings(
         pts = join_ratings_features(ratings, side, vt.n, vt.dim, broadcast_limit_bytes)
         return assign_clusters(pts, centers, method=method).drop("features")
     movies = ratings.select("movie_id").distinct()
-    pts = join_ratings_features(movies, side, vt.n, vt.dim, broadcast_limit_bytes)
+    pts = movies.join(side, "movie_id", "inner")  # vectors stay in place, as in batch_points
     clusters = assign_clusters(pts, centers, method=method).select("movie_id", "cluster")
     clusters = maybe_broadcast(clusters, vt.n, _ASSIGN_ROW_BYTES, broadcast_limit_bytes)
     return ratings.join(clusters, "movie_id", "inner")

@@ -3,13 +3,15 @@
 ``run_stream`` wires a Structured Streaming source to ``foreachBatch``. For
 each micro-batch, in order:
 
-1. parse the message values; bad rows go to ``quarantine/batch_id=N``;
+1. parse the message values (cached for the batch); bad rows go to
+   ``quarantine/batch_id=N``;
 2. count the good ratings per movie, join the counts to the movie vectors
    (broadcast only under a checked size), assign each movie to its nearest
    centre and sum per cluster: one distributed aggregate, K rows out;
 3. fold the sums into the previous model (decay, mini-batch rule, split);
 4. score a 1 % sample of the batch with the updated model and write it to
-   ``predictions/batch_id=N``; write Kafka offset ranges to ``offsets/``;
+   ``predictions/batch_id=N``; write Kafka offset ranges to ``offsets/``
+   (these writes and the quarantine run as concurrent jobs);
 5. write the new model to ``state/batch_id=N`` last, as the completion mark.
 
 Replays are idempotent: a batch whose state exists is skipped, others are
@@ -20,6 +22,7 @@ on from the last finished batch.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -103,14 +106,13 @@ def process_batch(
     parsed = parse_rating(lines, keep=keep + ["value"], on_error=opts.on_error)
     parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        quarantined(parsed).write.mode("overwrite").parquet(mt.batch_path(paths.quarantine, batch_id))
         good = accepted(parsed).drop("value")
-
         counts = pl.movie_counts(good, opts.scale_by_rating)
         stats = pl.batch_stats(
             counts, vt, centers, opts.scale_by_rating, opts.assign_method, opts.broadcast_limit_bytes
         )
-        n, total = km.stats_arrays(stats.collect(), len(centers), vt.dim)  # K rows
+        # the K cluster sums (this job also fills the cache of the parsed batch)
+        n, total = km.stats_arrays(stats.collect(), len(centers), vt.dim)
         new_centers, new_weights = km.train_step_arrays(
             centers, weights, n, total, kmeans.decay, kmeans.time_unit
         )
@@ -119,13 +121,19 @@ def process_batch(
             sample = sample_rows(good, opts.sample_fraction, seed=opts.sample_seed, key_cols=key)
         else:
             sample = sample_rows(good, opts.sample_fraction, seed=opts.sample_seed + int(batch_id))
-        preds = pl.assign_ratings(
-            sample, vt, new_centers, opts.assign_method, opts.broadcast_limit_bytes, per_movie=False
-        )
-        preds.write.mode("overwrite").parquet(mt.batch_path(paths.predictions, batch_id))
+        preds = pl.assign_ratings(sample, vt, new_centers, opts.assign_method, opts.broadcast_limit_bytes)
+        outputs = [
+            (preds, mt.batch_path(paths.predictions, batch_id)),
+            (quarantined(parsed), mt.batch_path(paths.quarantine, batch_id)),
+        ]
         if "offset" in keep and "partition" in keep:
             rng = offset_ranges(parsed.select(*[c for c in ("topic", "partition", "offset") if c in keep]))
-            rng.write.mode("overwrite").parquet(mt.batch_path(paths.offsets, batch_id))
+            outputs.append((rng, mt.batch_path(paths.offsets, batch_id)))
+        # the three outputs are independent jobs over the cached batch: submit
+        # them together so their small stages share the executors
+        with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
+            for f in [pool.submit(_overwrite, df, path) for df, path in outputs]:
+                f.result()
 
         mt.write_batch(km.state_frame(spark, new_centers, new_weights), paths.state, batch_id)
         if memo is not None:
@@ -135,6 +143,10 @@ def process_batch(
     return True
 
 
+def _overwrite(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").parquet(path)
+
+
 def run_stream(
     spark: SparkSession,
     source: DataFrame,
