@@ -9,6 +9,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +53,9 @@ def clusterer_job(
     cap = None
     if source_format == "kafka":
         cap = stream_source_rate(stream.max_records_per_s_per_partition, source_partitions, stream.interval_s)
+    if source_format == "kafka" and kafka.min_partitions is None:
+        # spread each batch over the cluster even when the topic has few partitions
+        kafka = dataclasses.replace(kafka, min_partitions=spark.sparkContext.defaultParallelism)
     source = stream_ratings(spark, source_format, source_path, kafka, cap)
     query, paths = run_stream(
         spark, source, vt, state0, out_dir=out_dir, kmeans=kmeans, opts=stream, available_now=available_now

@@ -66,6 +66,9 @@ class KafkaOptions:
     topics: str = "test"
     group_id: str = "KMean_Consumer"
     starting_offsets: str = "latest"
+    # Spark tasks per micro-batch at least this many: the reference's topic has
+    # two partitions (user parity), which alone would give two parse tasks.
+    min_partitions: int | None = None
     extra: dict = field(default_factory=dict)  # passed through with a "kafka." prefix
 
 

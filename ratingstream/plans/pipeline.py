@@ -12,6 +12,7 @@ With ``scale_by_rating`` the features depend on the rating too, so the key is
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -185,16 +186,24 @@ def fold_batches(
     last = max([b for b in done if b in batch_ids] or [mt.SEED_BATCH])
     centers, weights = model_arrays(mt.read_batch(spark, state_path, last))
     check_dim(centers, vt.dim)
-    for b in batch_ids:
-        if b <= last:
-            continue
-        counts = counts_all.where(F.col("batch_id") == F.lit(b)).drop("batch_id")
-        stats = batch_stats(
-            counts, vt, centers, stream.scale_by_rating, stream.assign_method, stream.broadcast_limit_bytes
-        )
-        # the K cluster sums come back to the driver: the update of the K x D
-        # model runs there, and the new model seeds the next step's scoring
-        n, total = stats_arrays(stats.collect(), len(centers), vt.dim)
-        centers, weights = train_step_arrays(centers, weights, n, total, kmeans.decay, kmeans.time_unit)
-        mt.write_batch(state_frame(spark, centers, weights), state_path, b)
+    # a state is written by one background thread, in batch order, while the
+    # next step's cluster sums are computed
+    writes = []
+    with ThreadPoolExecutor(max_workers=1) as writer:
+        for b in batch_ids:
+            if b <= last:
+                continue
+            counts = counts_all.where(F.col("batch_id") == F.lit(b)).drop("batch_id")
+            stats = batch_stats(
+                counts, vt, centers, stream.scale_by_rating, stream.assign_method, stream.broadcast_limit_bytes
+            )
+            # the K cluster sums come back to the driver: the update of the K x D
+            # model runs there, and the new model seeds the next step's scoring
+            n, total = stats_arrays(stats.collect(), len(centers), vt.dim)
+            centers, weights = train_step_arrays(centers, weights, n, total, kmeans.decay, kmeans.time_unit)
+            if writes:
+                writes[-1].result()  # the previous state is in place before this one is queued
+            writes.append(writer.submit(mt.write_batch, state_frame(spark, centers, weights), state_path, b))
+    for w in writes:
+        w.result()
     return mt.read_all(spark, state_path)

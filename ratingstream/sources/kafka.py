@@ -31,6 +31,8 @@ def kafka_reader_options(
     }
     if max_offsets_per_trigger:
         o["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
+    if opts.min_partitions:
+        o["minPartitions"] = str(int(opts.min_partitions))
     for k, v in opts.extra.items():
         o[k if k.startswith("kafka.") else f"kafka.{k}"] = str(v)
     return o

@@ -33,4 +33,6 @@ def test_kafka_options():
     assert r["subscribe"] == "a,b,c" and r["startingOffsets"] == "latest"
     assert r["maxOffsetsPerTrigger"] == "480000"
     assert r["kafka.group.id"] == "KMean_Consumer"
+    assert "minPartitions" not in r
+    assert kafka_reader_options(KafkaOptions(min_partitions=64))["minPartitions"] == "64"
     assert F is not None
