@@ -38,6 +38,24 @@ class KMeansOptions:
         if self.weight < 0:
             raise ValueError("weight must be >= 0")
 
+    @classmethod
+    def from_properties(cls, props: dict, prefix: str = "kMeans.") -> "KMeansOptions":
+        """Options from the reference job's ``kMeans.*`` settings.
+
+        The job reads the decay factor and the initial weight as 32-bit floats
+        before the model widens them to doubles; the same rounding is kept so
+        a setting such as ``0.9`` gives the same model.
+        """
+        import numpy as np
+
+        p = {k[len(prefix):] if k.startswith(prefix) else k: str(v).strip() for k, v in props.items()}
+        return cls(
+            k=int(p.get("K", "5")),
+            decay=float(np.float32(p.get("DecayFactor", "1.0"))),
+            dim=int(p.get("RandomCenters.dim", str(DEFAULT_DIM))),
+            weight=float(np.float32(p.get("RandomCenters.weight", "0"))),
+        )
+
     @staticmethod
     def decay_from_half_life(half_life: float) -> float:
         """Forgetting factor whose weight halves after ``half_life`` time units."""
@@ -72,6 +90,25 @@ class KafkaOptions:
     extra: dict = field(default_factory=dict)  # passed through with a "kafka." prefix
 
 
+def kafka_options_from_properties(props: dict, prefix: str = "kafkaStream.") -> KafkaOptions:
+    """Options from the reference job's ``kafkaStream.*`` settings.
+
+    ``topics``, ``bootstrap.servers``, ``group.id`` and ``auto.offset.reset``
+    map to their fields; other client settings pass through (deserializer
+    settings are dropped: the Spark source reads keys and values as bytes).
+    """
+    p = {k[len(prefix):] if k.startswith(prefix) else k: str(v).strip() for k, v in props.items()}
+    known = {"topics", "bootstrap.servers", "group.id", "auto.offset.reset"}
+    extra = {k: v for k, v in p.items() if k not in known and not k.endswith(".deserializer")}
+    return KafkaOptions(
+        bootstrap_servers=p.get("bootstrap.servers", "localhost:6667"),
+        topics=p.get("topics", "test"),
+        group_id=p.get("group.id", "KMean_Consumer"),
+        starting_offsets=p.get("auto.offset.reset", "latest"),
+        extra=extra,
+    )
+
+
 @dataclass(frozen=True)
 class PublishOptions:
     bootstrap_servers: str = "localhost:6667"

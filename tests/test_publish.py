@@ -36,3 +36,26 @@ def test_kafka_options():
     assert "minPartitions" not in r
     assert kafka_reader_options(KafkaOptions(min_partitions=64))["minPartitions"] == "64"
     assert F is not None
+
+
+def test_options_from_reference_properties():
+    from ratingstream.options import KMeansOptions, kafka_options_from_properties
+
+    k = KMeansOptions.from_properties(
+        {"kMeans.K": "5", "kMeans.DecayFactor": "0.9", "kMeans.RandomCenters.dim": "5", "kMeans.RandomCenters.weight": "0.0"}
+    )
+    assert (k.k, k.dim, k.weight) == (5, 5, 0.0)
+    assert k.decay == 0.8999999761581421  # read as a 32-bit float, as the reference job does
+    assert KMeansOptions.from_properties({}).dim == 1128
+    o = kafka_options_from_properties(
+        {
+            "kafkaStream.bootstrap.servers": "localhost:6667",
+            "kafkaStream.topics": "test",
+            "kafkaStream.group.id": "clusterer-group",
+            "kafkaStream.auto.offset.reset": "latest",
+            "kafkaStream.key.deserializer": "x",
+            "kafkaStream.security.protocol": "PLAINTEXT",
+        }
+    )
+    assert (o.topics, o.group_id, o.starting_offsets) == ("test", "clusterer-group", "latest")
+    assert o.extra == {"security.protocol": "PLAINTEXT"}
