@@ -15,7 +15,6 @@ import time
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from ratingstream.operators import kmeans as km  # noqa: E402
 from ratingstream.operators.publish import publish_ratings  # noqa: E402
@@ -81,7 +80,6 @@ def main():
         )
     )
     spark.stop()
-    return F
 
 
 if __name__ == "__main__":

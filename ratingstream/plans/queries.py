@@ -29,7 +29,7 @@ from ..operators.parse import (
 )
 from ..operators.publish import publish_ratings, publish_summary
 from ..operators.reports import model_report, offset_ranges, prediction_report
-from ..options import KMeansOptions, StreamOptions
+from ..options import KMeansOptions
 from ..sources import fixtures as fx
 from ..sources.files import count_lines, scan_rating_lines, scan_tag_scores
 from . import pipeline as pl

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from ratingstream.operators.parse import accepted, parse_rating
 from ratingstream.operators.publish import publish_ratings, publish_summary
@@ -35,7 +34,6 @@ def test_kafka_options():
     assert r["kafka.group.id"] == "KMean_Consumer"
     assert "minPartitions" not in r
     assert kafka_reader_options(KafkaOptions(min_partitions=64))["minPartitions"] == "64"
-    assert F is not None
 
 
 def test_options_from_reference_properties():

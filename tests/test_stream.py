@@ -1,4 +1,3 @@
-import os
 
 import numpy as np
 from pyspark.sql import functions as F
