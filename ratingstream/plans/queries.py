@@ -48,7 +48,10 @@ _CACHE: dict = {}
 
 
 def _key(spark: SparkSession, sf_dir: str, name: str):
-    return (id(spark), sf_dir.rstrip("/"), name)
+    # the application id changes with every SparkContext, so nothing cached for
+    # a stopped session is ever handed to a new one
+    sc = spark.sparkContext
+    return (sc.applicationId, sc.startTime, sf_dir.rstrip("/"), name)
 
 
 def events(spark, sf_dir) -> DataFrame:

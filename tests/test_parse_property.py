@@ -95,3 +95,16 @@ def test_drop_last_field_matches_java(spark, values):
     got = {r["id"]: r["out"] for r in df.select("id", drop_last_field("value").alias("out")).collect()}
     for i, v in enumerate(values):
         assert got[i] == ",".join(java_split(v)[:-1]), v
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.too_slow, HealthCheck.data_too_large])
+@given(st.lists(st.text(",0123456789+- x", max_size=10), min_size=100, max_size=100))
+def test_reject_bad_lines_matches_java(spark, values):
+    from ratingstream.operators.parse import reject_bad_lines
+
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, value string")
+    got = {r["id"]: (r["user_id"], r["rejected"]) for r in reject_bad_lines(df).collect()}
+    for i, v in enumerate(values):
+        f = java_split(v)
+        u = java_int(f[0]) if f else None
+        assert got[i] == (u, u is None), v
