@@ -124,3 +124,20 @@ def test_fold_resumes_after_a_crash(spark, monkeypatch):
     c, w = km.model_arrays(km.latest_model(resumed).drop("batch_id"))
     np.testing.assert_array_equal(c, whole[0])
     np.testing.assert_array_equal(w, whole[1])
+
+
+def test_processing_time_trigger_runs_until_stopped(spark):
+    vt, state0, recs = _setup(spark)
+    root = fresh_path(spark, "t_trigger")
+    recs.write.parquet(f"{root}/inbox/part=1")
+    q, paths = run_stream(
+        spark, stream_ratings(spark, "parquet", f"{root}/inbox/*"), vt, state0, out_dir=f"{root}/out",
+        kmeans=KMeansOptions(k=3, dim=vt.dim), opts=StreamOptions(interval_s=1),
+    )
+    try:
+        q.processAllAvailable()
+        assert q.isActive
+        assert mt.complete_batches(spark, paths.state) == [-1, 0]
+    finally:
+        q.stop()
+    assert q.exception() is None
