@@ -9,16 +9,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The field separator of rating lines and messages, and the
-# accepted spellings of numbers (a Java-style integer, and a Java-style float
-# with optional exponent, optional f/F/d/D suffix, NaN and Infinity).
+# accepted spellings of numbers (a Java-style integer, and a Java-style float:
+# decimal with optional exponent or hexadecimal with a binary exponent,
+# optional f/F/d/D suffix, NaN and Infinity).
 SEPARATOR = ","
 INT_PATTERN = r"^[+-]?[0-9]+$"
-FLOAT_PATTERN = r"^[+-]?(NaN|Infinity|([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?)$"
+FLOAT_PATTERN = (
+    r"^[+-]?(NaN|Infinity|(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
+    r"|0[xX]([0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?[0-9]+)[fFdD]?)$"
+)
 # A whole good rating message: user id, movie id, rating (blanks and control
 # chars around it, optional f/F/d/D suffix), then nothing but trailing commas.
 RATING_MESSAGE = (
     r"^([+-]?[0-9]+),([+-]?[0-9]+),[\x00-\x20]*"
-    r"([+-]?(?:NaN|Infinity|(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?))"
+    r"([+-]?(?:NaN|Infinity|(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
+    r"|0[xX](?:[0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?[0-9]+))"
     r"[fFdD]?[\x00-\x20]*,*\z"
 )
 # Java's String.trim removes every char up to and including the space.

@@ -124,15 +124,22 @@ def assign_ratings(
     method: str = "auto",
     broadcast_limit_bytes: int = StreamOptions.broadcast_limit_bytes,
     per_movie: bool = True,
+    scale_by_rating: bool = False,
 ) -> DataFrame:
     """Every rating with the cluster of its movie (ratings without a vector drop out).
 
     With ``per_movie`` each distinct movie is scored once; the
     ``movie_id → cluster`` table has at most one row per vector, so its size
     bound is known before the join back and decides the broadcast. Without
-    it each row is scored where it is (no shuffle), which suits small inputs
-    such as a 1 % sample.
+    it each row is scored where it is (no shuffle). With ``scale_by_rating``
+    the features are the scores times the rating, so each distinct
+    ``(movie_id, rating)`` is scored once and Spark sizes the join back.
     """
+    if scale_by_rating:
+        keys = ratings.select("movie_id", "rating").distinct()
+        pts = batch_points(keys.withColumn("n", F.lit(1)), vt, True, broadcast_limit_bytes)
+        clusters = assign_clusters(pts, centers, method=method).select("movie_id", "rating", "cluster")
+        return ratings.join(clusters, ["movie_id", "rating"], "inner")
     side = vt.df.select("movie_id", "features")
     if not per_movie:
         pts = join_ratings_features(ratings, side, vt.n, vt.dim, broadcast_limit_bytes)

@@ -121,7 +121,10 @@ def process_batch(
             sample = sample_rows(good, opts.sample_fraction, seed=opts.sample_seed, key_cols=key)
         else:
             sample = sample_rows(good, opts.sample_fraction, seed=opts.sample_seed + int(batch_id))
-        preds = pl.assign_ratings(sample, vt, new_centers, opts.assign_method, opts.broadcast_limit_bytes)
+        preds = pl.assign_ratings(
+            sample, vt, new_centers, opts.assign_method, opts.broadcast_limit_bytes,
+            scale_by_rating=opts.scale_by_rating,
+        )
         outputs = [
             (preds, mt.batch_path(paths.predictions, batch_id)),
             (quarantined(parsed), mt.batch_path(paths.quarantine, batch_id)),

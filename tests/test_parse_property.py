@@ -15,7 +15,10 @@ from hypothesis import strategies as st
 from ratingstream.functions.text import drop_last_field
 from ratingstream.operators.parse import parse_rating
 
-_FLOAT = re.compile(r"[+-]?(NaN|Infinity|([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?)[fFdD]?")
+_FLOAT = re.compile(
+    r"[+-]?(NaN|Infinity|([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
+    r"|0[xX]([0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?[0-9]+)[fFdD]?"
+)
 
 
 def java_split(s):
@@ -38,13 +41,17 @@ def java_float(t):
     t = t.strip("".join(chr(c) for c in range(0x21)))
     if not _FLOAT.fullmatch(t):
         return None
-    body = t.rstrip("fFdD")
+    body = t[:-1] if t[-1] in "fFdD" and not re.search(r"0[xX][^pP]*$", t) else t
     if body.lstrip("+-") == "NaN":
         return float("nan")
     if body.lstrip("+-") == "Infinity":
         return float("-inf") if body.startswith("-") else float("inf")
+    if "x" in body.lower():
+        v = float.fromhex(body)
+    else:
+        v = float(body)
     with np.errstate(over="ignore"):
-        return float(np.float32(float(body)))
+        return float(np.float32(v))
 
 
 def model(s):
@@ -64,7 +71,10 @@ def model(s):
 ints = st.one_of(st.integers(-(2**31), 2**31 - 1).map(str), st.text("0123456789+- ", min_size=0, max_size=12))
 floats = st.one_of(
     st.floats(allow_nan=False, allow_infinity=False, width=32).map(repr),
-    st.sampled_from(["NaN", "-Infinity", "+Infinity", "4.0f", " 2.5 ", "\t3", ".5", "5.", "1e3", "1e", "abc", ""]),
+    st.sampled_from(
+        ["NaN", "-Infinity", "+Infinity", "4.0f", " 2.5 ", "\t3", ".5", "5.", "1e3", "1e", "abc", "",
+         "0x1.8p1", "0X.8P-1f", "0x10p0d", "0x1.8", "0xp1"]
+    ),
     st.text("0123456789.eE+-fd ", min_size=0, max_size=10),
 )
 lines = st.one_of(

@@ -141,3 +141,30 @@ def test_processing_time_trigger_runs_until_stopped(spark):
     finally:
         q.stop()
     assert q.exception() is None
+
+
+def test_stream_with_rating_scaling(spark):
+    """scale_by_rating: counts per (movie, rating); predictions scored on scaled features."""
+    from ratingstream.operators.parse import accepted, parse_rating
+
+    vt, state0, recs = _setup(spark)
+    root = fresh_path(spark, "t_scaled")
+    recs.write.parquet(f"{root}/inbox/part=1")
+    opts = StreamOptions(scale_by_rating=True, sample_fraction=0.3)
+    q, paths = run_stream(
+        spark, stream_ratings(spark, "parquet", f"{root}/inbox/*"), vt, state0, out_dir=f"{root}/out",
+        kmeans=KMeansOptions(k=3, dim=vt.dim), opts=opts, available_now=True,
+    )
+    q.awaitTermination()
+    assert q.exception() is None
+    _, w = km.model_arrays(mt.read_batch(spark, paths.state, 0))
+    good = accepted(parse_rating(recs.select(F.col("value").cast("string").alias("value"))))
+    assert w.sum() == good.join(vt.df.select("movie_id"), "movie_id").count()
+    preds = spark.read.parquet(paths.predictions)
+    assert preds.count() > 0
+    # the cluster of a sampled rating is the one of its scaled vector under the new model
+    c, _ = km.model_arrays(mt.read_batch(spark, paths.state, 0))
+    row = preds.first()
+    v = vt.df.where(F.col("movie_id") == row["movie_id"]).first()["scores"]
+    x = np.array([float(str(np.float32(s) * np.float32(row["rating"]))) for s in v])
+    assert int(np.argmin(((c - x) ** 2).sum(1))) == row["cluster"]
