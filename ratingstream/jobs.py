@@ -102,3 +102,51 @@ def stream_progress_offsets(query) -> list[dict]:
 
 
 __all__ = ["clusterer_job", "publisher_job", "stream_progress_offsets", "StreamPaths"]
+
+
+def _read_properties(path: str) -> dict:
+    """``key value`` / ``key=value`` lines; ``#`` starts a comment."""
+    props = {}
+    with open(path) as f:
+        for line in f:
+            line = line.strip()
+            if not line or line.startswith("#"):
+                continue
+            key, _, value = line.replace("=", " ", 1).partition(" ")
+            props[key.strip()] = value.strip()
+    return props
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``spark-submit launch.py clusterer|publisher ...`` (see README)."""
+    import argparse
+
+    from .options import kafka_options_from_properties
+
+    ap = argparse.ArgumentParser(prog="ratingstream")
+    sub = ap.add_subparsers(dest="cmd", required=True)
+    c = sub.add_parser("clusterer", help="stream ratings into the k-means model")
+    c.add_argument("--tag-scores", required=True)
+    c.add_argument("--out", required=True, help="folder for model state, predictions and the checkpoint")
+    c.add_argument("--batch", type=int, default=StreamOptions.interval_s, help="batch interval in seconds")
+    c.add_argument("--properties", help="kafkaStream.* and kMeans.* settings")
+    p = sub.add_parser("publisher", help="publish a rating file to the topic once")
+    p.add_argument("--input-file", required=True)
+    p.add_argument("--topic", required=True)
+    p.add_argument("--broker-list", required=True)
+    p.add_argument("--partitions", type=int, default=PublishOptions.partitions)
+    args = ap.parse_args(argv)
+
+    spark = SparkSession.builder.appName(f"ratingstream-{args.cmd}").getOrCreate()
+    if args.cmd == "clusterer":
+        props = _read_properties(args.properties) if args.properties else {}
+        kopts = KMeansOptions.from_properties({k: v for k, v in props.items() if k.startswith("kMeans.")})
+        kafka = kafka_options_from_properties({k: v for k, v in props.items() if k.startswith("kafkaStream.")})
+        clusterer_job(spark, args.tag_scores, args.out, kopts, StreamOptions(interval_s=args.batch), kafka)
+    else:
+        opts = PublishOptions(bootstrap_servers=args.broker_list, topic=args.topic, partitions=args.partitions)
+        print(publisher_job(spark, args.input_file, opts))
+
+
+if __name__ == "__main__":
+    main()

@@ -35,3 +35,13 @@ def test_publish_then_cluster(spark):
     good = accepted(parse_rating(published.select(F.col("value"))))
     assert w.sum() == good.join(vec_ids, "movie_id").count()
     assert spark.read.parquet(paths.predictions).count() > 0
+
+
+def test_properties_file_reader(tmp_path):
+    from ratingstream.jobs import _read_properties
+
+    p = tmp_path / "job.conf"
+    p.write_text("# comment\nverbose false\n\nkMeans.K  5\nkMeans.DecayFactor=1.0\nkafkaStream.topics  test\n")
+    assert _read_properties(str(p)) == {
+        "verbose": "false", "kMeans.K": "5", "kMeans.DecayFactor": "1.0", "kafkaStream.topics": "test"
+    }
