@@ -68,15 +68,15 @@ def materialize_vectors(
     """
     path = path or fresh_path(spark, "vectors")
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vectors.repartition(n_parts, "movie_id").write.mode("overwrite").parquet(path)
+    vectors.write.mode("overwrite").parquet(path)
     df = spark.read.parquet(path)
-    n = df.count()
-    if n:
-        width = df.agg(F.min(F.size("features")).alias("lo"), F.max(F.size("features")).alias("hi")).first()
-        if width["lo"] != dim or width["hi"] != dim:
-            raise ValueError(f"vector length {width['lo']}..{width['hi']} differs from dim {dim}")
+    facts = df.agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.size("features")).alias("lo"), F.max(F.size("features")).alias("hi")
+    ).first()
+    if facts["n"] and (facts["lo"] != dim or facts["hi"] != dim):
+        raise ValueError(f"vector length {facts['lo']}..{facts['hi']} differs from dim {dim}")
     df = df.repartition(n_parts, "movie_id").persist()
-    return VectorTable(df=df, n=n, dim=dim)
+    return VectorTable(df=df, n=int(facts["n"]), dim=dim)
 
 
 def movie_counts(ratings: DataFrame, scale_by_rating: bool = False) -> DataFrame:
