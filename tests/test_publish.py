@@ -57,3 +57,18 @@ def test_options_from_reference_properties():
     )
     assert (o.topics, o.group_id, o.starting_offsets) == ("test", "clusterer-group", "latest")
     assert o.extra == {"security.protocol": "PLAINTEXT"}
+
+
+def test_api_names_every_inventory_operator():
+    import ratingstream.api as api
+
+    ids = """scan_tag_scores scan_rating_lines stream_ratings stream_start_position stream_source_rate
+    stream_offset_report publish_ratings encode_key publish_options publish_summary model_report
+    prediction_report project_value parse_rating reject_bad_lines drop_last_field user_parity_key
+    stamp_time rekey_by_movie array_to_features scale_features label_points project_features
+    format_center join_ratings_features assemble_tag_vectors count_lines cluster_stats init_centers
+    assign_clusters update_centers decay_weights split_dying_cluster latest_model sample_rows
+    micro_batch_trigger stream_transform stateful_model per_batch_output train_then_predict checkpoint
+    commit_offsets cache_static_side run_until_stopped""".split()
+    missing = [i for i in ids if not callable(getattr(api, i, None))]
+    assert not missing
