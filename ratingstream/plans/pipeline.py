@@ -178,6 +178,9 @@ def fold_batches(
             ratings.groupBy(*keys)
             .agg(F.count(F.lit(1)).alias("n"))
             .withColumnRenamed(batch_col, "batch_id")
+            # one writer per batch (a batch's counts are at most one row per
+            # movie), so each batch folder gets one file, not one per task
+            .repartition("batch_id")
             .write.mode("overwrite")
             .partitionBy("batch_id")
             .parquet(counts_path)
