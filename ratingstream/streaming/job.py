@@ -5,10 +5,11 @@ each micro-batch, in order:
 
 1. parse the message values (cached for the batch); bad rows go to
    ``quarantine/batch_id=N``;
-2. count the good ratings per movie, join the counts to the movie vectors
-   (broadcast only under a checked size), assign each movie to its nearest
-   centre and sum per cluster: one distributed aggregate, K rows out;
-3. fold the sums into the previous model (decay, mini-batch rule, split);
+2. count the good ratings per movie, join the counts to the cached movie
+   vectors (which stay in place), assign each movie to its nearest centre
+   and sum per cluster: one distributed aggregate, K rows out;
+3. fold the K sums into the previous model on the driver (decay, mini-batch
+   rule, split), as MLlib's streaming k-means does;
 4. score a 1 % sample of the batch with the updated model and write it to
    ``predictions/batch_id=N``; write Kafka offset ranges to ``offsets/``
    (these writes and the quarantine run as concurrent jobs);
@@ -35,9 +36,9 @@ from ..operators.features import sample_rows
 from ..operators.parse import accepted, parse_rating, quarantined
 from ..operators.reports import offset_ranges
 from ..options import KMeansOptions, StreamOptions
+from ..plans import model_table as mt
 from ..plans import pipeline as pl
 from ..session import fresh_path
-from ..plans import model_table as mt
 
 
 @dataclass(frozen=True)
