@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 # decimal with optional exponent or hexadecimal with a binary exponent,
 # optional f/F/d/D suffix, NaN and Infinity).
 SEPARATOR = ","
-INT_PATTERN = r"^[+-]?[0-9]+$"
+INT_PATTERN = r"^[+-]?[0-9]+\z"
 FLOAT_PATTERN = (
     r"^[+-]?(NaN|Infinity|(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
-    r"|0[xX]([0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?[0-9]+)[fFdD]?)$"
+    r"|0[xX]([0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?[0-9]+)[fFdD]?)\z"
 )
 # A whole good rating message: user id, movie id, rating (blanks and control
 # chars around it, optional f/F/d/D suffix), then nothing but trailing commas.
@@ -27,7 +27,7 @@ RATING_MESSAGE = (
     r"[fFdD]?[\x00-\x20]*,*\z"
 )
 # Java's String.trim removes every char up to and including the space.
-_EDGE_CONTROL = r"^[\x00-\x20]+|[\x00-\x20]+$"
+_EDGE_CONTROL = r"^[\x00-\x20]+|[\x00-\x20]+\z"
 
 
 def _c(c) -> Column:

@@ -79,7 +79,7 @@ floats = st.one_of(
 )
 lines = st.one_of(
     st.builds(lambda a, b, c, t: f"{a},{b},{c}{t}", ints, ints, floats, st.sampled_from(["", ",", ",,", ",x", ", "])),
-    st.text(",0123456789.+- ", max_size=16),
+    st.text(",0123456789.+- \n\t", max_size=16),
 )
 
 
@@ -108,7 +108,7 @@ def test_drop_last_field_matches_java(spark, values):
 
 
 @settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.too_slow, HealthCheck.data_too_large])
-@given(st.lists(st.text(",0123456789+- x", max_size=10), min_size=100, max_size=100))
+@given(st.lists(st.text(",0123456789+- x\n", max_size=10), min_size=100, max_size=100))
 def test_reject_bad_lines_matches_java(spark, values):
     from ratingstream.operators.parse import reject_bad_lines
 
