@@ -41,9 +41,9 @@ def split_fields(value) -> Column:
     empty array; a text without a comma gives a one-element array.
     """
     v = _c(value)
-    trimmed = F.regexp_replace(v, ",+$", "")
+    trimmed = F.regexp_replace(v, ",+\\z", "")
     return (
-        F.when(v.rlike("^,+$"), F.array().cast("array<string>"))
+        F.when(v.rlike("^,+\\z"), F.array().cast("array<string>"))
         .otherwise(F.split(trimmed, SEPARATOR, -1))
     )
 
@@ -62,7 +62,7 @@ def strict_int(text) -> Column:
 def java_float(text) -> Column:
     """Float parse that trims control chars and blanks and accepts a type suffix."""
     t = F.regexp_replace(_c(text), _EDGE_CONTROL, "")
-    body = F.regexp_replace(t, "[fFdD]$", "")
+    body = F.regexp_replace(t, "[fFdD]\\z", "")
     unsigned = F.regexp_replace(body, r"^[+-]", "")
     negative = body.startswith("-")
     special = (
