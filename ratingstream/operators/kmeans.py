@@ -319,6 +319,16 @@ def train_step_arrays(
     return c, w
 
 
+def train_idle(
+    centers: np.ndarray, weights: np.ndarray, intervals: int, decay: float = 1.0, time_unit: str = "batches"
+) -> tuple[np.ndarray, np.ndarray]:
+    """``intervals`` empty updates: each decays the weights (unit "batches") and may split."""
+    k, d = np.shape(centers)
+    for _ in range(int(intervals)):
+        centers, weights = train_step_arrays(centers, weights, np.zeros(k), np.zeros((k, d)), decay, time_unit)
+    return centers, weights
+
+
 def latest_model(states: DataFrame) -> DataFrame:
     """Rows of the newest ``batch_id`` of a model table that keeps every batch."""
     last = states.agg(F.max("batch_id").alias("batch_id"))

@@ -76,6 +76,10 @@ class StreamOptions:
     max_records_per_s_per_partition: int = 2000
     broadcast_limit_bytes: int = 256 * 1024 * 1024
     assign_method: str = "auto"  # "arrow", "sql" or "auto" (by vector width)
+    # Replay the empty intervals between two batches as empty model updates
+    # (decay and the dying-cluster check), as a timer-driven stream would run
+    # them. Off by default: Structured Streaming runs no batch without data.
+    replay_idle_intervals: bool = False
 
 
 @dataclass(frozen=True)

@@ -65,6 +65,13 @@ class StreamPaths:
     def checkpoint(self) -> str:
         return f"{self.root}/checkpoint"
 
+    @property
+    def clock(self) -> str:
+        return f"{self.root}/clock"
+
+
+TRIGGER_COL = "_trigger_time"
+
 
 def _record_columns(batch: DataFrame) -> tuple[list, list[str]]:
     """Columns kept next to the parsed rating, and the sampling key."""
@@ -103,6 +110,8 @@ def process_batch(
     km.check_dim(centers, vt.dim)
 
     keep, key = _record_columns(batch)
+    if TRIGGER_COL in batch.columns:
+        keep = keep + [TRIGGER_COL]
     lines = batch.select(*keep, F.col("value").cast("string").alias("value"))
     parsed = parse_rating(lines, keep=keep + ["value"], on_error=opts.on_error)
     parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
@@ -114,6 +123,14 @@ def process_batch(
         )
         # the K cluster sums (this job also fills the cache of the parsed batch)
         n, total = km.stats_arrays(stats.collect(), len(centers), vt.dim)
+        outputs = []
+        if opts.replay_idle_intervals and TRIGGER_COL in keep:
+            now = parsed.agg(F.max(F.unix_millis(TRIGGER_COL))).first()[0]
+            before = _trigger_millis(spark, paths, prev_id, memo)
+            idle = idle_intervals(before, now, opts.interval_s)
+            centers, weights = km.train_idle(centers, weights, idle, kmeans.decay, kmeans.time_unit)
+            clock = spark.createDataFrame([(int(now), idle)], "trigger_ms long, idle_intervals int")
+            outputs.append((clock, mt.batch_path(paths.clock, batch_id)))
         new_centers, new_weights = km.train_step_arrays(
             centers, weights, n, total, kmeans.decay, kmeans.time_unit
         )
@@ -122,13 +139,14 @@ def process_batch(
             sample = sample_rows(good, opts.sample_fraction, seed=opts.sample_seed, key_cols=key)
         else:
             sample = sample_rows(good, opts.sample_fraction, seed=opts.sample_seed + int(batch_id))
+        sample = sample.drop(TRIGGER_COL)
         preds = pl.assign_ratings(
             sample, vt, new_centers, opts.assign_method, opts.broadcast_limit_bytes,
             scale_by_rating=opts.scale_by_rating,
         )
-        outputs = [
+        outputs += [
             (preds, mt.batch_path(paths.predictions, batch_id)),
-            (quarantined(parsed), mt.batch_path(paths.quarantine, batch_id)),
+            (quarantined(parsed).drop(TRIGGER_COL), mt.batch_path(paths.quarantine, batch_id)),
         ]
         if "offset" in keep and "partition" in keep:
             rng = offset_ranges(parsed.select(*[c for c in ("topic", "partition", "offset") if c in keep]))
@@ -142,11 +160,28 @@ def process_batch(
         mt.write_batch(km.state_frame(spark, new_centers, new_weights), paths.state, batch_id)
         if memo is not None:
             memo.update(batch_id=batch_id, centers=new_centers, weights=new_weights)
+            if opts.replay_idle_intervals and TRIGGER_COL in keep:
+                memo["trigger_ms"] = now
     finally:
         parsed.unpersist()
     return True
 
 
+def idle_intervals(before_ms: int | None, now_ms: int, interval_s: int) -> int:
+    """Whole intervals that passed without a batch between two trigger times."""
+    if before_ms is None or interval_s <= 0:
+        return 0
+    return max(0, int((now_ms - before_ms) // (interval_s * 1000)) - 1)
+
+
+def _trigger_millis(spark: SparkSession, paths: StreamPaths, batch_id: int, memo: dict | None) -> int | None:
+    if memo is not None and memo.get("batch_id") == batch_id and "trigger_ms" in memo:
+        return memo["trigger_ms"]
+    if not mt.has_batch(spark, paths.clock, batch_id):
+        return None
+    return spark.read.parquet(mt.batch_path(paths.clock, batch_id)).first()["trigger_ms"]
+
+
 def _overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
@@ -171,6 +206,10 @@ def run_stream(
     """
     paths = StreamPaths(out_dir or fresh_path(spark, "stream"))
     mt.write_seed(spark, paths.state, state0)
+    if opts.replay_idle_intervals:
+        # inside a micro-batch, current_timestamp() is the batch's trigger time,
+        # kept in the offset log, so a replayed batch sees the same value
+        source = source.withColumn(TRIGGER_COL, F.current_timestamp())
 
     memo: dict = {}
 

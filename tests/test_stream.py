@@ -168,3 +168,53 @@ def test_stream_with_rating_scaling(spark):
     v = vt.df.where(F.col("movie_id") == row["movie_id"]).first()["scores"]
     x = np.array([float(str(np.float32(s) * np.float32(row["rating"]))) for s in v])
     assert int(np.argmin(((c - x) ** 2).sum(1))) == row["cluster"]
+
+
+def test_idle_intervals_replayed_as_empty_updates(spark):
+    from ratingstream.operators.parse import accepted, parse_rating
+    from ratingstream.streaming.job import TRIGGER_COL, idle_intervals
+
+    assert idle_intervals(None, 10_000, 120) == 0
+    assert idle_intervals(0, 120_000, 120) == 0
+    assert idle_intervals(0, 600_000, 120) == 4
+
+    vt, state0, recs = _setup(spark)
+    day = fx.epoch_day("timestamp")
+    days = [r[0] for r in recs.select(day.alias("d")).distinct().orderBy("d").collect()][:2]
+    paths = StreamPaths(fresh_path(spark, "t_idle"))
+    mt.write_seed(spark, paths.state, state0)
+    kopts = KMeansOptions(k=3, dim=vt.dim, decay=0.5)
+    opts = StreamOptions(replay_idle_intervals=True, interval_s=120)
+    t0 = 1_700_000_000
+    batches = [
+        recs.where(day == d).withColumn(TRIGGER_COL, F.timestamp_seconds(F.lit(t0 + i * 5 * 120)))
+        for i, d in enumerate(days)
+    ]
+    assert process_batch(spark, batches[0], 0, vt, paths, kopts, opts) is True
+    c0, w0 = km.model_arrays(mt.read_batch(spark, paths.state, 0))
+    assert process_batch(spark, batches[1], 1, vt, paths, kopts, opts) is True
+    assert spark.read.parquet(f"{paths.clock}/batch_id=1").first()["idle_intervals"] == 4
+
+    good = accepted(parse_rating(batches[1].select(F.col("value").cast("string").alias("value"))))
+    stats = pl.batch_stats(pl.movie_counts(good), vt, c0)
+    n, total = km.stats_arrays(stats.collect(), 3, vt.dim)
+    ci, wi = km.train_idle(c0, w0, 4, 0.5)
+    exp_c, exp_w = km.train_step_arrays(ci, wi, n, total, 0.5)
+    c1, w1 = km.model_arrays(mt.read_batch(spark, paths.state, 1))
+    np.testing.assert_array_equal(w1, exp_w)
+    np.testing.assert_allclose(c1, exp_c, rtol=1e-12, atol=1e-15)
+
+
+def test_stream_records_trigger_time_when_replaying_idle_intervals(spark):
+    vt, state0, recs = _setup(spark)
+    root = fresh_path(spark, "t_clock")
+    recs.write.parquet(f"{root}/inbox/part=1")
+    q, paths = run_stream(
+        spark, stream_ratings(spark, "parquet", f"{root}/inbox/*"), vt, state0, out_dir=f"{root}/out",
+        kmeans=KMeansOptions(k=3, dim=vt.dim), opts=StreamOptions(replay_idle_intervals=True), available_now=True,
+    )
+    q.awaitTermination()
+    assert q.exception() is None
+    clock = spark.read.parquet(f"{paths.clock}/batch_id=0").first()
+    assert clock["idle_intervals"] == 0 and clock["trigger_ms"] > 0
+    assert "_trigger_time" not in spark.read.parquet(paths.predictions).columns
