@@ -26,7 +26,9 @@ def kafka_reader_options(
         "kafka.bootstrap.servers": opts.bootstrap_servers,
         "subscribe": ",".join(t.strip() for t in opts.topics.split(",") if t.strip()),
         "startingOffsets": opts.starting_offsets,
-        "kafka.group.id": opts.group_id,
+        # Structured Streaming keeps offsets in its checkpoint, not in a consumer
+        # group; the configured group name becomes the prefix of the groups it uses
+        "groupIdPrefix": opts.group_id,
         "failOnDataLoss": "false",
     }
     if max_offsets_per_trigger:

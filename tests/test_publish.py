@@ -31,7 +31,7 @@ def test_kafka_options():
     r = kafka_reader_options(KafkaOptions(topics="a, b,,c"), max_offsets_per_trigger=stream_source_rate(2000, 2, 120))
     assert r["subscribe"] == "a,b,c" and r["startingOffsets"] == "latest"
     assert r["maxOffsetsPerTrigger"] == "480000"
-    assert r["kafka.group.id"] == "KMean_Consumer"
+    assert r["groupIdPrefix"] == "KMean_Consumer"
     assert "minPartitions" not in r
     assert kafka_reader_options(KafkaOptions(min_partitions=64))["minPartitions"] == "64"
 
