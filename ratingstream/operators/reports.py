@@ -11,8 +11,10 @@ from ..functions.vectors import format_vector
 
 
 def model_report(state: DataFrame) -> DataFrame:
-    """One text line per centre (elements joined by commas), ordered by cluster."""
-    return state.select("cluster", format_vector("center").alias("line")).orderBy("cluster")
+    """One text line per centre (elements joined by commas), ordered by cluster, dated."""
+    return state.select(
+        F.current_timestamp().alias("reported_at"), "cluster", format_vector("center").alias("line")
+    ).orderBy("cluster")
 
 
 def prediction_report(preds: DataFrame, cluster_col: str = "cluster", max_per_line: int = 10000) -> DataFrame:
@@ -25,13 +27,10 @@ def prediction_report(preds: DataFrame, cluster_col: str = "cluster", max_per_li
     n = preds.count()
     chunks = max(1, math.ceil(n / max_per_line))
     bucket = F.pmod(F.xxhash64(*[F.col(c) for c in preds.columns]), F.lit(chunks))
-    return (
-        preds.groupBy(bucket.alias("line_no"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.array_join(F.collect_list(F.col(cluster_col).cast("string")), ",").alias("line"),
-        )
-    )
+    return preds.groupBy(bucket.alias("line_no")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.array_join(F.collect_list(F.col(cluster_col).cast("string")), ",").alias("line"),
+    ).withColumn("reported_at", F.current_timestamp())
 
 
 def offset_ranges(records: DataFrame) -> DataFrame:
