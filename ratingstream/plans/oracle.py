@@ -80,6 +80,35 @@ st0 AS (
 )"""
 
 
+def _java_text(x: str) -> str:
+    """SQL for the JVM's text of a double ``x`` (``Double.toString``), from DuckDB's shortest text.
+
+    Plain decimal for 1e-3 <= |x| < 1e7 (and 0), else ``d.dddE±n`` with at
+    least one digit after the point and no exponent padding.
+    """
+    s = f"CAST(abs({x}) AS VARCHAR)"
+    sci_m = f"regexp_extract({s}, '^([0-9.]+)e', 1)"
+    sci_e = f"CAST(regexp_extract({s}, 'e([-+][0-9]+)$', 1) AS INTEGER)"
+    zeros = f"length(regexp_extract({s}, '^0\\.(0*)', 1))"
+    small = f"regexp_extract({s}, '^0\\.0*([0-9]+)$', 1)"
+    whole = f"regexp_extract({s}, '^([0-9]+)\\.', 1)"
+    frac = f"regexp_extract({s}, '\\.([0-9]+)$', 1)"
+
+    def mantissa(digits: str) -> str:
+        d = f"rtrim({digits}, '0')"
+        return f"(left({d}, 1) || '.' || CASE WHEN length({d}) > 1 THEN substr({d}, 2) ELSE '0' END)"
+
+    sci = f"""CASE
+      WHEN contains({s}, 'e') THEN (CASE WHEN contains({sci_m}, '.') THEN {sci_m} ELSE {sci_m} || '.0' END)
+                                   || 'E' || CAST({sci_e} AS VARCHAR)
+      WHEN abs({x}) < 1 THEN {mantissa(small)} || 'E' || CAST(-({zeros} + 1) AS VARCHAR)
+      ELSE {mantissa(f"{whole} || {frac}")} || 'E' || CAST(length({whole}) - 1 AS VARCHAR) END"""
+    return (
+        f"(CASE WHEN {x} = 0 OR (abs({x}) >= 1e-3 AND abs({x}) < 1e7) THEN CAST({x} AS VARCHAR) "
+        f"ELSE CASE WHEN {x} < 0 THEN '-' ELSE '' END || ({sci}) END)"
+    )
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",".join(p.strip("\n") for p in parts)
 
@@ -162,14 +191,14 @@ SELECT CAST(cluster AS INTEGER) AS cluster, round(w, {ROUND}) AS weight,
 FROM {state}"""
 
 
-def _one_step(state0: str, decay: float) -> str:
+def _one_step(state0: str, decay: float, out: str | None = None) -> str:
     counts = """
 cnt1 AS (SELECT movie_id, count(*) AS n FROM good GROUP BY movie_id)"""
     return (
         _with(_MSGS, _FIELDS, _PARSED, _VEC, _START, state0, counts)
         + ","
         + _step_block("1", "cnt1", "s_in", decay)
-        + _state_out("st_1")
+        + (out if out is not None else _state_out("st_1"))
     )
 
 
@@ -298,6 +327,15 @@ GROUP BY a.cluster, v.tag_id"""
         f"s_in AS (SELECT cluster, i, CASE WHEN cluster = {K - 1} THEN c * {FAR_FACTOR!r} ELSE c END AS c, w FROM st0)",
         1.0,
     )
+    q["format_center"] = _with(_MSGS, _FIELDS, _PARSED, _VEC, _START) + f"""
+SELECT cluster, string_agg({_java_text('c')}, ',' ORDER BY i) AS center_text FROM st0 GROUP BY cluster"""
+    q["model_report"] = _one_step(
+        "s_in AS (SELECT * FROM st0)",
+        1.0,
+        f"""
+SELECT cluster, string_agg({_java_text(f'round(c, {ROUND})')}, ',' ORDER BY i) AS line
+FROM st_1 GROUP BY cluster""",
+    )
     q["latest_model"] = _daily_fold()
     q["stateful_model"] = q["latest_model"]
     q["stream_predictions"] = _daily_fold(with_predictions=True)

@@ -325,8 +325,10 @@ def q_latest_model(spark, sf_dir):
 
 
 def q_model_report(spark, sf_dir):
+    """The report of the model after one step, centres rounded so an SQL engine can match the text."""
     st = _one_step(spark, sf_dir, start_state(spark, sf_dir))
-    return model_report(st)
+    st = st.withColumn("center", F.transform("center", lambda x: F.round(x, ROUND)))
+    return model_report(st).drop("reported_at")
 
 
 def q_format_center(spark, sf_dir):

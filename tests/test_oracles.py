@@ -33,3 +33,23 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.columns == ["cluster", "n"]
     assert df.count() > 0
+
+
+def test_sql_twin_of_jvm_double_text(spark):
+    """The oracle's text of a double equals Spark's cast to string across magnitudes."""
+    import random
+
+    import duckdb
+
+    from ratingstream.plans.oracle import _java_text
+
+    rnd = random.Random(7)
+    vals = [0.0, 1.0, -0.0003, 1e7, 9999999.5, 0.001, 0.00099, 1.5e20, 12345678.9, 1e-05]
+    vals += [rnd.uniform(-1, 1) * 10 ** rnd.randint(-12, 12) for _ in range(5000)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, x double")
+    got = {r.i: r.s for r in df.selectExpr("i", "cast(x as string) s").collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t(i INTEGER, x DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(vals)))
+    want = dict(con.execute(f"SELECT i, {_java_text('x')} FROM t").fetchall())
+    assert got == want
