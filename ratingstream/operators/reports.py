@@ -17,19 +17,31 @@ def model_report(state: DataFrame) -> DataFrame:
     ).orderBy("cluster")
 
 
-def prediction_report(preds: DataFrame, cluster_col: str = "cluster", max_per_line: int = 10000) -> DataFrame:
+def prediction_report(
+    preds: DataFrame,
+    cluster_col: str = "cluster",
+    order_col: str | None = None,
+    max_per_line: int = 10000,
+) -> DataFrame:
     """Sampled predictions joined by commas, in lines of about ``max_per_line`` entries.
 
     The reference prints all of a batch's sampled predictions on one line; a
-    sample still grows with the data, so the lines are split by a hash of the
-    row, and no single task or line has to hold an unbounded list.
+    sample still grows with the data, so the rows are spread over
+    ``ceil(n / max_per_line)`` lines by a hash of ``order_col`` (or of the whole
+    row), and no task or line holds an unbounded list. Within a line the
+    entries follow ``order_col`` (the message offset, say) when given.
     """
     n = preds.count()
     chunks = max(1, math.ceil(n / max_per_line))
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in preds.columns]), F.lit(chunks))
-    return preds.groupBy(bucket.alias("line_no")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.array_join(F.collect_list(F.col(cluster_col).cast("string")), ",").alias("line"),
+    if order_col:
+        h = F.conv(F.substring(F.md5(F.col(order_col).cast("string")), 1, 8), 16, 10).cast("bigint")
+        entry = F.struct(F.col(order_col).alias("k"), F.col(cluster_col).alias("c"))
+    else:
+        h = F.xxhash64(*[F.col(c) for c in preds.columns])
+        entry = F.struct(F.col(cluster_col).alias("c"))
+    line = F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["c"].cast("string")), ",")
+    return preds.groupBy(F.pmod(h, F.lit(chunks)).alias("line_no")).agg(
+        F.count(F.lit(1)).alias("n"), line.alias("line")
     ).withColumn("reported_at", F.current_timestamp())
 
 

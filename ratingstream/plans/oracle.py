@@ -11,6 +11,9 @@ from ..operators.features import sample_threshold
 from ..operators.kmeans import DYING_RATIO, SPLIT_EPS, WEIGHT_FLOOR
 from ..sources.fixtures import MOVIE_ID_MODULUS, PARTITIONS, TOPIC
 
+# Entries per prediction report line.
+REPORT_LINE = 10000
+
 # Days of the events table (2024-01-01 .. 2024-01-30); one model batch per
 # day, numbered as days since 1970-01-01 (2024-01-01 is day 19723).
 FIRST_EPOCH_DAY = 19723
@@ -336,6 +339,15 @@ SELECT cluster, string_agg({_java_text('c')}, ',' ORDER BY i) AS center_text FRO
 SELECT cluster, string_agg({_java_text(f'round(c, {ROUND})')}, ',' ORDER BY i) AS line
 FROM st_1 GROUP BY cluster""",
     )
+    q["prediction_report"] = assign_head + _assign_block("x", "good", "st0") + f"""
+, preds AS (
+  SELECT g.msg_id, a.cluster FROM good g JOIN a_x a ON a.movie_id = g.movie_id
+  WHERE substr(md5(CAST(g.msg_id AS VARCHAR)), 1, 8) < '{thr}'
+),
+chunks AS (SELECT greatest(1, CAST(ceil(count(*) / {REPORT_LINE}) AS BIGINT)) AS c FROM preds)
+SELECT ('0x' || substr(md5(CAST(msg_id AS VARCHAR)), 1, 8))::BIGINT % chunks.c AS line_no,
+       count(*) AS n, string_agg(CAST(cluster AS VARCHAR), ',' ORDER BY msg_id) AS line
+FROM preds, chunks GROUP BY 1"""
     q["latest_model"] = _daily_fold()
     q["stateful_model"] = q["latest_model"]
     q["stream_predictions"] = _daily_fold(with_predictions=True)

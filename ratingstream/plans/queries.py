@@ -339,7 +339,7 @@ def q_prediction_report(spark, sf_dir):
     vt = vector_table(spark, sf_dir)
     sampled = sample_rows(good_ratings(spark, sf_dir), SAMPLE_FRACTION, key_cols=["msg_id"])
     preds = pl.assign_ratings(sampled, vt, start_centers(spark, sf_dir))
-    return prediction_report(preds)
+    return prediction_report(preds, order_col="msg_id").drop("reported_at")
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -72,3 +72,20 @@ def test_api_names_every_inventory_operator():
     commit_offsets cache_static_side run_until_stopped""".split()
     missing = [i for i in ids if not callable(getattr(api, i, None))]
     assert not missing
+
+
+def test_prediction_report_lines_are_bounded_and_ordered(spark):
+    import hashlib
+    import math
+
+    from ratingstream.operators.reports import prediction_report
+
+    rows = [(i, i % 5) for i in range(95)]
+    preds = spark.createDataFrame(rows, "msg_id long, cluster int")
+    out = prediction_report(preds, order_col="msg_id", max_per_line=10).collect()
+    chunks = math.ceil(95 / 10)
+    want = {}
+    for i, c in rows:
+        want.setdefault(int(hashlib.md5(str(i).encode()).hexdigest()[:8], 16) % chunks, []).append(c)
+    assert {r["line_no"]: r["line"] for r in out} == {k: ",".join(map(str, v)) for k, v in want.items()}
+    assert sum(r["n"] for r in out) == 95
