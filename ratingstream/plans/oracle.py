@@ -348,6 +348,10 @@ chunks AS (SELECT greatest(1, CAST(ceil(count(*) / {REPORT_LINE}) AS BIGINT)) AS
 SELECT ('0x' || substr(md5(CAST(msg_id AS VARCHAR)), 1, 8))::BIGINT % chunks.c AS line_no,
        count(*) AS n, string_agg(CAST(cluster AS VARCHAR), ',' ORDER BY msg_id) AS line
 FROM preds, chunks GROUP BY 1"""
+    q["init_centers"] = f"""
+SELECT CAST(range AS INTEGER) AS cluster, 0.0::DOUBLE AS weight,
+       (SELECT CAST(max(len(embedding)) AS INTEGER) FROM embeddings) AS dim
+FROM range({K})"""
     q["latest_model"] = _daily_fold()
     q["stateful_model"] = q["latest_model"]
     q["stream_predictions"] = _daily_fold(with_predictions=True)
