@@ -80,6 +80,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def publish_folder(spark: SparkSession, src: str, dst: str) -> None:
+    """Move a finished folder into place in one rename, so a file stream never sees half of it."""
+    jvm = spark.sparkContext._jvm
+    s, d = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
+    fs = s.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(d.getParent())
+    if not fs.rename(s, d):
+        raise RuntimeError(f"could not move {src} to {dst}")
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """A table folder counts as written once its ``_SUCCESS`` marker exists."""
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
@@ -96,5 +106,6 @@ __all__ = [
     "fresh_path",
     "path_exists",
     "is_complete",
+    "publish_folder",
     "to_local",
 ]

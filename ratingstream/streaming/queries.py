@@ -1,10 +1,11 @@
 """Registered queries that run the streaming job over the given tables.
 
 The rating topic is replayed from ``events``: Kafka-shaped records are
-written day by day into a folder that a file stream reads. Each day is
-published and then consumed with an ``availableNow`` run from the same
-checkpoint, so each day is exactly one micro-batch and every run after the
-first is a restart from the checkpoint and the model table.
+written once, partitioned by day, to a staging folder. Each day's folder is
+then moved into the folder a file stream reads (one rename, so the stream
+never sees half a day) and consumed with an ``availableNow`` run from the
+same checkpoint: each day is exactly one micro-batch, and every run after
+the first is a restart from the checkpoint and the model table.
 """
 
 from __future__ import annotations
@@ -14,10 +15,10 @@ from pyspark.sql import functions as F
 
 from ..options import KMeansOptions, StreamOptions
 from ..plans import queries as bq
-from ..session import fresh_path
+from ..session import fresh_path, publish_folder
 from ..sources import fixtures as fx
-from ..sources.kafka import stream_ratings
 from ..plans import model_table as mt
+from ..sources.kafka import stream_ratings
 from .job import StreamPaths, run_stream
 
 
@@ -35,13 +36,13 @@ def replay_by_day(spark: SparkSession, sf_dir: str) -> StreamPaths:
     vt = bq.vector_table(spark, sf_dir)
     state0 = bq.start_state(spark, sf_dir)
     root = fresh_path(spark, "stream")
-    inbox = f"{root}/inbox"
-    day = fx.epoch_day("timestamp")
+    inbox, staging = f"{root}/inbox", f"{root}/staging"
+    records.withColumn("day", fx.epoch_day("timestamp")).write.partitionBy("day").parquet(staging)
     opts = StreamOptions(sample_fraction=bq.SAMPLE_FRACTION)
     km_opts = KMeansOptions(k=bq.K, dim=vt.dim)
     paths = None
     for d in _days(records):
-        records.where(day == F.lit(d)).write.mode("overwrite").parquet(f"{inbox}/day={d}")
+        publish_folder(spark, f"{staging}/day={d}", f"{inbox}/day={d}")
         source = stream_ratings(spark, "parquet", f"{inbox}/*")
         q, paths = run_stream(
             spark, source, vt, state0, out_dir=f"{root}/out", kmeans=km_opts, opts=opts, available_now=True
