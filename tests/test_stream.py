@@ -218,3 +218,20 @@ def test_stream_records_trigger_time_when_replaying_idle_intervals(spark):
     clock = spark.read.parquet(f"{paths.clock}/batch_id=0").first()
     assert clock["idle_intervals"] == 0 and clock["trigger_ms"] > 0
     assert "_trigger_time" not in spark.read.parquet(paths.predictions).columns
+
+
+def test_wrong_centre_dimension_fails_the_stream(spark):
+    vt, _, recs = _setup(spark)
+    root = fresh_path(spark, "t_dim")
+    recs.limit(50).write.parquet(f"{root}/inbox/part=1")
+    bad_state = km.init_centers(spark, k=3, dim=5, seed=1)  # the sample config's dim against 64-wide vectors
+    q, _ = run_stream(
+        spark, stream_ratings(spark, "parquet", f"{root}/inbox/*"), vt, bad_state, out_dir=f"{root}/out",
+        kmeans=KMeansOptions(k=3, dim=5), available_now=True,
+    )
+    try:
+        q.awaitTermination()
+    except Exception as e:  # the query surfaces the batch function's error
+        assert "dimension" in str(e)
+    else:
+        assert q.exception() is not None and "dimension" in str(q.exception())
