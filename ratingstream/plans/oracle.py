@@ -358,4 +358,9 @@ FROM range({K})"""
     q["stream_quarantine"] = _with(_MSGS, _FIELDS, _PARSED) + """
 SELECT msg_id, value, reject_reason FROM checked WHERE reject_reason IS NOT NULL"""
     q["stream_ratings"] = _with(_MSGS) + "\nSELECT msg_id, value FROM msgs"
+    q["stream_offsets"] = f"""
+SELECT CAST(epoch_us(ts) // 86400000000 - {FIRST_EPOCH_DAY} AS INTEGER) AS batch_id, '{TOPIC}' AS topic,
+       CAST(user_id % {PARTITIONS} AS INTEGER) AS partition,
+       min(event_id) AS from_offset, max(event_id) + 1 AS until_offset, count(*) AS n
+FROM events GROUP BY 1, 3"""
     return q

@@ -90,8 +90,18 @@ def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(F.col("offset").alias("msg_id"), "value", "reject_reason")
 
 
+def q_stream_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offset ranges the stream recorded per batch and topic partition."""
+    paths = replay_by_day(spark, sf_dir)
+    o = spark.read.parquet(paths.offsets)
+    return o.select(
+        F.col("batch_id").cast("int").alias("batch_id"), "topic", "partition", "from_offset", "until_offset", "n"
+    )
+
+
 def registry():
     return {
+        "stream_offsets": q_stream_offsets,
         "stream_ratings": q_stream_ratings,
         "stateful_model": q_stateful_model,
         "stream_predictions": q_stream_predictions,

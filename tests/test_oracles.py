@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from conftest import SF_SMOKE
 from tools.oracle_check import compare, duck
 
-SLOW = {"latest_model", "stateful_model", "stream_predictions", "stream_quarantine"}
+SLOW = {"latest_model", "stateful_model", "stream_predictions", "stream_quarantine", "stream_offsets"}
 NAMES = sorted(entry.oracle_sql())
 
 
