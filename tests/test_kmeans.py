@@ -130,3 +130,16 @@ def test_driver_update_split_cases():
     )
     assert list(w) == [1.0, 1.0, 0.0]
     assert c[0][0] == 2.0 + 2e-14 and c[1][0] == 2.0 - 2e-14 and list(c[2]) == [2000.0, 2000.0]
+
+
+def test_arrow_and_sql_assignment_agree_on_wide_vectors(spark):
+    rng = np.random.default_rng(11)
+    pts = rng.normal(size=(400, 300))
+    centers = rng.normal(size=(5, 300))
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(pts)], "i int, features array<double>")
+    a = km.assign_clusters(df, centers, method="arrow").orderBy("i").select("cluster").collect()
+    b = km.assign_clusters(df, centers, method="sql").orderBy("i").select("cluster").collect()
+    want = ((pts[:, None, :] - centers[None, :, :]) ** 2).sum(-1).argmin(1)
+    assert [r[0] for r in a] == [r[0] for r in b] == want.tolist()
+    auto = km.assign_clusters(df, centers, method="auto")  # width 300 > 128: the Arrow form
+    assert "ArrowEvalPython" in auto._jdf.queryExecution().executedPlan().toString()
