@@ -94,3 +94,40 @@ def test_aggregate_below_join_equals_per_rating_plan(spark):
             for c in a:
                 assert a[c]["n"] == b[c]["n"]
                 np.testing.assert_allclose(a[c]["total"], b[c]["total"], rtol=1e-9, atol=1e-9)
+
+
+def test_hot_movie_and_hot_duplicates(spark):
+    """A third of the ratings on one movie, and one movie's tag scores repeated 300 times."""
+    import numpy as np
+
+    from ratingstream.operators import kmeans as km
+    from ratingstream.plans import pipeline as pl
+    from ratingstream.sources import fixtures as fx
+
+    from conftest import SF_SMOKE
+
+    emb = fx.table(spark, SF_SMOKE, "embeddings")
+    dim = fx.embedding_dim(emb)
+    scores = fx.tag_scores_from_embeddings(emb)
+    dup = scores.where(F.col("movie_id") == 7).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(300))))
+    hot_scores = scores.unionByName(dup.drop("copy"))
+    plain = {r["movie_id"]: r["scores"] for r in assemble_tag_vectors(scores, dim).collect()}
+    hot = {r["movie_id"]: r["scores"] for r in assemble_tag_vectors(hot_scores, dim).collect()}
+    assert plain == hot
+
+    vt = pl.materialize_vectors(spark, pl.movie_vectors(scores, dim), dim)
+    centers = km.model_arrays(km.centers_from_vectors(vt.df, 3))[0]
+    ratings = fx.ratings_from_events(fx.table(spark, SF_SMOKE, "events")).withColumn(
+        "movie_id", F.when(F.col("msg_id") % 3 == 0, F.lit(7)).otherwise(F.col("movie_id"))
+    )
+    counts = pl.movie_counts(ratings)
+    fast = pl.batch_stats(counts, vt, centers, method="sql")
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_count") > plan.index("Exchange hashpartitioning(movie_id")  # map side first
+    per_row = ratings.join(vt.df.select("movie_id", "features"), "movie_id")
+    slow = km.cluster_stats(km.assign_clusters(per_row, centers, method="sql"))
+    a = {r["cluster"]: r for r in fast.collect()}
+    b = {r["cluster"]: r for r in slow.collect()}
+    for c in b:
+        assert a[c]["n"] == b[c]["n"]
+        np.testing.assert_allclose(a[c]["total"], b[c]["total"], rtol=1e-9, atol=1e-9)
