@@ -45,7 +45,10 @@ def clusterer_job(
     record rate times the batch interval.
     """
     vt = pl.materialize_vectors(
-        spark, pl.movie_vectors(scan_tag_scores(spark, tag_scores_path), kmeans.dim), kmeans.dim
+        spark,
+        pl.movie_vectors(scan_tag_scores(spark, tag_scores_path), kmeans.dim),
+        kmeans.dim,
+        path=f"{out_dir.rstrip('/')}/vectors",
     )
     state0 = initial_state
     if state0 is None:

@@ -62,13 +62,15 @@ def materialize_vectors(
     """Write the static side once to the shared folder and read it back.
 
     The written table cuts the lineage (a lost executor re-reads it instead of
-    re-running the pivot) and its row count sizes the join strategy. The
+    re-running the pivot) and its row count sizes the join strategy. Given the
+    ``path`` of an earlier run, the table found there is used as it is. The
     table is written hash-partitioned on ``movie_id`` and cached with that
     partitioning, so a shuffle join only moves the (small) batch side.
     """
     path = path or fresh_path(spark, "vectors")
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vectors.write.mode("overwrite").parquet(path)
+    if not is_complete(spark, path):  # a restarted job keeps the vectors its model was built on
+        vectors.write.mode("overwrite").parquet(path)
     df = spark.read.parquet(path)
     facts = df.agg(
         F.count(F.lit(1)).alias("n"), F.min(F.size("features")).alias("lo"), F.max(F.size("features")).alias("hi")
