@@ -45,3 +45,20 @@ def test_properties_file_reader(tmp_path):
     assert _read_properties(str(p)) == {
         "verbose": "false", "kMeans.K": "5", "kMeans.DecayFactor": "1.0", "kafkaStream.topics": "test"
     }
+
+
+def test_publish_stream_per_file(spark):
+    from ratingstream.jobs import publish_stream
+
+    root = fresh_path(spark, "pubstream")
+    lines = fx.rating_file_lines(fx.table(spark, SF_SMOKE, "events")).select("value")
+    lines.write.text(f"{root}/in/wave=1")
+    q = publish_stream(spark, f"{root}/in/*", f"{root}/out", PublishOptions(topic="ratings"), sink="parquet",
+                       available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    recs = spark.read.parquet(f"{root}/out/records")
+    n = lines.count()
+    assert recs.count() == n
+    s = spark.read.parquet(f"{root}/out/summary").collect()
+    assert sum(r["n_read"] for r in s) == n and sum(r["n_rejected"] for r in s) == 0
