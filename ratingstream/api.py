@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .functions.text import drop_last_field, encode_int_key
 from .functions.vectors import format_vector
-from .jobs import clusterer_job, publisher_job, stream_progress_offsets
+from .jobs import clusterer_job, publish_stream, publisher_job, stream_progress_offsets
 from .operators.features import (
     array_to_features,
     assemble_tag_vectors,
@@ -66,7 +66,7 @@ __all__ = [
     "encode_key", "fold_batches", "format_center", "init_centers", "join_ratings_features", "label_points",
     "latest_model", "micro_batch_trigger", "model_report", "parse_rating", "per_batch_output",
     "prediction_report", "project_features", "project_value", "publish_options", "publish_ratings",
-    "publish_summary", "publisher_job", "rekey_by_movie", "reject_bad_lines", "run_until_stopped",
+    "publish_stream", "publish_summary", "publisher_job", "rekey_by_movie", "reject_bad_lines", "run_until_stopped",
     "sample_rows", "scale_features", "scan_rating_lines", "scan_tag_scores", "split_dying_cluster",
     "stamp_time", "stateful_model", "stream_offset_report", "stream_progress_offsets", "stream_ratings",
     "stream_source_rate", "stream_start_position", "stream_transform", "train_step", "train_then_predict",
