@@ -16,9 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import kmeans as km
+from .operators.features import tag_score_rejects
 from .operators.publish import publish_ratings, publish_summary
 from .options import KafkaOptions, KMeansOptions, PublishOptions, StreamOptions
 from .plans import pipeline as pl
+from .session import is_complete
 from .sources.files import scan_rating_lines, scan_tag_scores
 from .sources.kafka import stream_ratings, stream_source_rate, write_kafka
 from .streaming.job import StreamPaths, run_stream
@@ -45,12 +47,12 @@ def clusterer_job(
     ``out_dir`` (a restart). The per-trigger cap follows the per-partition
     record rate times the batch interval.
     """
-    vt = pl.materialize_vectors(
-        spark,
-        pl.movie_vectors(scan_tag_scores(spark, tag_scores_path), kmeans.dim),
-        kmeans.dim,
-        path=f"{out_dir.rstrip('/')}/vectors",
-    )
+    root = out_dir.rstrip("/")
+    scores = scan_tag_scores(spark, tag_scores_path)
+    if not is_complete(spark, f"{root}/tag_score_rejects"):
+        # rows the pivot leaves out (nulls, tags outside 1..dim), kept for inspection
+        tag_score_rejects(scores, kmeans.dim).write.mode("overwrite").parquet(f"{root}/tag_score_rejects")
+    vt = pl.materialize_vectors(spark, pl.movie_vectors(scores, kmeans.dim), kmeans.dim, path=f"{root}/vectors")
     state0 = initial_state
     if state0 is None:
         state0 = km.init_centers(spark, kmeans.k, kmeans.dim, kmeans.weight, kmeans.seed)

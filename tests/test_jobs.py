@@ -35,6 +35,7 @@ def test_publish_then_cluster(spark):
     good = accepted(parse_rating(published.select(F.col("value"))))
     assert w.sum() == good.join(vec_ids, "movie_id").count()
     assert spark.read.parquet(paths.predictions).count() > 0
+    assert spark.read.parquet(f"{out}/tag_score_rejects").count() == 0  # the embedding scores are all valid
 
 
 def test_properties_file_reader(tmp_path):
