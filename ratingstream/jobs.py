@@ -12,12 +12,12 @@ from __future__ import annotations
 
 import dataclasses
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import kmeans as km
 from .operators.features import tag_score_rejects
-from .operators.publish import publish_ratings, publish_summary
+from .operators.publish import observed_summary, publish_ratings, publish_summary
 from .options import KafkaOptions, KMeansOptions, PublishOptions, StreamOptions
 from .plans import pipeline as pl
 from .session import is_complete
@@ -84,7 +84,8 @@ def publisher_job(
     records to ``sink_path`` (replays, tests).
     """
     lines = scan_rating_lines(spark, input_path)
-    records = publish_ratings(lines, opts.topic, opts.partitions)
+    seen = Observation("publish")
+    records = publish_ratings(lines, opts.topic, opts.partitions, observation=seen)
     if sink == "kafka":
         write_kafka(records, opts)
     elif sink == "parquet":
@@ -95,7 +96,7 @@ def publisher_job(
         ).write.mode("append").parquet(sink_path)
     else:
         raise ValueError("sink must be 'kafka' or 'parquet'")
-    return publish_summary(lines).first().asDict()
+    return observed_summary(seen)  # counted by the writing pass, no second read of the file
 
 
 def publish_stream(

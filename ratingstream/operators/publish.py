@@ -2,21 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.text import drop_last_field, encode_int_key
 from .parse import reject_bad_lines, user_parity_key
 
 
-def publish_ratings(lines: DataFrame, topic: str, partitions: int = 2, value_col: str = "value") -> DataFrame:
+def _summary_columns():
+    return [
+        F.count(F.lit(1)).alias("n_read"),
+        F.count_if(F.col("rejected")).alias("n_rejected"),
+        F.count_if(~F.col("rejected")).alias("n_published"),
+    ]
+
+
+def publish_ratings(
+    lines: DataFrame,
+    topic: str,
+    partitions: int = 2,
+    value_col: str = "value",
+    observation: Observation | None = None,
+) -> DataFrame:
     """``key BINARY, value STRING, topic STRING, partition INT`` ready for the Kafka sink.
 
     Lines whose user id does not parse are left out (see :func:`publish_summary`);
     the last field (the timestamp) is dropped; key and partition are the user
-    id modulo ``partitions``; the key is written as 4 big-endian bytes.
+    id modulo ``partitions``; the key is written as 4 big-endian bytes. With an
+    ``observation``, the read / rejected / published counts are gathered by
+    the same pass that writes the records (see :func:`observed_summary`).
     """
     checked = reject_bad_lines(lines, value_col)
+    if observation is not None:
+        checked = checked.observe(observation, *_summary_columns())
     part = user_parity_key("user_id", partitions)
     return checked.where(~F.col("rejected")).select(
         encode_int_key(part).alias("key"),
@@ -29,11 +47,14 @@ def publish_ratings(lines: DataFrame, topic: str, partitions: int = 2, value_col
 def publish_summary(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """One row: lines read, rejected, published and the published percentage."""
     checked = reject_bad_lines(lines, value_col)
-    agg = checked.agg(
-        F.count(F.lit(1)).alias("n_read"),
-        F.count_if(F.col("rejected")).alias("n_rejected"),
-        F.count_if(~F.col("rejected")).alias("n_published"),
-    )
+    agg = checked.agg(*_summary_columns())
     return agg.withColumn(
         "pct_published", F.try_divide(F.col("n_published") * F.lit(100.0), F.col("n_read"))
     )
+
+
+def observed_summary(observation: Observation) -> dict:
+    """The publish summary from an observation, once the writing action has run."""
+    m = dict(observation.get)
+    m["pct_published"] = 100.0 * m["n_published"] / m["n_read"] if m.get("n_read") else None
+    return m

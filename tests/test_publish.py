@@ -89,3 +89,17 @@ def test_prediction_report_lines_are_bounded_and_ordered(spark):
         want.setdefault(int(hashlib.md5(str(i).encode()).hexdigest()[:8], 16) % chunks, []).append(c)
     assert {r["line_no"]: r["line"] for r in out} == {k: ",".join(map(str, v)) for k, v in want.items()}
     assert sum(r["n"] for r in out) == 95
+
+
+def test_publish_counts_come_from_the_writing_pass(spark):
+    from pyspark.sql import Observation
+
+    from ratingstream.operators.publish import observed_summary
+
+    lines = spark.createDataFrame(
+        [("2200,3527,4.0,1422126710",), ("1,122,2,945544824",), ("x,1,2,3",), ("-3,5,1.5,7",)], "value string"
+    )
+    seen = Observation("publish")
+    publish_ratings(lines, topic="t", observation=seen).write.format("noop").mode("overwrite").save()
+    s = observed_summary(seen)
+    assert (s["n_read"], s["n_rejected"], s["n_published"], s["pct_published"]) == (4, 1, 3, 75.0)
