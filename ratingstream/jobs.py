@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .operators import kmeans as km
 from .operators.features import tag_score_rejects
-from .operators.publish import observed_summary, publish_ratings, publish_summary
+from .operators.publish import observed_summary, publish_ratings
 from .options import KafkaOptions, KMeansOptions, PublishOptions, StreamOptions
 from .plans import pipeline as pl
 from .session import is_complete
@@ -119,18 +119,21 @@ def publish_stream(
     lines = spark.readStream.text(input_path)
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            records = publish_ratings(batch, opts.topic, opts.partitions)
-            if sink == "kafka":
-                write_kafka(records, opts)
-            elif sink == "parquet":
-                records.write.mode("overwrite").parquet(f"{out_dir}/records/batch_id={batch_id}")
-            else:
-                raise ValueError("sink must be 'kafka' or 'parquet'")
-            publish_summary(batch).write.mode("overwrite").parquet(f"{out_dir}/summary/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        seen = Observation(f"publish-{batch_id}")
+        records = publish_ratings(batch, opts.topic, opts.partitions, observation=seen)
+        if sink == "kafka":
+            write_kafka(records, opts)
+        elif sink == "parquet":
+            records.write.mode("overwrite").parquet(f"{out_dir}/records/batch_id={batch_id}")
+        else:
+            raise ValueError("sink must be 'kafka' or 'parquet'")
+        # the counts were gathered by the write; the summary is one local row
+        m = observed_summary(seen)
+        summary = spark.createDataFrame(
+            [(m["n_read"], m["n_rejected"], m["n_published"], m["pct_published"])],
+            "n_read long, n_rejected long, n_published long, pct_published double",
+        )
+        summary.write.mode("overwrite").parquet(f"{out_dir}/summary/batch_id={batch_id}")
 
     writer = lines.writeStream.foreachBatch(fn).option("checkpointLocation", f"{out_dir}/checkpoint")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
