@@ -46,10 +46,17 @@ def prediction_report(
 
 
 def offset_ranges(records: DataFrame) -> DataFrame:
-    """Per topic partition: first offset, one past the last offset, and record count."""
+    """Per topic partition: first offset, one past the last offset, and record count.
+
+    Given parsed records (a ``reject_reason`` column), also the number of
+    records set aside, so the table doubles as the batch's intake log.
+    """
     keys = [c for c in ("topic", "partition") if c in records.columns]
-    return records.groupBy(*keys).agg(
+    aggs = [
         F.min("offset").alias("from_offset"),
         (F.max("offset") + 1).alias("until_offset"),
         F.count(F.lit(1)).alias("n"),
-    )
+    ]
+    if "reject_reason" in records.columns:
+        aggs.append(F.count("reject_reason").alias("n_rejected"))
+    return records.groupBy(*keys).agg(*aggs)

@@ -34,19 +34,19 @@ lines AS (
 
 _FIELDS = """
 fields AS (
-  SELECT msg_id, ts, value, string_split(regexp_replace(value, ',+$', ''), ',') AS f FROM msgs
+  SELECT msg_id, ts, user_id AS src_user, value, string_split(regexp_replace(value, ',+$', ''), ',') AS f FROM msgs
 )"""
 
 _PARSED = r"""
 parsed AS (
-  SELECT msg_id, ts, value, f,
+  SELECT msg_id, ts, src_user, value, f,
     CASE WHEN regexp_full_match(f[1], '[+-]?[0-9]+') THEN TRY_CAST(f[1] AS INTEGER) END AS u,
     CASE WHEN regexp_full_match(f[2], '[+-]?[0-9]+') THEN TRY_CAST(f[2] AS INTEGER) END AS m,
     regexp_replace(f[3], '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g') AS rt
   FROM fields
 ),
 typed AS (
-  SELECT msg_id, ts, value, u, m, len(f) AS nf,
+  SELECT msg_id, ts, src_user, value, u, m, len(f) AS nf,
     CASE WHEN regexp_full_match(rt, '[+-]?(NaN|Infinity|([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?)')
          THEN TRY_CAST(regexp_replace(rt, '[fFdD]$', '') AS FLOAT) END AS r
   FROM parsed
@@ -358,9 +358,10 @@ FROM range({K})"""
     q["stream_quarantine"] = _with(_MSGS, _FIELDS, _PARSED) + """
 SELECT msg_id, value, reject_reason FROM checked WHERE reject_reason IS NOT NULL"""
     q["stream_ratings"] = _with(_MSGS) + "\nSELECT msg_id, value FROM msgs"
-    q["stream_offsets"] = f"""
+    q["stream_offsets"] = _with(_MSGS, _FIELDS, _PARSED) + f"""
 SELECT CAST(epoch_us(ts) // 86400000000 - {FIRST_EPOCH_DAY} AS INTEGER) AS batch_id, '{TOPIC}' AS topic,
-       CAST(user_id % {PARTITIONS} AS INTEGER) AS partition,
-       min(event_id) AS from_offset, max(event_id) + 1 AS until_offset, count(*) AS n
-FROM events GROUP BY 1, 3"""
+       CAST(src_user % {PARTITIONS} AS INTEGER) AS partition,
+       min(msg_id) AS from_offset, max(msg_id) + 1 AS until_offset, count(*) AS n,
+       count(*) FILTER (WHERE reject_reason IS NOT NULL) AS n_rejected
+FROM checked GROUP BY 1, 3"""
     return q

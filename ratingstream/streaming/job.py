@@ -149,7 +149,9 @@ def process_batch(
             (quarantined(parsed).drop(TRIGGER_COL), mt.batch_path(paths.quarantine, batch_id)),
         ]
         if "offset" in keep and "partition" in keep:
-            rng = offset_ranges(parsed.select(*[c for c in ("topic", "partition", "offset") if c in keep]))
+            rng = offset_ranges(
+                parsed.select(*[c for c in ("topic", "partition", "offset") if c in keep], "reject_reason")
+            )
             outputs.append((rng, mt.batch_path(paths.offsets, batch_id)))
         # the three outputs are independent jobs over the cached batch: submit
         # them together so their small stages share the executors

@@ -95,7 +95,13 @@ def q_stream_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = replay_by_day(spark, sf_dir)
     o = spark.read.parquet(paths.offsets)
     return o.select(
-        F.col("batch_id").cast("int").alias("batch_id"), "topic", "partition", "from_offset", "until_offset", "n"
+        F.col("batch_id").cast("int").alias("batch_id"),
+        "topic",
+        "partition",
+        "from_offset",
+        "until_offset",
+        "n",
+        "n_rejected",
     )
 
 
