@@ -76,7 +76,10 @@ def main():
     # the reference's target: one micro-batch of 480,000 ratings inside its 120 s
     # interval. Here: every event of the table as one micro-batch.
     root = fresh_path(spark, "bench_batch")
-    fx.kafka_records(fx.table(spark, sf, "events")).write.parquet(f"{root}/inbox")
+    # the topic stand-in gets one file per core, as a topic read with
+    # minPartitions = cores would give one task per core
+    cores = spark.sparkContext.defaultParallelism
+    fx.kafka_records(fx.table(spark, sf, "events")).repartition(cores).write.parquet(f"{root}/inbox")
     state0 = bq.start_state(spark, sf)
 
     def one_batch():
