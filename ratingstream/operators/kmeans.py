@@ -299,7 +299,9 @@ def train_step_arrays(
 
     A stream or fold has to bring the K cluster sums to the driver anyway (they
     seed the next batch's assignment), so the K-row update runs there instead
-    of as another Spark job; tests hold it equal to the DataFrame form.
+    of as another Spark job; tests hold it bit-equal to the DataFrame form
+    (for unit "points" the discount ``decay ** points`` may differ in the last
+    bit between Python's and the JVM's ``pow``).
     """
     c = np.array(centers, dtype=np.float64, copy=True)
     disc = float(decay) ** float(n.sum()) if time_unit == "points" else float(decay)
