@@ -90,6 +90,13 @@ def publish_folder(spark: SparkSession, src: str, dst: str) -> None:
         raise RuntimeError(f"could not move {src} to {dst}")
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty marker file."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True).close()
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """A table folder counts as written once its ``_SUCCESS`` marker exists."""
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
@@ -107,5 +114,6 @@ __all__ = [
     "path_exists",
     "is_complete",
     "publish_folder",
+    "touch",
     "to_local",
 ]

@@ -12,10 +12,11 @@ each micro-batch, in order:
    rule, split), as MLlib's streaming k-means does;
 4. score a 1 % sample of the batch with the updated model and write it to
    ``predictions/batch_id=N``; write Kafka offset ranges to ``offsets/``
-   (these writes and the quarantine run as concurrent jobs);
-5. write the new model to ``state/batch_id=N`` last, as the completion mark.
+   (these writes, the quarantine and the state run as concurrent jobs);
+5. write the new model to ``state/batch_id=N`` (with the outputs above), then
+   the marker ``commits/batch_id=N``, the completion mark.
 
-Replays are idempotent: a batch whose state exists is skipped, others are
+Replays are idempotent: a batch whose marker exists is skipped, others are
 recomputed and overwrite their folders. The streaming checkpoint holds the
 source offsets; the state table holds the model, so a restarted query goes
 on from the last finished batch.
@@ -38,7 +39,7 @@ from ..operators.reports import offset_ranges
 from ..options import KMeansOptions, StreamOptions
 from ..plans import model_table as mt
 from ..plans import pipeline as pl
-from ..session import fresh_path
+from ..session import fresh_path, path_exists, touch
 
 
 @dataclass(frozen=True)
@@ -69,6 +70,10 @@ class StreamPaths:
     def clock(self) -> str:
         return f"{self.root}/clock"
 
+    @property
+    def commits(self) -> str:
+        return f"{self.root}/commits"
+
 
 TRIGGER_COL = "_trigger_time"
 
@@ -100,7 +105,7 @@ def process_batch(
     ``memo`` keeps the last written model on the driver (K rows), so the next
     batch need not read it back; after a restart it is read from the table.
     """
-    if mt.has_batch(spark, paths.state, batch_id):
+    if is_committed(spark, paths, batch_id):
         return False
     prev_id = mt.previous_batch(spark, paths.state, batch_id)
     if memo is not None and memo.get("batch_id") == prev_id:
@@ -153,13 +158,14 @@ def process_batch(
                 parsed.select(*[c for c in ("topic", "partition", "offset") if c in keep], "reject_reason")
             )
             outputs.append((rng, mt.batch_path(paths.offsets, batch_id)))
-        # the three outputs are independent jobs over the cached batch: submit
-        # them together so their small stages share the executors
+        outputs.append((km.state_frame(spark, new_centers, new_weights), mt.batch_path(paths.state, batch_id)))
+        # the outputs are independent jobs over the cached batch: submit them
+        # together so their small stages share the executors
         with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
             for f in [pool.submit(_overwrite, df, path) for df, path in outputs]:
                 f.result()
-
-        mt.write_batch(km.state_frame(spark, new_centers, new_weights), paths.state, batch_id)
+        # only now is the batch done: the marker is the last thing written
+        touch(spark, commit_path(paths, batch_id))
         if memo is not None:
             memo.update(batch_id=batch_id, centers=new_centers, weights=new_weights)
             if opts.replay_idle_intervals and TRIGGER_COL in keep:
@@ -169,6 +175,15 @@ def process_batch(
     return True
 
 
+def commit_path(paths: StreamPaths, batch_id: int) -> str:
+    return f"{paths.commits}/batch_id={int(batch_id)}"
+
+
+def is_committed(spark: SparkSession, paths: StreamPaths, batch_id: int) -> bool:
+    """A batch is done once its commit marker exists (written after all its outputs)."""
+    return path_exists(spark, commit_path(paths, batch_id))
+
+
 def idle_intervals(before_ms: int | None, now_ms: int, interval_s: int) -> int:
     """Whole intervals that passed without a batch between two trigger times."""
     if before_ms is None or interval_s <= 0:

@@ -235,3 +235,25 @@ def test_wrong_centre_dimension_fails_the_stream(spark):
         assert "dimension" in str(e)
     else:
         assert q.exception() is not None and "dimension" in str(q.exception())
+
+
+def test_batch_without_commit_marker_is_redone(spark):
+    """All outputs written but the marker missing (a crash just before it): the replay redoes the batch."""
+    from ratingstream.streaming.job import commit_path, is_committed
+
+    vt, state0, recs = _setup(spark)
+    paths = StreamPaths(fresh_path(spark, "t_marker"))
+    mt.write_seed(spark, paths.state, state0)
+    kopts = KMeansOptions(k=3, dim=vt.dim)
+    batch = recs.limit(400)
+    assert process_batch(spark, batch, 0, vt, paths, kopts, StreamOptions()) is True
+    assert is_committed(spark, paths, 0)
+    first = mt.read_batch(spark, paths.state, 0).orderBy("cluster").collect()
+
+    lost = StreamPaths(fresh_path(spark, "t_marker_lost"))
+    mt.write_seed(spark, lost.state, state0)
+    mt.write_batch(mt.read_batch(spark, paths.state, 0), lost.state, 0)  # state there, marker not
+    assert not is_committed(spark, lost, 0)
+    assert process_batch(spark, batch, 0, vt, lost, kopts, StreamOptions()) is True
+    assert mt.read_batch(spark, lost.state, 0).orderBy("cluster").collect() == first
+    assert commit_path(lost, 0).endswith("commits/batch_id=0")
