@@ -1,9 +1,10 @@
 """The model as a table keyed by batch id: ``<root>/batch_id=N`` with K rows each.
 
-A batch's state folder is written last in the batch, so its ``_SUCCESS``
-marker means the whole batch (predictions, quarantine, offsets) is done. A
-replayed batch whose state exists is skipped; one without is recomputed from
-the state of the batch before it and overwrites any partial output.
+A state folder counts once its ``_SUCCESS`` marker exists. The batch fold
+writes states in order and resumes after the last one; the stream also
+writes a commit marker per batch after all of the batch's outputs (see
+:mod:`ratingstream.streaming.job`). A batch that is redone starts from the
+state of the batch before it and overwrites any partial output.
 """
 
 from __future__ import annotations
