@@ -19,7 +19,14 @@ from ratingstream.session import fresh_path
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
 
+#: The folder that holds the library.
+HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    env = spark.sparkContext.environment  # what Python workers get: they must find the library as the driver does
+    if HOME not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [HOME, env.get("PYTHONPATH")]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

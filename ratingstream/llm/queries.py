@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, langid, packing, quality, simhash_dedup, toxicity
+from . import byte_bpe, embedding_dedup, hilbert_ann, langid, packing, quality, simhash_dedup, toxicity, url_filter
 from .common import held_out, table
 
 
@@ -18,6 +18,18 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(spark, table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
+def op3_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_ann.nearest(spark, table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(spark, table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(spark, docs)
@@ -54,6 +66,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
+        "op2_url_filter": op2_url_filter,
+        "op3_hilbert_ann": op3_hilbert_ann,
+        "op4_embedding_dedup": op4_embedding_dedup,
         "op6_language_id": op6_language_id,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_simhash_dedup": op8_simhash_dedup,
@@ -63,4 +78,4 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def sql() -> dict[str, str]:
-    return {}
+    return {"op2_url_filter": url_filter.sql()}
