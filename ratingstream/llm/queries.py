@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, embedding_dedup, hilbert_ann, langid, packing, quality, simhash_dedup, toxicity, url_filter
+from . import byte_bpe, embedding_dedup, hilbert_ann, katz, langid, packing, quality, simhash_dedup, toxicity, url_filter
 from .common import held_out, table
 
 
@@ -30,6 +30,11 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(spark, table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+def op5_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = katz.score(spark, table(spark, sf_dir, "documents"), katz.trained_on("doc_id", 7, 2))
+    return scored.withColumn("held_out", held_out("doc_id", 7, 2)).drop("train_types")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(spark, docs)
@@ -69,6 +74,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_url_filter": op2_url_filter,
         "op3_hilbert_ann": op3_hilbert_ann,
         "op4_embedding_dedup": op4_embedding_dedup,
+        "op5_katz": op5_katz,
         "op6_language_id": op6_language_id,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_simhash_dedup": op8_simhash_dedup,
