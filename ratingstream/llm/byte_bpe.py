@@ -67,7 +67,7 @@ def merger(path: str):
     def merge(piece: str) -> tuple[int, ...]:
         ids = seen.get(piece)
         if ids is None:
-            if len(seen) >= 300_000:
+            if len(seen) >= 100_000:
                 seen.clear()
             word = piece[1:] if piece[0] == " " else piece
             if word.isascii() and word.isalnum():  # stands for itself
@@ -103,7 +103,7 @@ def _tokenizer(path: str) -> PieceTable:
             out.append(merge(pieces[0]) if len(pieces) == 1 else [i for p in pieces for i in merge(p)])
         return out
 
-    return PieceTable(encode)
+    return PieceTable(encode, 250_000)
 
 
 def token_offsets(texts: list[str], ids: np.ndarray, sizes: np.ndarray, path: str) -> dict[str, np.ndarray]:

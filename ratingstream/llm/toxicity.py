@@ -9,8 +9,8 @@ the lengths of longer windows vary by more than one word saves, and each differe
 word needs compressing only once per worker.
 
 Training text is chosen by contrast on a bounded sample of labelled rows: words of toxic
-documents with a letter sequence that many toxic and no ordinary documents of the sample
-hold. The ordinary dictionary also gets the ordinary words that the toxic one would shorten,
+documents that are, or hold a letter sequence, much more common in toxic than in ordinary
+documents. The ordinary dictionary also gets the ordinary words that the toxic one would shorten,
 twice over. A logistic layer with few inputs (the largest saving, how many windows
 save how much, their share) is calibrated on sample documents held back from the dictionaries.
 """
@@ -18,6 +18,7 @@ save how much, their share) is calibrated on sample documents held back from the
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -44,9 +45,11 @@ class ToxicityParams:
     ordinary: int = 1536
     negatives: int = 6144
     segment: int = 16
-    gram: int = 5
-    #: Share of the toxic documents that must hold a letter sequence for its words to count as toxic text.
-    share: float = 0.01
+    grams: tuple[int, ...] = (5, 7)
+    #: Share of the toxic documents that must hold a letter sequence or word for it to count as
+    #: toxic, and how many times the ordinary documents' share that must be.
+    share: float = 0.008
+    ratio: float = 8.0
     #: The bound of the training sample, per class, and the longest text drawn.
     per_class: int = 1500
     max_chars: int = 32_768
@@ -102,8 +105,10 @@ def _cover(samples: list[bytes], size: int, segment: int) -> bytes:
         return b"".join(samples)[-size:]
 
 
-def _grams(ws: set[bytes], n: int) -> set[bytes]:
-    return {x[i : i + n] for w in ws for x in (b" " + w + b" ",) for i in range(len(x) - n + 1)}
+def _grams(ws: set[bytes], sizes: tuple[int, ...]) -> set[bytes]:
+    """The words (blanks at their ends) and their letter sequences of the given sizes."""
+    ends = [b" " + w + b" " for w in ws]
+    return {x[i : i + n] for x in ends for n in sizes for i in range(len(x) - n + 1)}.union(ends)
 
 
 def _features(place: np.ndarray, sizes: np.ndarray, saved: np.ndarray) -> np.ndarray:
@@ -132,22 +137,30 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, steps: int = 40)
     return w
 
 
+def _differing(docs: list[list[bytes]]) -> list[list[bytes]]:
+    """Without copies: the first of the texts whose long words have the same smallest checksum."""
+    first = {}
+    for i, d in enumerate(docs):
+        first.setdefault(min((zlib.crc32(w) for w in d if len(w) >= 8), default=-1 - i), d)
+    return list(first.values())
+
+
 def train(sample: list[tuple[str, int]], p: ToxicityParams) -> ToxicityModel:
     """Fit on (text, label) pairs. With one class only, every score is that class's share; with none, 0."""
-    docs = {y: [words(t) for t, k in sample if k == y] for y in (0, 1)}
+    docs = {y: _differing([words(t) for t, k in sample if k == y]) for y in (0, 1)}
     if not docs[0] or not docs[1]:
         return ToxicityModel(b"", b"", b"", np.zeros(0), float(bool(docs[1])))
     # A third of each class is held back for calibration.
     learn = {y: [set(d) for i, d in enumerate(v) if i % 3 or len(v) < 3] for y, v in docs.items()}
     rest = {y: [d for i, d in enumerate(v) if i % 3 == 0] for y, v in docs.items()}
     half = len(learn[0]) * 2 // 3
-    seen = Counter(g for s in learn[0][:half] for g in _grams(s, p.gram))
+    seen = Counter(g for s in learn[0][:half] for g in _grams(s, p.grams))
 
     def contrast(group: list[set[bytes]]) -> list[bytes]:
-        count = Counter(g for s in group for g in _grams(s, p.gram) if g not in seen)
-        least = max(2, p.share * len(group))
-        often = {g for g, n in count.items() if n >= least}
-        chosen = ([w for w in sorted(s) if not often.isdisjoint(_grams({w}, p.gram))] for s in group)
+        count = Counter(g for s in group for g in _grams(s, p.grams))
+        least, share = max(2, p.share * len(group)), p.ratio * len(group) / max(1, half)
+        often = {g for g, n in count.items() if n >= least and n >= share * (seen[g] + 1)}
+        chosen = ([w for w in sorted(s) if not often.isdisjoint(_grams({w}, p.grams))] for s in group)
         return [b" " + b" ".join(ws) + b" " for ws in chosen if ws]
 
     plain = [b" " + b" ".join(d[i : i + 10]) + b" " for d in rest[0][:400] + [list(s) for s in learn[0][:400]] for i in range(0, len(d), 10)]

@@ -1,0 +1,117 @@
+import numpy as np
+import pytest
+from pyspark.sql import types as T
+
+from ratingstream.llm import embedding_dedup as D
+from ratingstream.llm import hilbert_ann as H
+
+SCHEMA = T.StructType(
+    [
+        T.StructField("vec_id", T.LongType()),
+        T.StructField("embedding", T.ArrayType(T.FloatType())),
+        T.StructField("label", T.IntegerType()),
+        T.StructField("score", T.StringType()),
+        T.StructField("n_links", T.StringType()),
+    ]
+)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, v, 0, "x", "y") for i, v in rows], SCHEMA)
+
+
+def clustered(n, dim, seed, noise=0.12):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((max(2, n // 12), dim))
+    x = centres[rng.integers(0, len(centres), n)] + noise * rng.standard_normal((n, dim))
+    x[: n // 10] = x[n // 2]  # a hot group of equal vectors
+    return x.astype(np.float32).astype(float)
+
+
+def brute_dedup(x, ids, threshold):
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    link = u @ u.T >= threshold
+    np.fill_diagonal(link, False)
+    label = np.arange(len(x))
+    while True:
+        new = np.array([min([label[i], *label[link[i]]]) for i in range(len(x))])
+        if (new == label).all():
+            return link.sum(axis=1), ids[label]
+        label = new
+
+
+@pytest.mark.parametrize("tile,pivots", [(1024, 256), (16, 256)])
+def test_links_and_components_equal_brute_force(spark, monkeypatch, tile, pivots):
+    x = clustered(600, 16, 3)
+    ids = np.arange(600) * 3
+    links, comp = brute_dedup(x, ids, 0.95)
+    assert links.max() >= 59 and (links == 0).any()
+    rows = D.near_duplicates(spark, frame(spark, list(zip(ids.tolist(), x.tolist()))), tile=tile, per_group=2).collect()
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in rows}
+    assert got == {int(i): (int(n), int(c), int(i) == int(c)) for i, n, c in zip(ids, links, comp)}
+
+
+def test_quantisation_bound_holds():
+    rng = np.random.default_rng(0)
+    x = rng.standard_normal((200, 40))
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    q, s, e = D.quantise(u)
+    est = (q @ q.T) * np.outer(s, s)
+    assert (np.abs(u @ u.T - est) <= e[:, None] + (1 + e[:, None]) * e[None, :] + 1e-6).all()
+
+
+ODD = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [None, 1.0]), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]), (7, []), (8, [1.0, 0.0, 0.0]), (None, [1.0, 0.0]), (9, [2.0, 0.0]), (0, [1.0, 0.1]), (20, [1.0, 0.0])]
+
+
+def test_dedup_odd_rows(spark):
+    rows = D.near_duplicates(spark, frame(spark, ODD)).collect()
+    assert len(rows) == len(ODD)
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in rows if r.vec_id is not None)
+    alone = [(i, 0, i) for i in (2, 3, 4, 5, 6, 7, 8)]
+    assert got == sorted([(0, 4, 0), (1, 4, 0), (1, 4, 0), (9, 4, 0), (20, 4, 0), *alone])
+    assert [(r.n_links, r.component_id, r.kept) for r in rows if r.vec_id is None] == [(0, None, False)]
+    assert D.near_duplicates(spark, frame(spark, [])).count() == 0
+
+
+def test_hilbert_curve_visits_neighbours():
+    side = np.arange(8)
+    grid = np.stack(np.meshgrid(side, side, side, indexing="ij"), -1).reshape(-1, 3)
+    place = H.hilbert_index(grid, 3)
+    assert sorted(place) == list(range(512))
+    step = np.abs(np.diff(grid[np.argsort(place)], axis=0)).sum(axis=1)
+    assert (step == 1).all()
+
+
+def brute_nearest(x, ids, queries, k):
+    out = {}
+    for i in queries:
+        s = np.array([float((x[i] * y).sum()) for y in x])
+        order = sorted((j for j in range(len(x)) if ids[j] != ids[i]), key=lambda j: (-s[j], ids[j]))
+        out[int(ids[i])] = [(int(ids[j]), s[j]) for j in order[:k]]
+    return out
+
+
+def test_search_recall_order_and_scores(spark):
+    x = clustered(900, 12, 5, noise=0.5)
+    ids = np.arange(900)
+    rows = H.nearest(spark, frame(spark, list(zip(ids.tolist(), x.tolist()))), slice_rows=100).collect()
+    want = brute_nearest(x, ids, range(0, 900, 20), 20)
+    got = {}
+    for r in sorted(rows, key=lambda r: (r.query_id, r.rank)):
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert set(got) == set(want)
+    hits = 0
+    for q, found in got.items():
+        assert len(found) == 20 and found == sorted(found, key=lambda f: (-f[1], f[0]))
+        hits += len({i for i, _ in found} & {i for i, _ in want[q]})
+        for i, s in found:
+            assert s == pytest.approx(float((x[q] * x[i]).sum()), rel=1e-12)
+    assert hits / (20 * len(want)) >= 0.9
+
+
+def test_search_odd_rows(spark):
+    rows = H.nearest(spark, frame(spark, ODD)).collect()
+    got = [(r.query_id, r.rank, r.vec_id) for r in sorted(rows, key=lambda r: (r.query_id, r.rank))]
+    assert got == [(0, 1, 9), (0, 2, 1), (0, 3, 20), (20, 1, 9), (20, 2, 0), (20, 3, 1)]
+    assert H.nearest(spark, frame(spark, [])).count() == 0
+    assert H.nearest(spark, frame(spark, [(1, [1.0])])).count() == 0
