@@ -44,12 +44,12 @@ class ToxicityParams:
     toxic: int = 1536
     ordinary: int = 1536
     negatives: int = 6144
-    segment: int = 16
-    grams: tuple[int, ...] = (5, 7)
+    segment: int = 12
+    grams: tuple[int, ...] = (6, 8)
     #: Share of the toxic documents that must hold a letter sequence or word for it to count as
     #: toxic, and how many times the ordinary documents' share that must be.
-    share: float = 0.008
-    ratio: float = 8.0
+    share: float = 0.012
+    ratio: float = 15.0
     #: The bound of the training sample, per class, and the longest text drawn.
     per_class: int = 1500
     max_chars: int = 32_768

@@ -5,26 +5,38 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratingstream.llm import langid, quality, toxicity
-from ratingstream.llm.common import labelled_sample
+from ratingstream.llm.common import crc_mod, labelled_sample
 
 SF = "/root/testdata/sf0.1"
+LARGE = "/root/testdata/check_s"
 
 
-def held_out_rate(rows, label):
-    """Accuracy by class on the held-out rows."""
-    rows = [r for r in rows if r.held_out and r[label] is not None]
+def rates(rows, label):
+    """Share of right predictions among rows of label 0 and of label 1."""
     return [np.mean([r.predicted == r[label] for r in rows if r[label] == y]) for y in (0, 1)]
 
 
-@pytest.mark.parametrize("query,label,least", [("op1_quality", "quality", 0.97), ("op9_toxicity", "toxic", 0.93)])
-def test_held_out_accuracy(spark, query, label, least):
+# At sf0.1 the toxic sample is small (360 texts in four languages) and some toxic labels have no toxic word.
+@pytest.mark.parametrize("query,label,least", [("op1_quality", "quality", (0.97, 0.97)), ("op9_toxicity", "toxic", (0.97, 0.6))])
+def test_query_and_held_out_accuracy(spark, query, label, least):
     from ratingstream.llm.queries import registry
 
     rows = registry()[query](spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id", "left").collect()
     assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
     assert all(0 <= r.score <= 1 for r in rows)
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
-    assert min(held_out_rate(rows, label)) >= least
+    got = rates([r for r in rows if r.held_out], label)
+    assert got[0] >= least[0] and got[1] >= least[1], got
+
+
+@pytest.mark.parametrize("op,label", [(quality, "quality"), (toxicity, "toxic")])
+def test_held_out_accuracy_with_a_full_sample(spark, op, label):
+    docs = spark.read.parquet(f"{LARGE}/documents.parquet")
+    labels = spark.read.parquet(f"{LARGE}/labels.parquet")
+    model = op.fit(spark, docs, labels)
+    held = docs.join(labels.where(crc_mod("doc_id", 5) == 0).where(f"{label} IS NOT NULL"), "doc_id")
+    got = rates(op.score(spark, held, model).select(label, "predicted").collect(), label)
+    assert min(got) >= 0.98, got
 
 
 def test_language_held_out_accuracy(spark):
