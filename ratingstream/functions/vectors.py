@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,15 +56,22 @@ def centers_literal(centers) -> Column:
     Catalyst folds the nested ``array(...)`` into a single literal, so the
     plan carries one constant instead of K x D expressions.
     """
-    inner = [
-        "array(" + ",".join(repr(float(x)) + "D" for x in c) + ")" for c in centers
-    ]
+
+    def literal(x: float) -> str:
+        return f"{float(x)!r}D" if math.isfinite(x) else f"double('{float(x)!r}')"
+
+    inner = ["array(" + ",".join(map(literal, c)) + ")" for c in centers]
     return F.expr("array(" + ",".join(inner) + ")")
 
 
 def nearest_center(features, centers) -> Column:
-    """Index of the nearest centre by squared Euclidean distance; ties go to the lowest index."""
+    """Index of the nearest centre by squared Euclidean distance; ties go to the lowest index.
+
+    A distance that is no number counts as infinite.
+    """
     cs = centers_literal(centers) if isinstance(centers, (list, tuple)) else _c(centers)
     f = _c(features)
-    scored = F.transform(cs, lambda c, i: F.struct(squared_distance(f, c).alias("d"), i.alias("i")))
+    scored = F.transform(
+        cs, lambda c, i: F.struct(F.nanvl(squared_distance(f, c), F.lit(float("inf"))).alias("d"), i.alias("i"))
+    )
     return F.array_min(scored).getField("i")

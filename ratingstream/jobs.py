@@ -35,29 +35,35 @@ def clusterer_job(
     kafka: KafkaOptions = KafkaOptions(),
     source_format: str = "kafka",
     source_path: str | None = None,
-    source_partitions: int = 2,
+    source_partitions: int | None = None,
     initial_state: DataFrame | None = None,
     available_now: bool = False,
     wait: bool = True,
+    on_tag_error: str = "quarantine",
 ):
     """Run the streaming clusterer; returns ``(query, paths)``.
 
     Centres start random (seeded by ``kmeans.seed``) with ``kmeans.weight``,
     unless ``initial_state`` is given or a model table already exists under
-    ``out_dir`` (a restart). The per-trigger cap follows the per-partition
-    record rate times the batch interval.
+    ``out_dir`` (a restart). The per-trigger cap is the per-partition record rate
+    times the topic's partitions (``source_partitions``, which a capped Kafka source
+    needs) times the batch interval; a rate of 0 sets no cap. ``on_tag_error="fail"`` stops at the
+    first unusable tag score instead of setting it aside.
     """
+    capped = source_format == "kafka" and stream.max_records_per_s_per_partition > 0
+    if capped and not source_partitions:
+        raise ValueError("a capped Kafka source needs source_partitions (the topics' partition count); a rate of 0 sets no cap")
     root = out_dir.rstrip("/")
     scores = scan_tag_scores(spark, tag_scores_path)
     if not is_complete(spark, f"{root}/tag_score_rejects"):
         # rows the pivot leaves out (nulls, tags outside 1..dim), kept for inspection
         tag_score_rejects(scores, kmeans.dim).write.mode("overwrite").parquet(f"{root}/tag_score_rejects")
-    vt = pl.materialize_vectors(spark, pl.movie_vectors(scores, kmeans.dim), kmeans.dim, path=f"{root}/vectors")
+    vt = pl.materialize_vectors(spark, pl.movie_vectors(scores, kmeans.dim, on_tag_error), kmeans.dim, path=f"{root}/vectors")
     state0 = initial_state
     if state0 is None:
         state0 = km.init_centers(spark, kmeans.k, kmeans.dim, kmeans.weight, kmeans.seed)
     cap = None
-    if source_format == "kafka":
+    if capped:
         cap = stream_source_rate(stream.max_records_per_s_per_partition, source_partitions, stream.interval_s)
     if source_format == "kafka" and kafka.min_partitions is None:
         # spread each batch over the cluster even when the topic has few partitions
@@ -89,9 +95,12 @@ def publisher_job(
     if sink == "kafka":
         write_kafka(records, opts)
     elif sink == "parquet":
-        # stand-in for the topic: the broker would assign offsets and the
-        # log-append time; a unique id and the write time play those parts
-        records.withColumn("offset", F.monotonically_increasing_id()).withColumn(
+        # stand-in for the topic: the broker would assign offsets and the log-append time; a
+        # unique id past those of earlier waves and the write time play those parts
+        first = 0
+        if is_complete(spark, sink_path):
+            first = (spark.read.parquet(sink_path).agg(F.max("offset")).first()[0] or 0) + 1
+        records.withColumn("offset", F.monotonically_increasing_id() + F.lit(first)).withColumn(
             "timestamp", F.current_timestamp()
         ).write.mode("append").parquet(sink_path)
     else:
@@ -177,6 +186,11 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("--tag-scores", required=True)
     c.add_argument("--out", required=True, help="folder for model state, predictions and the checkpoint")
     c.add_argument("--batch", type=int, default=StreamOptions.interval_s, help="batch interval in seconds")
+    c.add_argument("--rate", type=int, default=StreamOptions.max_records_per_s_per_partition, help="records per second and partition; 0: no cap")
+    c.add_argument("--source-partitions", type=int, help="partitions of the topics (needed unless --rate 0)")
+    c.add_argument("--seed", type=int, help="seed of the random starting centres")
+    c.add_argument("--on-tag-error", choices=["quarantine", "fail"], default="quarantine")
+    c.add_argument("--allow-data-loss", action="store_true", help="go on when offsets have expired")
     c.add_argument("--properties", help="kafkaStream.* and kMeans.* settings")
     p = sub.add_parser("publisher", help="publish a rating file to the topic once")
     p.add_argument("--input-file", required=True)
@@ -190,7 +204,13 @@ def main(argv: list[str] | None = None) -> None:
         props = _read_properties(args.properties) if args.properties else {}
         kopts = KMeansOptions.from_properties({k: v for k, v in props.items() if k.startswith("kMeans.")})
         kafka = kafka_options_from_properties({k: v for k, v in props.items() if k.startswith("kafkaStream.")})
-        clusterer_job(spark, args.tag_scores, args.out, kopts, StreamOptions(interval_s=args.batch), kafka)
+        kopts = dataclasses.replace(kopts, seed=args.seed)
+        kafka = dataclasses.replace(kafka, fail_on_data_loss=not args.allow_data_loss)
+        sopts = StreamOptions(interval_s=args.batch, max_records_per_s_per_partition=args.rate)
+        clusterer_job(
+            spark, args.tag_scores, args.out, kopts, sopts, kafka,
+            source_partitions=args.source_partitions, on_tag_error=args.on_tag_error,
+        )
     else:
         opts = PublishOptions(bootstrap_servers=args.broker_list, topic=args.topic, partitions=args.partitions)
         print(publisher_job(spark, args.input_file, opts))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import scale, to_double_via_text
@@ -11,12 +11,20 @@ from ..functions.vectors import scale, to_double_via_text
 _ROW_OVERHEAD_BYTES = 64
 
 
+def _finite(col: str) -> Column:
+    """False for null, NaN and infinite numbers."""
+    return F.coalesce(F.abs(F.col(col)) < F.lit(float("inf")), F.lit(False)) & ~F.isnan(col)
+
+
 def tag_score_rejects(scores: DataFrame, dim: int) -> DataFrame:
-    """Rows the vector assembly cannot use: a null field or a tag outside ``1..dim``."""
+    """Rows the vector assembly cannot use: a null field, a relevance that is no finite number, a tag outside ``1..dim``.
+
+    One NaN in a vector would make every distance to a centre it moved NaN, for good.
+    """
     bad = (
         F.col("movie_id").isNull()
         | F.col("tag_id").isNull()
-        | F.col("relevance").isNull()
+        | ~_finite("relevance")
         | (F.col("tag_id") < 1)
         | (F.col("tag_id") > dim)
     )
@@ -28,7 +36,7 @@ def assemble_tag_vectors(scores: DataFrame, dim: int, on_error: str = "quarantin
 
     Position ``tag_id - 1`` holds the relevance; a missing tag is 0. A repeated
     ``(movie_id, tag_id)`` keeps the largest relevance (deterministic). Rows with
-    nulls or out-of-range tags are left out (see :func:`tag_score_rejects`), or
+    nulls, non-finite scores or out-of-range tags are left out (see :func:`tag_score_rejects`), or
     fail the job with ``on_error="fail"``.
 
     Plan: a partial+final ``max`` on ``(movie, tag)`` collapses duplicates before
@@ -37,14 +45,14 @@ def assemble_tag_vectors(scores: DataFrame, dim: int, on_error: str = "quarantin
     in_range = (
         F.col("movie_id").isNotNull()
         & F.col("tag_id").isNotNull()
-        & F.col("relevance").isNotNull()
+        & _finite("relevance")
         & F.col("tag_id").between(1, dim)
     )
     if on_error == "fail":
         scores = scores.withColumn(
             "relevance",
             F.when(in_range, F.col("relevance")).otherwise(
-                F.raise_error(F.lit(f"tag score outside 1..{dim} or null")).cast("float")
+                F.raise_error(F.lit(f"tag score outside 1..{dim}, null or not finite")).cast("float")
             ),
         )
     elif on_error == "quarantine":
@@ -97,8 +105,12 @@ def scale_features(df: DataFrame, by: str = "rating", src: str = "scores", dst:
     return df.withColumn(dst, to_double_via_text(scale(src, F.col(by))))
 
 
-def vector_bytes(dim: int) -> int:
-    return dim * 8 + _ROW_OVERHEAD_BYTES
+def vector_bytes(dim: int, columns: list[tuple[str, str]] | None = None) -> int:
+    """Bytes of a row whose array columns (name, type) hold ``dim`` elements each; one double array by default."""
+    if columns is None:
+        return dim * 8 + _ROW_OVERHEAD_BYTES
+    widths = {"array<float>": 4, "array<double>": 8}
+    return sum(dim * widths[t] for _, t in columns if t in widths) + _ROW_OVERHEAD_BYTES
 
 
 def maybe_broadcast(df: DataFrame, n_rows: int, row_bytes: int, limit_bytes: int) -> DataFrame:
@@ -106,22 +118,41 @@ def maybe_broadcast(df: DataFrame, n_rows: int, row_bytes: int, limit_bytes: int
     return F.broadcast(df) if n_rows * row_bytes <= limit_bytes else df
 
 
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int, salts: int = 32) -> DataFrame:
+    """Inner join of a table with hot keys to one with few rows per key.
+
+    Keys of which ``left`` has more than ``hot_rows`` rows (there are at most rows /
+    ``hot_rows`` of them) are split: their rows are dealt over ``salts`` parts, and the
+    matching rows of ``right`` are copied to each. Other keys join as they are.
+    """
+    hot = left.groupBy(*keys).count().where(F.col("count") > hot_rows).select(*keys, F.lit(True).alias("_hot"))
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns if c not in keys] or [F.lit(0)]), F.lit(salts)).cast("int")
+    one = F.when(F.col("_hot"), spread).otherwise(F.lit(0))
+    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    dealt = left.join(F.broadcast(hot), keys, "left").withColumn("_salt", one).drop("_hot")
+    copied = right.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(every)).drop("_hot")
+    return dealt.join(copied, [*keys, "_salt"], "inner").drop("_salt")
+
+
 def join_ratings_features(
     ratings: DataFrame,
     vectors: DataFrame,
     n_vectors: int | None = None,
     dim: int | None = None,
     broadcast_limit_bytes: int = 256 * 1024 * 1024,
+    hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """Inner equi-join of ratings with movie vectors on ``movie_id``.
 
     Ratings without a vector are dropped; repeated ratings keep their
-    multiplicity. The vector side is broadcast when ``n_vectors * row size``
-    is within the limit (both must be given); otherwise Spark shuffles, and a
-    vector table pre-partitioned on ``movie_id`` keeps its side in place.
+    multiplicity. The vector side is broadcast when ``n_vectors * row size`` (all its
+    array columns counted) is within the limit (both must be given); otherwise both sides are
+    shuffled, with movies of more than ``hot_rows`` ratings split.
     """
     if n_vectors is not None and dim is not None:
-        vectors = maybe_broadcast(vectors, n_vectors, vector_bytes(dim), broadcast_limit_bytes)
+        if n_vectors * vector_bytes(dim, vectors.dtypes) <= broadcast_limit_bytes:
+            return ratings.join(F.broadcast(vectors), "movie_id", "inner")
+        return salted_join(ratings, vectors, ["movie_id"], hot_rows)
     return ratings.join(vectors, "movie_id", "inner")
 
 

@@ -10,6 +10,9 @@ on K rows or is a distributed aggregate.
 
 from __future__ import annotations
 
+import math
+import secrets
+
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -28,10 +31,6 @@ WEIGHT_FLOOR = 1e-16
 DYING_RATIO = 1e-8
 SPLIT_EPS = 1e-14
 
-# Vector width up to which "auto" assignment stays in the JVM.
-AUTO_SQL_MAX_DIM = 128
-
-
 # --------------------------------------------------------------------------- init
 
 
@@ -46,9 +45,29 @@ def state_frame(spark: SparkSession, centers, weights) -> DataFrame:
 def init_centers(
     spark: SparkSession, k: int = 5, dim: int = 1128, weight: float = 0.0, seed: int | None = None
 ) -> DataFrame:
-    """K random centres with standard normal elements, all with the same weight."""
-    rng = np.random.default_rng(seed)
-    return state_frame(spark, rng.standard_normal((k, dim)), [weight] * k)
+    """K random centres with standard normal elements, all with the same weight.
+
+    An element is the Box-Muller transform of two uniform numbers, which are 48
+    bits of the md5 of ``seed:cluster:element:1`` and ``...:2``; so a seed gives the
+    same centres on any cluster, and an SQL engine can check them.
+    """
+    seed = secrets.randbits(48) if seed is None else seed
+
+    def uniform(cluster: Column, i: Column, which: int) -> Column:
+        text = F.concat_ws(":", F.lit(str(seed)), cluster.cast("string"), i.cast("string"), F.lit(str(which)))
+        bits = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("double")
+        return (bits + F.lit(1.0)) / F.lit(float(2**48 + 1))
+
+    def normal(cluster: Column, i: Column) -> Column:
+        radius = F.sqrt(F.lit(-2.0) * F.log(uniform(cluster, i, 1)))
+        return radius * F.cos(F.lit(2 * math.pi) * uniform(cluster, i, 2))
+
+    c = F.col("id").cast("int")
+    return spark.range(0, k, 1, 1).select(
+        c.alias("cluster"),
+        F.transform(F.sequence(F.lit(1), F.lit(dim)), lambda i: normal(c, i)).alias("center"),
+        F.lit(float(weight)).alias("weight"),
+    )
 
 
 def centers_from_vectors(
@@ -95,10 +114,14 @@ def _arrow_nearest(centers: np.ndarray):
             return pa.array([], pa.int32())
         x = feats.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
         x = x.reshape(n, -1)
+        x = np.ascontiguousarray(x.T)
         d = np.empty((n, k))
         for j in range(k):
-            diff = x - c[j]
-            d[:, j] = np.einsum("ij,ij->i", diff, diff)
+            diff = x - c[j][:, None]
+            # rows of a matrix are added one after the other, so each distance is
+            # summed from the first element to the last, as the JVM form does
+            d[:, j] = np.add.reduce(diff * diff, axis=0)
+        d[np.isnan(d)] = np.inf  # a distance that is no number comes last
         return pa.array(np.argmin(d, axis=1).astype(np.int32))
 
     return F.arrow_udf(nearest, "int")
@@ -109,19 +132,18 @@ def assign_clusters(
     centers,
     features: str = "features",
     out: str = "cluster",
-    method: str = "auto",
+    method: str = "arrow",
 ) -> DataFrame:
     """Nearest centre (squared Euclidean distance, ties to the lowest index).
 
-    ``centers`` is the K x D model (K rows collected from the model table).
-    ``method="arrow"`` scores Arrow batches with numpy; ``method="sql"`` uses
-    built-in higher-order functions and stays in the JVM; ``"auto"`` picks
-    the JVM form for narrow vectors (no Python workers) and Arrow above
-    ``AUTO_SQL_MAX_DIM`` elements, where it was 6x faster at 1128.
+    ``centers`` is the K x D model (K rows collected from the model table). Arrow
+    batches are scored with numpy at every width. ``method="sql"`` is the same
+    in built-in higher-order functions (no Python workers, several times slower).
+    Both sum from the first element to the last, so exact ties agree; a distance
+    that is no number counts as infinite, so a centre or point holding NaN never wins over a
+    finite distance.
     """
     c = np.asarray(centers, dtype=np.float64)
-    if method == "auto":
-        method = "sql" if c.shape[-1] <= AUTO_SQL_MAX_DIM else "arrow"
     if method == "arrow":
         col: Column = _arrow_nearest(c)(F.col(features))
     elif method == "sql":
@@ -153,85 +175,6 @@ def cluster_stats(assigned: DataFrame, features: str = "features", weight_col: s
     )
 
 
-def _model_list(rows: DataFrame, fields: list[str]) -> Column:
-    """All K model rows as one array (a global aggregate over K rows, bounded by K)."""
-    return F.collect_list(F.struct(*fields))
-
-
-def _update_expr(s: Column, decay: float, time_unit: str) -> Column:
-    """Mini-batch rule on an array of ``(cluster, center, weight, n, total)`` structs."""
-    if time_unit == "points":
-        m_total = F.aggregate(s, F.lit(0.0), lambda acc, r: acc + F.coalesce(r["n"], F.lit(0.0)))
-        disc = F.pow(F.lit(float(decay)), m_total)
-    else:
-        disc = F.lit(float(decay))
-
-    def one(r: Column) -> Column:
-        m = F.coalesce(r["n"], F.lit(0.0))
-        w1 = r["weight"] * disc
-        nw = w1 + m
-        lam = m / F.greatest(nw, F.lit(WEIGHT_FLOOR))
-        moved = F.zip_with(r["center"], r["total"], lambda c, t: (F.lit(1.0) - lam) * c + (lam / m) * t)
-        has = m > 0
-        return F.struct(
-            r["cluster"].alias("cluster"),
-            F.when(has, moved).otherwise(r["center"]).alias("center"),
-            F.when(has, nw).otherwise(w1).alias("weight"),
-        )
-
-    return F.transform(s, one)
-
-
-def _split(df: DataFrame, arr: str) -> DataFrame:
-    """Dying-cluster split on an array column of ``(cluster, center, weight)`` structs.
-
-    The extremes, their clusters and the heavy centre are computed once in
-    their own projections and then used by the per-cluster transform.
-    """
-    s = F.col(arr)
-    ws = F.transform(s, lambda r: r["weight"])
-    df = df.select(s.alias("_s"), F.array_max(ws).alias("_max"), F.array_min(ws).alias("_min"))
-    s, maxw, minw = F.col("_s"), F.col("_max"), F.col("_min")
-    df = df.select(
-        "_s",
-        "_max",
-        "_min",
-        F.array_min(F.transform(F.filter(s, lambda r: r["weight"] == maxw), lambda r: r["cluster"])).alias("_big"),
-        F.array_min(F.transform(F.filter(s, lambda r: r["weight"] == minw), lambda r: r["cluster"])).alias("_small"),
-    )
-    big, small = F.col("_big"), F.col("_small")
-    df = df.withColumn("_x", F.element_at(F.filter(s, lambda r: r["cluster"] == big), 1)["center"])
-    df = df.withColumn("_dying", minw < F.lit(DYING_RATIO) * maxw)
-    x, dying = F.col("_x"), F.col("_dying")
-
-    def shifted(sign: float) -> Column:
-        return F.transform(x, lambda e: e + F.lit(sign) * (F.lit(SPLIT_EPS) * F.greatest(F.abs(e), F.lit(1.0))))
-
-    def one(r: Column) -> Column:
-        is_big = dying & (r["cluster"] == big)
-        is_small = dying & (r["cluster"] == small)
-        return F.struct(
-            r["cluster"].alias("cluster"),
-            F.when(is_big, shifted(1.0)).when(is_small, shifted(-1.0)).otherwise(r["center"]).alias("center"),
-            F.when(is_big | is_small, (maxw + minw) / F.lit(2.0)).otherwise(r["weight"]).alias("weight"),
-        )
-
-    return df.select(F.transform(s, one).alias(arr))
-
-
-def _explode_model(df: DataFrame, arr: str) -> DataFrame:
-    return df.select(F.explode(arr).alias("m")).select(
-        F.col("m.cluster").cast("int").alias("cluster"),
-        F.col("m.center").alias("center"),
-        F.col("m.weight").cast("double").alias("weight"),
-    )
-
-
-def _with_stats(state: DataFrame, stats: DataFrame) -> DataFrame:
-    # both sides are K rows: the broadcast keeps the join inside one stage
-    return state.join(F.broadcast(stats.select("cluster", "n", "total")), "cluster", "left")
-
-
 def update_centers(
     state: DataFrame, stats: DataFrame, decay: float = 1.0, time_unit: str = "batches"
 ) -> DataFrame:
@@ -241,14 +184,12 @@ def update_centers(
     weight ``w``, batch count ``m`` and sum ``s``:
     ``w' = a*w + m``; ``l = m / max(w', 1e-16)``; ``c' = (1-l)*c + (l/m)*s``.
     A cluster without points keeps its centre and only its weight decays.
-    The K model rows are gathered into one array (bounded by K), updated with
-    higher-order functions and exploded back.
+    Both tables have K rows at most; the rule runs on the driver
+    (:func:`update_arrays`), where a stream or fold needs the model anyway.
     """
-    if time_unit not in ("batches", "points"):
-        raise ValueError("time_unit must be 'batches' or 'points'")
-    j = _with_stats(state, stats)
-    s = j.agg(_model_list(j, ["cluster", "center", "weight", "n", "total"]).alias("s"))
-    return _explode_model(s.select(_update_expr(F.col("s"), decay, time_unit).alias("s")), "s")
+    c, w = model_arrays(state)
+    n, total = stats_arrays(stats.select("cluster", "n", "total").collect(), *c.shape)
+    return state_frame(state.sparkSession, *update_arrays(c, w, n, total, decay, time_unit))
 
 
 def decay_weights(state: DataFrame, decay: float) -> DataFrame:
@@ -263,18 +204,12 @@ def split_dying_cluster(state: DataFrame) -> DataFrame:
     and the lightest ``x-p`` with ``p = 1e-14*max(|x|,1)`` per element. Ties
     pick the lowest cluster index. At most one split per batch.
     """
-    s = state.agg(_model_list(state, ["cluster", "center", "weight"]).alias("s"))
-    return _explode_model(_split(s, "s"), "s")
+    return state_frame(state.sparkSession, *split_arrays(*model_arrays(state)))
 
 
 def train_step(state: DataFrame, stats: DataFrame, decay: float = 1.0, time_unit: str = "batches") -> DataFrame:
-    """One model update: decay + mini-batch rule + dying-cluster split, in one K-row aggregate."""
-    if time_unit not in ("batches", "points"):
-        raise ValueError("time_unit must be 'batches' or 'points'")
-    j = _with_stats(state, stats)
-    s = j.agg(_model_list(j, ["cluster", "center", "weight", "n", "total"]).alias("s"))
-    u = s.select(_update_expr(F.col("s"), decay, time_unit).alias("s"))
-    return _explode_model(_split(u, "s"), "s")
+    """One model update: decay, mini-batch rule, dying-cluster split."""
+    return split_dying_cluster(update_centers(state, stats, decay, time_unit))
 
 
 def stats_arrays(stats_rows, k: int, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -287,7 +222,7 @@ def stats_arrays(stats_rows, k: int, dim: int) -> tuple[np.ndarray, np.ndarray]:
     return n, total
 
 
-def train_step_arrays(
+def update_arrays(
     centers: np.ndarray,
     weights: np.ndarray,
     n: np.ndarray,
@@ -295,14 +230,9 @@ def train_step_arrays(
     decay: float = 1.0,
     time_unit: str = "batches",
 ) -> tuple[np.ndarray, np.ndarray]:
-    """:func:`train_step` on the driver's copy of the K x D model (same rule, same rounding).
-
-    A stream or fold has to bring the K cluster sums to the driver anyway (they
-    seed the next batch's assignment), so the K-row update runs there instead
-    of as another Spark job; tests hold it bit-equal to the DataFrame form
-    (for unit "points" the discount ``decay ** points`` may differ in the last
-    bit between Python's and the JVM's ``pow``).
-    """
+    """The rule of :func:`update_centers` on the K x D model."""
+    if time_unit not in ("batches", "points"):
+        raise ValueError("time_unit must be 'batches' or 'points'")
     c = np.array(centers, dtype=np.float64, copy=True)
     disc = float(decay) ** float(n.sum()) if time_unit == "points" else float(decay)
     w = np.asarray(weights, dtype=np.float64) * disc
@@ -311,6 +241,12 @@ def train_step_arrays(
         lam = n[j] / max(nw, WEIGHT_FLOOR)
         c[j] = (1.0 - lam) * c[j] + (lam / n[j]) * total[j]
         w[j] = nw
+    return c, w
+
+
+def split_arrays(centers: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rule of :func:`split_dying_cluster` on the K x D model."""
+    c, w = np.array(centers, dtype=np.float64, copy=True), np.array(weights, dtype=np.float64, copy=True)
     big, small = int(np.argmax(w)), int(np.argmin(w))
     if w[small] < DYING_RATIO * w[big]:
         half = (w[big] + w[small]) / 2.0
@@ -321,6 +257,18 @@ def train_step_arrays(
     return c, w
 
 
+def train_step_arrays(
+    centers: np.ndarray,
+    weights: np.ndarray,
+    n: np.ndarray,
+    total: np.ndarray,
+    decay: float = 1.0,
+    time_unit: str = "batches",
+) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`train_step` on the driver's copy of the K x D model; streams and folds use this form."""
+    return split_arrays(*update_arrays(centers, weights, n, total, decay, time_unit))
+
+
 def train_idle(
     centers: np.ndarray, weights: np.ndarray, intervals: int, decay: float = 1.0, time_unit: str = "batches"
 ) -> tuple[np.ndarray, np.ndarray]:

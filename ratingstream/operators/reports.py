@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,26 +19,25 @@ def prediction_report(
     preds: DataFrame,
     cluster_col: str = "cluster",
     order_col: str | None = None,
-    max_per_line: int = 10000,
+    span: int = 1_000_000,
+    group_cols: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Sampled predictions joined by commas, in lines of about ``max_per_line`` entries.
+    """Sampled predictions joined by commas, a line for every ``span`` values of ``order_col``.
 
-    The reference prints all of a batch's sampled predictions on one line; a
-    sample still grows with the data, so the rows are spread over
-    ``ceil(n / max_per_line)`` lines by a hash of ``order_col`` (or of the whole
-    row), and no task or line holds an unbounded list. Within a line the
-    entries follow ``order_col`` (the message offset, say) when given.
+    A line holds the predictions whose ``order_col`` (an offset, say) lies in its range, in
+    that order; ``line_no`` is the range's number, so lines sort like the messages whatever
+    their number, and a line has ``span`` entries at most. ``group_cols`` (the topic partition)
+    number their messages on their own. Without ``order_col`` the entries are spread over
+    64 lines by a hash of the row and have no order.
     """
-    n = preds.count()
-    chunks = max(1, math.ceil(n / max_per_line))
     if order_col:
-        h = F.conv(F.substring(F.md5(F.col(order_col).cast("string")), 1, 8), 16, 10).cast("bigint")
+        line_no = F.floor(F.col(order_col) / F.lit(span)).cast("long")
         entry = F.struct(F.col(order_col).alias("k"), F.col(cluster_col).alias("c"))
     else:
-        h = F.xxhash64(*[F.col(c) for c in preds.columns])
+        line_no = F.pmod(F.xxhash64(*[F.col(c) for c in preds.columns]), F.lit(64)).cast("long")
         entry = F.struct(F.col(cluster_col).alias("c"))
     line = F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["c"].cast("string")), ",")
-    return preds.groupBy(F.pmod(h, F.lit(chunks)).alias("line_no")).agg(
+    return preds.groupBy(*group_cols, line_no.alias("line_no")).agg(
         F.count(F.lit(1)).alias("n"), line.alias("line")
     ).withColumn("reported_at", F.current_timestamp())
 

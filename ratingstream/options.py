@@ -73,9 +73,11 @@ class StreamOptions:
     sample_seed: int = 17
     scale_by_rating: bool = False
     on_error: str = "quarantine"  # or "fail"
-    max_records_per_s_per_partition: int = 2000
+    max_records_per_s_per_partition: int = 2000  # 0: no cap
     broadcast_limit_bytes: int = 256 * 1024 * 1024
-    assign_method: str = "auto"  # "arrow", "sql" or "auto" (by vector width)
+    assign_method: str = "arrow"  # or "sql"; the same results
+    hot_movie_rows: int = 1_000_000  # ratings of one movie beyond this are salted in shuffled joins
+    report_span: int = 1_000_000  # offsets per line of the prediction report
     # Replay the empty intervals between two batches as empty model updates
     # (decay and the dying-cluster check), as a timer-driven stream would run
     # them. Off by default: Structured Streaming runs no batch without data.
@@ -91,6 +93,8 @@ class KafkaOptions:
     # Spark tasks per micro-batch at least this many: the reference's topic has
     # two partitions (user parity), which alone would give two parse tasks.
     min_partitions: int | None = None
+    # Expired or truncated offsets fail the query (Spark's default) unless this is turned off.
+    fail_on_data_loss: bool = True
     extra: dict = field(default_factory=dict)  # passed through with a "kafka." prefix
 
 

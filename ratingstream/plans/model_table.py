@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..schemas import MODEL_STATE
 from ..session import is_complete
 
-SEED_BATCH = -1
+#: Stands for the model before the first batch; its folder is ``<root>/seed``, outside the batch ids.
+SEED = None
 _DIR = re.compile(r"batch_id=(-?\d+)$")
 
 
@@ -28,54 +29,50 @@ def read_state(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MODEL_STATE).parquet(path)
 
 
-def batch_path(root: str, batch_id: int) -> str:
+def batch_path(root: str, batch_id: int | None) -> str:
+    if batch_id is None:
+        return f"{root.rstrip('/')}/seed"
     return f"{root.rstrip('/')}/batch_id={int(batch_id)}"
 
 
-def has_batch(spark: SparkSession, root: str, batch_id: int) -> bool:
+def has_batch(spark: SparkSession, root: str, batch_id: int | None) -> bool:
     return is_complete(spark, batch_path(root, batch_id))
 
 
-def complete_batches(spark: SparkSession, root: str) -> list[int]:
-    """Batch ids with a complete state folder (one listing of the root)."""
+def complete_batches(spark: SparkSession, root: str, mark: str = "_SUCCESS") -> list[int]:
+    """Batch ids with a complete state folder: one pattern listing, no call per folder."""
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    ids = []
-    for st in fs.listStatus(p):
-        m = _DIR.search(st.getPath().getName())
-        if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            ids.append(int(m.group(1)))
-    return sorted(ids)
-
-
-def previous_batch(spark: SparkSession, root: str, batch_id: int) -> int:
-    """The newest complete batch before ``batch_id`` (usually ``batch_id - 1``)."""
+    p = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/batch_id=*/{mark}" if mark else f"{root.rstrip('/')}/batch_id=*")
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p) or []
+    names = ((st.getPath().getParent() if mark else st.getPath()).getName() for st in found)
+    return sorted(int(m.group(1)) for m in map(_DIR.search, names) if m)
+
+
+def previous_batch(spark: SparkSession, root: str, batch_id: int) -> int | None:
+    """The newest complete batch before ``batch_id`` (usually ``batch_id - 1``), or the seed."""
     if has_batch(spark, root, batch_id - 1):
         return batch_id - 1
     earlier = [b for b in complete_batches(spark, root) if b < batch_id]
-    if not earlier:
+    if not earlier and not has_batch(spark, root, SEED):
         raise RuntimeError(f"no model state before batch {batch_id} under {root}")
-    return earlier[-1]
+    return earlier[-1] if earlier else SEED
 
 
 def write_seed(spark: SparkSession, root: str, state0: DataFrame) -> None:
-    if not has_batch(spark, root, SEED_BATCH):
-        write_state(state0, batch_path(root, SEED_BATCH))
+    if not has_batch(spark, root, SEED):
+        write_state(state0, batch_path(root, SEED))
 
 
-def read_batch(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
+def read_batch(spark: SparkSession, root: str, batch_id: int | None) -> DataFrame:
     return read_state(spark, batch_path(root, batch_id))
 
 
-def write_batch(state: DataFrame, root: str, batch_id: int) -> None:
+def write_batch(state: DataFrame, root: str, batch_id: int | None) -> None:
     write_state(state, batch_path(root, batch_id))
 
 
 def read_all(spark: SparkSession, root: str) -> DataFrame:
-    """Every complete state with its ``batch_id``."""
+    """Every complete state with its ``batch_id`` (the seed isn't among them)."""
     ids = complete_batches(spark, root)
     if not ids:
         raise RuntimeError(f"no model state under {root}")

@@ -6,14 +6,11 @@ CTE snippets; the multi-batch model fold is generated one block per day.
 
 from __future__ import annotations
 
-from .queries import DECAY_CASE, FAR_FACTOR, K, ROUND, SAMPLE_FRACTION
+from .queries import DECAY_CASE, FAR_FACTOR, INIT_SEED, K, REPORT_SPAN, ROUND, SAMPLE_FRACTION, WIDE
 from ..operators.features import sample_threshold
 from ..operators.kmeans import DYING_RATIO, SPLIT_EPS, WEIGHT_FLOOR
 from ..sources.fixtures import MOVIE_ID_MODULUS, PARTITIONS, TOPIC
 
-# Entries per prediction report line.
-REPORT_LINE = 10000
-
 # Days of the events table (2024-01-01 .. 2024-01-30); one model batch per
 # day, numbered as days since 1970-01-01 (2024-01-01 is day 19723).
 FIRST_EPOCH_DAY = 19723
@@ -205,7 +202,7 @@ cnt1 AS (SELECT movie_id, count(*) AS n FROM good GROUP BY movie_id)"""
     )
 
 
-def _daily_fold(with_predictions: bool = False) -> str:
+def _daily_fold(with_predictions: bool = False, out: str | None = None) -> str:
     blocks = []
     prev = "st0"
     for b in range(N_DAYS):
@@ -219,6 +216,11 @@ cnt_d{b} AS (
         blocks.append(_step_block(f"d{b}", f"cnt_d{b}", prev, 1.0))
         prev = f"st_d{b}"
     head = _with(_MSGS, _FIELDS, _PARSED, _VEC, _START, *blocks)
+    if out == "model_report":
+        return head + "\n" + "\nUNION ALL\n".join(
+            f"SELECT {b} AS batch_id, CAST(cluster AS INTEGER) AS cluster, CAST(i AS INTEGER) AS tag_id, round(c, {ROUND}) AS center FROM st_d{b}"
+            for b in range(N_DAYS)
+        )
     if not with_predictions:
         return head + _state_out(prev)
     thr = sample_threshold(SAMPLE_FRACTION)
@@ -235,9 +237,15 @@ sp_d{b} AS (
         )
         preds.append(_assign_block(f"p{b}", f"sp_d{b}", f"st_d{b}"))
     union = "\nUNION ALL\n".join(
-        f"SELECT s.msg_id, s.user_id, s.movie_id, a.cluster FROM sp_d{b} s JOIN a_p{b} a ON a.movie_id = s.movie_id"
+        f"SELECT s.msg_id, s.user_id, s.movie_id, a.cluster{f', {b} AS batch_id' if out else ''} FROM sp_d{b} s JOIN a_p{b} a ON a.movie_id = s.movie_id"
         for b in range(N_DAYS)
     )
+    if out == "prediction_report":
+        # the partition is the source user's, as the records were published
+        union = f"""
+SELECT batch_id, '{TOPIC}' AS topic, CAST(g.src_user % {PARTITIONS} AS INTEGER) AS partition, p.msg_id // {REPORT_SPAN} AS line_no,
+       count(*) AS n, string_agg(CAST(cluster AS VARCHAR), ',' ORDER BY p.msg_id) AS line
+FROM ({union}) p JOIN checked g ON g.msg_id = p.msg_id GROUP BY 1, 2, 3, 4"""
     return head + "," + ",".join(p.strip("\n") for p in preds) + "\n" + union
 
 
@@ -282,6 +290,8 @@ FROM msgs"""
 SELECT count(*) AS n_read, count(*) FILTER (WHERE rejected) AS n_rejected,
        count(*) FILTER (WHERE NOT rejected) AS n_published,
        round(100.0 * count(*) FILTER (WHERE NOT rejected) / count(*), {ROUND}) AS pct_published FROM rb"""
+    q["stamp_time"] = _with(_MSGS, _FIELDS, _PARSED) + """
+SELECT msg_id, user_id, movie_id, rating, true AS stamped, CAST(1 AS BIGINT) AS n_stamps FROM good"""
     q["rekey_by_movie"] = _with(_MSGS, _FIELDS, _PARSED) + "\nSELECT movie_id, user_id, rating FROM good"
 
     q["assemble_tag_vectors"] = _with(_VEC) + "\nSELECT movie_id, tag_id, score FROM vec"
@@ -293,6 +303,16 @@ mx AS (SELECT movie_id, tag_id, max(rel) AS rel FROM li GROUP BY movie_id, tag_i
 grid AS (SELECT DISTINCT li.movie_id, CAST(r.i AS INTEGER) AS tag_id
          FROM li, dim, range(1, dim.d + 1) r(i))
 SELECT g.movie_id, g.tag_id, coalesce(mx.rel, CAST(0 AS FLOAT)) AS score
+FROM grid g LEFT JOIN mx ON mx.movie_id = g.movie_id AND mx.tag_id = g.tag_id"""
+    q["assemble_tag_vectors_nonfinite"] = """
+WITH li AS (SELECT CAST(l_partkey AS INTEGER) AS movie_id, CAST(l_linenumber AS INTEGER) AS tag_id,
+                   CAST(l_discount AS FLOAT) AS rel FROM lineitem),
+dim AS (SELECT max(tag_id) AS d FROM li),
+fine AS (SELECT * FROM li WHERE rel NOT IN (CAST(0.05 AS FLOAT), CAST(0.06 AS FLOAT))),
+mx AS (SELECT movie_id, tag_id, max(rel) AS rel FROM fine GROUP BY movie_id, tag_id),
+grid AS (SELECT DISTINCT fine.movie_id, CAST(r.i AS INTEGER) AS tag_id
+         FROM fine, dim, range(1, dim.d + 1) r(i))
+SELECT g.movie_id, g.tag_id, coalesce(mx.rel, CAST(0 AS FLOAT)) AS score
 FROM grid g LEFT JOIN mx ON mx.movie_id = g.movie_id AND mx.tag_id = g.tag_id"""
     q["array_to_features"] = _with(_VEC) + "\nSELECT movie_id, tag_id, x AS feature FROM vec"
 
@@ -305,7 +325,7 @@ SELECT msg_id, user_id, movie_id, rating, {_summary('features')} FROM joined"""
 SELECT msg_id, movie_id, rating, {_summary('scaled')} FROM scaled"""
     q["label_points"] = joined + f"""
 SELECT CAST(user_id AS DOUBLE) AS label, msg_id, movie_id, {_summary('features')} FROM joined"""
-    q["project_features"] = joined + f"\nSELECT msg_id, {_summary('features')} FROM joined"
+    q["project_features"] = joined + f"\nSELECT {_summary('features')} FROM joined"
     q["sample_rows"] = joined + f"""
 SELECT msg_id, user_id, movie_id FROM joined
 WHERE substr(md5(CAST(msg_id AS VARCHAR)), 1, 8) < '{thr}'"""
@@ -313,6 +333,23 @@ WHERE substr(md5(CAST(msg_id AS VARCHAR)), 1, 8) < '{thr}'"""
     assign_head = _with(_MSGS, _FIELDS, _PARSED, _VEC, _START) + ","
     q["assign_clusters"] = assign_head + _assign_block("x", "good", "st0") + """
 SELECT g.msg_id, g.user_id, g.movie_id, a.cluster FROM good g JOIN a_x a ON a.movie_id = g.movie_id"""
+    q["assign_clusters_wide"] = _with(_MSGS, _FIELDS, _PARSED, _VEC) + f""",
+wide AS (
+  SELECT v.movie_id, (r.t * d.dim + v.tag_id) AS tag_id, v.x
+  FROM vec v, (SELECT max(tag_id) AS dim FROM vec) d, range(0, {WIDE}) r(t)
+  WHERE r.t * d.dim + v.tag_id <= {WIDE}
+),
+stw AS (
+  SELECT CAST(dense_rank() OVER (ORDER BY movie_id) - 1 AS INTEGER) AS cluster, tag_id AS i, x AS c FROM wide
+  WHERE movie_id IN (SELECT movie_id FROM vecs ORDER BY movie_id LIMIT {K})
+),
+d_w AS (
+  SELECT v.movie_id, s.cluster, sum((v.x - s.c) * (v.x - s.c)) AS d
+  FROM wide v JOIN stw s ON s.i = v.tag_id
+  WHERE v.movie_id IN (SELECT movie_id FROM good)
+  GROUP BY v.movie_id, s.cluster
+)
+SELECT movie_id, cluster FROM d_w QUALIFY row_number() OVER (PARTITION BY movie_id ORDER BY d, cluster) = 1"""
     q["cluster_sizes"] = assign_head + _assign_block("x", "good", "st0") + """
 SELECT a.cluster, count(*) AS n FROM good g JOIN a_x a ON a.movie_id = g.movie_id GROUP BY a.cluster"""
     q["cluster_stats"] = assign_head + """
@@ -325,7 +362,10 @@ GROUP BY a.cluster, v.tag_id"""
 
     q["update_centers"] = _one_step("s_in AS (SELECT * FROM st0)", 1.0)
     decay, w0 = DECAY_CASE
-    q["decay_weights"] = _one_step(f"s_in AS (SELECT cluster, i, c, {float(w0)!r} AS w FROM st0)", decay)
+    q["decay_weights"] = _with(_MSGS, _FIELDS, _PARSED, _VEC, _START) + f"""
+SELECT CAST(cluster AS INTEGER) AS cluster, round({float(w0)!r}::DOUBLE * {float(decay)!r}::DOUBLE, {ROUND}) AS weight,
+       CAST(i AS INTEGER) AS tag_id, round(c, {ROUND}) AS center FROM st0"""
+    q["update_centers_decay"] = _one_step(f"s_in AS (SELECT cluster, i, c, {float(w0)!r} AS w FROM st0)", decay)
     q["split_dying_cluster"] = _one_step(
         f"s_in AS (SELECT cluster, i, CASE WHEN cluster = {K - 1} THEN c * {FAR_FACTOR!r} ELSE c END AS c, w FROM st0)",
         1.0,
@@ -343,17 +383,25 @@ FROM st_1 GROUP BY cluster""",
 , preds AS (
   SELECT g.msg_id, a.cluster FROM good g JOIN a_x a ON a.movie_id = g.movie_id
   WHERE substr(md5(CAST(g.msg_id AS VARCHAR)), 1, 8) < '{thr}'
-),
-chunks AS (SELECT greatest(1, CAST(ceil(count(*) / {REPORT_LINE}) AS BIGINT)) AS c FROM preds)
-SELECT ('0x' || substr(md5(CAST(msg_id AS VARCHAR)), 1, 8))::BIGINT % chunks.c AS line_no,
-       count(*) AS n, string_agg(CAST(cluster AS VARCHAR), ',' ORDER BY msg_id) AS line
-FROM preds, chunks GROUP BY 1"""
+)
+SELECT msg_id // {REPORT_SPAN} AS line_no, count(*) AS n,
+       string_agg(CAST(cluster AS VARCHAR), ',' ORDER BY msg_id) AS line
+FROM preds GROUP BY 1"""
     q["init_centers"] = f"""
-SELECT CAST(range AS INTEGER) AS cluster, 0.0::DOUBLE AS weight,
-       (SELECT CAST(max(len(embedding)) AS INTEGER) FROM embeddings) AS dim
-FROM range({K})"""
+WITH g AS (
+  SELECT CAST(k.range AS INTEGER) AS cluster, CAST(i.range AS INTEGER) AS tag_id
+  FROM range({K}) k, range(1, (SELECT max(len(embedding)) FROM embeddings) + 1) i
+), u AS (
+  SELECT *, (('0x' || substr(md5('{INIT_SEED}:' || cluster || ':' || tag_id || ':1'), 1, 12))::BIGINT + 1) / {float(2**48 + 1)!r} AS u1,
+            (('0x' || substr(md5('{INIT_SEED}:' || cluster || ':' || tag_id || ':2'), 1, 12))::BIGINT + 1) / {float(2**48 + 1)!r} AS u2
+  FROM g
+)
+SELECT cluster, 0.0::DOUBLE AS weight, tag_id, round(sqrt(-2.0 * ln(u1)) * cos(2 * pi() * u2), {ROUND}) AS center FROM u"""
     q["latest_model"] = _daily_fold()
+    q["fold_signed_batches"] = q["latest_model"]
     q["stateful_model"] = q["latest_model"]
+    q["stream_model_report"] = _daily_fold(out="model_report")
+    q["stream_prediction_report"] = _daily_fold(with_predictions=True, out="prediction_report")
     q["stream_predictions"] = _daily_fold(with_predictions=True)
     q["stream_quarantine"] = _with(_MSGS, _FIELDS, _PARSED) + """
 SELECT msg_id, value, reject_reason FROM checked WHERE reject_reason IS NOT NULL"""

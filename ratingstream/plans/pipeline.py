@@ -13,7 +13,7 @@ With ``scale_by_rating`` the features depend on the rating too, so the key is
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ from ..operators.features import (
     array_to_features,
     assemble_tag_vectors,
     join_ratings_features,
-    maybe_broadcast,
+    salted_join,
     scale_features,
 )
 from ..operators.kmeans import (
@@ -38,6 +38,9 @@ from ..options import KMeansOptions, StreamOptions
 from ..session import fresh_path, is_complete
 from . import model_table as mt
 
+# Writers that a batch's counts are dealt to in a fold.
+_FOLD_WRITERS = 16
+
 # Bytes per row of a (movie_id, cluster) table, for the broadcast size check.
 _ASSIGN_ROW_BYTES = 32
 
@@ -49,6 +52,20 @@ class VectorTable:
     df: DataFrame  # movie_id, scores (array<float>), features (array<double>)
     n: int
     dim: int
+    partitions: int = 8
+    held: dict = field(default_factory=dict)
+
+    def side(self, column: str) -> DataFrame:
+        """``movie_id`` and one array column, hash-partitioned on ``movie_id`` and cached on first use."""
+        if column not in self.held:
+            narrow = self.df.select("movie_id", column).repartition(self.partitions, "movie_id")
+            self.held[column] = narrow.persist()
+        return self.held[column]
+
+    def unpersist(self) -> None:
+        for df in self.held.values():
+            df.unpersist()
+        self.held.clear()
 
 
 def movie_vectors(scores: DataFrame, dim: int, on_error: str = "quarantine") -> DataFrame:
@@ -63,9 +80,9 @@ def materialize_vectors(
 
     The written table cuts the lineage (a lost executor re-reads it instead of
     re-running the pivot) and its row count sizes the join strategy. Given the
-    ``path`` of an earlier run, the table found there is used as it is. The
-    table is written hash-partitioned on ``movie_id`` and cached with that
-    partitioning, so a shuffle join only moves the (small) batch side.
+    ``path`` of an earlier run, the table found there is used as it is. The array
+    column that a mode uses is cached hash-partitioned on ``movie_id`` when it is first
+    needed (``VectorTable.side``), so a join moves only the (small) batch side.
     """
     path = path or fresh_path(spark, "vectors")
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -77,8 +94,7 @@ def materialize_vectors(
     ).first()
     if facts["n"] and (facts["lo"] != dim or facts["hi"] != dim):
         raise ValueError(f"vector length {facts['lo']}..{facts['hi']} differs from dim {dim}")
-    df = df.repartition(n_parts, "movie_id").persist()
-    return VectorTable(df=df, n=int(facts["n"]), dim=dim)
+    return VectorTable(df=df, n=int(facts["n"]), dim=dim, partitions=n_parts)
 
 
 def movie_counts(ratings: DataFrame, scale_by_rating: bool = False) -> DataFrame:
@@ -90,7 +106,6 @@ def batch_points(
     counts: DataFrame,
     vt: VectorTable,
     scale_by_rating: bool = False,
-    broadcast_limit_bytes: int = StreamOptions.broadcast_limit_bytes,
 ) -> DataFrame:
     """Per-movie (or per movie and rating) counts joined to their feature vectors.
 
@@ -99,8 +114,7 @@ def batch_points(
     (its size check, or AQE at run time) or shuffles only them to the
     vectors' partitioning. The static side is never re-broadcast per batch.
     """
-    side = vt.df.select("movie_id", "scores") if scale_by_rating else vt.df.select("movie_id", "features")
-    joined = counts.join(side, "movie_id", "inner")
+    joined = counts.join(vt.side("scores" if scale_by_rating else "features"), "movie_id", "inner")
     if scale_by_rating:
         joined = scale_features(joined, by="rating", src="scores", dst="features").drop("scores")
     return joined
@@ -111,11 +125,10 @@ def batch_stats(
     vt: VectorTable,
     centers,
     scale_by_rating: bool = False,
-    method: str = "auto",
-    broadcast_limit_bytes: int = StreamOptions.broadcast_limit_bytes,
+    method: str = "arrow",
 ) -> DataFrame:
     """K rows of ``cluster, n, total`` for one batch of rating counts."""
-    pts = batch_points(counts, vt, scale_by_rating, broadcast_limit_bytes)
+    pts = batch_points(counts, vt, scale_by_rating)
     return cluster_stats(assign_clusters(pts, centers, method=method), weight_col="n")
 
 
@@ -123,34 +136,39 @@ def assign_ratings(
     ratings: DataFrame,
     vt: VectorTable,
     centers,
-    method: str = "auto",
+    method: str = "arrow",
     broadcast_limit_bytes: int = StreamOptions.broadcast_limit_bytes,
     per_movie: bool = True,
     scale_by_rating: bool = False,
+    hot_rows: int = StreamOptions.hot_movie_rows,
 ) -> DataFrame:
     """Every rating with the cluster of its movie (ratings without a vector drop out).
 
-    With ``per_movie`` each distinct movie is scored once; the
-    ``movie_id → cluster`` table has at most one row per vector, so its size
-    bound is known before the join back and decides the broadcast. Without
+    With ``per_movie`` each vector is scored once; the ``movie_id → cluster``
+    table has one row per vector, so its size is known before the join and
+    decides the broadcast. Beyond the limit hot movies are split. Without
     it each row is scored where it is (no shuffle). With ``scale_by_rating``
     the features are the scores times the rating, so each distinct
     ``(movie_id, rating)`` is scored once and Spark sizes the join back.
     """
     if scale_by_rating:
         keys = ratings.select("movie_id", "rating").distinct()
-        pts = batch_points(keys.withColumn("n", F.lit(1)), vt, True, broadcast_limit_bytes)
+        pts = batch_points(keys.withColumn("n", F.lit(1)), vt, True)
         clusters = assign_clusters(pts, centers, method=method).select("movie_id", "rating", "cluster")
-        return ratings.join(clusters, ["movie_id", "rating"], "inner")
-    side = vt.df.select("movie_id", "features")
+        return salted_join(ratings, clusters, ["movie_id", "rating"], hot_rows)
     if not per_movie:
-        pts = join_ratings_features(ratings, side, vt.n, vt.dim, broadcast_limit_bytes)
+        pts = join_ratings_features(ratings, vt.side("features"), vt.n, vt.dim, broadcast_limit_bytes, hot_rows)
         return assign_clusters(pts, centers, method=method).drop("features")
-    movies = ratings.select("movie_id").distinct()
-    pts = movies.join(side, "movie_id", "inner")  # vectors stay in place, as in batch_points
-    clusters = assign_clusters(pts, centers, method=method).select("movie_id", "cluster")
-    clusters = maybe_broadcast(clusters, vt.n, _ASSIGN_ROW_BYTES, broadcast_limit_bytes)
-    return ratings.join(clusters, "movie_id", "inner")
+    # every vector is scored where it is cached: the ratings are read once, for the join
+    clusters = assign_clusters(vt.side("features"), centers, method=method).select("movie_id", "cluster")
+    if vt.n * _ASSIGN_ROW_BYTES <= broadcast_limit_bytes:
+        return ratings.join(F.broadcast(clusters), "movie_id", "inner")
+    return salted_join(ratings, clusters, ["movie_id"], hot_rows)
+
+
+def finite_ratings(ratings: DataFrame) -> DataFrame:
+    """Ratings that are finite numbers: the others can't scale a vector."""
+    return ratings.where(~F.isnan("rating") & (F.abs("rating") < float("inf")))
 
 
 def fold_batches(
@@ -165,6 +183,9 @@ def fold_batches(
 ) -> DataFrame:
     """Train batch after batch, in ``batch_col`` order; returns every state with ``batch_id``.
 
+    Batch ids are integers of any sign. With ``scale_by_rating`` ratings that are NaN or
+    infinite are left out.
+
     All batches are counted per movie in one pass first (a single shuffle of
     the ratings), written to the shared folder partitioned by batch; each
     step then reads only its own small partition. Each state is written as a
@@ -176,38 +197,42 @@ def fold_batches(
     keys = [batch_col, "movie_id"] + (["rating"] if stream.scale_by_rating else [])
     counts_path = f"{out_dir}/counts"
     if not is_complete(spark, counts_path):
+        if stream.scale_by_rating:
+            ratings = finite_ratings(ratings)
         (
             ratings.groupBy(*keys)
             .agg(F.count(F.lit(1)).alias("n"))
             .withColumnRenamed(batch_col, "batch_id")
-            # one writer per batch (a batch's counts are at most one row per
-            # movie), so each batch folder gets one file, not one per task
-            .repartition("batch_id")
+            # several writers per batch: with the rating in the key a batch's counts have
+            # no bound by the catalogue
+            .repartition(vt.partitions, "batch_id", F.pmod(F.hash("movie_id"), F.lit(_FOLD_WRITERS)))
             .write.mode("overwrite")
             .partitionBy("batch_id")
             .parquet(counts_path)
         )
     counts_all = spark.read.parquet(counts_path)
-    batch_ids = [r[0] for r in counts_all.select("batch_id").distinct().orderBy("batch_id").collect()]
+    batch_ids = sorted((r[0] for r in counts_all.select("batch_id").distinct().collect()), key=lambda b: (b is None, b))
+    if None in batch_ids:
+        raise ValueError(f"some ratings have no {batch_col}: a fold needs the batch of every rating")
 
     state_path = f"{out_dir}/state"
-    done = set(mt.complete_batches(spark, state_path))
-    if mt.SEED_BATCH not in done:
+    done = mt.complete_batches(spark, state_path)
+    if done != batch_ids[: len(done)]:
+        raise ValueError("the states under out_dir aren't those of the first batches: an earlier batch is new")
+    if not mt.has_batch(spark, state_path, mt.SEED):
         centers, weights = model_arrays(state0)
-        mt.write_batch(state_frame(spark, centers, weights), state_path, mt.SEED_BATCH)
-    last = max([b for b in done if b in batch_ids] or [mt.SEED_BATCH])
+        mt.write_batch(state_frame(spark, centers, weights), state_path, mt.SEED)
+    last = done[-1] if done else mt.SEED
     centers, weights = model_arrays(mt.read_batch(spark, state_path, last))
     check_dim(centers, vt.dim)
     # a state is written by one background thread, in batch order, while the
     # next step's cluster sums are computed
     writes = []
     with ThreadPoolExecutor(max_workers=1) as writer:
-        for b in batch_ids:
-            if b <= last:
-                continue
+        for b in batch_ids[len(done) :]:
             counts = counts_all.where(F.col("batch_id") == F.lit(b)).drop("batch_id")
             stats = batch_stats(
-                counts, vt, centers, stream.scale_by_rating, stream.assign_method, stream.broadcast_limit_bytes
+                counts, vt, centers, stream.scale_by_rating, stream.assign_method
             )
             # the K cluster sums come back to the driver: the update of the K x D
             # model runs there, and the new model seeds the next step's scoring

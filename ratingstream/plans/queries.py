@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import drop_last_field, encode_int_key
-from ..functions.vectors import format_vector, scale, vector_sum
+from ..functions.vectors import format_vector, vector_sum
 from ..operators import kmeans as km
-from ..operators.features import label_points, sample_rows
+from ..operators.features import label_points, project_features, sample_rows, scale_features
 from ..operators.parse import (
     accepted,
     parse_rating,
@@ -43,6 +43,10 @@ SAMPLE_FRACTION = 0.01
 ROUND = 6
 DECAY_CASE = (0.5, 100.0)
 FAR_FACTOR = 1000.0
+# Offsets per line of the prediction reports, the seed of random centres, and the width of the wide case.
+REPORT_SPAN = 10_000
+INIT_SEED = 42
+WIDE = 1128
 
 _CACHE: dict = {}
 
@@ -197,7 +201,10 @@ def q_publish_summary(spark, sf_dir):
 
 
 def q_stamp_time(spark, sf_dir):
-    return stamp_time(good_ratings(spark, sf_dir).select("msg_id", "user_id", "movie_id", "rating"))
+    """Every rating with whether it is stamped, and how many different stamps the query gave (one)."""
+    stamped = stamp_time(good_ratings(spark, sf_dir).select("msg_id", "user_id", "movie_id", "rating"), "stamp")
+    stamps = stamped.agg(F.countDistinct("stamp")).scalar()
+    return stamped.withColumn("stamped", F.col("stamp").isNotNull()).withColumn("n_stamps", stamps).drop("stamp")
 
 
 def q_rekey_by_movie(spark, sf_dir):
@@ -230,13 +237,13 @@ def q_join_ratings_features(spark, sf_dir):
 
 
 def q_scale_features(spark, sf_dir):
-    """Scores times rating, in float arithmetic, before the text step.
+    """Scores times rating through text, each element cast back to a float.
 
-    The text step itself is checked by ``array_to_features``: the JVM's float
-    to text conversion picks different (equally short) digits than DuckDB's
-    for a few products, so the oracle checks the product exactly instead.
+    The JVM's text of a float has other (equally short) digits than DuckDB's for a few
+    products; both read back as the same float, so the comparison is exact.
     """
-    j = joined(spark, sf_dir).withColumn("scaled", scale("scores", F.col("rating")).cast("array<double>"))
+    j = scale_features(joined(spark, sf_dir).drop("features"), dst="scaled")
+    j = j.withColumn("scaled", F.col("scaled").cast("array<float>").cast("array<double>"))
     return j.select("msg_id", "movie_id", "rating", *_summary(j, "scaled"))
 
 
@@ -246,8 +253,8 @@ def q_label_points(spark, sf_dir):
 
 
 def q_project_features(spark, sf_dir):
-    f = joined(spark, sf_dir).select("msg_id", "features")
-    return f.select("msg_id", *_summary(f))
+    f = project_features(joined(spark, sf_dir))
+    return f.select(*_summary(f))
 
 
 def q_sample_rows(spark, sf_dir):
@@ -260,8 +267,7 @@ def q_sample_rows(spark, sf_dir):
 
 def q_init_centers(spark, sf_dir):
     vt = vector_table(spark, sf_dir)
-    st = km.init_centers(spark, K, vt.dim, 0.0, seed=42)
-    return st.select("cluster", "weight", F.size("center").alias("dim"))
+    return state_long(km.init_centers(spark, K, vt.dim, 0.0, seed=INIT_SEED))
 
 
 def q_assign_clusters(spark, sf_dir):
@@ -285,21 +291,66 @@ def q_cluster_stats(spark, sf_dir):
     return long_vectors(st.withColumn("n", F.col("n").cast("long")), ["cluster", "n"], "total", "total", ROUND)
 
 
-def _one_step(spark, sf_dir, state0: DataFrame, decay: float = 1.0) -> DataFrame:
+def q_assign_clusters_wide(spark, sf_dir):
+    """The assignment at the full vector width: each movie's features repeated up to it."""
+    vt = vector_table(spark, sf_dir)
+    wide = tile_vectors(vt.df.select("movie_id", "features"), WIDE)
+    centers = km.model_arrays(km.centers_from_vectors(wide, K))[0]
+    movies = good_ratings(spark, sf_dir).select("movie_id").distinct()
+    return km.assign_clusters(wide.join(movies, "movie_id"), centers).select("movie_id", "cluster")
+
+
+def tile_vectors(vectors: DataFrame, width: int) -> DataFrame:
+    """``features`` repeated end to end and cut at ``width``."""
+    times = F.ceil(F.lit(width) / F.size("features")).cast("int")
+    return vectors.withColumn("features", F.slice(F.flatten(F.array_repeat("features", times)), 1, width))
+
+
+def _batch_sums(spark, sf_dir, state0: DataFrame) -> DataFrame:
     vt = vector_table(spark, sf_dir)
-    centers = km.model_arrays(state0)[0]
     counts = pl.movie_counts(good_ratings(spark, sf_dir))
-    stats = pl.batch_stats(counts, vt, centers)
-    return km.train_step(state0, stats, decay)
+    return pl.batch_stats(counts, vt, km.model_arrays(state0)[0])
+
+
+def _one_step(spark, sf_dir, state0: DataFrame, decay: float = 1.0) -> DataFrame:
+    return km.train_step(state0, _batch_sums(spark, sf_dir, state0), decay)
 
 
 def q_update_centers(spark, sf_dir):
-    return state_long(_one_step(spark, sf_dir, start_state(spark, sf_dir)))
+    s0 = start_state(spark, sf_dir)
+    return state_long(km.update_centers(s0, _batch_sums(spark, sf_dir, s0)))
+
+
+def q_update_centers_decay(spark, sf_dir):
+    decay, w0 = DECAY_CASE
+    s0 = start_state(spark, sf_dir, w0)
+    return state_long(km.update_centers(s0, _batch_sums(spark, sf_dir, s0), decay))
 
 
 def q_decay_weights(spark, sf_dir):
     decay, w0 = DECAY_CASE
-    return state_long(_one_step(spark, sf_dir, start_state(spark, sf_dir, w0), decay))
+    return state_long(km.decay_weights(start_state(spark, sf_dir, w0), decay))
+
+
+def q_assemble_tag_vectors_nonfinite(spark, sf_dir):
+    """Scores that are NaN or infinite are left out; the same movies' other scores stay."""
+    li = fx.table(spark, sf_dir, "lineitem")
+    s = fx.tag_scores_from_lineitem(li)
+    r = F.col("relevance")
+    odd = F.when(r == F.lit(0.05).cast("float"), F.lit(float("nan"))).when(r == F.lit(0.06).cast("float"), F.lit(float("inf")))
+    s = s.withColumn("relevance", F.coalesce(odd.cast("float"), r))
+    return long_vectors(pl.movie_vectors(s, fx.sparse_dim(li)), ["movie_id"], "scores", "score")
+
+
+def q_fold_signed_batches(spark, sf_dir):
+    """The daily fold with batch ids on both sides of zero; every batch is trained on."""
+    vt = vector_table(spark, sf_dir)
+    daily = _daily_ratings(spark, sf_dir)
+    middle = daily.agg(F.min("day") + F.floor((F.max("day") - F.min("day")) / 2)).first()[0]
+    states = pl.fold_batches(
+        spark, daily.withColumn("day", F.col("day") - middle), "day", vt, start_state(spark, sf_dir), KMeansOptions(k=K, dim=vt.dim)
+    )
+    return state_long(km.latest_model(states).drop("batch_id"))
 
 
 def q_split_dying_cluster(spark, sf_dir):
@@ -309,7 +360,7 @@ def q_split_dying_cluster(spark, sf_dir):
             F.col("center")
         ),
     )
-    return state_long(_one_step(spark, sf_dir, s0))
+    return state_long(km.split_dying_cluster(km.update_centers(s0, _batch_sums(spark, sf_dir, s0))))
 
 
 def _daily_ratings(spark, sf_dir) -> DataFrame:
@@ -339,7 +390,7 @@ def q_prediction_report(spark, sf_dir):
     vt = vector_table(spark, sf_dir)
     sampled = sample_rows(good_ratings(spark, sf_dir), SAMPLE_FRACTION, key_cols=["msg_id"])
     preds = pl.assign_ratings(sampled, vt, start_centers(spark, sf_dir))
-    return prediction_report(preds, order_col="msg_id").drop("reported_at")
+    return prediction_report(preds, order_col="msg_id", span=REPORT_SPAN).drop("reported_at")
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -373,7 +424,11 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "assign_clusters": q_assign_clusters,
         "cluster_sizes": q_cluster_sizes,
         "cluster_stats": q_cluster_stats,
+        "assign_clusters_wide": q_assign_clusters_wide,
+        "assemble_tag_vectors_nonfinite": q_assemble_tag_vectors_nonfinite,
+        "fold_signed_batches": q_fold_signed_batches,
         "update_centers": q_update_centers,
+        "update_centers_decay": q_update_centers_decay,
         "decay_weights": q_decay_weights,
         "split_dying_cluster": q_split_dying_cluster,
         "latest_model": q_latest_model,

@@ -22,7 +22,7 @@ _LOCAL_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.driver.memory": "16g",
+    "spark.driver.memory": "8g",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
 }
 
@@ -102,10 +102,6 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
 
 
-def to_local(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 __all__ = [
     "local_session",
     "checkpoint_root",
@@ -115,5 +111,4 @@ __all__ = [
     "is_complete",
     "publish_folder",
     "touch",
-    "to_local",
 ]

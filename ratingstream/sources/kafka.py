@@ -14,7 +14,7 @@ from ..schemas import KAFKA_RECORD
 
 
 def stream_source_rate(records_per_s_per_partition: int, partitions: int, interval_s: int) -> int:
-    """Records per trigger that match a per-partition per-second cap."""
+    """Records per trigger that match a per-partition per-second cap (0: no cap)."""
     return int(records_per_s_per_partition) * int(partitions) * int(interval_s)
 
 
@@ -29,7 +29,7 @@ def kafka_reader_options(
         # Structured Streaming keeps offsets in its checkpoint, not in a consumer
         # group; the configured group name becomes the prefix of the groups it uses
         "groupIdPrefix": opts.group_id,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(opts.fail_on_data_loss).lower(),
     }
     if max_offsets_per_trigger:
         o["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))

@@ -12,7 +12,8 @@ each micro-batch, in order:
    rule, split), as MLlib's streaming k-means does;
 4. score a 1 % sample of the batch with the updated model and write it to
    ``predictions/batch_id=N``; write Kafka offset ranges to ``offsets/``
-   (these writes, the quarantine and the state run as concurrent jobs);
+   (these writes, the dated model and prediction reports, the quarantine and the
+   state run as concurrent jobs);
 5. write the new model to ``state/batch_id=N`` (with the outputs above), then
    the marker ``commits/batch_id=N``, the completion mark.
 
@@ -20,10 +21,16 @@ Replays are idempotent: a batch whose marker exists is skipped, others are
 recomputed and overwrite their folders. The streaming checkpoint holds the
 source offsets; the state table holds the model, so a restarted query goes
 on from the last finished batch.
+
+Batch ids of the tables are the query's own plus a base kept beside the checkpoint's
+offsets. A query with a new checkpoint (the old one was lost, or another is named) counts its
+batches from 0 again; its base is then one past the last committed batch, so its
+records are trained on and no folder of an earlier batch is taken for its own.
 """
 
 from __future__ import annotations
 
+import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -34,8 +41,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import kmeans as km
 from ..operators.features import sample_rows
-from ..operators.parse import accepted, parse_rating, quarantined
-from ..operators.reports import offset_ranges
+from ..operators.parse import REJECT_COL, accepted, parse_rating, quarantined
+from ..operators.reports import model_report, offset_ranges, prediction_report
 from ..options import KMeansOptions, StreamOptions
 from ..plans import model_table as mt
 from ..plans import pipeline as pl
@@ -74,6 +81,14 @@ class StreamPaths:
     def commits(self) -> str:
         return f"{self.root}/commits"
 
+    @property
+    def model_reports(self) -> str:
+        return f"{self.root}/model_report"
+
+    @property
+    def prediction_reports(self) -> str:
+        return f"{self.root}/prediction_report"
+
 
 TRIGGER_COL = "_trigger_time"
 
@@ -108,7 +123,7 @@ def process_batch(
     if is_committed(spark, paths, batch_id):
         return False
     prev_id = mt.previous_batch(spark, paths.state, batch_id)
-    if memo is not None and memo.get("batch_id") == prev_id:
+    if memo and memo["batch_id"] == prev_id:
         centers, weights = memo["centers"], memo["weights"]
     else:
         centers, weights = km.model_arrays(mt.read_batch(spark, paths.state, prev_id))
@@ -119,12 +134,15 @@ def process_batch(
         keep = keep + [TRIGGER_COL]
     lines = batch.select(*keep, F.col("value").cast("string").alias("value"))
     parsed = parse_rating(lines, keep=keep + ["value"], on_error=opts.on_error)
+    if opts.scale_by_rating:  # such a rating would make its vector, and then a centre, not finite for good
+        odd = F.isnan("rating") | (F.abs("rating") == float("inf"))
+        parsed = parsed.withColumn(REJECT_COL, F.when(odd, F.lit("rating_not_finite")).otherwise(F.col(REJECT_COL)))
     parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good = accepted(parsed).drop("value")
         counts = pl.movie_counts(good, opts.scale_by_rating)
         stats = pl.batch_stats(
-            counts, vt, centers, opts.scale_by_rating, opts.assign_method, opts.broadcast_limit_bytes
+            counts, vt, centers, opts.scale_by_rating, opts.assign_method
         )
         # the K cluster sums (this job also fills the cache of the parsed batch)
         n, total = km.stats_arrays(stats.collect(), len(centers), vt.dim)
@@ -147,8 +165,12 @@ def process_batch(
         sample = sample.drop(TRIGGER_COL)
         preds = pl.assign_ratings(
             sample, vt, new_centers, opts.assign_method, opts.broadcast_limit_bytes,
-            scale_by_rating=opts.scale_by_rating,
+            scale_by_rating=opts.scale_by_rating, hot_rows=opts.hot_movie_rows,
         )
+        new_state = km.state_frame(spark, new_centers, new_weights)
+        by_offset = "offset" in keep
+        groups = tuple(c for c in ("topic", "partition") if c in keep) if by_offset else ()
+        report = prediction_report(preds, order_col="offset" if by_offset else None, span=opts.report_span, group_cols=groups)
         outputs += [
             (preds, mt.batch_path(paths.predictions, batch_id)),
             (quarantined(parsed).drop(TRIGGER_COL), mt.batch_path(paths.quarantine, batch_id)),
@@ -158,7 +180,11 @@ def process_batch(
                 parsed.select(*[c for c in ("topic", "partition", "offset") if c in keep], "reject_reason")
             )
             outputs.append((rng, mt.batch_path(paths.offsets, batch_id)))
-        outputs.append((km.state_frame(spark, new_centers, new_weights), mt.batch_path(paths.state, batch_id)))
+        outputs += [
+            (model_report(new_state), mt.batch_path(paths.model_reports, batch_id)),
+            (report, mt.batch_path(paths.prediction_reports, batch_id)),
+            (new_state, mt.batch_path(paths.state, batch_id)),
+        ]
         # the outputs are independent jobs over the cached batch: submit them
         # together so their small stages share the executors
         with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
@@ -184,6 +210,24 @@ def is_committed(spark: SparkSession, paths: StreamPaths, batch_id: int) -> bool
     return path_exists(spark, commit_path(paths, batch_id))
 
 
+_BASE = re.compile(r"batch_base=(\d+)$")
+
+
+def batch_base(spark: SparkSession, paths: StreamPaths, checkpoint: str) -> int:
+    """What this checkpoint's batch ids are counted from in the tables; fixed when the checkpoint is first used."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/batch_base=*")
+    marks = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p) or []
+    for st in marks:
+        return int(_BASE.search(st.getPath().getName()).group(1))
+    if path_exists(spark, f"{checkpoint.rstrip('/')}/metadata"):
+        return 0  # begun before bases were kept
+    done = mt.complete_batches(spark, paths.commits, mark="")
+    base = done[-1] + 1 if done else 0
+    touch(spark, f"{checkpoint.rstrip('/')}/batch_base={base}")
+    return base
+
+
 def idle_intervals(before_ms: int | None, now_ms: int, interval_s: int) -> int:
     """Whole intervals that passed without a batch between two trigger times."""
     if before_ms is None or interval_s <= 0:
@@ -213,13 +257,15 @@ def run_stream(
     opts: StreamOptions = StreamOptions(),
     available_now: bool = False,
     query_name: str | None = None,
+    checkpoint: str | None = None,
 ) -> tuple[StreamingQuery, StreamPaths]:
     """Start the clusterer on a streaming source of rating records or lines.
 
     ``source`` needs a ``value`` column (bytes or text); Kafka's ``topic``,
     ``partition``, ``offset``, ``timestamp`` are used when present.
     ``available_now`` processes what is there and stops (tests, backfills);
-    otherwise batches fire every ``opts.interval_s`` seconds.
+    otherwise batches fire every ``opts.interval_s`` seconds. ``checkpoint``
+    names another checkpoint folder than ``<out_dir>/checkpoint``.
     """
     paths = StreamPaths(out_dir or fresh_path(spark, "stream"))
     mt.write_seed(spark, paths.state, state0)
@@ -229,11 +275,13 @@ def run_stream(
         source = source.withColumn(TRIGGER_COL, F.current_timestamp())
 
     memo: dict = {}
+    checkpoint = checkpoint or paths.checkpoint
+    base = batch_base(spark, paths, checkpoint)
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        process_batch(spark, batch, batch_id, vt, paths, kmeans, opts, memo)
+        process_batch(spark, batch, base + batch_id, vt, paths, kmeans, opts, memo)
 
-    writer = source.writeStream.foreachBatch(fn).option("checkpointLocation", paths.checkpoint)
+    writer = source.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
     if available_now:

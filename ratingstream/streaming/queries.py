@@ -38,7 +38,7 @@ def replay_by_day(spark: SparkSession, sf_dir: str) -> StreamPaths:
     root = fresh_path(spark, "stream")
     inbox, staging = f"{root}/inbox", f"{root}/staging"
     records.withColumn("day", fx.epoch_day("timestamp")).write.partitionBy("day").parquet(staging)
-    opts = StreamOptions(sample_fraction=bq.SAMPLE_FRACTION)
+    opts = StreamOptions(sample_fraction=bq.SAMPLE_FRACTION, report_span=bq.REPORT_SPAN)
     km_opts = KMeansOptions(k=bq.K, dim=vt.dim)
     paths = None
     for d in _days(records):
@@ -74,7 +74,7 @@ def q_stream_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stateful_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = replay_by_day(spark, sf_dir)
-    last = mt.complete_batches(spark, paths.state)[-1]
+    last = mt.complete_batches(spark, paths.commits, mark="")[-1]  # the last committed batch
     return bq.state_long(mt.read_batch(spark, paths.state, last))
 
 
@@ -105,8 +105,26 @@ def q_stream_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_stream_model_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model lines that each batch reported, taken apart again into numbers."""
+    paths = replay_by_day(spark, sf_dir)
+    lines = spark.read.parquet(paths.model_reports).where(F.col("reported_at").isNotNull())
+    center = F.transform(F.split("line", ","), lambda x: x.cast("double"))
+    lines = lines.select(F.col("batch_id").cast("int").alias("batch_id"), "cluster", center.alias("center"))
+    return bq.long_vectors(lines, ["batch_id", "cluster"], "center", "center", bq.ROUND)
+
+
+def q_stream_prediction_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prediction lines that each batch reported, per topic partition and range of offsets."""
+    paths = replay_by_day(spark, sf_dir)
+    p = spark.read.parquet(paths.prediction_reports).where(F.col("reported_at").isNotNull())
+    return p.select(F.col("batch_id").cast("int").alias("batch_id"), "topic", "partition", "line_no", "n", "line")
+
+
 def registry():
     return {
+        "stream_model_report": q_stream_model_report,
+        "stream_prediction_report": q_stream_prediction_report,
         "stream_offsets": q_stream_offsets,
         "stream_ratings": q_stream_ratings,
         "stateful_model": q_stateful_model,

@@ -141,5 +141,34 @@ def test_arrow_and_sql_assignment_agree_on_wide_vectors(spark):
     b = km.assign_clusters(df, centers, method="sql").orderBy("i").select("cluster").collect()
     want = ((pts[:, None, :] - centers[None, :, :]) ** 2).sum(-1).argmin(1)
     assert [r[0] for r in a] == [r[0] for r in b] == want.tolist()
-    auto = km.assign_clusters(df, centers, method="auto")  # width 300 > 128: the Arrow form
-    assert "ArrowEvalPython" in auto._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("dim", [3, 64, 128, 129, 1128])
+def test_exact_ties_agree_at_every_width(spark, dim):
+    """Points half way between two centres: both forms sum alike, so both give the same (lowest) index."""
+    rng = np.random.default_rng(dim)
+    centers = rng.integers(-8, 8, (4, dim)).astype(float) / 8
+    mirrored = np.vstack([centers, -centers])
+    pts = np.vstack([np.zeros((1, dim)), rng.permuted(np.abs(rng.normal(size=(40, dim))), axis=1)])
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(pts)], "i int, features array<double>")
+    a = [r[0] for r in km.assign_clusters(df, mirrored).orderBy("i").select("cluster").collect()]
+    b = [r[0] for r in km.assign_clusters(df, mirrored, method="sql").orderBy("i").select("cluster").collect()]
+    assert a == b
+    assert "ArrowEvalPython" in km.assign_clusters(df, mirrored)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("method", ["arrow", "sql"])
+def test_nan_never_wins_over_a_finite_distance(spark, method):
+    nan, inf = float("nan"), float("inf")
+    centers = np.array([[nan, 0.0], [inf, 0.0], [5.0, 5.0], [-5.0, -5.0]])
+    df = _points(spark, [(4, 4), (-4, -4), (nan, 1), (inf, 0)])
+    got = [r[0] for r in km.assign_clusters(df, centers, method=method).select("cluster").collect()]
+    assert got == [2, 3, 0, 0]
+
+
+def test_init_centers_look_normal_and_follow_the_seed(spark):
+    c = km.model_arrays(km.init_centers(spark, k=20, dim=500, seed=3))[0]
+    assert abs(c.mean()) < 0.03 and abs(c.std() - 1) < 0.03
+    other = km.model_arrays(km.init_centers(spark, k=20, dim=500, seed=4))[0]
+    assert not np.allclose(c, other)
+    assert not np.allclose(*(km.model_arrays(km.init_centers(spark, k=2, dim=9))[0] for _ in range(2)))

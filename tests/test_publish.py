@@ -75,20 +75,18 @@ def test_api_names_every_inventory_operator():
 
 
 def test_prediction_report_lines_are_bounded_and_ordered(spark):
-    import hashlib
-    import math
-
+    """The lines are ranges of the key, whatever the number of rows."""
     from ratingstream.operators.reports import prediction_report
 
-    rows = [(i, i % 5) for i in range(95)]
-    preds = spark.createDataFrame(rows, "msg_id long, cluster int")
-    out = prediction_report(preds, order_col="msg_id", max_per_line=10).collect()
-    chunks = math.ceil(95 / 10)
-    want = {}
-    for i, c in rows:
-        want.setdefault(int(hashlib.md5(str(i).encode()).hexdigest()[:8], 16) % chunks, []).append(c)
-    assert {r["line_no"]: r["line"] for r in out} == {k: ",".join(map(str, v)) for k, v in want.items()}
-    assert sum(r["n"] for r in out) == 95
+    for n in (5, 95):
+        preds = spark.createDataFrame([(i, i % 2, i % 5) for i in reversed(range(n))], "msg_id long, partition int, cluster int")
+        out = sorted(prediction_report(preds, order_col="msg_id", span=10).collect(), key=lambda r: r["line_no"])
+        assert [r["line_no"] for r in out] == list(range((n + 9) // 10))
+        assert ",".join(r["line"] for r in out) == ",".join(str(i % 5) for i in range(n))
+        assert max(r["n"] for r in out) <= 10
+        by_part = prediction_report(preds, order_col="msg_id", span=10, group_cols=("partition",)).collect()
+        assert all(int(x) % 1 == 0 for r in by_part for x in r["line"].split(",")) and sum(r["n"] for r in by_part) == n
+    assert sum(r["n"] for r in prediction_report(preds).collect()) == 95
 
 
 def test_publish_counts_come_from_the_writing_pass(spark):
