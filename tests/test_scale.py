@@ -87,7 +87,7 @@ def test_fold_trains_on_negative_batch_ids(spark, vt):
     # the same ratings with later ids give the same model
     later = pl.fold_batches(spark, r.withColumn("b", F.col("b") + 100), "b", vt, state0, KMeansOptions(k=3, dim=DIM))
     for x, y in zip(*(km.model_arrays(km.latest_model(s).drop("batch_id")) for s in (states, later))):
-        np.testing.assert_array_equal(x, y)
+        np.testing.assert_allclose(x, y, rtol=1e-12)  # up to the order of the sums
     files = spark.read.parquet(f"{out}/counts").where("batch_id = 0").inputFiles()
     assert len(files) > 1
 
