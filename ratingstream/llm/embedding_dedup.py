@@ -176,10 +176,16 @@ def near_duplicates(
     distinct = good.groupBy("embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"))
     distinct = written(spark, distinct.select("vec_id", "embedding", "copies"), "distinct_vectors")
     n = distinct.count()
+    ok = F.coalesce(usable("embedding"), F.lit(False))
+    rest = src.where(F.col("vec_id").isNull() | ~ok)
+    alone = rest.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))
+    if not n:
+        return alone.withColumn("kept", kept)
     sample = distinct.orderBy(F.xxhash64("vec_id")).limit(min(max_pivots, max(1, n // 8192))).select("embedding").collect()
-    dim = len(sample[0][0]) if sample else 0
-    pivots = np.array([r[0] for r in sample if len(r[0]) == dim]).reshape(-1, dim)
-    pivots = pivots / np.linalg.norm(pivots, axis=1)[:, None] if len(pivots) else pivots
+    dim = len(sample[0][0])
+    pivots = np.array([r[0] for r in sample if len(r[0]) == dim])
+    pivots = pivots / np.linalg.norm(pivots, axis=1)[:, None]
 
     def place(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
@@ -236,8 +242,5 @@ def near_duplicates(
         .select("embedding", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "vec_id").alias("component_id"))
     )
     linked = good.join(of, "embedding").select("vec_id", "n_links", "component_id")
-    ok = F.coalesce(usable("embedding"), F.lit(False))
-    rest = src.where(F.col("vec_id").isNull() | ~ok)
-    alone = rest.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+    return linked.unionByName(alone).withColumn("kept", kept)
 

@@ -25,6 +25,7 @@ def clustered(n, dim, seed, noise=0.12):
     centres = rng.standard_normal((max(2, n // 12), dim))
     x = centres[rng.integers(0, len(centres), n)] + noise * rng.standard_normal((n, dim))
     x[: n // 10] = x[n // 2]  # a hot group of equal vectors
+    x[-n // 10 :] = rng.standard_normal((n // 10, dim))  # and some without neighbours
     return x.astype(np.float32).astype(float)
 
 
