@@ -32,12 +32,12 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each near-duplicate class.
 
-    A row without an id can't be told from its copies and is kept; of repeated rows with the
-    kept id one stays.
+    A row without an id can't be told from its copies and is kept; of rows that repeat the kept
+    id and its text one stays.
     """
     classes = simhash_dedup.near_duplicates(spark, docs)
     kept = classes.where("doc_id = component_id").select("doc_id").distinct()
-    with_id = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    with_id = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return with_id.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
