@@ -65,18 +65,20 @@ def with_columns(batch: pa.RecordBatch, schema: pa.Schema, **cols) -> pa.RecordB
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
-_KEPT: dict[str, tuple[object, object]] = {}
+_KEPT: list = [None, None]
 
 
 def kept(kind: str, key: object, make):
-    """What ``make()`` gave for this key the last time in this worker process: reused workers keep their word tables.
+    """What ``make()`` gave for this kind and key the last time in this worker process, if it was the last asked for.
 
-    The tables hold many small objects without cycles, so cycle collection runs seldom.
+    Reused workers so keep their word tables, one at a time. The tables hold many small
+    objects without cycles, so cycle collection runs seldom.
     """
     gc.set_threshold(1_000_000, 100, 1000)
-    if kind not in _KEPT or _KEPT[kind][0] != key:
-        _KEPT[kind] = (key, make())
-    return _KEPT[kind][1]
+    if _KEPT[0] != (kind, key):
+        _KEPT[:] = [None, None]  # gone before the next one grows
+        _KEPT[:] = [(kind, key), make()]
+    return _KEPT[1]
 
 
 def batches(it: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
