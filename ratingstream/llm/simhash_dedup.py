@@ -50,10 +50,9 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
         return 0
     n = max(1, len(w) - shingle + 1)
     h64 = xxhash.xxh64_intdigest
-    h = np.array([h64(b" ".join(w[i : i + shingle]), seed) for i in range(n)], np.uint64)
     ones = np.zeros(64, np.int64)
-    for i in range(0, n, 1 << 16):  # bounded memory for very long texts
-        part = np.ascontiguousarray(h[i : i + (1 << 16)])
+    for k in range(0, n, 1 << 16):  # bounded memory for very long texts
+        part = np.array([h64(b" ".join(w[i : i + shingle]), seed) for i in range(k, min(n, k + (1 << 16)))], np.uint64)
         ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
     bits = np.packbits(ones * 2 > n, bitorder="little")
     return int(bits.view(np.uint64)[0])
