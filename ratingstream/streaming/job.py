@@ -138,6 +138,7 @@ def process_batch(
         odd = F.isnan("rating") | (F.abs("rating") == float("inf"))
         parsed = parsed.withColumn(REJECT_COL, F.when(odd, F.lit("rating_not_finite")).otherwise(F.col(REJECT_COL)))
     parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = [parsed]
     try:
         good = accepted(parsed).drop("value")
         counts = pl.movie_counts(good, opts.scale_by_rating)
@@ -167,6 +168,8 @@ def process_batch(
             sample, vt, new_centers, opts.assign_method, opts.broadcast_limit_bytes,
             scale_by_rating=opts.scale_by_rating, hot_rows=opts.hot_movie_rows,
         )
+        preds = preds.persist(StorageLevel.MEMORY_AND_DISK)  # the sample, written and reported
+        cached.append(preds)
         new_state = km.state_frame(spark, new_centers, new_weights)
         by_offset = "offset" in keep
         groups = tuple(c for c in ("topic", "partition") if c in keep) if by_offset else ()
@@ -197,7 +200,8 @@ def process_batch(
             if opts.replay_idle_intervals and TRIGGER_COL in keep:
                 memo["trigger_ms"] = now
     finally:
-        parsed.unpersist()
+        for df in cached:
+            df.unpersist()
     return True
 
 
