@@ -13,12 +13,14 @@ is discounted by half a count.
 
 On Spark. Texts are cut into blocks of about ``block_bytes`` and written once as token numbers with
 the block's own vocabulary (64-bit hashes stand for words). (1) The vocabularies are dealt
-out by hash; counts are summed and go back to the blocks that asked. (2) Each block deals its
-pairs out by context; a context that holds a large share of all tokens is dealt out by pair.
-A part counts its pairs and returns, per document of each block, how many of its pairs have
-each count, and what doesn't depend on the discounts: no count is collected, and texts aren't read again.
-(3) The contexts that backed off get their weights from their summed counts by a join. All
-groups are bounded: a block's vocabulary, or a part whose number grows with the corpus.
+out by ranges of hashes; counts are summed, words numbered, and both go back to the blocks that asked.
+(2) Each block deals its pairs out by context; a context that holds a large share of all
+tokens is dealt out by pair. A part counts its pairs and returns, per document of each block, how
+many of its pairs have each count, and which contexts it backed off from, told by how many
+followers they have of each count: the discounts aren't known yet, and so needn't be.
+(3) Hot contexts, whose followers lie in several parts, get their weights by a join.
+No count is collected and no text read twice. All groups are bounded: a block's vocabulary, or
+a part, whose number grows with the corpus. Pairs are sorted, numbered and compressed before the shuffle.
 """
 
 from __future__ import annotations
@@ -41,10 +43,10 @@ from .common import batches, crc_mod, kept, texts_of, words_of, written
 class KatzParams:
     k: int = 5
     tail: float = 0.1
-    block_bytes: int = 8 << 20
+    block_bytes: int = 16 << 20
     #: Words of block vocabularies per part in step 1, and pairs per part in step 2.
     part_words: int = 1_000_000
-    part_pairs: int = 2_000_000
+    part_pairs: int = 1_500_000
 
 
 #: The end token's hash: no word is empty.
@@ -99,7 +101,7 @@ class _Hashes(dict):
 
 
 def _blocks(docs: DataFrame, p: KatzParams) -> DataFrame:
-    """``docs(id, text, train)`` as blocks: ``block, n_words (of its vocabulary), n_tokens, data``."""
+    """``docs(id, text, train)`` as blocks: ``block, n_words (of its vocabulary), n_tokens, words, data``."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, count = TaskContext.get().partitionId() << 32, 0
@@ -112,22 +114,20 @@ def _blocks(docs: DataFrame, p: KatzParams) -> DataFrame:
         def out() -> pa.RecordBatch:
             nonlocal count, size
             tokens = np.concatenate(held)
-            vocabulary, place, n = np.unique(tokens, return_inverse=True, return_counts=True)
-            order = np.argsort(-n, kind="stable")  # frequent words get small numbers
-            rank = np.empty_like(order)
-            rank[order] = np.arange(len(order))
+            vocabulary, place = np.unique(tokens, return_inverse=True)  # numbered in the order of hashes
             sizes = np.fromiter(map(len, held), np.int64, len(held))
             flags = np.array(train, bool)
-            seen = np.bincount(rank[place], np.repeat(flags, sizes), len(order)).astype(np.int64)
+            seen = np.bincount(place, np.repeat(flags, sizes), len(vocabulary)).astype(np.int64)
+            words = freeze(word=vocabulary, seen=_small(seen))
             data = freeze(
-                vocabulary=vocabulary[order], seen=_small(seen), tokens=_small(rank[place]), sizes=_small(sizes), train=flags.astype(np.uint8),
+                tokens=_small(place), end=np.searchsorted(vocabulary, np.array([END], np.uint64)), sizes=_small(sizes), train=flags.astype(np.uint8),
                 ids=np.array([0 if i is None else i for i in ids], np.int64), null=np.array([i is None for i in ids]).astype(np.uint8),
             )
-            row = [[base + count], [len(order)], [len(tokens)]]
+            row = [[base + count], [len(vocabulary)], [len(tokens)]]
             count, size = count + 1, 0
             for x in (ids, train, held):
                 x.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in row] + [pa.array([data], pa.binary())], ["block", "n_words", "n_tokens", "data"])
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in row] + [pa.array([z], pa.binary()) for z in (words, data)], ["block", "n_words", "n_tokens", "words", "data"])
 
         for b in batches(it, "text", 2 << 20):
             for i, t, tr in zip(b.column(0).to_pylist(), texts_of(b, "text"), b.column(2).to_pylist()):
@@ -141,7 +141,7 @@ def _blocks(docs: DataFrame, p: KatzParams) -> DataFrame:
         if held:
             yield out()
 
-    return docs.mapInArrow(run, "block long, n_words long, n_tokens long, data binary")
+    return docs.mapInArrow(run, "block long, n_words long, n_tokens long, words binary, data binary")
 
 
 def _part(h: np.ndarray, parts: int) -> np.ndarray:
@@ -149,20 +149,26 @@ def _part(h: np.ndarray, parts: int) -> np.ndarray:
 
 
 def _split_vocabulary(blocks: DataFrame, parts: int) -> DataFrame:
+    """A row per block and range of hashes; a block's rows in order hold its words in order."""
+    bounds = np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             for block, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 d = thaw(data)
-                part = _part(d["vocabulary"], parts)
-                order = np.argsort(part, kind="stable")
-                cut = np.searchsorted(part[order], np.arange(parts + 1))
-                rows = [(q, freeze(word=d["vocabulary"][order[i:j]], seen=d["seen"][order[i:j]])) for q, i, j in zip(range(parts), cut, cut[1:]) if j > i]
+                cut = [0, *np.searchsorted(d["word"], bounds), len(d["word"])]
+                rows = [(q, freeze(word=d["word"][i:j], seen=d["seen"][i:j])) for q, i, j in zip(range(parts), cut, cut[1:]) if j > i]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([q for q, _ in rows], pa.int32()), pa.array([block] * len(rows), pa.int64()), pa.array([z for _, z in rows], pa.binary())],
                     ["part", "block", "data"],
                 )
 
-    return blocks.select("block", "data").mapInArrow(run, "part int, block long, data binary")
+    return blocks.select("block", "words").mapInArrow(run, "part int, block long, data binary")
+
+
+def _steps(a: np.ndarray) -> np.ndarray:
+    """Ascending numbers as their differences (undone by ``cumsum``)."""
+    return _small(np.diff(a, prepend=0))
 
 
 def _sum_vocabulary(k: int):
@@ -171,14 +177,15 @@ def _sum_vocabulary(k: int):
         sizes = [len(r["word"]) for r in rows]
         words, place = np.unique(np.concatenate([r["word"] for r in rows]), return_inverse=True)
         total = np.bincount(place, np.concatenate([r["seen"].astype(np.int64) for r in rows]), len(words)).astype(np.int64)
-        back = np.split(_small(total)[place], np.cumsum(sizes)[:-1])
+        cut = np.cumsum(sizes)[:-1]
+        back = [freeze(total=_small(total[at]), rank=_steps(at)) for at in np.split(place, cut)]
         part = table["part"][0].as_py()
         stats = np.concatenate([[total.sum(), (total > 0).sum()], np.bincount(np.minimum(total, k + 2), minlength=k + 3)[1 : k + 2]])
         return pa.table(
             {
                 "part": pa.array([part] * (len(rows) + 1), pa.int32()),
                 "block": pa.array([*table["block"].to_pylist(), None], pa.int64()),
-                "data": pa.array([freeze(total=b) for b in back] + [freeze(stats=stats.astype(np.int64))], pa.binary()),
+                "data": pa.array([*back, freeze(stats=stats.astype(np.int64), words=np.array([len(words)]))], pa.binary()),
             }
         )
 
@@ -222,31 +229,40 @@ class Unigrams:
         return np.where(count > 0, discounted(count, self.d, self.tail) / self.total, self.unknown)
 
 
-def _deal_pairs(uni: Unigrams, parts: int, hot: int):
-    """Per block: a row of its documents' sums, and its pairs dealt out by context (pairs of hot contexts by pair)."""
+#: Sums of logarithms travel as multiples of 2**-32: exact to 1e-10 and well compressed.
+FINE = 2.0**32
+
+
+def _deal_pairs(uni: Unigrams, first: dict[int, int], parts: int, hot: int):
+    """Per block: a row of its documents' sums, and its pairs dealt out by context (pairs of hot contexts by pair).
+
+    ``first``: the number of the first word of each range of hashes.
+    """
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[tuple[int, int, bytes]] = []
-        got = {p: thaw(z)["total"] for p, z in zip(right["part"].to_pylist(), right["data"].to_pylist())}
+        got = sorted(zip(right["part"].to_pylist(), right["data"].to_pylist()))
         for block, data in zip(left["block"].to_pylist(), left["data"].to_pylist()):
             d = thaw(data)
-            word, tokens, sizes = d["vocabulary"], d["tokens"].astype(np.int64), d["sizes"].astype(np.int64)
-            part = _part(word, int(right["parts"][0].as_py()))
-            order = np.argsort(part, kind="stable")
-            total = np.empty(len(word), np.int64)
-            total[order] = np.concatenate([got[p] for p in np.unique(part)]).astype(np.int64)
-            doc = np.repeat(np.arange(len(sizes)), sizes)
+            back = [(p, thaw(z)) for p, z in got]
+            total = np.concatenate([b["total"].astype(np.int64) for _, b in back])
+            number = np.concatenate([first[p] + np.cumsum(b["rank"], dtype=np.int64) for p, b in back])
+            tokens, sizes = d["tokens"].astype(np.int32), d["sizes"].astype(np.int64)
+            doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
             c = total[tokens]
             base = np.bincount(doc, np.log10((c + 1) / (uni.total + uni.types + 1)), len(sizes))
             known = np.bincount(doc[c > 0], minlength=len(sizes))
-            out.append((-1, block, freeze(ids=d["ids"], null=d["null"], train=d["train"], n=sizes, known=known, base=base)))
-            end = np.flatnonzero(word == np.uint64(END))[0]
-            before = np.concatenate([[end], tokens[:-1]])  # a document's first token follows the end token, as its neighbour's last
-            to = _part(word, parts)[before]
-            warm = total[before] >= hot
+            # A document's first token follows the end token, as its neighbour's last.
+            before = np.concatenate([d["end"].astype(np.int32), tokens[:-1]])
+            context = np.bincount(doc, -np.log10(np.maximum(total[before], 1)), len(sizes))
+            out.append((-1, block, freeze(ids=d["ids"], null=d["null"], n=sizes, known=known, base=base, context=context)))
+            of_word = _part(number.view(np.uint64), parts)
+            to = of_word[before]
+            warm = np.flatnonzero(total[before] >= hot)
             with np.errstate(over="ignore"):
-                to[warm] = _part(word[before[warm]] * np.uint64(31) + word[tokens[warm]], parts)
-            order = np.lexsort((tokens, before, to))
+                pair = number[before[warm]].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + number[tokens[warm]].view(np.uint64)
+            to[warm] = _part(pair, parts)
+            order = np.lexsort((tokens, before, to))  # a block's words are in the order of their numbers
             cut = np.searchsorted(to[order], np.arange(parts + 1))
             for q, i, j in zip(range(parts), cut, cut[1:]):
                 if j == i:
@@ -254,64 +270,80 @@ def _deal_pairs(uni: Unigrams, parts: int, hot: int):
                 at = order[i:j]
                 v, run_ = np.unique(before[at], return_counts=True)
                 w, w_at = np.unique(tokens[at], return_inverse=True)
-                out.append(
-                    (q, block, freeze(v=word[v], v_n=_small(total[v]), v_run=_small(run_), w=word[w], w_n=_small(total[w]), w_at=_small(w_at), doc=_small(doc[at]), train=d["train"]))
-                )
+                part = freeze(
+                    v=_steps(number[v]), v_n=_small(total[v]), v_run=_small(run_), w=_steps(number[w]), w_n=_small(total[w]),
+                    w_at=_small(w_at), doc=_small(doc[at]), train=d["train"],
+                )
+                out.append((q, block, part))
         return pa.table({"q": pa.array([r[0] for r in out], pa.int32()), "block": pa.array([r[1] for r in out], pa.int64()), "data": pa.array([r[2] for r in out], pa.binary())})
 
     return run
 
 
-def _count_pairs(uni: Unigrams, k: int, tail: float):
-    """A part's pairs → rows of documents' sums per block (kind 0), backed-off contexts (1) and counts of counts (2)."""
+def _count_pairs(uni: Unigrams, k: int, tail: float, hot: int):
+    """A part's pairs → rows of documents' sums per block (kind 0), pairs that backed off from hot contexts (1),
+    counts of counts (2) and hot contexts (3); documents' own rows pass (4)."""
 
     def run(table: pa.Table) -> pa.Table:
+        if table["q"][0].as_py() < 0:
+            return pa.table({"kind": pa.array([4] * len(table), pa.int32()), "block": table["block"], "data": table["data"]})
         rows = [thaw(z) for z in table["data"].to_pylist()]
         blocks = table["block"].to_pylist()
-        cat = lambda name: np.concatenate([r[name] for r in rows])
-        v_word, v_at = np.unique(cat("v"), return_inverse=True)
-        v_n = np.zeros(len(v_word), np.int64)
-        v_n[v_at] = cat("v_n").astype(np.int64)
-        w_word, w_at = np.unique(cat("w"), return_inverse=True)
-        w_n = np.zeros(len(w_word), np.int64)
-        w_n[w_at] = cat("w_n").astype(np.int64)
-        v_first = np.cumsum([0, *(len(r["v"]) for r in rows)])
-        w_first = np.cumsum([0, *(len(r["w"]) for r in rows)])
+
+        def numbered(name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+            """(numbers, their counts, place of each block's words among them, where each block's begin)."""
+            own = [np.cumsum(r[name], dtype=np.int64) for r in rows]
+            number, at = np.unique(np.concatenate(own), return_inverse=True)
+            n = np.zeros(len(number), np.int64)
+            n[at] = np.concatenate([r[f"{name}_n"].astype(np.int64) for r in rows])
+            return number, n, at.astype(np.int32), np.cumsum([0, *map(len, own)])
+
+        v_word, v_n, v_at, v_first = numbered("v")
+        w_word, w_n, w_at, w_first = numbered("w")
         v = np.concatenate([np.repeat(v_at[v_first[i] : v_first[i + 1]], r["v_run"].astype(np.int64)) for i, r in enumerate(rows)])
         w = np.concatenate([w_at[w_first[i] + r["w_at"].astype(np.int64)] for i, r in enumerate(rows)])
         train = np.concatenate([r["train"][r["doc"]] for r in rows]).astype(bool)
-        pair, pair_at = np.unique(v * len(w_word) + w, return_inverse=True)
+        pair, pair_at = np.unique(v.astype(np.int64) * len(w_word) + w, return_inverse=True)
         count = np.bincount(pair_at, train, len(pair)).astype(np.int64)
+        r = count[pair_at]
+        del pair_at, train
         of_counts = np.bincount(np.minimum(count, k + 2), minlength=k + 3)[1 : k + 2]
         # Per context: how many followers were seen r times (the last column: more than k), and their unigram mass.
-        pv, pw = pair // len(w_word), pair % len(w_word)
-        seen = count > 0
-        by_count = np.zeros((len(v_word), k + 1), np.int64)
-        np.add.at(by_count, (pv[seen], np.minimum(count[seen], k + 1) - 1), 1)
-        mass = np.bincount(pv[seen], uni.prob(w_n)[pw[seen]], len(v_word))
-        r = count[pair_at]
-        fixed = np.where(r > 0, -np.log10(np.maximum(v_n[v], 1)), np.log10(uni.prob(w_n))[w])
-        fixed[r > k] += np.log10(r[r > k] - tail)
+        seen = np.flatnonzero(count)
+        pv, pw, count = pair[seen] // len(w_word), pair[seen] % len(w_word), count[seen]
+        by_count = np.bincount(pv * (k + 1) + np.minimum(count, k + 1) - 1, minlength=len(v_word) * (k + 1)).reshape(-1, k + 1)
+        mass = np.bincount(pv, uni.prob(w_n)[pw], len(v_word))
+        # What a pair adds whatever the discounts: log(count) above k, log P(w) - log(1 - mass) if it wasn't seen.
+        fixed = np.zeros(len(r))
+        fixed[r > k] = np.log10(r[r > k] - tail)
+        lost = r == 0
+        is_hot = v_n >= hot
+        rest = np.where((v_n > 0) & ~is_hot, np.log10(np.maximum(1 - mass, 1e-300)), 0.0)
+        fixed[lost] = np.log10(uni.prob(w_n))[w[lost]] - rest[v[lost]]
+        # Contexts alike in their followers' counts are one kind.
+        kinds, kind_of = np.unique(by_count, axis=0, return_inverse=True)
+        kind_of = kind_of.reshape(-1)
         out: list[tuple[int, int | None, bytes]] = []
-        start, back = 0, np.zeros(len(v_word), bool)
+        start = 0
         for block, row in zip(blocks, rows):
             end = start + len(row["doc"])
             doc, rr, vv = row["doc"].astype(np.int64), r[start:end], v[start:end]
             n = len(row["train"])
-            sums = {"fixed": np.bincount(doc, fixed[start:end], n)}
+            sums = {"fixed": np.rint(np.bincount(doc, fixed[start:end], n) * FINE).astype(np.int64)}
             for c in range(1, k + 1):
                 sums[f"n{c}"] = _small(np.bincount(doc[rr == c], minlength=n))
+            off = (rr == 0) & (v_n[vv] > 0) & ~is_hot[vv]
+            used, local = np.unique(kind_of[vv[off]], return_inverse=True)
+            sums |= {"off_doc": _small(doc[off]), "off_kind": _small(local), "kinds": _small(kinds[used].reshape(-1))}
             out.append((0, block, freeze(**sums)))
-            lost = (rr == 0) & (v_n[vv] > 0)
-            if lost.any():
-                back[vv[lost]] = True
-                key, times = np.unique(doc[lost] * len(v_word) + vv[lost], return_counts=True)
+            warm = (rr == 0) & is_hot[vv]
+            if warm.any():
+                key, times = np.unique(doc[warm] * len(v_word) + vv[warm], return_counts=True)
                 out.append((1, block, freeze(doc=_small(key // len(v_word)), v=v_word[key % len(v_word)], n=_small(times))))
             start = end
-        # Contexts without a lost pair here may have lost pairs in another part only if they are hot; all are small.
         out.append((2, None, freeze(counts=of_counts.astype(np.int64))))
-        known = v_n > 0
-        out.append((3, None, freeze(v=v_word[known], n=_small(v_n[known]), mass=mass[known], **{f"c{c}": _small(by_count[known, c]) for c in range(k + 1)}, back=back[known].astype(np.uint8))))
+        if is_hot.any():
+            out.append((3, None, freeze(v=v_word[is_hot], mass=mass[is_hot], **{f"c{c}": _small(by_count[is_hot, c]) for c in range(k + 1)})))
         return pa.table({"kind": pa.array([o[0] for o in out], pa.int32()), "block": pa.array([o[1] for o in out], pa.int64()), "data": pa.array([o[2] for o in out], pa.binary())})
 
     return run
@@ -350,50 +382,60 @@ def score(
 
     counted = _split_vocabulary(blocks, parts).groupBy("part").applyInArrow(_sum_vocabulary(p.k), "part int, block long, data binary")
     counted = written(spark, counted, "katz_words")
-    stats = sum((thaw(r.data)["stats"] for r in counted.where("block IS NULL").select("data").collect()), np.zeros(p.k + 3, np.int64))
+    own = {r.part: thaw(r.data) for r in counted.where("block IS NULL").select("part", "data").collect()}  # a few numbers per part
+    stats = sum((d["stats"] for d in own.values()), np.zeros(p.k + 3, np.int64))
+    first, words = {}, 1
+    for part in sorted(own):
+        first[part] = words
+        words += int(own[part]["words"][0])
     d1 = discounts(stats[2:], p.k)
     total, types = int(stats[0]), int(stats[1])
     low = sum(stats[1 + r] * r * (1 - d1[r - 1]) for r in range(1, p.k + 1))
     high = types - int(stats[2 : 2 + p.k].sum())
     uni = Unigrams(total, types, d1, p.tail, float((low + p.tail * high) / total) if total else 1.0)
 
-    asked = counted.where("block IS NOT NULL").withColumn("parts", F.lit(parts))
+    asked = counted.where("block IS NOT NULL")
     hot = max(20_000, total // (8 * pair_parts))
     dealt = (
         blocks.select("block", "data")
         .groupBy("block")
-        .cogroup(asked.select(F.col("block").alias("b"), "part", "data", "parts").groupBy("b"))
-        .applyInArrow(_deal_pairs(uni, pair_parts, hot), "q int, block long, data binary")
+        .cogroup(asked.select(F.col("block").alias("b"), "part", "data").groupBy("b"))
+        .applyInArrow(_deal_pairs(uni, first, pair_parts, hot), "q int, block long, data binary")
+    )
+    found = dealt.groupBy("q", F.when(F.col("q") < 0, F.col("block"))).applyInArrow(
+        _count_pairs(uni, p.k, p.tail, hot), "kind int, block long, data binary"
     )
-    return _finish(spark, dealt, uni, p, id_col)
+    return _finish(spark, written(spark, found, "katz_counts"), uni, p, id_col)
 
 
-def _finish(spark: SparkSession, dealt: DataFrame, uni: Unigrams, p: KatzParams, id_col: str) -> DataFrame:
-    dealt = written(spark, dealt, "katz_pairs")
-    found = dealt.where("q >= 0").groupBy("q").applyInArrow(_count_pairs(uni, p.k, p.tail), "kind int, block long, data binary")
-    found = written(spark, found, "katz_counts")
+def _finish(spark: SparkSession, found: DataFrame, uni: Unigrams, p: KatzParams, id_col: str) -> DataFrame:
     counts = sum((thaw(r.data)["counts"] for r in found.where("kind = 2").select("data").collect()), np.zeros(p.k + 1, np.int64))
     d2 = discounts(counts, p.k)
+    # What a context's followers leave, by how many were seen 1 to k times and more often.
+    leaves = np.append(np.arange(1, p.k + 1) * (1 - d2), p.tail)
 
     lost = _rows_of(found.where("kind = 1"), "block long, doc long, v long, n long", ["block", "doc", "v", "n"])
     cs = [f"c{c}" for c in range(p.k + 1)]
-    contexts = _rows_of(found.where("kind = 3"), "v long, mass double, n long, " + ", ".join(f"{c} long" for c in cs), ["v", "mass", "n", *cs])
-    kept_mass = sum((F.col(cs[r - 1]) * float(r * (1 - d2[r - 1])) for r in range(1, p.k + 1)), F.col(cs[p.k]) * p.tail)
+    contexts = _rows_of(found.where("kind = 3"), "v long, mass double, " + ", ".join(f"{c} long" for c in cs), ["v", "mass", *cs])
+    left_over = sum((F.col(c) * float(x) for c, x in zip(cs[1:], leaves[1:])), F.col(cs[0]) * float(leaves[0]))
     alpha = (
         contexts.groupBy("v")
-        .agg(F.sum("mass").alias("mass"), F.max("n").alias("n"), *[F.sum(c).alias(c) for c in cs])
-        .select("v", F.log10(kept_mass / F.col("n") / (1 - F.col("mass"))).alias("alpha"))
+        .agg(F.sum("mass").alias("mass"), *[F.sum(c).alias(c) for c in cs])
+        .select("v", (F.log10(left_over) - F.log10(1 - F.col("mass"))).alias("alpha"))
     )
-    backed = lost.groupBy("block", "doc", "v").agg(F.sum("n").alias("n")).join(alpha, "v").groupBy("block", "doc").agg(F.sum(F.col("n") * F.col("alpha")).alias("backed"))
+    backed = lost.join(alpha, "v").groupBy("block", "doc").agg(F.sum(F.col("n") * F.col("alpha")).alias("backed"))
 
     def per_document(left: pa.Table, right: pa.Table) -> pa.Table:
         cols: dict[str, list] = {c: [] for c in ("block", "doc", "id", "n_tokens", "n_known", "base_score", "seen_score")}
         for block, data in zip(left["block"].to_pylist(), left["data"].to_pylist()):
             d = thaw(data)
-            s = np.zeros(len(d["n"]))
+            s = d["context"].copy()
             for z in right["data"].to_pylist():
                 e = thaw(z)
-                s += e["fixed"] + sum(e[f"n{c}"] * np.log10(d2[c - 1] * c) for c in range(1, p.k + 1))
+                s += e["fixed"] / FINE + sum(e[f"n{c}"] * np.log10(d2[c - 1] * c) for c in range(1, p.k + 1))
+                if len(e["off_doc"]):
+                    of_kind = np.log10(e["kinds"].reshape(-1, p.k + 1) @ leaves)
+                    s += np.bincount(e["off_doc"], of_kind[e["off_kind"]], len(s))
             cols["block"] += [block] * len(s)
             cols["doc"] += range(len(s))
             cols["id"] += [None if x else int(i) for i, x in zip(d["ids"], d["null"])]
@@ -405,7 +447,7 @@ def _finish(spark: SparkSession, dealt: DataFrame, uni: Unigrams, p: KatzParams,
 
     sums = found.where("kind = 0").select(F.col("block").alias("b"), "data")
     docs = (
-        dealt.where("q < 0").select("block", "data").groupBy("block").cogroup(sums.groupBy("b"))
+        found.where("kind = 4").select("block", "data").groupBy("block").cogroup(sums.groupBy("b"))
         .applyInArrow(per_document, "block long, doc long, id long, n_tokens long, n_known long, base_score double, seen_score double")
     )
     return docs.join(backed, ["block", "doc"], "left").select(

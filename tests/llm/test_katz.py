@@ -78,7 +78,9 @@ def test_a_hot_context_dealt_out_by_pair(spark, monkeypatch):
     texts = [" ".join(f"the w{(i * 7 + j) % 50}" for j in range(30)) for i in range(40)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     real = K._deal_pairs
-    monkeypatch.setattr(K, "_deal_pairs", lambda uni, parts, hot: real(uni, parts, 5))
+    monkeypatch.setattr(K, "_deal_pairs", lambda uni, first, parts, hot: real(uni, first, parts, 5))
+    count = K._count_pairs
+    monkeypatch.setattr(K, "_count_pairs", lambda uni, k, tail, hot: count(uni, k, tail, 5))
     rows = K.score(spark, docs, F.col("doc_id") % 4 != 0, params=SMALL).collect()
     model = Brute([t for i, t in enumerate(texts) if i % 4])
     assert all(math.isclose(r.score, model.score(texts[r.doc_id]), rel_tol=1e-9) for r in rows)
