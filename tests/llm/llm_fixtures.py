@@ -1,3 +1,5 @@
+"""Rows that every operator has to handle."""
+
 import pytest
 from pyspark.sql import types as T
 

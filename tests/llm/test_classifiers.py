@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ratingstream.llm import langid, quality, toxicity
 from ratingstream.llm.common import crc_mod, labelled_sample
+from llm_fixtures import labels, no_docs, odd_docs  # noqa: F401
 
 SF = "/root/testdata/sf0.1"
 LARGE = "/root/testdata/check_s"

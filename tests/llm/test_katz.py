@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ratingstream.llm import katz as K
 from ratingstream.llm.common import words_of
+from llm_fixtures import no_docs, odd_docs  # noqa: F401
 
 
 class Brute:

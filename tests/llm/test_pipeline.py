@@ -2,6 +2,7 @@ import corpus_pipeline as C
 from ratingstream.llm import packing, quality, toxicity
 from test_simhash import brute_classes, brute_fingerprint
 from test_tokens import check_pieces
+from llm_fixtures import no_docs, odd_docs  # noqa: F401
 
 SF = "/root/testdata/sf0.01"
 

@@ -7,6 +7,7 @@ import xxhash
 
 from ratingstream.llm import simhash_dedup as S
 from ratingstream.llm.components import components
+from llm_fixtures import no_docs, odd_docs  # noqa: F401
 
 
 def brute_fingerprint(text, shingle=3):

@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 
 from ratingstream.llm import byte_bpe as B
 from ratingstream.llm import packing as K
+from llm_fixtures import no_docs, odd_docs  # noqa: F401
 
 ODD = ["", "a", " ", "  x", "<|endoftext|> it's\r\n\n  ok", "é́ à🏳️‍🌈 日本語 ܐ𐍈", "a  b", "a\n b", "x \n y", "a\u00a0 b\u3000\n\nc", "a\x1c b \x1f\x1f c", "tail ", " head", "Σας ΣΑΣ İstanbul J̌ 12½"]
 
