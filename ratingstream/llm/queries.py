@@ -43,11 +43,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    tokens = byte_bpe.encode(docs).select("doc_id", "n_tokens", "n_cut", F.sha2("ids", 256).alias("ids_sha256"), "ids")
-    return byte_bpe.decode(tokens).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"), "n_cut"
-    )
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

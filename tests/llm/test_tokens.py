@@ -76,6 +76,16 @@ def test_encode_and_decode_odd_rows(spark, odd_docs, no_docs):
     assert B.decode(B.encode(no_docs)).count() == 0
 
 
+def test_round_trip_digests_are_those_of_encode_and_decode(odd_docs, no_docs):
+    from pyspark.sql import functions as F
+
+    tokens = B.encode(odd_docs).withColumn("ids_sha256", F.sha2("ids", 256))
+    want = B.decode(tokens).withColumn("decoded_sha256", F.sha2("decoded", 256))
+    cols = ["doc_id", "n_tokens", "n_cut", "ids_sha256", "decoded_sha256", "score", "id"]
+    assert sorted(map(str, B.round_trip(odd_docs).select(cols).collect())) == sorted(map(str, want.select(cols).collect()))
+    assert B.round_trip(no_docs).count() == 0
+
+
 def test_word_ids_equal_the_librarys():
     table = K._tokenizer(P.path(K.VOCABULARY))
     whole = Tokenizer.from_file(P.path(K.VOCABULARY))
