@@ -6,7 +6,8 @@ A window of text is compressed with each; it is nearer to toxic text the more by
 toxic dictionary saves beside the ordinary one. A window is one word (a run of letters, A-Z
 lower-cased) between a fixed carrier, which both dictionaries hold, and a fixed end:
 the lengths of longer windows vary by more than one word saves, and each different
-word needs compressing only once per worker.
+word needs compressing only once per worker. Runs of over ``WINDOW`` bytes (scripts without
+blanks) are several windows that overlap and cover the whole run.
 
 Training text is chosen by contrast on a bounded sample of labelled rows: words of toxic
 documents that are, or hold a letter sequence, much more common in toxic than in ordinary
@@ -17,6 +18,8 @@ save how much, their share) is calibrated on sample documents held back from the
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 import uuid
 import zlib
 from collections import Counter
@@ -33,6 +36,10 @@ from .common import WordTable, batches, kept, labelled_sample, texts_of, with_co
 
 #: Letters stay (A-Z lower-cased, bytes of other scripts as they are); all else parts words.
 LETTERS = bytes((c | 32 if 65 <= c <= 90 else c) if 65 <= c <= 90 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+#: Blanks, marks without width and punctuation outside ASCII part windows too.
+APART = frozenset(c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.category(c)[0] in "ZP" or c in "\x85\u200b\u2060\ufeff")
+#: Bytes of a window at most; two windows of a run share half of them.
+WINDOW = 64
 END = b" 01234567"
 #: Savings of this many bytes are counted.
 STEPS = (2, 3, 4)
@@ -69,6 +76,19 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8").translate(LETTERS).split() if text else []
 
 
+def windows(text: str | None) -> list[bytes]:
+    """The words; a longer run of letters as overlapping windows that cover it, each of its parts of up to WINDOW / 2 bytes whole in one."""
+    if not text:
+        return []
+    for c in () if text.isascii() else APART.intersection(text):
+        text = text.replace(c, " ")
+    ws = words(text)
+    if max(map(len, ws), default=0) <= WINDOW:
+        return ws
+    half = WINDOW // 2
+    return [w[i : i + WINDOW] for w in ws for i in range(0, max(1, len(w) - half), half)]
+
+
 def _compressor(content: bytes) -> zstd.ZstdCompressor:
     params = zstd.ZstdCompressionParameters(
         strategy=zstd.STRATEGY_BTLAZY2, min_match=4, search_log=6, target_length=32, window_log=17, hash_log=15, chain_log=16,
@@ -79,10 +99,10 @@ def _compressor(content: bytes) -> zstd.ZstdCompressor:
     return zstd.ZstdCompressor(dict_data=d, compression_params=params)
 
 
-def _lengths(c: zstd.ZstdCompressor, windows: list[bytes]) -> np.ndarray:
-    out = np.empty(len(windows))
-    for i in range(0, len(windows), 20_000):
-        part = c.multi_compress_to_buffer(windows[i : i + 20_000], threads=1)
+def _lengths(c: zstd.ZstdCompressor, framed: list[bytes]) -> np.ndarray:
+    out = np.empty(len(framed))
+    for i in range(0, len(framed), 20_000):
+        part = c.multi_compress_to_buffer(framed[i : i + 20_000], threads=1)
         out[i : i + len(part)] = [len(part[k]) for k in range(len(part))]
     return out
 
@@ -91,9 +111,8 @@ def savings(model: ToxicityModel, tox: zstd.ZstdCompressor, ordn: zstd.ZstdCompr
     """Bytes that the toxic dictionary saves on each word's window beside the ordinary one."""
     if not ws:
         return np.zeros(0)
-    # Words of over 64 bytes are no words of a language; they save what their beginning saves.
-    windows = [model.carrier + b" " + w[:64] + END for w in ws]
-    return _lengths(ordn, windows) - _lengths(tox, windows)
+    framed = [model.carrier + b" " + w + END for w in ws]
+    return _lengths(ordn, framed) - _lengths(tox, framed)
 
 
 def _cover(samples: list[bytes], size: int, segment: int) -> bytes:
@@ -147,7 +166,7 @@ def _differing(docs: list[list[bytes]]) -> list[list[bytes]]:
 
 def train(sample: list[tuple[str, int]], p: ToxicityParams) -> ToxicityModel:
     """Fit on (text, label) pairs. With one class only, every score is that class's share; with none, 0."""
-    docs = {y: _differing([words(t) for t, k in sample if k == y]) for y in (0, 1)}
+    docs = {y: _differing([windows(t) for t, k in sample if k == y]) for y in (0, 1)}
     if not docs[0] or not docs[1]:
         return ToxicityModel(b"", b"", b"", np.zeros(0), float(bool(docs[1])))
     # A third of each class is held back for calibration.
@@ -194,7 +213,7 @@ def score_texts(model: ToxicityModel, texts: list[str | None], table: WordTable
     """Class-1 probability per text; texts without letters have the constant's."""
     if table is None:
         return np.full(len(texts), model.prior)
-    place, sizes = table.lookup([words(t) for t in texts])
+    place, sizes = table.lookup([windows(t) for t in texts])
     return 1 / (1 + np.exp(-np.clip(_features(place, sizes, table.rows[:, 0]) @ model.weights, -500, 500)))
 
 
