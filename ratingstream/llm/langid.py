@@ -197,14 +197,11 @@ def train(counts: dict[str, Counter], path: str, p: LangParams) -> LangModel:
                     for k, i in enumerate(ids):
                         got += np.bincount(i[inside[k]], np.broadcast_to(w[:, None], i.shape)[inside[k]] * (k + 1), v + 1)
                     continue
-                if m > 200:  # too long for unscaled sums, and too rare to matter here
-                    continue
-                alpha, _ = _forward_plain(ids, prob, len(at), m)
-                beta = _backward(ids, prob, n, m)
-                z = np.maximum(beta[0], 1e-300)
+                # Logarithms, so sums over words of any length neither vanish nor overflow.
+                alpha, beta = _log_forward(ids, prob, len(at), m), _log_backward(ids, prob, n, m)
                 for k, i in enumerate(ids):
                     size = k + 1
-                    post = alpha[: m + 1 - size].T * prob[i] * beta[size:].T / z[:, None] * w[:, None]
+                    post = np.exp(alpha[: m + 1 - size] + beta[size:] - beta[0]).T * prob[i] * w[:, None]
                     got += np.bincount(i[inside[k]], post[inside[k]], v + 1)
             got[v] = 0
             prob = (got + p.smoothing) / (got[:v].sum() + p.smoothing * v)
@@ -213,21 +210,27 @@ def train(counts: dict[str, Counter], path: str, p: LangParams) -> LangModel:
     return LangModel(langs, np.stack(cols, axis=1), path, p.max_piece)
 
 
-def _forward_plain(ids: list[np.ndarray], prob: np.ndarray, rows: int, m: int) -> tuple[np.ndarray, None]:
+def _log_forward(ids: list[np.ndarray], prob: np.ndarray, rows: int, m: int) -> np.ndarray:
+    """Logarithm of the probability mass of the first j bytes. Every byte is a piece, so no mass is 0."""
     alpha = np.zeros((m + 1, rows))
-    alpha[0] = 1
     for j in range(1, m + 1):
+        total = np.zeros(rows)
         for k in range(1, min(j, len(ids)) + 1):
-            alpha[j] += alpha[j - k] * prob[ids[k - 1][:, j - k]]
-    return alpha, None
+            total += np.exp(alpha[j - k] - alpha[j - 1]) * prob[ids[k - 1][:, j - k]]
+        alpha[j] = alpha[j - 1] + np.log(total)
+    return alpha
 
 
-def _backward(ids: list[np.ndarray], prob: np.ndarray, n: np.ndarray, m: int) -> np.ndarray:
-    beta = np.zeros((m + 1, len(n)))
-    beta[n, np.arange(len(n))] = 1
+def _log_backward(ids: list[np.ndarray], prob: np.ndarray, n: np.ndarray, m: int) -> np.ndarray:
+    """Logarithm of the probability mass from byte j to the word's end at n; none past it."""
+    beta = np.full((m + 1, len(n)), -np.inf)
+    beta[n, np.arange(len(n))] = 0
     for j in range(m - 1, -1, -1):
+        r = np.flatnonzero(j < n)
+        total = np.zeros(len(r))
         for k in range(1, min(m - j, len(ids)) + 1):
-            beta[j] += np.where(j + k <= n, prob[ids[k - 1][:, j]] * beta[j + k], 0)
+            total += np.exp(beta[j + k, r] - beta[j + 1, r]) * prob[ids[k - 1][r, j]]
+        beta[j, r] = beta[j + 1, r] + np.log(total)
     return beta
 
 
