@@ -13,8 +13,8 @@ from __future__ import annotations
 
 import heapq
 import json
-import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -23,10 +23,10 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
-from .byte_bpe import merger
-from .common import PieceTable, batches, kept, texts_of
+from .byte_bpe import byte_of_character
+from .common import batches, kept, texts_of
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
@@ -46,29 +46,116 @@ def split(text: str | None) -> list:
     return (data.lower() if data.isascii() else data).split()
 
 
-def _tokenizer(path: str) -> PieceTable:
-    """Per word: the file's normaliser and split pattern, then the library's BPE model on each match."""
-    with open(path, encoding="utf-8") as f:
-        pattern = json.load(f)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-    whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
-    normalize = whole.normalizer.normalize_str
-    find, merge = regex.compile(pattern).findall, merger(path)
-    latin = regex.compile(r"[\x00-\u024f]*").fullmatch  # here the library's character classes and these agree
+class _Numbers(dict):
+    """Numbers words in the order they are first asked for; ``new`` holds those of the current batch."""
 
-    def encode(ws: list[bytes]) -> list[list[int]]:
-        out = []
-        for w in ws:
-            t = w.decode("utf-8")
-            if w.isalpha():  # ASCII letters only
-                out.append(merge(t.lower()))
-            elif w.isascii() or latin(t):
-                out.append([i for piece in find(t.lower() if w.isascii() else normalize(t)) for i in merge(piece)])
-            else:
-                out.append(whole.encode(t, add_special_tokens=False).ids)
-        return out
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
 
-    return PieceTable(encode)
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        self.new.append(word)
+        return n
+
+
+class WordIds:
+    """Token ids per distinct word, computed once per worker, by a few library calls per batch of new words.
+
+    The file's normaliser runs over all new words at once, its pattern splits them, and its BPE
+    model runs once over all their pieces. A piece's last token is one that the vocabulary marks as
+    ending a word, which tells the pieces apart again. At ``limit`` words the table starts again.
+    """
+
+    def __init__(self, path: str, limit: int = 600_000):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.whole = Tokenizer.from_file(path)
+        self.whole.encode_special_tokens = True
+        self.model = Tokenizer(self.whole.model)
+        self.model.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.find = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        vocabulary, suffix = spec["model"]["vocab"], spec["model"]["end_of_word_suffix"]
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+        self.characters = {b: c for c, b in byte_of_character().items() if b != 32}
+        self.limit = limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.place = _Numbers()
+        self.start, self.size, self.flat = (np.zeros(0, t) for t in (np.int64, np.int64, np.uint32))
+        self.words = self.used = 0
+
+    def _merge(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces in order, number of ids per piece)."""
+        text = " ".join(pieces)
+        mapped = text if text.isascii() and text.isprintable() else text.encode("utf-8").decode("latin-1").translate(self.characters)
+        ids = np.array(self.model.encode_batch_fast([mapped], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(pieces) or ends[-1] != len(ids):
+            raise ValueError("the vocabulary doesn't mark every piece's end")
+        return ids, np.diff(ends, prepend=0)
+
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words in order, number of ids per word)."""
+        text = b" ".join(words).decode("utf-8")
+        parts = (text if text.isascii() else self.whole.normalizer.normalize_str(text)).lower().split(" ")
+        if len(parts) != len(words) or not _LATIN(text):  # the library's character classes and these may differ
+            done = [self.whole.encode(w.decode("utf-8"), add_special_tokens=False).ids for w in words]
+            return np.fromiter(chain.from_iterable(done), np.uint32), np.fromiter(map(len, done), np.int64, len(done))
+        split = [[w] if w.isalpha() else self.find(w) for w in parts]
+        number = _Numbers()
+        at = np.fromiter(map(number.__getitem__, chain.from_iterable(split)), np.int64)
+        if not len(at):
+            return np.zeros(0, np.uint32), np.zeros(len(words), np.int64)
+        ids, sizes = self._merge(number.new)
+        starts = np.cumsum(sizes) - sizes
+        n = np.fromiter(map(len, split), np.int64, len(split))
+        bound = np.concatenate([[0], np.cumsum(sizes[at])])[np.concatenate([[0], np.cumsum(n)])]
+        return ids[_runs(starts[at], sizes[at])], np.diff(bound)
+
+    def _add(self, new: list[bytes]) -> None:
+        plain, latin, other = [], [], []
+        for w in new:
+            (plain if w.isascii() else latin if _LATIN(w.decode("utf-8")) else other).append(w)
+        groups = (plain, latin, other)
+        ids, sizes = zip(*[self.encode(g[i : i + 100_000]) for g in groups for i in range(0, len(g), 100_000)])
+        ids, sizes = np.concatenate(ids), np.concatenate(sizes)
+        number = np.fromiter(map(self.place.__getitem__, chain(*groups)), np.int64, len(new))
+        self.start, self.size = (_room(a, len(self.place)) for a in (self.start, self.size))
+        self.flat = _room(self.flat, self.used + len(ids))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.size[number] = sizes
+        self.start[number] = self.used + np.cumsum(sizes) - sizes
+        self.used += len(ids)
+
+    def ids(self, docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids in order, number of ids per document)."""
+        if len(self.place) > self.limit:
+            self.clear()
+        n = np.fromiter(map(len, docs), np.int64, len(docs))
+        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(docs)), np.int64, int(n.sum()))
+        if self.place.new:
+            self._add(self.place.new)
+            self.place.new = []
+        size = self.size[at]
+        bound = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(n)])]
+        return self.flat[_runs(self.start[at], size)], np.diff(bound)
+
+
+#: Here the library's character classes and those of ``regex`` agree, and no blank but the ASCII ones occurs.
+_LATIN = regex.compile(r"[\x00-\x7f\xa1-\u024f]*").fullmatch
+
+
+def _room(a: np.ndarray, n: int) -> np.ndarray:
+    return a if n <= len(a) else np.concatenate([a, np.zeros(max(n, 2 * len(a)) - len(a), a.dtype)])
+
+
+def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The positions of consecutive runs laid end to end."""
+    ends = np.cumsum(size)
+    return np.repeat(start - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
 def capacities(tokens: int, length: int) -> list[int]:
@@ -122,7 +209,7 @@ def pack(
     kind = src.schema["id"].dataType.simpleString()
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = kept("word_bpe", path, lambda: _tokenizer(path))
+        table = kept("word_bpe", path, lambda: WordIds(path))
         sequence = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
         names: list = []
         parts: list[np.ndarray] = []
@@ -171,6 +258,3 @@ def pack(
 def ids_crc32(col: str = "ids") -> Column:
     return F.crc32(F.col(col))
 
-
-def checksum(ids: list[int]) -> int:
-    return zlib.crc32(np.array(ids, "<u4").tobytes())
