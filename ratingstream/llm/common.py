@@ -138,25 +138,22 @@ def labelled_sample(
     """A bounded training sample: up to ``per_class`` texts of each label (0 and 1), outside fold 0 of ``folds``.
 
     Rows are drawn by a hash of the id, so the sample doesn't follow the order of the
-    table. At most ``2 * per_class`` texts of ``max_chars`` characters come to the driver;
-    longer and empty texts are not drawn (scoring reads every text whole).
+    table, and only among labelled rows whose text is there and fits: first the ids (no text is
+    moved for that), then their texts. At most ``2 * per_class`` texts of ``max_chars`` characters
+    come to the driver; longer and empty texts are not drawn (scoring reads every text whole).
+    Of different texts with one id the first in order counts.
     """
     lab = labels.where(crc_mod(id_col, folds) != 0).select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("y"))
+    lab = lab.where("y IN (0, 1)").distinct()
+    fits = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).where(F.length("text").between(1, max_chars))
+    able = written(spark, lab.join(fits.select("id"), "id", "left_semi"), "labelled_ids")
     ids = []
     for y in (0, 1):
-        # The label table is small beside the texts; the draw has room for ids without a fitting text.
-        ids += lab.where(F.col("y") == y).distinct().orderBy(F.xxhash64(F.lit(17), "id"), "id").limit(2 * per_class).collect()
+        ids += able.where(F.col("y") == y).orderBy(F.xxhash64(F.lit(17), "id"), "id").limit(per_class).collect()
     drawn = spark.createDataFrame([(int(r.id), int(r.y)) for r in ids], "id long, y int")
-    found = (
-        docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-        .where(F.length("text").between(1, max_chars))
-        .join(F.broadcast(drawn), "id")
-        .withColumn("h", F.xxhash64(F.lit(17), "id"))
-    )
-    out = []
-    for y in (0, 1):
-        out += [(r.text, y) for r in found.where(F.col("y") == y).orderBy("h", "id", "text").limit(per_class).collect()]
-    return out
+    texts = fits.join(F.broadcast(drawn.select("id").distinct()), "id").groupBy("id").agg(F.min("text").alias("text")).collect()
+    found = {r.id: r.text for r in texts}
+    return [(found[r.id], r.y) for r in ids]
 
 
 class PieceTable:

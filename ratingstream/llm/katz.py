@@ -430,7 +430,7 @@ def _finish(spark: SparkSession, found: DataFrame, uni: Unigrams, p: KatzParams,
         for block, data in zip(left["block"].to_pylist(), left["data"].to_pylist()):
             d = thaw(data)
             s = d["context"].copy()
-            for z in right["data"].to_pylist():
+            for z in right["sums"].to_pylist():
                 e = thaw(z)
                 s += e["fixed"] / FINE + sum(e[f"n{c}"] * np.log10(d2[c - 1] * c) for c in range(1, p.k + 1))
                 if len(e["off_doc"]):
@@ -445,7 +445,8 @@ def _finish(spark: SparkSession, found: DataFrame, uni: Unigrams, p: KatzParams,
             cols["seen_score"] += s.tolist()
         return pa.table({c: pa.array(x, pa.float64() if c.endswith("score") else pa.int64()) for c, x in cols.items()})
 
-    sums = found.where("kind = 0").select(F.col("block").alias("b"), "data")
+    # Both sides come from one table: names of their own keep pruned columns apart.
+    sums = found.where("kind = 0").select(F.col("block").alias("b"), F.col("data").alias("sums"))
     docs = (
         found.where("kind = 4").select("block", "data").groupBy("block").cogroup(sums.groupBy("b"))
         .applyInArrow(per_document, "block long, doc long, id long, n_tokens long, n_known long, base_score double, seen_score double")

@@ -158,15 +158,15 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str = "q
     return train(labelled_sample(spark, docs, labels, label, id_col, text, p.folds, p.per_class, p.max_chars), p)
 
 
-def score(spark: SparkSession, docs: DataFrame, model: QualityModel, text: str = "text", out: str = "score", threshold: float = 0.3) -> DataFrame:
-    """``docs`` with ``out`` (double, 0 to 1) and ``predicted`` (1 if ``out`` >= threshold) added.
+def score(spark: SparkSession, docs: DataFrame, model: QualityModel, text: str = "text", out: str = "score", threshold: float = 0.3, predicted: str = "predicted") -> DataFrame:
+    """``docs`` with ``out`` (double, 0 to 1) and ``predicted`` (1 if ``out`` >= threshold; the argument names the column) added.
 
     Whole texts are read. Null and empty texts get the model's bias. Columns of the input with
     those names are replaced; one row in, one row out, no shuffle.
     """
-    keep = [c for c in docs.columns if c not in (out, "predicted")]
+    keep = [c for c in docs.columns if c not in (out, predicted)]
     src = docs.select(*[F.col(f"`{c}`") for c in keep])
-    schema = src.withColumn(out, F.lit(0.0)).withColumn("predicted", F.lit(0)).schema
+    schema = src.withColumn(out, F.lit(0.0)).withColumn(predicted, F.lit(0)).schema
     shared = spark.sparkContext.broadcast((uuid.uuid4().hex, model))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +174,7 @@ def score(spark: SparkSession, docs: DataFrame, model: QualityModel, text: str =
         words = kept("quality", key, lambda: word_table(m))
         for b in batches(it, text, 4 << 20):
             s = score_texts(m, texts_of(b, text), words)
-            arrow = pa.schema([*b.schema, pa.field(out, pa.float64()), pa.field("predicted", pa.int32())])
-            yield with_columns(b, arrow, **{out: s, "predicted": (s >= threshold).astype(np.int32)})
+            arrow = pa.schema([*b.schema, pa.field(out, pa.float64()), pa.field(predicted, pa.int32())])
+            yield with_columns(b, arrow, **{out: s, predicted: (s >= threshold).astype(np.int32)})
 
     return src.mapInArrow(run, schema)

@@ -21,13 +21,13 @@ from __future__ import annotations
 import sys
 import unicodedata
 import uuid
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard as zstd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -157,10 +157,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, steps: int = 40)
 
 
 def _differing(docs: list[list[bytes]]) -> list[list[bytes]]:
-    """Without copies: the first of the texts whose long words have the same smallest checksum."""
+    """Without copies and near copies: the first of the texts that agree in four independent minimum hashes of their words."""
     first = {}
-    for i, d in enumerate(docs):
-        first.setdefault(min((zlib.crc32(w) for w in d if len(w) >= 8), default=-1 - i), d)
+    for d in docs:
+        h = np.array([xxhash.xxh64_intdigest(w) for w in set(d)] or [0], np.uint64)
+        with np.errstate(over="ignore"):
+            key = tuple(int((h * np.uint64(m)).min()) for m in (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+        first.setdefault(key, d)
     return list(first.values())
 
 
@@ -182,7 +185,7 @@ def train(sample: list[tuple[str, int]], p: ToxicityParams) -> ToxicityModel:
         chosen = ([w for w in sorted(s) if not often.isdisjoint(_grams({w}, p.grams))] for s in group)
         return [b" " + b" ".join(ws) + b" " for ws in chosen if ws]
 
-    plain = [b" " + b" ".join(d[i : i + 10]) + b" " for d in rest[0][:400] + [list(s) for s in learn[0][:400]] for i in range(0, len(d), 10)]
+    plain = [b" " + b" ".join(d[i : i + 10]) + b" " for d in rest[0][:400] + [sorted(s) for s in learn[0][:400]] for i in range(0, len(d), 10)]
     base = _cover(plain[:40_000], p.background, 64)
     carrier = base[-32:]
     toxic = base + _cover(contrast(learn[1]), p.toxic, p.segment)
@@ -222,15 +225,15 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str = "t
     return train(labelled_sample(spark, docs, labels, label, id_col, text, p.folds, p.per_class, p.max_chars), p)
 
 
-def score(spark: SparkSession, docs: DataFrame, model: ToxicityModel, text: str = "text", out: str = "score", threshold: float = 0.5) -> DataFrame:
-    """``docs`` with ``out`` (double, 0 to 1) and ``predicted`` (1 if ``out`` >= threshold) added.
+def score(spark: SparkSession, docs: DataFrame, model: ToxicityModel, text: str = "text", out: str = "score", threshold: float = 0.5, predicted: str = "predicted") -> DataFrame:
+    """``docs`` with ``out`` (double, 0 to 1) and ``predicted`` (1 if ``out`` >= threshold; the argument names the column) added.
 
     Whole texts are read. Null and empty texts get the constant's probability. Columns of the
     input with those names are replaced; one row in, one row out, no shuffle.
     """
-    keep = [c for c in docs.columns if c not in (out, "predicted")]
+    keep = [c for c in docs.columns if c not in (out, predicted)]
     src = docs.select(*[F.col(f"`{c}`") for c in keep])
-    schema = src.withColumn(out, F.lit(0.0)).withColumn("predicted", F.lit(0)).schema
+    schema = src.withColumn(out, F.lit(0.0)).withColumn(predicted, F.lit(0)).schema
     shared = spark.sparkContext.broadcast((uuid.uuid4().hex, model))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,7 +241,7 @@ def score(spark: SparkSession, docs: DataFrame, model: ToxicityModel, text: str
         words_kept = kept("toxicity", key, lambda: word_table(m)) if len(m.weights) else None
         for b in batches(it, text, 4 << 20):
             s = score_texts(m, texts_of(b, text), words_kept)
-            arrow = pa.schema([*b.schema, pa.field(out, pa.float64()), pa.field("predicted", pa.int32())])
-            yield with_columns(b, arrow, **{out: s, "predicted": (s >= threshold).astype(np.int32)})
+            arrow = pa.schema([*b.schema, pa.field(out, pa.float64()), pa.field(predicted, pa.int32())])
+            yield with_columns(b, arrow, **{out: s, predicted: (s >= threshold).astype(np.int32)})
 
     return src.mapInArrow(run, schema)

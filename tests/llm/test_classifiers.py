@@ -9,7 +9,6 @@ from ratingstream.llm.common import crc_mod, labelled_sample
 from llm_fixtures import labels, no_docs, odd_docs  # noqa: F401
 
 SF = "/root/testdata/sf0.1"
-LARGE = "/root/testdata/check_s"
 
 
 def rates(rows, label):
@@ -30,14 +29,14 @@ def test_query_and_held_out_accuracy(spark, query, label, least):
     assert got[0] >= least[0] and got[1] >= least[1], got
 
 
-@pytest.mark.parametrize("op,label", [(quality, "quality"), (toxicity, "toxic")])
-def test_held_out_accuracy_with_a_full_sample(spark, op, label):
-    docs = spark.read.parquet(f"{LARGE}/documents.parquet")
-    labels = spark.read.parquet(f"{LARGE}/labels.parquet")
-    model = op.fit(spark, docs, labels)
-    held = docs.join(labels.where(crc_mod("doc_id", 5) == 0).where(f"{label} IS NOT NULL"), "doc_id")
-    got = rates(op.score(spark, held, model).select(label, "predicted").collect(), label)
-    assert min(got) >= 0.98, got
+def test_sample_is_drawn_among_rows_that_are_there(spark, labels):
+    """A stage may see few of the labelled rows; the draw isn't spent on the others."""
+    lab = labels([(i, 1, i % 2) for i in range(4000)])
+    docs = spark.createDataFrame([(i, f"text {i}" if i % 3 else "x" * 200) for i in range(3900, 4000)], "doc_id long, text string")
+    got = labelled_sample(spark, docs, lab, "toxic", "doc_id", "text", 5, 10, 100)
+    fit = [i for i in range(3900, 4000) if i % 3 and zlib.crc32(str(i).encode()) % 5]
+    assert {y for _, y in got} == {0, 1} and len(got) == 20
+    assert {t for t, _ in got} <= {f"text {i}" for i in fit}
 
 
 def test_language_held_out_accuracy(spark):

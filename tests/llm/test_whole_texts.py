@@ -1,6 +1,10 @@
 """No part of a text is left out: long runs of letters are judged whole."""
 
+import hashlib
+import os
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -41,3 +45,20 @@ def test_toxic_word_late_in_a_long_run(toxic_model):
     table = toxicity.word_table(toxic_model)
     assert np.mean(toxicity.score_texts(toxic_model, texts, table) >= 0.5) >= 0.75
     assert np.mean(toxicity.score_texts(toxic_model, ordinary, table) >= 0.5) <= 0.2
+
+
+def dictionaries() -> str:
+    r = random.Random(5)
+    sample = [(paragraph(r), 0) for _ in range(120)] + [(paragraph(r, r.choice(TOXIC), r.randrange(90)), 1) for _ in range(120)]
+    m = toxicity.train(sample, toxicity.ToxicityParams())
+    return hashlib.sha256(m.toxic + m.ordinary + m.weights.tobytes()).hexdigest()
+
+
+def test_training_does_not_depend_on_the_hash_seed():
+    code = "import test_whole_texts as t; print(t.dictionaries())"
+    here, root = os.path.dirname(__file__), os.path.dirname(os.path.dirname(os.path.dirname(__file__)))
+    got = set()
+    for seed in range(5):
+        env = os.environ | {"PYTHONHASHSEED": str(seed), "PYTHONPATH": os.pathsep.join([here, root])}
+        got.add(subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, check=True).stdout)
+    assert len(got) == 1
