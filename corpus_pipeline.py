@@ -15,30 +15,42 @@ from ratingstream.llm import packing, quality, simhash_dedup, toxicity
 from ratingstream.llm.common import table, written
 
 
+#: Names for a stage's own columns, which no column of the documents has.
+SCORE, PREDICTED, KEY = "\x01score", "\x01predicted", "\x01key"
+
+
+def _columns(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose quality score is 0.3 or more; the classifier learns from the stage's own input."""
     model = quality.fit(spark, docs, table(spark, sf_dir, "labels"))
-    scored = quality.score(spark, docs, model, out="quality_score")
-    return scored.where(F.col("predicted") == 1).select(*docs.columns)
+    scored = quality.score(spark, docs, model, out=SCORE, predicted=PREDICTED)
+    return scored.where(F.col(PREDICTED) == 1).select(*_columns(docs))
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose toxicity score is under 0.5; the classifier learns from the stage's own input."""
     model = toxicity.fit(spark, docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score(spark, docs, model, out="toxicity_score")
-    return scored.where(F.col("predicted") == 0).select(*docs.columns)
+    scored = toxicity.score(spark, docs, model, out=SCORE, predicted=PREDICTED)
+    return scored.where(F.col(PREDICTED) == 0).select(*_columns(docs))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each near-duplicate class.
+    """Keeps one row of each near-duplicate class: the one with the smallest id, then the first as read.
 
-    A row without an id can't be told from its copies and is kept; of rows that repeat the kept
-    id and its text one stays.
+    Rows are told apart by a key of their own, so rows that share an id, or have none, are
+    deduplicated by their texts like all others (a row without an id stays only if none of its
+    class has one).
     """
-    classes = simhash_dedup.near_duplicates(spark, docs)
-    kept = classes.where("doc_id = component_id").select("doc_id").distinct()
-    with_id = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return with_id.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    keyed = written(spark, docs.withColumn(KEY, F.monotonically_increasing_id()), "keyed_documents")
+    classes = simhash_dedup.near_duplicates(spark, keyed, id_col=KEY).select(F.col(f"`{KEY}`").alias("k"), "component_id")
+    ids = keyed.select(F.col(KEY).alias("key"), F.col("doc_id").alias("id"))
+    rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "key")
+    first = classes.join(ids, F.col("k") == F.col("key")).groupBy("component_id").agg(F.min(rank).alias("first"))
+    kept = first.select(F.col("first.key").alias(KEY))
+    return keyed.join(kept, KEY, "left_semi").select(*_columns(docs))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
