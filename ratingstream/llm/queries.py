@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, embedding_dedup, hilbert_ann, katz, langid, packing, quality, simhash_dedup, toxicity, url_filter
+from . import byte_bpe, decontaminate, embedding_dedup, hilbert_ann, katz, langid, packing, quality, simhash_dedup, toxicity, url_filter
 from .common import held_out, table
 
 
@@ -64,6 +64,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.scan(spark, docs, table(spark, sf_dir, "benchmark"), window=10)
+    digest = F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
@@ -76,8 +83,9 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash_dedup": op8_simhash_dedup,
         "op9_toxicity": op9_toxicity,
         "op10_packing": op10_packing,
+        "op12_decontaminate": op12_decontaminate,
     }
 
 
 def sql() -> dict[str, str]:
-    return {"op2_url_filter": url_filter.sql()}
+    return {"op2_url_filter": url_filter.sql(), "op12_decontaminate": decontaminate.sql()}
