@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, embedding_dedup, hilbert_ann, katz, langid, packing, quality, simhash_dedup, toxicity, url_filter
+from . import byte_bpe, conversations, decontaminate, embedding_dedup, hilbert_ann, katz, langid, packing, quality, simhash_dedup, toxicity, url_filter
 from .common import held_out, table
 
 
@@ -71,6 +71,11 @@ def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.repair(spark, conversations.damage(rows), ids=rows)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
@@ -84,6 +89,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_toxicity": op9_toxicity,
         "op10_packing": op10_packing,
         "op12_decontaminate": op12_decontaminate,
+        "op13_conversation_repair": op13_conversation_repair,
     }
 
 

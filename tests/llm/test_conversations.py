@@ -1,0 +1,173 @@
+import hashlib
+import heapq
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from ratingstream.llm import conversations as C
+from ratingstream.llm.queries import op13_conversation_repair
+
+GRAMMAR = re.compile("(s?(ua)+)?")
+NOT_BLANK = re.compile("[^\x20\x09-\x0d]")
+
+
+def faults(rows):
+    """First fault per (role, text) row, in order."""
+    seen, out = set(), []
+    for role, text in rows:
+        found = NOT_BLANK.findall(text)
+        out.append("blank" if not found else "duplicate" if (role, text) in seen else "truncated" if found[-1] not in ".!?" else "none")
+        seen.add((role, text))
+    return out
+
+
+def brute_audit(rows):
+    """(cost, audit, repaired rows) by a search over all edit sequences, cheapest first, least audit first among equals."""
+    fault = faults(rows)
+    heap, tried = [(0, "", 0, "", ())], set()
+    while heap:
+        cost, audit, i, roles, out = heapq.heappop(heap)
+        if i == len(rows) and GRAMMAR.fullmatch(roles):
+            return cost, audit, list(out)
+        state = (i, "" if not roles else roles[-1], len(roles) == 0)
+        if state in tried:  # what follows depends on the last initial only
+            continue
+        tried.add(state)
+        begins = lambda r: any(GRAMMAR.fullmatch(r + t) for t in ("", "a", "ua"))
+        steps = [(5, "I", i, r) for r in ("user", "assistant")]
+        if i < len(rows):
+            role, text = rows[i]
+            steps.append((2, "D", i + 1, None))
+            if fault[i] in ("none", "truncated"):
+                extra = 5 * (fault[i] == "truncated")
+                steps += [(1 + extra, "R", i + 1, r) for r in ("user", "assistant")]
+                if role[:1] in ("s", "u", "a"):
+                    steps.append((extra, "K", i + 1, role))
+        for c, edit, j, r in steps:
+            new = roles + (r[:1] if r else "")
+            if begins(new):
+                row = () if r is None else ((r, "" if edit == "I" else rows[i][1]),)
+                heapq.heappush(heap, (cost + c, audit + edit, j, new, out + row))
+    raise AssertionError("every conversation can be repaired")
+
+
+def brute(original):
+    """Expected result by conversation for (conv_id, turn, role, text) rows, damaged as the query does."""
+    after = defaultdict(list)
+    for conv, turn, role, text in original:
+        after[conv]
+        role, text = " " if role is None else role, " " if text is None else text
+        k = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if k == 0:
+            continue
+        text = "" if k == 1 else re.sub("[.!?]", "", text) if k == 2 else text
+        role = "user" if k == 4 else role
+        after[conv] += [(turn, role, text)] * (2 if k == 3 else 1)
+    out = {}
+    for conv, rows in after.items():
+        rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], hashlib.sha256(r[2].encode()).digest()))
+        pairs = [(r, x) for _, r, x in rows]
+        f = faults(pairs)
+        turns = [t for t, _, _ in rows if t is not None]
+        cost, audit, fixed = brute_audit(pairs)
+        illegal = sum(a[:1] + b[:1] not in ("su", "ua", "au") for (a, _), (b, _) in zip(pairs, pairs[1:]))
+        sha = hashlib.sha256("\n".join(f"{r}:{x}" for r, x in fixed).encode()).hexdigest()
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        out[conv] = (gaps, f.count("blank"), f.count("duplicate"), f.count("truncated"), illegal, cost, audit, sha)
+    return out
+
+
+def result(df):
+    rows = df.collect()
+    assert len({r.conv_id for r in rows}) == len(rows)
+    return {r.conv_id: tuple(r)[1:] for r in rows}
+
+
+def random_rows(r, n):
+    roles = ["user", "assistant", "system", "tool", "u", "", None, "user", "assistant"]
+    texts = ["Yes.", "No!", "cut", "", " \t", "same?", None, "cut \n", "end. "]
+    return [(r.choice([None, *range(n // 6)]), r.choice([None, *range(8)]), r.choice(roles), r.choice(texts)) for _ in range(n)]
+
+
+def signature_of(rows):
+    kind = {"s": 0, "u": 1, "a": 2}
+    return "".join(chr(65 + 4 * kind.get(role[:1], 3) + C.FAULTS.index(f)) for (role, _), f in zip(rows, faults(rows)))
+
+
+def test_audits_are_cheapest_and_least():
+    r = random.Random(2)
+    both = C.Suffixes()
+    for _ in range(1500):
+        rows = [(r.choice(["user", "assistant", "system", "tool"]), r.choice(["a.", "b.", "c", "", "d!"])) for _ in range(r.randint(0, 8))]
+        cost, audit, fixed = brute_audit(rows)
+        assert both.solve(signature_of(rows)) == (cost, audit)
+        e = C.Editor(audit)
+        assert [p for row in rows for p in e.row(*row)] + list(e.inserted()) == fixed
+    assert len(both.automaton.nodes) < 200
+
+
+def test_long_signature_stays_small():
+    s = C.Suffixes()
+    cost, audit = s.solve("EI" * 100_000)
+    assert (cost, audit) == (0, "K" * 200_000)
+    assert s.solve("AEI" + "EI" * 100)[0] == 0
+
+
+def test_query_against_brute_force(spark):
+    r = random.Random(8)
+    rows = random_rows(r, 600)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    df = df.withColumn("tail", F.lit("x")).withColumn("audit", F.lit("mine")).withColumn("conv", F.lit(1))
+    got = result(C.repair(spark, C.damage(df), ids=df))
+    assert got == brute(rows)
+
+
+def test_given_table_against_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert result(op13_conversation_repair(spark, sf)) == brute(rows)
+
+
+def test_one_conversation_over_many_tasks(spark, monkeypatch):
+    rows = [(1, t, "user" if t % 2 else "assistant", f"turn {t}.") for t in range(500)] + [(2, 0, "user", "Hi."), (2, 1, "assistant", "Yes.")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    pieces = C._pieces(C._symbols(C._rows(df, "conv_id", "turn", "role", "text")), most=7)
+    assert pieces.where("conv = 1").count() > 60
+    monkeypatch.setattr(C, "_pieces", lambda s, f=C._pieces: f(s, 7))
+    assert result(C.repair(spark, C.damage(df), ids=df)) == brute(rows)
+
+
+def test_repaired_rows_obey_the_grammar(spark):
+    rows = random_rows(random.Random(5), 300)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = defaultdict(list)
+    for r in C.repaired_rows(spark, C.damage(df)).orderBy("position").collect():
+        assert r.position == len(out[r.conv_id])
+        out[r.conv_id].append((r.role, r.text))
+    hashes = result(C.repair(spark, C.damage(df), ids=df))
+    for conv, want in hashes.items():
+        fixed = out[conv]
+        assert GRAMMAR.fullmatch("".join(x[0] for x, _ in fixed))
+        assert hashlib.sha256("\n".join(f"{a}:{b}" for a, b in fixed).encode()).hexdigest() == want[-1]
+
+
+def test_empty_tables_and_dropped_conversations(spark):
+    schema = "conv_id long, turn long, role string, text string"
+    none = spark.createDataFrame([], schema)
+    assert C.repair(spark, C.damage(none), ids=none).collect() == []
+    assert C.repaired_rows(spark, none).collect() == []
+    gone = next(t for t in range(1000) if zlib.crc32(f"5:{t}".encode()) % 20 == 0)
+    df = spark.createDataFrame([(5, gone, "user", "Hi.")], schema)
+    got = C.repair(spark, C.damage(df), ids=df).collect()
+    assert [tuple(r) for r in got] == [(5, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())]
+
+
+@pytest.mark.parametrize("text", ["x" * 300_000 + ".", "long words " * 30_000])
+def test_very_long_texts(spark, text):
+    rows = [(1, 0, "user", text), (1, 1, "assistant", text), (1, 2, "user", text)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert result(C.repair(spark, C.damage(df), ids=df)) == brute(rows)
