@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, conversations, decontaminate, embedding_dedup, hilbert_ann, katz, langid, packing, quality, simhash_dedup, toxicity, url_filter
+from . import byte_bpe, conversations, decontaminate, embedding_dedup, hilbert_ann, katz, langid, packing, quality, simhash_dedup, spelling, toxicity, url_filter
 from .common import held_out, table
 
 
@@ -64,6 +64,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spark, table(spark, sf_dir, "documents"))
+
+
 def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.scan(spark, docs, table(spark, sf_dir, "benchmark"), window=10)
@@ -88,6 +92,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash_dedup": op8_simhash_dedup,
         "op9_toxicity": op9_toxicity,
         "op10_packing": op10_packing,
+        "op11_spelling_variants": op11_spelling_variants,
         "op12_decontaminate": op12_decontaminate,
         "op13_conversation_repair": op13_conversation_repair,
     }
