@@ -12,9 +12,11 @@ from __future__ import annotations
 
 import math
 import secrets
+import sys
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -23,6 +25,9 @@ from pyspark.sql import functions as F
 from ..functions.vectors import nearest_center
 from ..schemas import MODEL_STATE
 
+# Python workers get the scoring functions by value, so they need not find the library.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed values of the update rule (public MLlib streaming k-means):
 # weights are floored at 1e-16 in the step size, a cluster is dying when its
 # weight is below 1e-8 times the largest weight, and a split moves the two
@@ -102,27 +107,39 @@ def check_dim(centers: np.ndarray, dim: int) -> None:
 # --------------------------------------------------------------------------- assign
 
 
+def vectors_of(features: pa.Array) -> np.ndarray | None:
+    """An Arrow column of equally long arrays as a matrix with a row per element of the arrays; None if it is empty."""
+    if isinstance(features, pa.ChunkedArray):
+        features = features.combine_chunks()
+    n = len(features)
+    if n == 0:
+        return None
+    x = features.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    return np.ascontiguousarray(x.reshape(n, -1).T)
+
+
+def squared_distances(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Point x centre. The matrix ``x`` has a row per dimension: rows are added one after the other, so each
+    distance is summed from the first element to the last, as the JVM form does. What is no number is infinite."""
+    d = np.empty((x.shape[1], len(centers)))
+    for j, c in enumerate(centers):
+        diff = x - c[:, None]
+        d[:, j] = np.add.reduce(diff * diff, axis=0)
+    d[np.isnan(d)] = np.inf
+    return d
+
+
+def nearest_of(d: np.ndarray) -> np.ndarray:
+    """Ties go to the lowest index."""
+    return np.argmin(d, axis=1)
+
+
 def _arrow_nearest(centers: np.ndarray):
     c = np.ascontiguousarray(centers, dtype=np.float64)
-    k = c.shape[0]
 
     def nearest(feats: pa.Array) -> pa.Array:
-        if isinstance(feats, pa.ChunkedArray):
-            feats = feats.combine_chunks()
-        n = len(feats)
-        if n == 0:
-            return pa.array([], pa.int32())
-        x = feats.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-        x = x.reshape(n, -1)
-        x = np.ascontiguousarray(x.T)
-        d = np.empty((n, k))
-        for j in range(k):
-            diff = x - c[j][:, None]
-            # rows of a matrix are added one after the other, so each distance is
-            # summed from the first element to the last, as the JVM form does
-            d[:, j] = np.add.reduce(diff * diff, axis=0)
-        d[np.isnan(d)] = np.inf  # a distance that is no number comes last
-        return pa.array(np.argmin(d, axis=1).astype(np.int32))
+        x = vectors_of(feats)
+        return pa.array([], pa.int32()) if x is None else pa.array(nearest_of(squared_distances(x, c)).astype(np.int32))
 
     return F.arrow_udf(nearest, "int")
 

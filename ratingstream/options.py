@@ -75,13 +75,15 @@ class StreamOptions:
     on_error: str = "quarantine"  # or "fail"
     max_records_per_s_per_partition: int = 2000  # 0: no cap
     broadcast_limit_bytes: int = 256 * 1024 * 1024
-    assign_method: str = "arrow"  # or "sql"; the same results
+    assign_method: str = "arrow"  # or "sql", "incremental" (kept bounds, see operators.bounds); the same results
     hot_movie_rows: int = 1_000_000  # ratings of one movie beyond this are salted in shuffled joins
     report_span: int = 1_000_000  # offsets per line of the prediction report
     # Replay the empty intervals between two batches as empty model updates
     # (decay and the dying-cluster check), as a timer-driven stream would run
     # them. Off by default: Structured Streaming runs no batch without data.
     replay_idle_intervals: bool = False
+    # Batches that keep folders of their own, and segments of a level, before they are merged into one.
+    compact_every: int = 16
 
 
 @dataclass(frozen=True)

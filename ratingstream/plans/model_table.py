@@ -1,10 +1,8 @@
 """The model as a table keyed by batch id: ``<root>/batch_id=N`` with K rows each.
 
-A state folder counts once its ``_SUCCESS`` marker exists. The batch fold
-writes states in order and resumes after the last one; the stream also
-writes a commit marker per batch after all of the batch's outputs (see
-:mod:`ratingstream.streaming.job`). A batch that is redone starts from the
-state of the batch before it and overwrites any partial output.
+A batch counts once :mod:`ratingstream.plans.model_log` names it, which happens after
+all of its outputs are written. A batch that is redone starts from the state of the batch before it
+and overwrites any partial output.
 """
 
 from __future__ import annotations
@@ -22,7 +20,7 @@ _DIR = re.compile(r"batch_id=(-?\d+)$")
 
 
 def write_state(state: DataFrame, path: str) -> None:
-    state.select("cluster", "center", "weight").write.mode("overwrite").parquet(path)
+    state.select("cluster", "center", "weight").coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
@@ -48,16 +46,6 @@ def complete_batches(spark: SparkSession, root: str, mark: str = "_SUCCESS") ->
     return sorted(int(m.group(1)) for m in map(_DIR.search, names) if m)
 
 
-def previous_batch(spark: SparkSession, root: str, batch_id: int) -> int | None:
-    """The newest complete batch before ``batch_id`` (usually ``batch_id - 1``), or the seed."""
-    if has_batch(spark, root, batch_id - 1):
-        return batch_id - 1
-    earlier = [b for b in complete_batches(spark, root) if b < batch_id]
-    if not earlier and not has_batch(spark, root, SEED):
-        raise RuntimeError(f"no model state before batch {batch_id} under {root}")
-    return earlier[-1] if earlier else SEED
-
-
 def write_seed(spark: SparkSession, root: str, state0: DataFrame) -> None:
     if not has_batch(spark, root, SEED):
         write_state(state0, batch_path(root, SEED))
@@ -70,10 +58,3 @@ def read_batch(spark: SparkSession, root: str, batch_id: int | None) -> DataFram
 def write_batch(state: DataFrame, root: str, batch_id: int | None) -> None:
     write_state(state, batch_path(root, batch_id))
 
-
-def read_all(spark: SparkSession, root: str) -> DataFrame:
-    """Every complete state with its ``batch_id`` (the seed isn't among them)."""
-    ids = complete_batches(spark, root)
-    if not ids:
-        raise RuntimeError(f"no model state under {root}")
-    return spark.read.option("basePath", root).parquet(*[batch_path(root, b) for b in ids])

@@ -221,6 +221,8 @@ cnt_d{b} AS (
             f"SELECT {b} AS batch_id, CAST(cluster AS INTEGER) AS cluster, CAST(i AS INTEGER) AS tag_id, round(c, {ROUND}) AS center FROM st_d{b}"
             for b in range(N_DAYS)
         )
+    if out == "assignment":
+        return f'{head},{_assign_block("fin", "vecs", prev).strip(chr(10))}' + "\nSELECT movie_id, cluster FROM a_fin"
     if not with_predictions:
         return head + _state_out(prev)
     thr = sample_threshold(SAMPLE_FRACTION)
@@ -400,6 +402,7 @@ SELECT cluster, 0.0::DOUBLE AS weight, tag_id, round(sqrt(-2.0 * ln(u1)) * cos(2
     q["latest_model"] = _daily_fold()
     q["fold_signed_batches"] = q["latest_model"]
     q["stateful_model"] = q["latest_model"]
+    q["assign_clusters_incremental"] = _daily_fold(out="assignment")
     q["stream_model_report"] = _daily_fold(out="model_report")
     q["stream_prediction_report"] = _daily_fold(with_predictions=True, out="prediction_report")
     q["stream_predictions"] = _daily_fold(with_predictions=True)

@@ -15,9 +15,11 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.bounds import BOUNDS, advance, scored_bounds
 from ..operators.features import (
     array_to_features,
     assemble_tag_vectors,
@@ -35,8 +37,9 @@ from ..operators.kmeans import (
     train_step_arrays,
 )
 from ..options import KMeansOptions, StreamOptions
-from ..session import fresh_path, is_complete
+from ..session import fresh_path, is_complete, remove_folder
 from . import model_table as mt
+from .model_log import ModelLog
 
 # Writers that a batch's counts are dealt to in a fold.
 _FOLD_WRITERS = 16
@@ -120,14 +123,53 @@ def batch_points(
     return joined
 
 
+class IncrementalAssignment:
+    """The cluster of every movie under the current centres, kept with distance bounds.
+
+    Moving the centres rewrites the bounds (a few numbers per movie, under the shared folder) and reads only
+    those vectors whose bounds cross. ``n`` and ``rescored`` count the movies of the last move and those scored.
+    The table of the version before stays for readers; older ones are removed.
+    """
+
+    def __init__(self, spark: SparkSession, vt: VectorTable, centers, root: str | None = None):
+        self.spark, self.vt, self.root = spark, vt, root or fresh_path(spark, "bounds")
+        self.version = 0
+        self._keep(scored_bounds(vt.side("features"), centers).withColumn("rescored", F.lit(True)), centers)
+
+    def _path(self, version: int) -> str:
+        return f"{self.root}/version={version}"
+
+    def _keep(self, bounds: DataFrame, centers) -> None:
+        seen = Observation()
+        bounds = bounds.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if("rescored").alias("rescored"))
+        bounds.drop("rescored").write.mode("overwrite").parquet(self._path(self.version))
+        self.n, self.rescored = int(seen.get["n"]), int(seen.get["rescored"])
+        self.centers = np.array(centers, dtype=np.float64, copy=True)
+
+    def _bounds(self) -> DataFrame:
+        return self.spark.read.schema("movie_id int, " + BOUNDS).parquet(self._path(self.version))
+
+    def at(self, centers) -> DataFrame:
+        """``movie_id, cluster`` under these centres."""
+        if not np.array_equal(self.centers, centers):
+            bounds = self._bounds()
+            self.version += 1
+            self._keep(advance(bounds, self.vt.side("features"), self.centers, centers), centers)
+            remove_folder(self.spark, self._path(self.version - 2))
+        return self._bounds().select("movie_id", "cluster")
+
+
 def batch_stats(
     counts: DataFrame,
     vt: VectorTable,
     centers,
     scale_by_rating: bool = False,
     method: str = "arrow",
+    clusters: DataFrame | None = None,
 ) -> DataFrame:
-    """K rows of ``cluster, n, total`` for one batch of rating counts."""
+    """K rows of ``cluster, n, total`` for one batch of rating counts; ``clusters`` are the movies' if they are known."""
+    if clusters is not None:
+        return cluster_stats(batch_points(counts.join(clusters, "movie_id"), vt), weight_col="n")
     pts = batch_points(counts, vt, scale_by_rating)
     return cluster_stats(assign_clusters(pts, centers, method=method), weight_col="n")
 
@@ -141,8 +183,9 @@ def assign_ratings(
     per_movie: bool = True,
     scale_by_rating: bool = False,
     hot_rows: int = StreamOptions.hot_movie_rows,
+    clusters: DataFrame | None = None,
 ) -> DataFrame:
-    """Every rating with the cluster of its movie (ratings without a vector drop out).
+    """Every rating with the cluster of its movie (ratings without a vector drop out); ``clusters`` are the movies' if known.
 
     With ``per_movie`` each vector is scored once; the ``movie_id → cluster``
     table has one row per vector, so its size is known before the join and
@@ -160,12 +203,22 @@ def assign_ratings(
         pts = join_ratings_features(ratings, vt.side("features"), vt.n, vt.dim, broadcast_limit_bytes, hot_rows)
         return assign_clusters(pts, centers, method=method).drop("features")
     # every vector is scored where it is cached: the ratings are read once, for the join
-    clusters = assign_clusters(vt.side("features"), centers, method=method).select("movie_id", "cluster")
+    if clusters is None:
+        clusters = assign_clusters(vt.side("features"), centers, method=method).select("movie_id", "cluster")
     if vt.n * _ASSIGN_ROW_BYTES <= broadcast_limit_bytes:
         return ratings.join(F.broadcast(clusters), "movie_id", "inner")
     return salted_join(ratings, clusters, ["movie_id"], hot_rows)
 
 
+def incremental_assignment(spark: SparkSession, vt: VectorTable, centers, opts: StreamOptions) -> IncrementalAssignment | None:
+    """The movies' kept clusters if the options ask for them. Features that depend on the rating have no cluster per movie."""
+    if opts.assign_method != "incremental":
+        return None
+    if opts.scale_by_rating:
+        raise ValueError("incremental assignment needs features that don't depend on the rating")
+    return IncrementalAssignment(spark, vt, centers)
+
+
 def finite_ratings(ratings: DataFrame) -> DataFrame:
     """Ratings that are finite numbers: the others can't scale a vector."""
     return ratings.where(~F.isnan("rating") & (F.abs("rating") < float("inf")))
@@ -181,7 +234,30 @@ def fold_batches(
     stream: StreamOptions = StreamOptions(),
     out_dir: str | None = None,
 ) -> DataFrame:
-    """Train batch after batch, in ``batch_col`` order; returns every state with ``batch_id``.
+    """Train batch after batch, in ``batch_col`` order; returns every state with ``batch_id`` (see :func:`run_fold`)."""
+    return run_fold(spark, ratings, batch_col, vt, state0, kmeans, stream, out_dir).log.read("state")
+
+
+@dataclass
+class FoldRun:
+    """A finished fold: the log of its states and, with incremental assignment, the movies' clusters and what each batch scored again."""
+
+    log: ModelLog
+    assignment: IncrementalAssignment | None = None
+    rescored: list[tuple[int, int, int]] = field(default_factory=list)  # batch, movies, movies scored again
+
+
+def run_fold(
+    spark: SparkSession,
+    ratings: DataFrame,
+    batch_col: str,
+    vt: VectorTable,
+    state0: DataFrame,
+    kmeans: KMeansOptions = KMeansOptions(),
+    stream: StreamOptions = StreamOptions(),
+    out_dir: str | None = None,
+) -> FoldRun:
+    """Train batch after batch, in ``batch_col`` order; the states are in the returned run's log.
 
     Batch ids are integers of any sign. With ``scale_by_rating`` ratings that are NaN or
     infinite are left out.
@@ -189,7 +265,8 @@ def fold_batches(
     All batches are counted per movie in one pass first (a single shuffle of
     the ratings), written to the shared folder partitioned by batch; each
     step then reads only its own small partition. Each state is written as a
-    K-row table under ``out_dir/state/batch_id=N``. Given the ``out_dir`` of an
+    K-row table under ``out_dir/state/batch_id=N`` and committed to the log, which merges
+    old states as it grows. Given the ``out_dir`` of an
     interrupted run, the fold goes on after the last complete state instead
     of starting again.
     """
@@ -216,31 +293,42 @@ def fold_batches(
         raise ValueError(f"some ratings have no {batch_col}: a fold needs the batch of every rating")
 
     state_path = f"{out_dir}/state"
-    done = mt.complete_batches(spark, state_path)
-    if done != batch_ids[: len(done)]:
+    log = ModelLog(spark, out_dir, legacy=state_path, fanout=stream.compact_every)
+    if not log.begins(batch_ids):
         raise ValueError("the states under out_dir aren't those of the first batches: an earlier batch is new")
     if not mt.has_batch(spark, state_path, mt.SEED):
         centers, weights = model_arrays(state0)
         mt.write_batch(state_frame(spark, centers, weights), state_path, mt.SEED)
-    last = done[-1] if done else mt.SEED
-    centers, weights = model_arrays(mt.read_batch(spark, state_path, last))
+    centers, weights = model_arrays(log.latest_model())
     check_dim(centers, vt.dim)
+
+    run = FoldRun(log, incremental_assignment(spark, vt, centers, stream))
+
+    def keep(state: DataFrame, b: int) -> None:
+        mt.write_batch(state, state_path, b)
+        log.commit(b)
+        log.compact()
+
     # a state is written by one background thread, in batch order, while the
     # next step's cluster sums are computed
     writes = []
     with ThreadPoolExecutor(max_workers=1) as writer:
-        for b in batch_ids[len(done) :]:
+        for b in batch_ids[log.manifest.n :]:
             counts = counts_all.where(F.col("batch_id") == F.lit(b)).drop("batch_id")
-            stats = batch_stats(
-                counts, vt, centers, stream.scale_by_rating, stream.assign_method
-            )
+            if run.assignment:
+                stats = batch_stats(counts, vt, centers, clusters=run.assignment.at(centers))
+                run.rescored.append((b, run.assignment.n, run.assignment.rescored))
+            else:
+                stats = batch_stats(counts, vt, centers, stream.scale_by_rating, stream.assign_method)
             # the K cluster sums come back to the driver: the update of the K x D
             # model runs there, and the new model seeds the next step's scoring
             n, total = stats_arrays(stats.collect(), len(centers), vt.dim)
             centers, weights = train_step_arrays(centers, weights, n, total, kmeans.decay, kmeans.time_unit)
             if writes:
                 writes[-1].result()  # the previous state is in place before this one is queued
-            writes.append(writer.submit(mt.write_batch, state_frame(spark, centers, weights), state_path, b))
+            writes.append(writer.submit(keep, state_frame(spark, centers, weights), b))
     for w in writes:
         w.result()
-    return mt.read_all(spark, state_path)
+    if run.assignment:
+        run.assignment.at(centers)
+    return run

@@ -29,7 +29,7 @@ from ..operators.parse import (
 )
 from ..operators.publish import publish_ratings, publish_summary
 from ..operators.reports import model_report, offset_ranges, prediction_report
-from ..options import KMeansOptions
+from ..options import KMeansOptions, StreamOptions
 from ..sources import fixtures as fx
 from ..sources.files import count_lines, scan_rating_lines, scan_tag_scores
 from . import pipeline as pl
@@ -369,10 +369,20 @@ def _daily_ratings(spark, sf_dir) -> DataFrame:
 
 def q_latest_model(spark, sf_dir):
     vt = vector_table(spark, sf_dir)
-    states = pl.fold_batches(
+    run = pl.run_fold(
         spark, _daily_ratings(spark, sf_dir), "day", vt, start_state(spark, sf_dir), KMeansOptions(k=K, dim=vt.dim)
     )
-    return state_long(km.latest_model(states).drop("batch_id"))
+    return state_long(run.log.latest_model())
+
+
+def q_assign_clusters_incremental(spark, sf_dir):
+    """Every movie's cluster after the daily fold, kept up to date by distance bounds over all of its batches."""
+    vt = vector_table(spark, sf_dir)
+    run = pl.run_fold(
+        spark, _daily_ratings(spark, sf_dir), "day", vt, start_state(spark, sf_dir), KMeansOptions(k=K, dim=vt.dim),
+        StreamOptions(assign_method="incremental"),
+    )
+    return run.assignment.at(km.model_arrays(run.log.latest_model())[0])
 
 
 def q_model_report(spark, sf_dir):
@@ -432,6 +442,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "decay_weights": q_decay_weights,
         "split_dying_cluster": q_split_dying_cluster,
         "latest_model": q_latest_model,
+        "assign_clusters_incremental": q_assign_clusters_incremental,
         "model_report": q_model_report,
         "format_center": q_format_center,
         "prediction_report": q_prediction_report,

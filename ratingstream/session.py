@@ -11,6 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 _LOCAL_CONF = {
@@ -97,6 +98,93 @@ def touch(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True).close()
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file's content, or None if there is no such file."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file so that readers see the old content or the new, never a part.
+
+    Written beside its place, then renamed over it in one step. (On an object store, where a
+    rename is a copy, the put of the finished object is what replaces it in one step.)
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
+    target = fs.makeQualified(jvm.org.apache.hadoop.fs.Path(path))
+    beside = _written_beside(spark, fs, target, text)
+    kind = jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(beside, target, how)
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small text file in one step; False, and nothing changes, if there is one already."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
+    target = fs.makeQualified(jvm.org.apache.hadoop.fs.Path(path))
+    if fs.exists(target):
+        return False
+    beside = _written_beside(spark, fs, target, text)
+    how = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    how[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(beside, target, how)
+    except Py4JJavaError:
+        if not fs.exists(target):
+            raise
+        fs.delete(beside, False)
+        return False
+    return True
+
+
+def _written_beside(spark: SparkSession, fs, target, text: str):
+    """A hidden file with the text in the target's folder."""
+    fs.mkdirs(target.getParent())
+    beside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}.{uuid.uuid4().hex[:12]}")
+    stream = fs.create(beside, True)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    return beside
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder (hidden ones left out); none if there is no such folder."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return sorted(n for st in fs.listStatus(p) if not (n := st.getPath().getName()).startswith((".", "_")))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds, if it is there."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """A table folder counts as written once its ``_SUCCESS`` marker exists."""
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
@@ -110,5 +198,11 @@ __all__ = [
     "path_exists",
     "is_complete",
     "publish_folder",
+    "read_text",
+    "create_text",
+    "list_names",
+    "replace_text",
+    "remove_folder",
+    "folder_bytes",
     "touch",
 ]

@@ -15,9 +15,10 @@ each micro-batch, in order:
    (these writes, the dated model and prediction reports, the quarantine and the
    state run as concurrent jobs);
 5. write the new model to ``state/batch_id=N`` (with the outputs above), then
-   the marker ``commits/batch_id=N``, the completion mark.
+   commit the batch to the run's log (one pointer, replaced atomically), which also merges
+   old batches' folders as they grow in number.
 
-Replays are idempotent: a batch whose marker exists is skipped, others are
+Replays are idempotent: a committed batch is skipped, others are
 recomputed and overwrite their folders. The streaming checkpoint holds the
 source offsets; the state table holds the model, so a restarted query goes
 on from the last finished batch.
@@ -46,6 +47,7 @@ from ..operators.reports import model_report, offset_ranges, prediction_report
 from ..options import KMeansOptions, StreamOptions
 from ..plans import model_table as mt
 from ..plans import pipeline as pl
+from ..plans.model_log import ModelLog
 from ..session import fresh_path, path_exists, touch
 
 
@@ -120,13 +122,14 @@ def process_batch(
     ``memo`` keeps the last written model on the driver (K rows), so the next
     batch need not read it back; after a restart it is read from the table.
     """
-    if is_committed(spark, paths, batch_id):
+    log = run_log(spark, paths, opts.compact_every)
+    if log.is_committed(batch_id):
         return False
-    prev_id = mt.previous_batch(spark, paths.state, batch_id)
-    if memo and memo["batch_id"] == prev_id:
+    prev_id = log.before(batch_id)
+    if memo and memo.get("batch_id", batch_id) == prev_id:
         centers, weights = memo["centers"], memo["weights"]
     else:
-        centers, weights = km.model_arrays(mt.read_batch(spark, paths.state, prev_id))
+        centers, weights = km.model_arrays(log.model(prev_id))
     km.check_dim(centers, vt.dim)
 
     keep, key = _record_columns(batch)
@@ -142,9 +145,13 @@ def process_batch(
     try:
         good = accepted(parsed).drop("value")
         counts = pl.movie_counts(good, opts.scale_by_rating)
-        stats = pl.batch_stats(
-            counts, vt, centers, opts.scale_by_rating, opts.assign_method
-        )
+        held = None if memo is None else memo.get("assignment")
+        if held is None:
+            held = pl.incremental_assignment(spark, vt, centers, opts)
+            if memo is not None:
+                memo["assignment"] = held
+        clusters = held.at(centers) if held else None
+        stats = pl.batch_stats(counts, vt, centers, opts.scale_by_rating, opts.assign_method, clusters)
         # the K cluster sums (this job also fills the cache of the parsed batch)
         n, total = km.stats_arrays(stats.collect(), len(centers), vt.dim)
         outputs = []
@@ -154,7 +161,7 @@ def process_batch(
             idle = idle_intervals(before, now, opts.interval_s)
             centers, weights = km.train_idle(centers, weights, idle, kmeans.decay, kmeans.time_unit)
             clock = spark.createDataFrame([(int(now), idle)], "trigger_ms long, idle_intervals int")
-            outputs.append((clock, mt.batch_path(paths.clock, batch_id)))
+            outputs.append((clock, "clock"))
         new_centers, new_weights = km.train_step_arrays(
             centers, weights, n, total, kmeans.decay, kmeans.time_unit
         )
@@ -167,6 +174,7 @@ def process_batch(
         preds = pl.assign_ratings(
             sample, vt, new_centers, opts.assign_method, opts.broadcast_limit_bytes,
             scale_by_rating=opts.scale_by_rating, hot_rows=opts.hot_movie_rows,
+            clusters=held.at(new_centers) if held else None,
         )
         preds = preds.persist(StorageLevel.MEMORY_AND_DISK)  # the sample, written and reported
         cached.append(preds)
@@ -175,26 +183,27 @@ def process_batch(
         groups = tuple(c for c in ("topic", "partition") if c in keep) if by_offset else ()
         report = prediction_report(preds, order_col="offset" if by_offset else None, span=opts.report_span, group_cols=groups)
         outputs += [
-            (preds, mt.batch_path(paths.predictions, batch_id)),
-            (quarantined(parsed).drop(TRIGGER_COL), mt.batch_path(paths.quarantine, batch_id)),
+            (preds, "predictions"),
+            (quarantined(parsed).drop(TRIGGER_COL), "quarantine"),
         ]
         if "offset" in keep and "partition" in keep:
             rng = offset_ranges(
                 parsed.select(*[c for c in ("topic", "partition", "offset") if c in keep], "reject_reason")
             )
-            outputs.append((rng, mt.batch_path(paths.offsets, batch_id)))
+            outputs.append((rng, "offsets"))
         outputs += [
-            (model_report(new_state), mt.batch_path(paths.model_reports, batch_id)),
-            (report, mt.batch_path(paths.prediction_reports, batch_id)),
-            (new_state, mt.batch_path(paths.state, batch_id)),
+            (model_report(new_state), "model_report"),
+            (report, "prediction_report"),
+            (new_state.coalesce(1), "state"),
         ]
         # the outputs are independent jobs over the cached batch: submit them
         # together so their small stages share the executors
         with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
-            for f in [pool.submit(_overwrite, df, path) for df, path in outputs]:
+            for f in [pool.submit(_overwrite, df, mt.batch_path(f"{paths.root}/{t}", batch_id)) for df, t in outputs]:
                 f.result()
-        # only now is the batch done: the marker is the last thing written
-        touch(spark, commit_path(paths, batch_id))
+        # only now is the batch done
+        log.commit(batch_id, [t for _, t in outputs])
+        log.compact()
         if memo is not None:
             memo.update(batch_id=batch_id, centers=new_centers, weights=new_weights)
             if opts.replay_idle_intervals and TRIGGER_COL in keep:
@@ -205,13 +214,18 @@ def process_batch(
     return True
 
 
-def commit_path(paths: StreamPaths, batch_id: int) -> str:
-    return f"{paths.commits}/batch_id={int(batch_id)}"
+#: The tables of a run, by folder.
+TABLES = ("state", "predictions", "quarantine", "offsets", "clock", "model_report", "prediction_report")
+
+
+def run_log(spark: SparkSession, paths: StreamPaths, fanout: int = StreamOptions.compact_every) -> ModelLog:
+    """The run's committed batches; a run from before the log is taken over from its markers (``commits/``)."""
+    return ModelLog(spark, paths.root, TABLES, legacy=paths.commits, mark="", fanout=fanout)
 
 
 def is_committed(spark: SparkSession, paths: StreamPaths, batch_id: int) -> bool:
-    """A batch is done once its commit marker exists (written after all its outputs)."""
-    return path_exists(spark, commit_path(paths, batch_id))
+    """A batch is done once the log names it (after all its outputs are written)."""
+    return run_log(spark, paths).is_committed(batch_id)
 
 
 _BASE = re.compile(r"batch_base=(\d+)$")
@@ -226,8 +240,8 @@ def batch_base(spark: SparkSession, paths: StreamPaths, checkpoint: str) -> int:
         return int(_BASE.search(st.getPath().getName()).group(1))
     if path_exists(spark, f"{checkpoint.rstrip('/')}/metadata"):
         return 0  # begun before bases were kept
-    done = mt.complete_batches(spark, paths.commits, mark="")
-    base = done[-1] + 1 if done else 0
+    last = run_log(spark, paths).last
+    base = 0 if last is None else last + 1
     touch(spark, f"{checkpoint.rstrip('/')}/batch_base={base}")
     return base
 
@@ -295,9 +309,6 @@ def run_stream(
     return writer.start(), paths
 
 
-def read_predictions(spark: SparkSession, paths: StreamPaths) -> DataFrame:
-    return spark.read.parquet(paths.predictions)
-
-
-def read_quarantine(spark: SparkSession, paths: StreamPaths) -> DataFrame:
-    return spark.read.option("basePath", paths.quarantine).parquet(paths.quarantine)
+def read_table(spark: SparkSession, paths: StreamPaths, table: str) -> DataFrame:
+    """All committed rows of one of the run's tables, with their ``batch_id``."""
+    return run_log(spark, paths).read(table)

@@ -17,9 +17,8 @@ from ..options import KMeansOptions, StreamOptions
 from ..plans import queries as bq
 from ..session import fresh_path, publish_folder
 from ..sources import fixtures as fx
-from ..plans import model_table as mt
 from ..sources.kafka import stream_ratings
-from .job import StreamPaths, run_stream
+from .job import StreamPaths, read_table, run_log, run_stream
 
 
 def _days(records: DataFrame) -> list[int]:
@@ -73,27 +72,25 @@ def q_stream_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stateful_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths = replay_by_day(spark, sf_dir)
-    last = mt.complete_batches(spark, paths.commits, mark="")[-1]  # the last committed batch
-    return bq.state_long(mt.read_batch(spark, paths.state, last))
+    return bq.state_long(run_log(spark, replay_by_day(spark, sf_dir)).latest_model())
 
 
 def q_stream_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = replay_by_day(spark, sf_dir)
-    p = spark.read.parquet(paths.predictions)
+    p = read_table(spark, paths, "predictions")
     return p.select(F.col("offset").alias("msg_id"), "user_id", "movie_id", F.col("cluster").cast("int"))
 
 
 def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = replay_by_day(spark, sf_dir)
-    p = spark.read.parquet(paths.quarantine)
+    p = read_table(spark, paths, "quarantine")
     return p.select(F.col("offset").alias("msg_id"), "value", "reject_reason")
 
 
 def q_stream_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offset ranges the stream recorded per batch and topic partition."""
     paths = replay_by_day(spark, sf_dir)
-    o = spark.read.parquet(paths.offsets)
+    o = read_table(spark, paths, "offsets")
     return o.select(
         F.col("batch_id").cast("int").alias("batch_id"),
         "topic",
@@ -108,7 +105,7 @@ def q_stream_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_model_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The model lines that each batch reported, taken apart again into numbers."""
     paths = replay_by_day(spark, sf_dir)
-    lines = spark.read.parquet(paths.model_reports).where(F.col("reported_at").isNotNull())
+    lines = read_table(spark, paths, "model_report").where(F.col("reported_at").isNotNull())
     center = F.transform(F.split("line", ","), lambda x: x.cast("double"))
     lines = lines.select(F.col("batch_id").cast("int").alias("batch_id"), "cluster", center.alias("center"))
     return bq.long_vectors(lines, ["batch_id", "cluster"], "center", "center", bq.ROUND)
@@ -117,7 +114,7 @@ def q_stream_model_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_prediction_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The prediction lines that each batch reported, per topic partition and range of offsets."""
     paths = replay_by_day(spark, sf_dir)
-    p = spark.read.parquet(paths.prediction_reports).where(F.col("reported_at").isNotNull())
+    p = read_table(spark, paths, "prediction_report").where(F.col("reported_at").isNotNull())
     return p.select(F.col("batch_id").cast("int").alias("batch_id"), "topic", "partition", "line_no", "n", "line")
 
 

@@ -9,6 +9,7 @@ from ratingstream.operators import kmeans as km
 from ratingstream.operators.features import assemble_tag_vectors, join_ratings_features, tag_score_rejects, vector_bytes
 from ratingstream.options import KafkaOptions, KMeansOptions, StreamOptions
 from ratingstream.plans import model_table as mt
+from ratingstream.streaming.job import run_log
 from ratingstream.plans import pipeline as pl
 from ratingstream.session import fresh_path
 from ratingstream.sources.kafka import kafka_reader_options, stream_ratings
@@ -114,7 +115,7 @@ def test_a_lost_checkpoint_trains_on_every_new_rating(spark, vt):
         )
         q.awaitTermination()
         assert q.exception() is None
-        last = mt.complete_batches(spark, paths.commits, mark="")[-1]
+        last = run_log(spark, paths).last
         return last, km.model_arrays(mt.read_batch(spark, paths.state, last))[1].sum()
 
     def publish(name, n):

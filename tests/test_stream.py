@@ -239,7 +239,7 @@ def test_wrong_centre_dimension_fails_the_stream(spark):
 
 def test_batch_without_commit_marker_is_redone(spark):
     """All outputs written but the marker missing (a crash just before it): the replay redoes the batch."""
-    from ratingstream.streaming.job import commit_path, is_committed
+    from ratingstream.streaming.job import is_committed
 
     vt, state0, recs = _setup(spark)
     paths = StreamPaths(fresh_path(spark, "t_marker"))
@@ -256,4 +256,3 @@ def test_batch_without_commit_marker_is_redone(spark):
     assert not is_committed(spark, lost, 0)
     assert process_batch(spark, batch, 0, vt, lost, kopts, StreamOptions()) is True
     assert mt.read_batch(spark, lost.state, 0).orderBy("cluster").collect() == first
-    assert commit_path(lost, 0).endswith("commits/batch_id=0")
