@@ -23,6 +23,7 @@ from .plans import pipeline as pl
 from .session import is_complete
 from .sources.files import scan_rating_lines, scan_tag_scores
 from .sources.kafka import stream_ratings, stream_source_rate, write_kafka
+from .sources.topic_log import Wave, append_wave
 from .streaming.job import StreamPaths, run_stream
 
 
@@ -47,7 +48,8 @@ def clusterer_job(
     unless ``initial_state`` is given or a model table already exists under
     ``out_dir`` (a restart). The per-trigger cap is the per-partition record rate
     times the topic's partitions (``source_partitions``, which a capped Kafka source
-    needs) times the batch interval; a rate of 0 sets no cap. ``on_tag_error="fail"`` stops at the
+    needs) times the batch interval; a rate of 0 sets no cap. A topic log (``source_format="log"``) is
+    capped partition by partition. ``on_tag_error="fail"`` stops at the
     first unusable tag score instead of setting it aside.
     """
     capped = source_format == "kafka" and stream.max_records_per_s_per_partition > 0
@@ -68,7 +70,11 @@ def clusterer_job(
     if source_format == "kafka" and kafka.min_partitions is None:
         # spread each batch over the cluster even when the topic has few partitions
         kafka = dataclasses.replace(kafka, min_partitions=spark.sparkContext.defaultParallelism)
-    source = stream_ratings(spark, source_format, source_path, kafka, cap)
+    source = stream_ratings(
+        spark, source_format, source_path, kafka, cap,
+        # a topic log is capped per partition, so its partitions needn't be counted
+        records_per_s=stream.max_records_per_s_per_partition, interval_s=stream.interval_s, checkpoint=f"{root}/checkpoint",
+    )
     query, paths = run_stream(
         spark, source, vt, state0, out_dir=out_dir, kmeans=kmeans, opts=stream, available_now=available_now
     )
@@ -83,15 +89,19 @@ def publisher_job(
     opts: PublishOptions = PublishOptions(),
     sink: str = "kafka",
     sink_path: str | None = None,
+    wave: str | None = None,
 ) -> dict:
     """One wave: publish every good line of the rating file; returns the summary.
 
     ``sink="kafka"`` writes to the topic; ``sink="parquet"`` writes the same
-    records to ``sink_path`` (replays, tests).
+    records to ``sink_path`` (replays, tests). ``sink="log"`` adds them to the topic log under ``sink_path``,
+    with one commit: a ``wave`` (a name) that died or is run again leaves each record there once.
     """
     lines = scan_rating_lines(spark, input_path)
     seen = Observation("publish")
     records = publish_ratings(lines, opts.topic, opts.partitions, observation=seen)
+    if sink == "log":
+        return wave_summary(append_wave(spark, sink_path, records, wave, seen, source=input_path))
     if sink == "kafka":
         write_kafka(records, opts)
     elif sink == "parquet":
@@ -104,10 +114,16 @@ def publisher_job(
             "timestamp", F.current_timestamp()
         ).write.mode("append").parquet(sink_path)
     else:
-        raise ValueError("sink must be 'kafka' or 'parquet'")
+        raise ValueError("sink must be 'kafka', 'parquet' or 'log'")
     return observed_summary(seen)  # counted by the writing pass, no second read of the file
 
 
+def wave_summary(wave: Wave) -> dict:
+    """The publish summary that a wave's manifest keeps, also for a wave that was in the log already."""
+    m = {k: wave.facts[k] for k in ("n_read", "n_rejected", "n_published")}
+    return m | {"pct_published": 100.0 * m["n_published"] / m["n_read"] if m["n_read"] else None}
+
+
 def publish_stream(
     spark: SparkSession,
     input_path: str,
@@ -123,7 +139,7 @@ def publish_stream(
     its records to the topic (or, with ``sink="parquet"``, to
     ``out_dir/records``) and appends one summary row (read / rejected /
     published) to ``out_dir/summary``, tagged with the batch id so a replay
-    overwrites rather than doubles it.
+    overwrites rather than doubles it. ``sink="log"``: the topic log under ``out_dir/topic``.
     """
     lines = spark.readStream.text(input_path)
 
@@ -134,10 +150,13 @@ def publish_stream(
             write_kafka(records, opts)
         elif sink == "parquet":
             records.write.mode("overwrite").parquet(f"{out_dir}/records/batch_id={batch_id}")
-        else:
-            raise ValueError("sink must be 'kafka' or 'parquet'")
+        elif sink != "log":
+            raise ValueError("sink must be 'kafka', 'parquet' or 'log'")
         # the counts were gathered by the write; the summary is one local row
-        m = observed_summary(seen)
+        if sink == "log":  # a batch that is run again is in the log once
+            m = wave_summary(append_wave(spark, f"{out_dir}/topic", records, f"batch-{batch_id}", seen))
+        else:
+            m = observed_summary(seen)
         summary = spark.createDataFrame(
             [(m["n_read"], m["n_rejected"], m["n_published"], m["pct_published"])],
             "n_read long, n_rejected long, n_published long, pct_published double",

@@ -84,6 +84,8 @@ class StreamOptions:
     replay_idle_intervals: bool = False
     # Batches that keep folders of their own, and segments of a level, before they are merged into one.
     compact_every: int = 16
+    # Log what became of every batch's commit (streaming.commit_log).
+    commit_log: bool = True
 
 
 @dataclass(frozen=True)

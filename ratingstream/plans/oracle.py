@@ -6,10 +6,10 @@ CTE snippets; the multi-batch model fold is generated one block per day.
 
 from __future__ import annotations
 
-from .queries import DECAY_CASE, FAR_FACTOR, INIT_SEED, K, REPORT_SPAN, ROUND, SAMPLE_FRACTION, WIDE
+from .queries import CAPPED_BATCHES, DECAY_CASE, FAR_FACTOR, INIT_SEED, K, REPORT_SPAN, ROUND, SAMPLE_FRACTION, WIDE
 from ..operators.features import sample_threshold
 from ..operators.kmeans import DYING_RATIO, SPLIT_EPS, WEIGHT_FLOOR
-from ..sources.fixtures import MOVIE_ID_MODULUS, PARTITIONS, TOPIC
+from ..sources.fixtures import MOVIE_ID_MODULUS, PARTITIONS, SKEW, TOPIC
 
 # Days of the events table (2024-01-01 .. 2024-01-30); one model batch per
 # day, numbered as days since 1970-01-01 (2024-01-01 is day 19723).
@@ -402,6 +402,25 @@ SELECT cluster, 0.0::DOUBLE AS weight, tag_id, round(sqrt(-2.0 * ln(u1)) * cos(2
     q["latest_model"] = _daily_fold()
     q["fold_signed_batches"] = q["latest_model"]
     q["stateful_model"] = q["latest_model"]
+    ranges = f"""
+part AS (SELECT CAST(CASE WHEN user_id % {SKEW} = 0 THEN 1 ELSE 0 END AS INTEGER) AS partition, count(*) AS n FROM events GROUP BY 1),
+cap AS (SELECT (max(n) + {CAPPED_BATCHES} - 1) // {CAPPED_BATCHES} AS cap FROM part),
+taken AS (
+  SELECT CAST(b AS INTEGER) AS batch_id, '{TOPIC}' AS topic, partition,
+         CAST(b * cap AS BIGINT) AS from_offset, CAST(least(n, (b + 1) * cap) AS BIGINT) AS until_offset
+  FROM part, cap, range({CAPPED_BATCHES}) r(b) WHERE b * cap < n
+)"""
+    q["stream_capped_offsets"] = _with(ranges) + "\nSELECT *, until_offset - from_offset AS n FROM taken"
+    q["stream_commit_log"] = _with(ranges) + """
+SELECT attempt, t.batch_id, outcome, outcome = 'failed' AS has_error, true AS timed, n_records, topic, partition, from_offset, until_offset
+FROM (SELECT CAST(batch_id + 1 AS INTEGER) AS attempt, batch_id, 'committed' AS outcome FROM (SELECT DISTINCT batch_id FROM taken)
+      UNION ALL SELECT 0, 0, 'failed') a
+JOIN taken t ON t.batch_id = a.batch_id
+JOIN (SELECT batch_id, CAST(sum(until_offset - from_offset) AS BIGINT) AS n_records FROM taken GROUP BY batch_id) s ON s.batch_id = t.batch_id"""
+    q["publish_waves"] = _with(_MSGS) + f"""
+SELECT '{TOPIC}' AS topic, CAST(user_id % {PARTITIONS} AS INTEGER) AS partition, 2 * count(*) AS n, 2 * count(*) AS n_offsets,
+       CAST(0 AS BIGINT) AS first_offset, 2 * count(*) - 1 AS last_offset, min(md5(value)) AS least, max(md5(value)) AS largest
+FROM msgs GROUP BY 2"""
     q["assign_clusters_incremental"] = _daily_fold(out="assignment")
     q["stream_model_report"] = _daily_fold(out="model_report")
     q["stream_prediction_report"] = _daily_fold(with_predictions=True, out="prediction_report")

@@ -29,9 +29,12 @@ from ..operators.parse import (
 )
 from ..operators.publish import publish_ratings, publish_summary
 from ..operators.reports import model_report, offset_ranges, prediction_report
-from ..options import KMeansOptions, StreamOptions
+from ..jobs import publisher_job
+from ..options import KMeansOptions, PublishOptions, StreamOptions
+from ..session import fresh_path
 from ..sources import fixtures as fx
 from ..sources.files import count_lines, scan_rating_lines, scan_tag_scores
+from ..sources.topic_log import read_topic
 from . import pipeline as pl
 
 # Fixed query parameters: K centres, the starting centres are the first K
@@ -47,6 +50,8 @@ FAR_FACTOR = 1000.0
 REPORT_SPAN = 10_000
 INIT_SEED = 42
 WIDE = 1128
+# Batches that the long partition of the capped topic is read in.
+CAPPED_BATCHES = 4
 
 _CACHE: dict = {}
 
@@ -194,6 +199,22 @@ def q_publish_ratings(spark, sf_dir):
     return out.select(F.hex("key").alias("key_hex"), "value", "topic", "partition")
 
 
+def q_publish_waves(spark, sf_dir):
+    """The rating file published twice as waves of its own and once more under the first wave's name, which adds nothing.
+
+    Per partition: records, offsets (without gaps), and the least and largest digest of the values.
+    """
+    path, root = fx.rating_lines_text(spark, sf_dir), fresh_path(spark, "waves")
+    opts = PublishOptions(topic=fx.TOPIC, partitions=fx.PARTITIONS)
+    for wave in ("first", "second", "first"):
+        publisher_job(spark, path, opts, sink="log", sink_path=root, wave=wave)
+    digest = F.md5("value")
+    return read_topic(spark, root).groupBy("topic", "partition").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("offset").alias("n_offsets"), F.min("offset").alias("first_offset"),
+        F.max("offset").alias("last_offset"), F.min(digest).alias("least"), F.max(digest).alias("largest"),
+    )
+
+
 def q_publish_summary(spark, sf_dir):
     lines = scan_rating_lines(spark, fx.rating_lines_text(spark, sf_dir))
     s = publish_summary(lines)
@@ -420,6 +441,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "encode_key": q_encode_key,
         "publish_ratings": q_publish_ratings,
         "publish_summary": q_publish_summary,
+        "publish_waves": q_publish_waves,
         "stamp_time": q_stamp_time,
         "rekey_by_movie": q_rekey_by_movie,
         "assemble_tag_vectors": q_assemble_tag_vectors,

@@ -27,10 +27,11 @@ from ..operators.parse import user_parity_key
 from ..session import is_complete, scratch_path
 
 # Fixed fixture values: movie ids are event ids modulo 600, the topic name,
-# and the number of topic partitions (user parity).
+# the number of topic partitions (user parity), and one user in SKEW in the short partition.
 MOVIE_ID_MODULUS = 600
 TOPIC = "ratings"
 PARTITIONS = 2
+SKEW = 11
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,6 +109,13 @@ def kafka_records(events: DataFrame, topic: str = TOPIC, partitions: int = PARTI
     )
 
 
+def skewed_records(events: DataFrame, topic: str = TOPIC) -> DataFrame:
+    """The records in two partitions of which one is about ten times as long: every eleventh user's are in partition 1."""
+    r = kafka_records(events, topic).drop("partition", "offset", "key")
+    part = F.when(F.pmod(F.regexp_extract(F.col("value").cast("string"), "^([0-9]+),", 1).cast("int"), F.lit(SKEW)) == 0, 1).otherwise(0)
+    return r.withColumn("partition", part.cast("int")).withColumn("key", encode_int_key("partition"))
+
+
 def tag_scores_from_embeddings(embeddings: DataFrame) -> DataFrame:
     return embeddings.select(
         F.col("vec_id").cast("int").alias("movie_id"), F.posexplode("embedding").alias("pos", "relevance")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..options import KafkaOptions, PublishOptions
 from ..schemas import KAFKA_RECORD
+from .topic_log import stream_topic
 
 
 def stream_source_rate(records_per_s_per_partition: int, partitions: int, interval_s: int) -> int:
@@ -70,18 +71,25 @@ def stream_ratings(
     path: str | None = None,
     kafka: KafkaOptions = KafkaOptions(),
     max_per_trigger: int | None = None,
+    records_per_s: int = 0,
+    interval_s: int = 1,
+    checkpoint: str | None = None,
 ) -> DataFrame:
     """The rating stream.
 
     ``fmt="kafka"``: subscribe to ``kafka.topics``; rows carry key/value bytes,
     topic, partition, offset, timestamp. ``fmt="parquet"``: files of the same
-    record shape (tests, replays). ``fmt="text"``: one message per line.
+    record shape (tests, replays). ``fmt="text"``: one message per line. ``fmt="log"``: a topic log
+    (:mod:`ratingstream.sources.topic_log`) with offsets, start positions and, given ``records_per_s``,
+    a cap per topic partition of that rate times ``interval_s`` (``checkpoint`` is then needed).
     ``max_per_trigger`` caps offsets (Kafka) or files (file sources) per batch.
     """
     if fmt == "kafka":
         return spark.readStream.format("kafka").options(**kafka_reader_options(kafka, max_per_trigger)).load()
     if path is None:
         raise ValueError("a path is needed for file streams")
+    if fmt == "log":
+        return stream_topic(spark, path, kafka.starting_offsets, records_per_s, interval_s, checkpoint)
     reader = spark.readStream
     if max_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_per_trigger))
@@ -89,7 +97,7 @@ def stream_ratings(
         return reader.schema(KAFKA_RECORD).parquet(path)
     if fmt == "text":
         return reader.text(path)
-    raise ValueError("fmt must be 'kafka', 'parquet' or 'text'")
+    raise ValueError("fmt must be 'kafka', 'parquet', 'text' or 'log'")
 
 
 def write_kafka(df: DataFrame, opts: PublishOptions = PublishOptions()) -> None:

@@ -21,7 +21,8 @@ each micro-batch, in order:
 Replays are idempotent: a committed batch is skipped, others are
 recomputed and overwrite their folders. The streaming checkpoint holds the
 source offsets; the state table holds the model, so a restarted query goes
-on from the last finished batch.
+on from the last finished batch. What became of each batch's commit, errors included, is
+logged in ``commit_log/`` (:mod:`ratingstream.streaming.commit_log`).
 
 Batch ids of the tables are the query's own plus a base kept beside the checkpoint's
 offsets. A query with a new checkpoint (the old one was lost, or another is named) counts its
@@ -32,6 +33,7 @@ records are trained on and no folder of an earlier batch is taken for its own.
 from __future__ import annotations
 
 import re
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -49,6 +51,7 @@ from ..plans import model_table as mt
 from ..plans import pipeline as pl
 from ..plans.model_log import ModelLog
 from ..session import fresh_path, path_exists, touch
+from .commit_log import watch
 
 
 @dataclass(frozen=True)
@@ -299,9 +302,10 @@ def run_stream(
     def fn(batch: DataFrame, batch_id: int) -> None:
         process_batch(spark, batch, base + batch_id, vt, paths, kmeans, opts, memo)
 
-    writer = source.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
-    if query_name:
-        writer = writer.queryName(query_name)
+    name = query_name or f"ratings-{uuid.uuid4().hex[:12]}"
+    if opts.commit_log:
+        watch(spark, paths.root, checkpoint, name, base)
+    writer = source.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint).queryName(name)
     if available_now:
         writer = writer.trigger(availableNow=True)
     else:

@@ -10,14 +10,17 @@ the first is a restart from the checkpoint and the model table.
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..options import KMeansOptions, StreamOptions
+from ..options import KafkaOptions, KMeansOptions, StreamOptions
 from ..plans import queries as bq
 from ..session import fresh_path, publish_folder
 from ..sources import fixtures as fx
 from ..sources.kafka import stream_ratings
+from ..sources.topic_log import append_wave, caught_up
+from .commit_log import read_outcomes, wait_logged
 from .job import StreamPaths, read_table, run_log, run_stream
 
 
@@ -118,8 +121,50 @@ def q_stream_prediction_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(F.col("batch_id").cast("int").alias("batch_id"), "topic", "partition", "line_no", "n", "line")
 
 
+def capped_run(spark: SparkSession, sf_dir: str) -> StreamPaths:
+    """A skewed topic log read with a cap per partition, every batch by a restarted query; the first attempt fails on a bad row."""
+    k = bq._key(spark, sf_dir, "capped_run")
+    if k in bq._CACHE:
+        return bq._CACHE[k]
+    root = fresh_path(spark, "capped")
+    wave = append_wave(spark, f"{root}/topic", fx.skewed_records(bq.events(spark, sf_dir)), "events")
+    cap = -(-max(wave.ends[fx.TOPIC].values()) // bq.CAPPED_BATCHES)
+    vt, state0 = bq.vector_table(spark, sf_dir), bq.start_state(spark, sf_dir)
+    kafka = KafkaOptions(starting_offsets="earliest")
+    paths, strict = StreamPaths(f"{root}/out"), True
+    while strict or not caught_up(spark, f"{root}/topic", paths.checkpoint):
+        opts = StreamOptions(sample_fraction=bq.SAMPLE_FRACTION, on_error="fail" if strict else "quarantine", compact_every=2)
+        source = stream_ratings(spark, "log", f"{root}/topic", kafka, records_per_s=cap, checkpoint=paths.checkpoint)
+        q, _ = run_stream(spark, source, vt, state0, paths.root, KMeansOptions(k=bq.K, dim=vt.dim), opts, available_now=True)
+        try:
+            q.awaitTermination()
+        except StreamingQueryException:
+            if not strict:
+                raise
+        wait_logged(q)
+        strict = False
+    bq._CACHE[k] = paths
+    return paths
+
+
+def q_stream_capped_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each batch took from each partition: never more than the partition's own cap."""
+    o = read_table(spark, capped_run(spark, sf_dir), "offsets")
+    return o.select(F.col("batch_id").cast("int").alias("batch_id"), "topic", "partition", "from_offset", "until_offset", "n")
+
+
+def q_stream_commit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every attempt to commit a batch, with its outcome and offset ranges; the first batch fails once and is retried."""
+    o = read_outcomes(spark, capped_run(spark, sf_dir).root)
+    o = o.withColumn("has_error", F.col("error").isNotNull()).withColumn("timed", F.col("duration_ms") >= 0)
+    cols = [F.col("attempt").cast("int").alias("attempt"), F.col("batch_id").cast("int").alias("batch_id"), "outcome", "has_error", "timed", "n_records"]
+    return o.select(*cols, F.inline("ranges"))
+
+
 def registry():
     return {
+        "stream_capped_offsets": q_stream_capped_offsets,
+        "stream_commit_log": q_stream_commit_log,
         "stream_model_report": q_stream_model_report,
         "stream_prediction_report": q_stream_prediction_report,
         "stream_offsets": q_stream_offsets,
