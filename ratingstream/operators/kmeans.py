@@ -17,12 +17,11 @@ import sys
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import nearest_center
+from .exact_sum import weighted_sums
 from ..schemas import MODEL_STATE
 
 # Python workers get the scoring functions by value, so they need not find the library.
@@ -176,20 +175,26 @@ def assign_clusters(
 def cluster_stats(assigned: DataFrame, features: str = "features", weight_col: str | None = None) -> DataFrame:
     """Per-cluster point count ``n`` and element-wise vector sum ``total``.
 
-    ``weight_col`` counts a row that many times (rows pre-aggregated per movie).
-    ``Summarizer`` is an imperative aggregate with a partial step, so each task
-    sends at most K partial sums to the shuffle however hot a cluster is.
+    ``weight_col`` counts a row that many times (rows pre-aggregated per movie; whole numbers). Sums are exact and
+    rounded once (:mod:`ratingstream.operators.exact_sum`), so they don't depend on the partitioning;
+    each task sends a few numbers per cluster and element to the shuffle however hot a cluster is.
     """
-    w = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
-    summ = Summarizer.metrics("sum")
-    agg = assigned.groupBy("cluster").agg(
-        F.sum(w).alias("n"), summ.summary(array_to_vector(F.col(features)), w).alias("s")
-    )
-    return agg.select(
-        F.col("cluster").cast("int").alias("cluster"),
-        F.col("n").cast("double").alias("n"),
-        vector_to_array(F.col("s.sum")).alias("total"),
-    )
+
+    def own(batch: pa.RecordBatch, x: np.ndarray) -> np.ndarray:
+        return batch.column(batch.schema.get_field_index("cluster")).to_numpy(zero_copy_only=False)
+
+    cols = [F.col("cluster").cast("int").alias("cluster"), F.col(features)] + ([F.col(weight_col)] if weight_col else [])
+    return weighted_sums(assigned.select(*cols), own, features, weight_col)
+
+
+def nearest_stats(points: DataFrame, centers, features: str = "features", weight_col: str | None = None) -> DataFrame:
+    """:func:`cluster_stats` of :func:`assign_clusters` in one pass: the vectors go to the workers once, and stay there."""
+    c = np.ascontiguousarray(centers, dtype=np.float64)
+
+    def nearest(batch: pa.RecordBatch, x: np.ndarray) -> np.ndarray:
+        return nearest_of(squared_distances(np.ascontiguousarray(x), c))
+
+    return weighted_sums(points.select(F.col(features), *([F.col(weight_col)] if weight_col else [])), nearest, features, weight_col)
 
 
 def update_centers(

@@ -45,18 +45,24 @@ def parse_rating(
     """
     if on_error not in ("quarantine", "fail"):
         raise ValueError("on_error must be 'quarantine' or 'fail'")
-    v = F.col(value_col).cast("string")
-    staged = lines.select(*[F.col(c) for c in keep], v.alias("_v"))
+    columns = [F.col(c) for c in keep]
+    staged = lines.select(*columns, F.col(value_col).cast("string").alias("_v"))
     v = F.col("_v")
     # one pattern match decides the shape; the fields then come from a plain
     # split, and Spark's float cast trims and reads suffixes like Java's does
-    f = F.split(v, SEPARATOR, 4)
-    user = F.get(f, 0).try_cast("int")
-    movie = F.get(f, 1).try_cast("int")
-    rating = F.get(f, 2).try_cast("float")
-    ok = v.rlike(RATING_MESSAGE) & user.isNotNull() & movie.isNotNull() & rating.isNotNull()
-    staged = staged.select(*[F.col(c) for c in keep], "_v", ok.alias("_ok"), user.alias("_u"),
-                           movie.alias("_m"), rating.alias("_r"))
+    staged = staged.select(*columns, "_v", F.split(v, SEPARATOR, 4).alias("_f"))
+    f = F.col("_f")
+    read = F.struct(
+        v.rlike(RATING_MESSAGE).alias("_shape"),
+        F.get(f, 0).try_cast("int").alias("_u"),
+        F.get(f, 1).try_cast("int").alias("_m"),
+        F.get(f, 2).try_cast("float").alias("_r"),
+    )
+    # Bound once, as the one row of a generator: a filter on what was read is a filter on its columns, where
+    # a projection's expressions would be copied into the filter below it and evaluated again.
+    staged = staged.select(*columns, "_v", F.inline(F.array(read)))
+    ok = F.col("_shape") & F.col("_u").isNotNull() & F.col("_m").isNotNull() & F.col("_r").isNotNull()
+    staged = staged.withColumn("_ok", F.coalesce(ok, F.lit(False)))
     ok = F.col("_ok")
     reason = F.when(ok, F.lit(None).cast("string")).otherwise(_reject_reason(F.col("_v")))
     if on_error == "fail":

@@ -32,6 +32,7 @@ from ..operators.kmeans import (
     check_dim,
     cluster_stats,
     model_arrays,
+    nearest_stats,
     state_frame,
     stats_arrays,
     train_step_arrays,
@@ -171,6 +172,8 @@ def batch_stats(
     if clusters is not None:
         return cluster_stats(batch_points(counts.join(clusters, "movie_id"), vt), weight_col="n")
     pts = batch_points(counts, vt, scale_by_rating)
+    if method == "arrow":
+        return nearest_stats(pts, centers, weight_col="n")
     return cluster_stats(assign_clusters(pts, centers, method=method), weight_col="n")
 
 

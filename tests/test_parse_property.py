@@ -9,6 +9,7 @@ allowed). The model below states those rules; hex floats are out of scope.
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -118,3 +119,13 @@ def test_reject_bad_lines_matches_java(spark, values):
         f = java_split(v)
         u = java_int(f[0]) if f else None
         assert got[i] == (u, u is None), v
+
+
+def test_the_pattern_is_evaluated_once(spark):
+    from ratingstream.operators.parse import accepted
+
+    lines = spark.range(10).select(F.col("id"), F.col("id").cast("string").alias("value"))
+    for df in (accepted(parse_rating(lines, keep=["id"])), parse_rating(lines, keep=["id"])):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Infinity|(?:[0-9]") == 1
+        assert "EvalPython" not in plan
