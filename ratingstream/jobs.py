@@ -20,6 +20,7 @@ from .operators.features import tag_score_rejects
 from .operators.publish import observed_summary, publish_ratings
 from .options import KafkaOptions, KMeansOptions, PublishOptions, StreamOptions
 from .plans import pipeline as pl
+from .plans.vector_store import VectorStore
 from .session import is_complete
 from .sources.files import scan_rating_lines, scan_tag_scores
 from .sources.kafka import stream_ratings, stream_source_rate, write_kafka
@@ -41,6 +42,7 @@ def clusterer_job(
     available_now: bool = False,
     wait: bool = True,
     on_tag_error: str = "quarantine",
+    refresh_vectors: bool = False,
 ):
     """Run the streaming clusterer; returns ``(query, paths)``.
 
@@ -50,17 +52,23 @@ def clusterer_job(
     times the topic's partitions (``source_partitions``, which a capped Kafka source
     needs) times the batch interval; a rate of 0 sets no cap. A topic log (``source_format="log"``) is
     capped partition by partition. ``on_tag_error="fail"`` stops at the
-    first unusable tag score instead of setting it aside.
+    first unusable tag score instead of setting it aside. ``refresh_vectors`` follows changes of the
+    tag scores: changed content gets vectors of its own, used from the next batch on. Otherwise a run keeps
+    the vectors that it was begun with.
     """
     capped = source_format == "kafka" and stream.max_records_per_s_per_partition > 0
     if capped and not source_partitions:
         raise ValueError("a capped Kafka source needs source_partitions (the topics' partition count); a rate of 0 sets no cap")
     root = out_dir.rstrip("/")
-    scores = scan_tag_scores(spark, tag_scores_path)
-    if not is_complete(spark, f"{root}/tag_score_rejects"):
-        # rows the pivot leaves out (nulls, tags outside 1..dim), kept for inspection
-        tag_score_rejects(scores, kmeans.dim).write.mode("overwrite").parquet(f"{root}/tag_score_rejects")
-    vt = pl.materialize_vectors(spark, pl.movie_vectors(scores, kmeans.dim, on_tag_error), kmeans.dim, path=f"{root}/vectors")
+    if refresh_vectors:
+        vt = VectorStore(spark, f"{root}/vector_versions", tag_scores_path, kmeans.dim, on_tag_error)
+        vt.refresh()
+    else:
+        scores = scan_tag_scores(spark, tag_scores_path)
+        if not is_complete(spark, f"{root}/tag_score_rejects"):
+            # rows the pivot leaves out (nulls, tags outside 1..dim), kept for inspection
+            tag_score_rejects(scores, kmeans.dim).write.mode("overwrite").parquet(f"{root}/tag_score_rejects")
+        vt = pl.materialize_vectors(spark, pl.movie_vectors(scores, kmeans.dim, on_tag_error), kmeans.dim, path=f"{root}/vectors")
     state0 = initial_state
     if state0 is None:
         state0 = km.init_centers(spark, kmeans.k, kmeans.dim, kmeans.weight, kmeans.seed)
@@ -209,6 +217,7 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("--source-partitions", type=int, help="partitions of the topics (needed unless --rate 0)")
     c.add_argument("--seed", type=int, help="seed of the random starting centres")
     c.add_argument("--on-tag-error", choices=["quarantine", "fail"], default="quarantine")
+    c.add_argument("--refresh-vectors", action="store_true", help="use changed tag scores from the next batch on")
     c.add_argument("--allow-data-loss", action="store_true", help="go on when offsets have expired")
     c.add_argument("--properties", help="kafkaStream.* and kMeans.* settings")
     p = sub.add_parser("publisher", help="publish a rating file to the topic once")
@@ -228,7 +237,7 @@ def main(argv: list[str] | None = None) -> None:
         sopts = StreamOptions(interval_s=args.batch, max_records_per_s_per_partition=args.rate)
         clusterer_job(
             spark, args.tag_scores, args.out, kopts, sopts, kafka,
-            source_partitions=args.source_partitions, on_tag_error=args.on_tag_error,
+            source_partitions=args.source_partitions, on_tag_error=args.on_tag_error, refresh_vectors=args.refresh_vectors,
         )
     else:
         opts = PublishOptions(bootstrap_servers=args.broker_list, topic=args.topic, partitions=args.partitions)

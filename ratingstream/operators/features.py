@@ -113,11 +113,6 @@ def vector_bytes(dim: int, columns: list[tuple[str, str]] | None = None) -> int:
     return sum(dim * widths[t] for _, t in columns if t in widths) + _ROW_OVERHEAD_BYTES
 
 
-def maybe_broadcast(df: DataFrame, n_rows: int, row_bytes: int, limit_bytes: int) -> DataFrame:
-    """Broadcast ``df`` only when its checked size fits ``limit_bytes``."""
-    return F.broadcast(df) if n_rows * row_bytes <= limit_bytes else df
-
-
 def salted_join(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int, salts: int = 32) -> DataFrame:
     """Inner join of a table with hot keys to one with few rows per key.
 

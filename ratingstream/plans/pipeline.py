@@ -58,12 +58,27 @@ class VectorTable:
     dim: int
     partitions: int = 8
     held: dict = field(default_factory=dict)
+    bucketed: bool = False  # on disk already partitioned on ``movie_id``
+    version: str | None = None
 
     def side(self, column: str) -> DataFrame:
         """``movie_id`` and one array column, hash-partitioned on ``movie_id`` and cached on first use."""
         if column not in self.held:
-            narrow = self.df.select("movie_id", column).repartition(self.partitions, "movie_id")
-            self.held[column] = narrow.persist()
+            narrow = self.df.select("movie_id", column)
+            if not self.bucketed:
+                self.held[column] = narrow.repartition(self.partitions, "movie_id").persist()
+                return self.held[column]
+            # the cache keeps the buckets' partitioning, where a scan on its own would drop it
+            conf = narrow.sparkSession.conf
+            names = ("spark.sql.sources.bucketing.autoBucketedScan.enabled", "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning")
+            before = {n: conf.get(n) for n in names}
+            try:
+                for n in names:
+                    conf.set(n, "false")
+                self.held[column] = narrow.persist()
+            finally:
+                for n in names:
+                    conf.set(n, before[n])
         return self.held[column]
 
     def unpersist(self) -> None:
@@ -83,22 +98,28 @@ def materialize_vectors(
     """Write the static side once to the shared folder and read it back.
 
     The written table cuts the lineage (a lost executor re-reads it instead of
-    re-running the pivot) and its row count sizes the join strategy. Given the
-    ``path`` of an earlier run, the table found there is used as it is. The array
-    column that a mode uses is cached hash-partitioned on ``movie_id`` when it is first
-    needed (``VectorTable.side``), so a join moves only the (small) batch side.
+    re-running the pivot) and its row count sizes the join strategy. It is bucketed and sorted by
+    ``movie_id`` (:mod:`ratingstream.plans.vector_store`): joins find it partitioned, also in a later
+    session. Given the ``path`` of an earlier run, the table found there is used as it is; a
+    table from before bucketing is dealt out when it is cached. The array
+    column that a mode uses is cached on first use (``VectorTable.side``), so a join moves only
+    the (small) batch side.
     """
+    from .vector_store import open_bucketed, write_bucketed
+
     path = path or fresh_path(spark, "vectors")
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if not is_complete(spark, path):  # a restarted job keeps the vectors its model was built on
-        vectors.write.mode("overwrite").parquet(path)
-    df = spark.read.parquet(path)
+    found = open_bucketed(spark, path)
+    if found is None and not is_complete(spark, path):  # a restarted job keeps the vectors its model was built on
+        write_bucketed(spark, vectors, path, n_parts)
+        found = open_bucketed(spark, path)
+    df, n_parts = found or (spark.read.parquet(path), n_parts)
     facts = df.agg(
         F.count(F.lit(1)).alias("n"), F.min(F.size("features")).alias("lo"), F.max(F.size("features")).alias("hi")
     ).first()
     if facts["n"] and (facts["lo"] != dim or facts["hi"] != dim):
         raise ValueError(f"vector length {facts['lo']}..{facts['hi']} differs from dim {dim}")
-    return VectorTable(df=df, n=int(facts["n"]), dim=dim, partitions=n_parts)
+    return VectorTable(df=df, n=int(facts["n"]), dim=dim, partitions=n_parts, bucketed=found is not None)
 
 
 def movie_counts(ratings: DataFrame, scale_by_rating: bool = False) -> DataFrame:

@@ -179,6 +179,17 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def file_stamps(spark: SparkSession, paths: list[str]) -> list[tuple[str, int, int]]:
+    """(name, bytes, time of change) of files, sorted."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+        st = p.getFileSystem(conf).getFileStatus(p)
+        out.append((path, int(st.getLen()), int(st.getModificationTime())))
+    return sorted(out)
+
+
 def folder_bytes(spark: SparkSession, path: str) -> int:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -204,5 +215,6 @@ __all__ = [
     "replace_text",
     "remove_folder",
     "folder_bytes",
+    "file_stamps",
     "touch",
 ]

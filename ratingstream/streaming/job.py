@@ -50,6 +50,7 @@ from ..options import KMeansOptions, StreamOptions
 from ..plans import model_table as mt
 from ..plans import pipeline as pl
 from ..plans.model_log import ModelLog
+from ..plans.vector_store import VectorStore
 from ..session import fresh_path, path_exists, touch
 from .commit_log import watch
 
@@ -149,7 +150,7 @@ def process_batch(
         good = accepted(parsed).drop("value")
         counts = pl.movie_counts(good, opts.scale_by_rating)
         held = None if memo is None else memo.get("assignment")
-        if held is None:
+        if held is None or held.vt is not vt:
             held = pl.incremental_assignment(spark, vt, centers, opts)
             if memo is not None:
                 memo["assignment"] = held
@@ -199,6 +200,8 @@ def process_batch(
             (report, "prediction_report"),
             (new_state.coalesce(1), "state"),
         ]
+        if vt.version:
+            outputs.append((spark.createDataFrame([(vt.version,)], "version string").coalesce(1), "vectors"))
         # the outputs are independent jobs over the cached batch: submit them
         # together so their small stages share the executors
         with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
@@ -218,7 +221,7 @@ def process_batch(
 
 
 #: The tables of a run, by folder.
-TABLES = ("state", "predictions", "quarantine", "offsets", "clock", "model_report", "prediction_report")
+TABLES = ("state", "predictions", "quarantine", "offsets", "clock", "model_report", "prediction_report", "vectors")
 
 
 def run_log(spark: SparkSession, paths: StreamPaths, fanout: int = StreamOptions.compact_every) -> ModelLog:
@@ -271,7 +274,7 @@ def _overwrite(df: DataFrame, path: str) -> None:
 def run_stream(
     spark: SparkSession,
     source: DataFrame,
-    vt: pl.VectorTable,
+    vt: pl.VectorTable | VectorStore,
     state0: DataFrame,
     out_dir: str | None = None,
     kmeans: KMeansOptions = KMeansOptions(),
@@ -284,6 +287,8 @@ def run_stream(
 
     ``source`` needs a ``value`` column (bytes or text); Kafka's ``topic``,
     ``partition``, ``offset``, ``timestamp`` are used when present.
+    Given a :class:`VectorStore`, each batch looks for changed tag scores first; a batch that is
+    run again uses the vectors it was begun with, and each state's version is kept in ``vectors/``.
     ``available_now`` processes what is there and stops (tests, backfills);
     otherwise batches fire every ``opts.interval_s`` seconds. ``checkpoint``
     names another checkpoint folder than ``<out_dir>/checkpoint``.
@@ -300,7 +305,9 @@ def run_stream(
     base = batch_base(spark, paths, checkpoint)
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        process_batch(spark, batch, base + batch_id, vt, paths, kmeans, opts, memo)
+        own = base + batch_id
+        vectors = vt.for_batch(own, paths.root) if isinstance(vt, VectorStore) else vt
+        process_batch(spark, batch, own, vectors, paths, kmeans, opts, memo)
 
     name = query_name or f"ratings-{uuid.uuid4().hex[:12]}"
     if opts.commit_log:
