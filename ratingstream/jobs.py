@@ -12,17 +12,18 @@ from __future__ import annotations
 
 import dataclasses
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import kmeans as km
 from .operators.features import tag_score_rejects
-from .operators.publish import observed_summary, publish_ratings
+from .operators.publish import observed_summary, publish_progress, publish_ratings
 from .options import KafkaOptions, KMeansOptions, PublishOptions, StreamOptions
 from .plans import pipeline as pl
 from .plans.vector_store import VectorStore
 from .session import is_complete
-from .sources.files import scan_rating_lines, scan_tag_scores
+from .sources.files import count_lines, scan_rating_lines, scan_tag_scores
 from .sources.kafka import stream_ratings, stream_source_rate, write_kafka
 from .sources.topic_log import Wave, append_wave
 from .streaming.job import StreamPaths, run_stream
@@ -139,6 +140,7 @@ def publish_stream(
     opts: PublishOptions = PublishOptions(),
     sink: str = "kafka",
     available_now: bool = False,
+    files_per_step: int | None = None,
 ):
     """Publish every rating file that lands in ``input_path``; returns the streaming query.
 
@@ -148,8 +150,10 @@ def publish_stream(
     ``out_dir/records``) and appends one summary row (read / rejected /
     published) to ``out_dir/summary``, tagged with the batch id so a replay
     overwrites rather than doubles it. ``sink="log"``: the topic log under ``out_dir/topic``.
+    ``files_per_step`` caps the files of a micro-batch; :func:`stream_progress` then tells how far it has come.
     """
-    lines = spark.readStream.text(input_path)
+    reader = spark.readStream.option("maxFilesPerTrigger", int(files_per_step)) if files_per_step else spark.readStream
+    lines = reader.text(input_path)
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         seen = Observation(f"publish-{batch_id}")
@@ -176,6 +180,16 @@ def publish_stream(
     return writer.start()
 
 
+def stream_progress(spark: SparkSession, input_path: str, out_dir: str) -> DataFrame:
+    """Progress rows of a :func:`publish_stream`, running or ended, against the lines that lie in ``input_path`` now."""
+    n_lines = count_lines(scan_rating_lines(spark, input_path)).first()[0]
+    try:
+        steps = spark.read.parquet(f"{out_dir}/summary").withColumnRenamed("batch_id", "step")
+    except AnalysisException:  # nothing is published yet
+        steps = spark.createDataFrame([], "n_read long, n_rejected long, n_published long, step int")
+    return publish_progress(steps, n_lines)
+
+
 def stream_progress_offsets(query) -> list[dict]:
     """Start and end offsets of the last micro-batch, per source (from the query progress)."""
     p = query.lastProgress or {}
@@ -185,7 +199,7 @@ def stream_progress_offsets(query) -> list[dict]:
     ]
 
 
-__all__ = ["clusterer_job", "publisher_job", "publish_stream", "stream_progress_offsets", "StreamPaths"]
+__all__ = ["clusterer_job", "publisher_job", "publish_stream", "stream_progress", "stream_progress_offsets", "StreamPaths"]
 
 
 def _read_properties(path: str) -> dict:

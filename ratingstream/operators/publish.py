@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import drop_last_field, encode_int_key
@@ -53,6 +53,23 @@ def publish_summary(lines: DataFrame, value_col: str = "value") -> DataFrame:
     )
 
 
+def publish_progress(steps: DataFrame, n_lines: int, step_col: str = "step") -> DataFrame:
+    """How far a wave has come: a row per step with the sums so far, and a last one with what is missing.
+
+    ``steps`` has the observed counts (``n_read, n_rejected, n_published``) of each publishing step; there are as
+    many rows as micro-batches. ``pct_published`` and ``n_missing`` are of the wave's ``n_lines``. ``kind``: ``progress``
+    per step, then ``sent`` if nothing is missing or else ``shortfall`` (its ``step`` is null).
+    """
+    so_far = Window.orderBy(step_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = ("n_read", "n_rejected", "n_published")
+    rows = steps.select(F.col(step_col).cast("long").alias("step"), *[F.sum(c).over(so_far).alias(c) for c in counts])
+    last = steps.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts])
+    missing = F.lit(int(n_lines)) - F.col("n_published")
+    end = F.when(missing > 0, "shortfall").otherwise("sent")
+    both = rows.withColumn("kind", F.lit("progress")).unionByName(last.select(F.lit(None).cast("long").alias("step"), *counts, end.alias("kind")))
+    return both.withColumn("pct_published", F.try_divide(F.col("n_published") * F.lit(100.0), F.lit(int(n_lines)))).withColumn("n_missing", missing)
+
+
 def observed_summary(observation: Observation) -> dict:
     """The publish summary from an observation, once the writing action has run."""
     m = dict(observation.get)

@@ -6,7 +6,7 @@ CTE snippets; the multi-batch model fold is generated one block per day.
 
 from __future__ import annotations
 
-from .queries import CAPPED_BATCHES, DECAY_CASE, FAR_FACTOR, INIT_SEED, K, REPORT_SPAN, ROUND, SAMPLE_FRACTION, WIDE
+from .queries import CAPPED_BATCHES, DECAY_CASE, FAR_FACTOR, INIT_SEED, K, PUBLISH_STEPS, REPORT_SPAN, ROUND, SAMPLE_FRACTION, WIDE
 from ..operators.features import sample_threshold
 from ..operators.kmeans import DYING_RATIO, SPLIT_EPS, WEIGHT_FLOOR
 from ..sources.fixtures import MOVIE_ID_MODULUS, PARTITIONS, SKEW, TOPIC
@@ -362,6 +362,18 @@ SELECT a.cluster, CAST(sum(p.n) AS BIGINT) AS n, v.tag_id, round(sum(p.n * v.x),
 FROM cnt p JOIN a_x a ON a.movie_id = p.movie_id JOIN vec v ON v.movie_id = p.movie_id
 GROUP BY a.cluster, v.tag_id"""
 
+    # The exact sum as a whole number of 2^-90ths, rounded once to 53 bits (half to even).
+    q["cluster_stats_exact"] = assign_head + """
+cnt AS (SELECT movie_id, count(*) AS n FROM good GROUP BY movie_id),""" + _assign_block("x", "cnt", "st0") + """,
+summed AS (
+  SELECT a.cluster, v.tag_id, CAST(sum(p.n) AS BIGINT) AS n, sum(p.n * CAST(v.x * pow(2, 90) AS HUGEINT)) AS s
+  FROM cnt p JOIN a_x a ON a.movie_id = p.movie_id JOIN vec v ON v.movie_id = p.movie_id GROUP BY 1, 2),
+sized AS (SELECT *, abs(s) AS a, CAST(floor(log2(CAST(greatest(abs(s), 1) AS DOUBLE))) AS INTEGER) AS g FROM summed),
+bits AS (SELECT *, CASE WHEN a >= (CAST(1 AS HUGEINT) << (g + 1)) THEN g + 1 WHEN a < (CAST(1 AS HUGEINT) << g) THEN greatest(g - 1, 0) ELSE g END AS k FROM sized),
+cut AS (SELECT *, greatest(k - 52, 0) AS e, CAST(1 AS HUGEINT) << greatest(k - 52, 0) AS u FROM bits)
+SELECT cluster, n, tag_id, sign(s) * CAST(a // u + CASE WHEN 2 * (a % u) > u OR (2 * (a % u) = u AND (a // u) % 2 = 1) THEN 1 ELSE 0 END AS DOUBLE)
+       * pow(2, e - 90) AS total
+FROM cut"""
     q["update_centers"] = _one_step("s_in AS (SELECT * FROM st0)", 1.0)
     decay, w0 = DECAY_CASE
     q["decay_weights"] = _with(_MSGS, _FIELDS, _PARSED, _VEC, _START) + f"""
@@ -417,6 +429,10 @@ FROM (SELECT CAST(batch_id + 1 AS INTEGER) AS attempt, batch_id, 'committed' AS
       UNION ALL SELECT 0, 0, 'failed') a
 JOIN taken t ON t.batch_id = a.batch_id
 JOIN (SELECT batch_id, CAST(sum(until_offset - from_offset) AS BIGINT) AS n_records FROM taken GROUP BY batch_id) s ON s.batch_id = t.batch_id"""
+    q["publish_progress"] = _with(_MSGS) + f"""
+SELECT 'sent' AS kind, count(*) AS n_read, CAST(0 AS BIGINT) AS n_rejected, count(*) AS n_published, 100.0::DOUBLE AS pct_published,
+       CAST(0 AS BIGINT) AS n_missing, CAST({PUBLISH_STEPS} AS BIGINT) AS n_steps, true AS monotone
+FROM msgs"""
     q["publish_waves"] = _with(_MSGS) + f"""
 SELECT '{TOPIC}' AS topic, CAST(user_id % {PARTITIONS} AS INTEGER) AS partition, 2 * count(*) AS n, 2 * count(*) AS n_offsets,
        CAST(0 AS BIGINT) AS first_offset, 2 * count(*) - 1 AS last_offset, min(md5(value)) AS least, max(md5(value)) AS largest

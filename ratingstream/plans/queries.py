@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import drop_last_field, encode_int_key
@@ -29,7 +29,7 @@ from ..operators.parse import (
 )
 from ..operators.publish import publish_ratings, publish_summary
 from ..operators.reports import model_report, offset_ranges, prediction_report
-from ..jobs import publisher_job
+from ..jobs import publish_stream, publisher_job, stream_progress
 from ..options import KMeansOptions, PublishOptions, StreamOptions
 from ..session import fresh_path
 from ..sources import fixtures as fx
@@ -52,6 +52,8 @@ INIT_SEED = 42
 WIDE = 1128
 # Batches that the long partition of the capped topic is read in.
 CAPPED_BATCHES = 4
+# Files (and so steps) of the wave whose progress is followed.
+PUBLISH_STEPS = 4
 
 _CACHE: dict = {}
 
@@ -215,6 +217,21 @@ def q_publish_waves(spark, sf_dir):
     )
 
 
+def q_publish_progress(spark, sf_dir):
+    """The rating file as several files, published step by step: whether progress only grew, and how it ended."""
+    root = fresh_path(spark, "progress")
+    lines = fx.rating_file_lines(events(spark, sf_dir))
+    lines.select("value", F.pmod("msg_id", F.lit(PUBLISH_STEPS)).alias("part")).repartition(PUBLISH_STEPS, "part").write.partitionBy("part").text(f"{root}/in")
+    publish_stream(
+        spark, f"{root}/in/*", f"{root}/out", PublishOptions(topic=fx.TOPIC, partitions=fx.PARTITIONS), "log", True, files_per_step=1
+    ).awaitTermination()
+    p = stream_progress(spark, f"{root}/in/*", f"{root}/out")
+    step = p.where("kind = 'progress'").withColumn("before", F.lag("n_read").over(Window.orderBy("step")))
+    grew = step.agg(F.count(F.lit(1)).alias("n_steps"), F.coalesce(F.min(F.col("n_read") > F.col("before")), F.lit(True)).alias("monotone"))
+    end = p.where("kind <> 'progress'").select("kind", "n_read", "n_rejected", "n_published", F.round("pct_published", ROUND).alias("pct_published"), "n_missing")
+    return end.join(grew)  # one row each
+
+
 def q_publish_summary(spark, sf_dir):
     lines = scan_rating_lines(spark, fx.rating_lines_text(spark, sf_dir))
     s = publish_summary(lines)
@@ -312,6 +329,13 @@ def q_cluster_stats(spark, sf_dir):
     return long_vectors(st.withColumn("n", F.col("n").cast("long")), ["cluster", "n"], "total", "total", ROUND)
 
 
+def q_cluster_stats_exact(spark, sf_dir):
+    """The cluster sums to the last bit."""
+    vt = vector_table(spark, sf_dir)
+    st = pl.batch_stats(pl.movie_counts(good_ratings(spark, sf_dir)), vt, start_centers(spark, sf_dir))
+    return long_vectors(st.withColumn("n", F.col("n").cast("long")), ["cluster", "n"], "total", "total")
+
+
 def q_assign_clusters_wide(spark, sf_dir):
     """The assignment at the full vector width: each movie's features repeated up to it."""
     vt = vector_table(spark, sf_dir)
@@ -442,6 +466,8 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "publish_ratings": q_publish_ratings,
         "publish_summary": q_publish_summary,
         "publish_waves": q_publish_waves,
+        "publish_progress": q_publish_progress,
+        "cluster_stats_exact": q_cluster_stats_exact,
         "stamp_time": q_stamp_time,
         "rekey_by_movie": q_rekey_by_movie,
         "assemble_tag_vectors": q_assemble_tag_vectors,

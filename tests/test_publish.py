@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 
 from ratingstream.operators.parse import accepted, parse_rating
 from ratingstream.operators.publish import publish_ratings, publish_summary
@@ -101,3 +102,34 @@ def test_publish_counts_come_from_the_writing_pass(spark):
     publish_ratings(lines, topic="t", observation=seen).write.format("noop").mode("overwrite").save()
     s = observed_summary(seen)
     assert (s["n_read"], s["n_rejected"], s["n_published"], s["pct_published"]) == (4, 1, 3, 75.0)
+
+
+def test_progress_grows_and_ends_at_the_summary(spark):
+    from ratingstream.operators.publish import publish_progress
+
+    steps = spark.createDataFrame([(2, 5, 1, 4), (0, 3, 0, 3), (1, 4, 2, 2)], "step int, n_read long, n_rejected long, n_published long")
+    rows = publish_progress(steps, 12).orderBy(F.col("step").asc_nulls_last()).collect()
+    assert [(r.step, r.kind, r.n_read, r.n_rejected, r.n_published, r.n_missing) for r in rows] == [
+        (0, "progress", 3, 0, 3, 9), (1, "progress", 7, 2, 5, 7), (2, "progress", 12, 3, 9, 3), (None, "shortfall", 12, 3, 9, 3)
+    ]
+    assert [r.pct_published for r in rows] == [25.0, 500 / 12, 75.0, 75.0]
+    assert [r.kind for r in publish_progress(steps.where("n_rejected = 0"), 3).collect()] == ["progress", "sent"]
+    none = publish_progress(steps.limit(0), 0).collect()
+    assert [(r.kind, r.n_published, r.pct_published) for r in none] == [("sent", 0, None)]
+    assert publish_progress(steps.limit(0), 7).first().kind == "shortfall"
+
+
+def test_a_running_stream_reports_progress(spark):
+    from ratingstream.jobs import publish_stream, stream_progress
+    from ratingstream.options import PublishOptions
+    from ratingstream.session import fresh_path
+
+    root = fresh_path(spark, "t_progress")
+    lines = ["1,2,3.0,9", "2,2,3.5,9", "bad,1,1,1", "4,1,1,1"]
+    for i, line in enumerate(lines):
+        spark.createDataFrame([(line,)], "value string").coalesce(1).write.text(f"{root}/in/{i}")
+    assert [r.kind for r in stream_progress(spark, f"{root}/in/*", f"{root}/out").collect()] == ["shortfall"]
+    publish_stream(spark, f"{root}/in/*", f"{root}/out", PublishOptions(), "log", True, files_per_step=1).awaitTermination()
+    rows = stream_progress(spark, f"{root}/in/*", f"{root}/out").orderBy(F.col("step").asc_nulls_last()).collect()
+    assert [r.n_read for r in rows] == [1, 2, 3, 4, 4]
+    assert (rows[-1].kind, rows[-1].n_published, rows[-1].n_rejected, rows[-1].n_missing) == ("shortfall", 3, 1, 1)
