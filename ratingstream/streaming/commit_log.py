@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 import threading
 import time
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from ..plans import model_table as mt
 from ..plans.model_log import ModelLog
-from ..session import list_names, read_text
+from ..session import list_names, read_text, replace_text
 
 OUTCOMES = "outcomes"
 SCHEMA = (
@@ -110,15 +110,23 @@ class CommitLog(StreamingQueryListener):
             threading.Thread(target=self.spark.streams.removeListener, args=(self,), daemon=True).start()
 
     def _write(self, batch_id: int | None, outcome: str, error: str | None, duration: int, n: int | None, ranges: list) -> None:
-        log = ModelLog(self.spark, self.root, (OUTCOMES,), fanout=self.fanout)
+        log = _log(self.spark, self.root, self.fanout)
         number = 0 if log.last is None else log.last + 1
-        row = (batch_id, outcome, error, duration, n, ranges, self.run, datetime.now())
-        df = self.spark.createDataFrame([row], SCHEMA).coalesce(1)
-        df.write.mode("overwrite").parquet(mt.batch_path(f"{self.root}/{OUTCOMES}", number))
+        names = ("topic", "partition", "from_offset", "until_offset")
+        row = {
+            "batch": batch_id, "outcome": outcome, "error": error, "duration_ms": duration, "n_records": n,
+            "ranges": [dict(zip(names, r)) for r in ranges], "query_run": self.run, "logged_at": datetime.now(timezone.utc).isoformat(),
+        }
+        # a line of JSON needs no job: the stream's next batch isn't kept waiting for executors
+        replace_text(self.spark, f"{mt.batch_path(f'{self.root}/{OUTCOMES}', number)}/row.json", json.dumps(row) + "\n")
         log.commit(number, [OUTCOMES])
         log.compact()
 
 
+def _log(spark: SparkSession, root: str, fanout: int = 16) -> ModelLog:
+    return ModelLog(spark, root, (OUTCOMES,), fanout=fanout, fmt="json", schema=SCHEMA)
+
+
 def log_root(root: str) -> str:
     return f"{root.rstrip('/')}/commit_log"
 
@@ -132,7 +140,7 @@ def first_line(text: str) -> str:
 
 def read_outcomes(spark: SparkSession, root: str) -> DataFrame:
     """``attempt`` (outcomes are numbered as they came), ``batch_id`` (null if no batch was under way) and the rest of ``SCHEMA``."""
-    log = ModelLog(spark, log_root(root), (OUTCOMES,))
+    log = _log(spark, log_root(root))
     rows = spark.createDataFrame([], f"{SCHEMA}, batch_id long") if log.last is None else log.read(OUTCOMES)
     rest = [c for c in rows.columns if c not in ("batch", "batch_id")]
     return rows.select(F.col("batch_id").alias("attempt"), F.col("batch").alias("batch_id"), *rest)

@@ -92,7 +92,7 @@ def test_outcomes_are_merged_as_they_grow(spark):
         log._write(b, "committed" if b % 2 else "failed", None if b % 2 else "E", b, b, [("t", 0, b, b + 1)])
     rows = cl.read_outcomes(spark, root).orderBy("attempt").collect()
     assert [(r.attempt, r.batch_id, r.duration_ms, r.ranges[0].from_offset) for r in rows] == [(b, b, b, b) for b in range(10)]
-    assert len(cl.ModelLog(spark, cl.log_root(root)).manifest.segments) <= 6
+    assert len(cl._log(spark, cl.log_root(root)).manifest.segments) <= 6
 
 
 def test_publisher_waves(spark):
