@@ -173,29 +173,27 @@ def _totals(entries: pa.Array) -> pa.Array:
     """Arrow lists of (level, pos, digit) of a group → its vector's sum."""
     if isinstance(entries, pa.ChunkedArray):
         entries = entries.combine_chunks()
-    out = []
-    for rows in entries.to_pylist():
-        dim = max((r["pos"] + 1 for r in rows if r["level"] != COUNT), default=0)
-        by: list[dict[int, int]] = [{} for _ in range(dim)]
-        odd: dict[int, set] = {}
-        for r in rows:
-            if r["level"] < COUNT:
-                by[r["pos"]][r["level"]] = r["digit"]
-            elif r["level"] in (NAN, PLUS, MINUS):
-                odd.setdefault(r["pos"], set()).add(r["level"])
-        total = [rounded(d) for d in by]
-        for p, kinds in odd.items():
-            total[p] = float("nan") if NAN in kinds or len(kinds) > 1 else float("inf") if PLUS in kinds else float("-inf")
-        out.append(total)
-    return pa.array(out, pa.list_(pa.float64()))
+    return pa.array([_total(rows) for rows in entries.to_pylist()], pa.list_(pa.float64()))
 
 
-def weighted_sums(points: DataFrame, group: Callable[[pa.RecordBatch, np.ndarray], np.ndarray], features: str, weight_col: str | None) -> DataFrame:
-    """``cluster, n, total``: per group the count and the exact sum of its vectors.
+def _total(rows: list[dict]) -> list[float]:
+    """A vector's sum from its entries (level, pos, digit)."""
+    dim = max((r["pos"] + 1 for r in rows if r["level"] != COUNT), default=0)
+    by: list[dict[int, int]] = [{} for _ in range(dim)]
+    odd: dict[int, set] = {}
+    for r in rows:
+        if r["level"] < COUNT:
+            by[r["pos"]][r["level"]] = r["digit"]
+        elif r["level"] in (NAN, PLUS, MINUS):
+            odd.setdefault(r["pos"], set()).add(r["level"])
+    total = [rounded(d) for d in by]
+    for p, kinds in odd.items():
+        total[p] = float("nan") if NAN in kinds or len(kinds) > 1 else float("inf") if PLUS in kinds else float("-inf")
+    return total
 
-    ``points`` has the array column ``features`` (equally long, without nulls) and, if named, whole counts in
-    ``weight_col``. ``group`` gives the rows' groups from an Arrow batch and its vectors (a row per element).
-    """
+
+def partial_digits(points: DataFrame, group: Callable[[pa.RecordBatch, np.ndarray], np.ndarray], features: str, weight_col: str | None) -> DataFrame:
+    """``cluster, level, pos, digit``: what each task adds to the sums (see :func:`weighted_sums`)."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = Sums()
@@ -211,9 +209,36 @@ def weighted_sums(points: DataFrame, group: Callable[[pa.RecordBatch, np.ndarray
                 sums.add(group(b, x), x, n)
         yield sums.rows()
 
-    parts = points.mapInArrow(run, PARTS)
+    return points.mapInArrow(run, PARTS)
+
+
+def _added(parts: DataFrame) -> DataFrame:
     # Digits of a level are added as longs: at most 2**24 from a task.
-    added = parts.groupBy("cluster", "level", "pos").agg(F.sum("digit").alias("digit"))
+    return parts.groupBy("cluster", "level", "pos").agg(F.sum("digit").alias("digit"))
+
+
+def sums_on_driver(points: DataFrame, group: Callable[[pa.RecordBatch, np.ndarray], np.ndarray], features: str, weight_col: str | None, k: int, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`weighted_sums` for groups 0 to ``k`` - 1 as arrays on the driver: a few digits per group and element come there."""
+    n, entries = np.zeros(k), [[] for _ in range(k)]
+    for r in _added(partial_digits(points, group, features, weight_col)).collect():
+        if r.level == COUNT:
+            n[r.cluster] = r.digit
+        else:
+            entries[r.cluster].append({"level": r.level, "pos": r.pos, "digit": r.digit})
+    total = np.zeros((k, dim))
+    for j, found in enumerate(entries):
+        if found:
+            total[j] = _total(found)
+    return n, total
+
+
+def weighted_sums(points: DataFrame, group: Callable[[pa.RecordBatch, np.ndarray], np.ndarray], features: str, weight_col: str | None) -> DataFrame:
+    """``cluster, n, total``: per group the count and the exact sum of its vectors.
+
+    ``points`` has the array column ``features`` (equally long, without nulls) and, if named, whole counts in
+    ``weight_col``. ``group`` gives the rows' groups from an Arrow batch and its vectors (a row per element).
+    """
+    added = _added(partial_digits(points, group, features, weight_col))
     entry = F.struct("level", "pos", "digit")
     one = added.groupBy("cluster").agg(F.sum(F.when(F.col("level") == COUNT, F.col("digit"))).alias("n"), F.collect_list(entry).alias("entries"))
     total = F.arrow_udf(_totals, "array<double>")

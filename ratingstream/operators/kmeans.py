@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import nearest_center
-from .exact_sum import weighted_sums
+from .exact_sum import sums_on_driver, weighted_sums
 from ..schemas import MODEL_STATE
 
 # Python workers get the scoring functions by value, so they need not find the library.
@@ -172,6 +172,15 @@ def assign_clusters(
 # --------------------------------------------------------------------------- train
 
 
+def _own_cluster(batch: pa.RecordBatch, x: np.ndarray) -> np.ndarray:
+    return batch.column(batch.schema.get_field_index("cluster")).to_numpy(zero_copy_only=False)
+
+
+def _nearest_cluster(centers):
+    c = np.ascontiguousarray(centers, dtype=np.float64)
+    return lambda batch, x: nearest_of(squared_distances(np.ascontiguousarray(x), c))
+
+
 def cluster_stats(assigned: DataFrame, features: str = "features", weight_col: str | None = None) -> DataFrame:
     """Per-cluster point count ``n`` and element-wise vector sum ``total``.
 
@@ -179,22 +188,21 @@ def cluster_stats(assigned: DataFrame, features: str = "features", weight_col: s
     rounded once (:mod:`ratingstream.operators.exact_sum`), so they don't depend on the partitioning;
     each task sends a few numbers per cluster and element to the shuffle however hot a cluster is.
     """
-
-    def own(batch: pa.RecordBatch, x: np.ndarray) -> np.ndarray:
-        return batch.column(batch.schema.get_field_index("cluster")).to_numpy(zero_copy_only=False)
-
     cols = [F.col("cluster").cast("int").alias("cluster"), F.col(features)] + ([F.col(weight_col)] if weight_col else [])
-    return weighted_sums(assigned.select(*cols), own, features, weight_col)
+    return weighted_sums(assigned.select(*cols), _own_cluster, features, weight_col)
 
 
 def nearest_stats(points: DataFrame, centers, features: str = "features", weight_col: str | None = None) -> DataFrame:
     """:func:`cluster_stats` of :func:`assign_clusters` in one pass: the vectors go to the workers once, and stay there."""
-    c = np.ascontiguousarray(centers, dtype=np.float64)
+    return weighted_sums(points.select(F.col(features), *([F.col(weight_col)] if weight_col else [])), _nearest_cluster(centers), features, weight_col)
 
-    def nearest(batch: pa.RecordBatch, x: np.ndarray) -> np.ndarray:
-        return nearest_of(squared_distances(np.ascontiguousarray(x), c))
 
-    return weighted_sums(points.select(F.col(features), *([F.col(weight_col)] if weight_col else [])), nearest, features, weight_col)
+def model_sums(points: DataFrame, centers, weight_col: str, features: str = "features") -> tuple[np.ndarray, np.ndarray]:
+    """The K counts and sums on the driver, where the model's update runs; of the rows' ``cluster`` if they have one."""
+    k, dim = np.shape(centers)
+    known = "cluster" in points.columns
+    cols = [F.col(features), F.col(weight_col)] + ([F.col("cluster").cast("int").alias("cluster")] if known else [])
+    return sums_on_driver(points.select(*cols), _own_cluster if known else _nearest_cluster(centers), features, weight_col, k, dim)
 
 
 def update_centers(

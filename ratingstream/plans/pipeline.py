@@ -32,9 +32,9 @@ from ..operators.kmeans import (
     check_dim,
     cluster_stats,
     model_arrays,
+    model_sums,
     nearest_stats,
     state_frame,
-    stats_arrays,
     train_step_arrays,
 )
 from ..options import KMeansOptions, StreamOptions
@@ -198,6 +198,16 @@ def batch_stats(
     return cluster_stats(assign_clusters(pts, centers, method=method), weight_col="n")
 
 
+def batch_sums(
+    counts: DataFrame, vt: VectorTable, centers, scale_by_rating: bool = False, method: str = "arrow", clusters: DataFrame | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`batch_stats` as arrays on the driver, for the model's update there (K x D numbers)."""
+    if clusters is not None:
+        return model_sums(batch_points(counts.join(clusters, "movie_id"), vt), centers, "n")
+    pts = batch_points(counts, vt, scale_by_rating)
+    return model_sums(pts if method == "arrow" else assign_clusters(pts, centers, method=method), centers, "n")
+
+
 def assign_ratings(
     ratings: DataFrame,
     vt: VectorTable,
@@ -339,14 +349,13 @@ def run_fold(
     with ThreadPoolExecutor(max_workers=1) as writer:
         for b in batch_ids[log.manifest.n :]:
             counts = counts_all.where(F.col("batch_id") == F.lit(b)).drop("batch_id")
+            clusters = None
             if run.assignment:
-                stats = batch_stats(counts, vt, centers, clusters=run.assignment.at(centers))
+                clusters = run.assignment.at(centers)
                 run.rescored.append((b, run.assignment.n, run.assignment.rescored))
-            else:
-                stats = batch_stats(counts, vt, centers, stream.scale_by_rating, stream.assign_method)
             # the K cluster sums come back to the driver: the update of the K x D
             # model runs there, and the new model seeds the next step's scoring
-            n, total = stats_arrays(stats.collect(), len(centers), vt.dim)
+            n, total = batch_sums(counts, vt, centers, stream.scale_by_rating, stream.assign_method, clusters)
             centers, weights = train_step_arrays(centers, weights, n, total, kmeans.decay, kmeans.time_unit)
             if writes:
                 writes[-1].result()  # the previous state is in place before this one is queued

@@ -155,9 +155,8 @@ def process_batch(
             if memo is not None:
                 memo["assignment"] = held
         clusters = held.at(centers) if held else None
-        stats = pl.batch_stats(counts, vt, centers, opts.scale_by_rating, opts.assign_method, clusters)
         # the K cluster sums (this job also fills the cache of the parsed batch)
-        n, total = km.stats_arrays(stats.collect(), len(centers), vt.dim)
+        n, total = pl.batch_sums(counts, vt, centers, opts.scale_by_rating, opts.assign_method, clusters)
         outputs = []
         if opts.replay_idle_intervals and TRIGGER_COL in keep:
             now = parsed.agg(F.max(F.unix_millis(TRIGGER_COL))).first()[0]
