@@ -55,29 +55,60 @@ def _labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def pairs_above(x: np.ndarray, y: np.ndarray | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (i, j) of two matrices with cosine >= threshold; of one matrix (``y`` None), each i < j once."""
+def pair_blocks(x: np.ndarray, y: np.ndarray | None, threshold: float, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows (i, j) of two matrices with cosine >= threshold, at most ``most`` at once; of one matrix (``y`` None), each i < j once.
+
+    The int8 product and the error bounds of its rows and columns tell most pairs for certain, above or below; only
+    those between are computed in full precision.
+    """
     ux = x / np.linalg.norm(x, axis=1)[:, None]
     uy = ux if y is None else y / np.linalg.norm(y, axis=1)[:, None]
     qx, sx, ex = quantise(ux)
     qy, sy, ey = (qx, sx, ex) if y is None else quantise(uy)
-    rows, cols = [], []
+    p, q = (x, x) if y is None else (x, y)
     # float32 sums of int8 products are exact up to 2^24 (dimensions to 1040), else their rounding is in the slack.
     slack = 1e-6 + len(x[0]) * 2.0**-24
     for i in range(0, len(qx), 512):
         est = (qx[i : i + 512] @ qy.T) * (sx[i : i + 512, None] * sy[None, :]).astype(np.float32)
-        bound = (threshold - slack) - (ex[i : i + 512, None] + (1 + ex[i : i + 512, None]) * ey[None, :])
-        r, c = np.nonzero(est >= bound.astype(np.float32))
-        r += i
-        if y is None:
-            r, c = r[r < c], c[r < c]
-        for k in range(0, len(r), 50_000):
-            a, b = r[k : k + 50_000], c[k : k + 50_000]
-            p, q = (x, x) if y is None else (x, y)
-            cos = np.einsum("ij,ij->i", p[a], q[b]) / (np.linalg.norm(p[a], axis=1) * np.linalg.norm(q[b], axis=1))
-            rows.append(a[cos >= threshold])
-            cols.append(b[cos >= threshold])
-    return (np.concatenate(rows), np.concatenate(cols)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        error = slack + ex[i : i + 512, None] + (1 + ex[i : i + 512, None]) * ey[None, :]
+        sure = est >= (threshold + error).astype(np.float32)
+        open_ = (est >= (threshold - error).astype(np.float32)) & ~sure
+        for known, block in ((True, sure), (False, open_)):
+            r, c = np.nonzero(block)
+            r += i
+            if y is None:
+                r, c = r[r < c], c[r < c]
+            step = most if known else 50_000
+            for k in range(0, len(r), step):
+                a, b = r[k : k + step], c[k : k + step]
+                if not known:
+                    cos = np.einsum("ij,ij->i", p[a], q[b]) / (np.linalg.norm(p[a], axis=1) * np.linalg.norm(q[b], axis=1))
+                    a, b = a[cos >= threshold], b[cos >= threshold]
+                if len(a):
+                    yield a, b
+
+
+def pairs_above(x: np.ndarray, y: np.ndarray | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of :func:`pair_blocks` (in no order)."""
+    found = list(pair_blocks(x, y, threshold))
+    return tuple(np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def linked(ids: np.ndarray, copies: np.ndarray, blocks: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(links, smallest id reached) per row; blocks of pairs are counted and merged as they come, none is kept."""
+    links = np.zeros(len(ids), np.int64)
+    order = np.argsort(ids, kind="stable")  # labels by rank of id, so that the smallest id wins
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(order))
+    label = np.arange(len(ids))
+    for a, b in blocks:
+        links += (np.bincount(a, copies[b], len(ids)) + np.bincount(b, copies[a], len(ids))).astype(np.int64)
+        ra, rb = label[rank[a]], label[rank[b]]
+        apart = ra != rb
+        if apart.any():
+            code = np.unique(np.minimum(ra, rb)[apart] * len(ids) + np.maximum(ra, rb)[apart])
+            label = _labels(len(ids), code // len(ids), code % len(ids))[label]
+    return links, ids[order][label][rank]
 
 
 def _tiles(rows: DataFrame, tile: int) -> DataFrame:
@@ -138,19 +169,15 @@ def _compare(threshold: float):
 
         ids, copies, x = load(groups[True])
         if same:
-            a, b = pairs_above(x, None, threshold)
+            blocks = pair_blocks(x, None, threshold)
         else:
             ids2, copies2, y = load(groups[False])
-            a, b = pairs_above(x, y, threshold)
-            b = b + len(ids)
+            first = len(ids)
+            blocks = ((a, b + first) for a, b in pair_blocks(x, y, threshold))
             ids, copies = np.concatenate([ids, ids2]), np.concatenate([copies, copies2])
-        links = np.bincount(a, copies[b], len(ids)) + np.bincount(b, copies[a], len(ids))
-        order = np.argsort(ids, kind="stable")  # labels by rank of id, so that the smallest id wins
-        rank = np.empty_like(order)
-        rank[order] = np.arange(len(order))
-        root = ids[order][_labels(len(ids), rank[a], rank[b])][rank] if len(a) else ids
+        links, root = linked(ids, copies, blocks)
         hit = links > 0
-        return pa.table({"vec_id": ids[hit], "links": links[hit].astype(np.int64), "root": root[hit]})
+        return pa.table({"vec_id": ids[hit], "links": links[hit], "root": root[hit]})
 
     return run
 

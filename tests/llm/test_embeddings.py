@@ -116,3 +116,37 @@ def test_search_odd_rows(spark):
     assert got == [(0, 1, 9), (0, 2, 1), (0, 3, 20), (20, 1, 9), (20, 2, 0), (20, 3, 1)]
     assert H.nearest(spark, frame(spark, [])).count() == 0
     assert H.nearest(spark, frame(spark, [(1, [1.0])])).count() == 0
+
+
+def test_blocks_of_pairs_give_the_counts_and_roots_of_all_pairs():
+    from ratingstream.llm import embedding_dedup as E
+
+    r = np.random.default_rng(12)
+    base = r.normal(size=(6, 16))
+    x = np.concatenate([b + r.normal(size=(40, 16)) * s for b, s in zip(base, (0.01, 0.1, 0.2, 0.25, 0.3, 2.0))])
+    ids, copies = r.permutation(1000)[: len(x)].astype(np.int64), r.integers(1, 4, len(x)).astype(np.int64)
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    near = (u @ u.T >= 0.95) & ~np.eye(len(x), dtype=bool)
+    want = near @ copies
+    for most in (1 << 20, 7):
+        links, root = E.linked(ids, copies, E.pair_blocks(x, None, 0.95, most))
+        assert (links == want).all()
+        least = ids.copy()
+        for _ in range(len(x)):
+            least = np.minimum(least, np.where(near, least[None, :], 10**9).min(axis=1))
+        assert (root == least).all()
+
+
+def test_many_near_copies_are_counted_without_keeping_pairs():
+    import tracemalloc
+
+    from ratingstream.llm import embedding_dedup as E
+
+    r = np.random.default_rng(13)
+    x = r.normal(size=(1, 32)) + r.normal(size=(6000, 32)) * 1e-3
+    tracemalloc.start()
+    links, root = E.linked(np.arange(6000) + 5, np.ones(6000, np.int64), E.pair_blocks(x, None, 0.95))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (links == 5999).all() and (root == 5).all()
+    assert peak < 400e6  # all 18 million pairs would be 288 MB twice, besides the products
