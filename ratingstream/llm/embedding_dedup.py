@@ -70,17 +70,18 @@ def pair_blocks(x: np.ndarray, y: np.ndarray | None, threshold: float, most: int
     slack = 1e-6 + len(x[0]) * 2.0**-24
     for i in range(0, len(qx), 512):
         est = (qx[i : i + 512] @ qy.T) * (sx[i : i + 512, None] * sy[None, :]).astype(np.float32)
-        error = slack + ex[i : i + 512, None] + (1 + ex[i : i + 512, None]) * ey[None, :]
-        sure = est >= (threshold + error).astype(np.float32)
-        open_ = (est >= (threshold - error).astype(np.float32)) & ~sure
-        for known, block in ((True, sure), (False, open_)):
-            r, c = np.nonzero(block)
-            r += i
-            if y is None:
-                r, c = r[r < c], c[r < c]
+        bound = (threshold - slack) - (ex[i : i + 512, None] + (1 + ex[i : i + 512, None]) * ey[None, :])
+        r, c = np.nonzero(est >= bound.astype(np.float32))
+        if y is None:
+            upper = r + i < c
+            r, c = r[upper], c[upper]
+        sure = est[r, c] >= threshold + slack + ex[r + i] + (1 + ex[r + i]) * ey[c]
+        r += i
+        for known, there in ((True, sure), (False, ~sure)):
+            rows, cols = r[there], c[there]
             step = most if known else 50_000
-            for k in range(0, len(r), step):
-                a, b = r[k : k + step], c[k : k + step]
+            for k in range(0, len(rows), step):
+                a, b = rows[k : k + step], cols[k : k + step]
                 if not known:
                     cos = np.einsum("ij,ij->i", p[a], q[b]) / (np.linalg.norm(p[a], axis=1) * np.linalg.norm(q[b], axis=1))
                     a, b = a[cos >= threshold], b[cos >= threshold]
