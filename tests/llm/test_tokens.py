@@ -41,7 +41,7 @@ def test_byte_ids_equal_tiktokens_and_decode_back(tik):
 
 def test_every_character_beside_letters_and_blanks(tik):
     table, split = B._tokenizer(P.path(B.VOCABULARY)), regex.compile(P.PATTERN).findall
-    own = K._tokenizer(P.path(K.VOCABULARY))
+    own = K.WordIds(P.path(K.VOCABULARY))
     whole = Tokenizer.from_file(P.path(K.VOCABULARY))
     whole.encode_special_tokens = True
     chars = [chr(c) for c in range(0x30000) if not 0xD800 <= c < 0xE000]
@@ -87,7 +87,7 @@ def test_round_trip_digests_are_those_of_encode_and_decode(odd_docs, no_docs):
 
 
 def test_word_ids_equal_the_librarys():
-    table = K._tokenizer(P.path(K.VOCABULARY))
+    table = K.WordIds(P.path(K.VOCABULARY))
     whole = Tokenizer.from_file(P.path(K.VOCABULARY))
     whole.encode_special_tokens = True
     for t in odd_texts():
