@@ -24,7 +24,7 @@ NOTES = {
     "CSV ReadSchema has the three columns; no Python node.",
     "parse (accepted ratings)": "one scan, narrow projections only; the filter sits in the scan stage.",
     "batch cluster sums": "per-movie partial count → exchange on movie_id → join with the cached, "
-    "movie-partitioned vectors (the counts side is the broadcast/build side) → partial Summarizer → "
+    "movie-partitioned vectors (the counts side is the broadcast/build side) → partial sums of exact digits → "
     "exchange of at most K rows per task.",
     "ratings with their cluster": "distinct movies → vectors in place → movie→cluster broadcast back "
     "under the checked bound.",
