@@ -110,6 +110,43 @@ def test_search_recall_order_and_scores(spark):
     assert hits / (20 * len(want)) >= 0.9
 
 
+def test_rows_of_very_different_norms(spark, monkeypatch):
+    """Clusters whose norms are log-normal: shells keep the windows a small share of the table."""
+    rng = np.random.default_rng(21)
+    centres = rng.standard_normal((150, 24))
+    x = centres[rng.integers(0, 150, 6000)] + 0.3 * rng.standard_normal((6000, 24))
+    x *= (rng.lognormal(0, 1, 6000) / np.linalg.norm(x, axis=1))[:, None]
+    x = x.astype(np.float32).astype(float)
+    asked = {}
+    real = H.choose_windows
+
+    def choose(gaps, shell, sizes, recall, least):
+        asked["share"] = sum(min(2 * w + 2, n) for w, n in zip(real(gaps, shell, sizes, recall, least), sizes)) / sum(sizes)
+        asked["shells"] = len(sizes)
+        return real(gaps, shell, sizes, recall, least)
+
+    monkeypatch.setattr(H, "choose_windows", choose)
+    rows = H.nearest(spark, frame(spark, list(enumerate(x.tolist()))), slice_rows=500, batch_rows=40).collect()
+    s = x[::20] @ x.T
+    s[np.arange(300), np.arange(0, 6000, 20)] = -np.inf
+    want = {20 * i: set(np.argsort(-row)[:20].tolist()) for i, row in enumerate(s)}
+    hits = sum(r.vec_id in want[r.query_id] for r in rows)
+    assert len(rows) == 6000 and hits / 6000 >= 0.9
+    assert asked["shells"] > 5 and asked["share"] < 0.15  # of a curve; an order by place needed all of it
+
+
+def test_windows_are_the_shortest_that_find_enough():
+    gaps, shell = np.array([0, 1, 2, 3, 500, 900]), np.array([0, 0, 0, 0, 1, 1])
+    assert H.choose_windows(gaps, shell, [10, 2000], 0.6, 1) == [3, 1]
+    assert H.choose_windows(gaps, shell, [10, 2000], 1.0, 1) == [3, 900]
+    assert H.choose_windows(gaps[:0], shell[:0], [10], 0.9, 20) == [20]
+
+
+def test_directions_of_extreme_vectors():
+    unit, shell = H.directions(np.array([[3e200, 4e200], [3e-200, 4e-200], [0.6, 0.8]]))
+    assert np.allclose(unit, [[0.6, 0.8]] * 3) and shell[0] > 1000 and shell[1] < -1000 and shell[2] == 0
+
+
 def test_search_odd_rows(spark):
     rows = H.nearest(spark, frame(spark, ODD)).collect()
     got = [(r.query_id, r.rank, r.vec_id) for r in sorted(rows, key=lambda r: (r.query_id, r.rank))]
