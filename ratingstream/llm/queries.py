@@ -19,7 +19,8 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judge(spark, table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(spark, pages, url_filter.labelled_hosts(pages)).drop("url")
 
 
 def op3_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:

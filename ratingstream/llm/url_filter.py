@@ -49,7 +49,7 @@ RULES = (
     Rule("org", "/fr/", "allow"),
 )
 
-#: Hosts with one of these labels are listed.
+#: The query's list: hosts with one of these labels.
 LISTED_LABELS = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 
 
@@ -190,20 +190,33 @@ def listed(spark: SparkSession, df: DataFrame, key: str, cascades: list[Cascade]
     return df.withColumn(out, F.col(key).isNotNull() & contains(key_hash(F.col(key))))
 
 
+def _with_host(pages: DataFrame, url: str) -> DataFrame:
+    host, path = host_and_path(F.col(url))
+    keep = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    return pages.select(*[F.col(f"`{c}`") for c in keep], host.alias("host"), path.alias("path"))
+
+
+def labelled_hosts(pages: DataFrame, url: str = "url", labels: tuple[str, ...] = LISTED_LABELS) -> DataFrame:
+    """``host``: the different hosts of ``pages`` that hold one of the labels."""
+    hosts = _with_host(pages, url).select("host").distinct()
+    return hosts.where(F.arrays_overlap(F.split("host", r"\."), F.array(*[F.lit(x) for x in labels])))
+
+
 def judge(
-    spark: SparkSession, pages: DataFrame, url: str = "url", rules: tuple[Rule, ...] = RULES, labels: tuple[str, ...] = LISTED_LABELS
+    spark: SparkSession, pages: DataFrame, blocklist: DataFrame | None = None, url: str = "url", rules: tuple[Rule, ...] = RULES, host: str = "host"
 ) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule`` (the longest that fits, else null) and ``verdict``.
 
-    Without a rule, hosts with a listed label are blocked and others allowed; the list's
-    membership comes from a cascade over all hosts of ``pages``. Input columns with those names
-    are replaced. Null urls have an empty host and path, no rule, and are allowed.
+    Without a rule, the hosts of ``blocklist`` (its column ``host``, A-Z lower-cased; only the very host, not its
+    subdomains) are blocked and others allowed; membership comes from a cascade over all hosts of ``pages`` and the
+    list. The list may be of any size, hold repeated, null and unused hosts, or be empty; None lists the
+    ``labelled_hosts``. Input columns of ``pages`` with those names are replaced. Null urls have an empty host and
+    path, no rule, and are allowed unless the empty host is listed. Repeated rows stay.
     """
-    host, path = host_and_path(F.col(url))
-    keep = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    df = pages.select(*[F.col(f"`{c}`") for c in keep], host.alias("host"), path.alias("path"))
-    is_listed = F.arrays_overlap(F.split("host", r"\."), F.array(*[F.lit(x) for x in labels]))
-    cascades = build_cascades(spark, df.select(F.col("host").alias("key"), is_listed.alias("listed")))
+    df = _with_host(pages, url)
+    listing = labelled_hosts(pages, url) if blocklist is None else blocklist
+    keys = listing.select(F.translate(F.col(host if blocklist is not None else "host"), UPPER, LOWER).alias("key"), F.lit(True).alias("listed"))
+    cascades = build_cascades(spark, df.select(F.col("host").alias("key"), F.lit(False).alias("listed")).unionByName(keys))
     name, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     df = listed(spark, df, "host", cascades, "\x01listed").withColumn("rule", name)
     own = F.when(F.col("\x01listed"), F.lit("block")).otherwise(F.lit("allow"))

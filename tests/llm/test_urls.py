@@ -41,6 +41,22 @@ def test_cases(spark):
     assert U.judge(spark, df.limit(0)).count() == 0
 
 
+def test_a_list_that_no_expression_describes(spark):
+    """Arbitrary hosts as a table: repeats, nulls, capitals and hosts that no page has; a hot host and repeated rows."""
+    r = np.random.default_rng(8)
+    hosts = [f"{r.integers(1 << 40):x}.example" for _ in range(1500)]
+    chosen = set(r.choice(hosts, 400, replace=False).tolist())
+    hot = sorted(chosen)[0]
+    urls = [f"x://{h.upper() if i % 3 else h}/p" for i, h in enumerate(hosts)] + [f"x://{hot}/{i % 7}" for i in range(700)] + [None, f"x://sub.{hot}/"]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    names = [(h.upper() if i % 2 else h,) for i, h in enumerate(sorted(chosen))] + [(hot,), (None,)] + [(f"unused{i}.example",) for i in range(50)]
+    rows = U.judge(spark, pages, spark.createDataFrame(names, "domain string"), rules=(), host="domain").collect()
+    assert len(rows) == len(urls)
+    assert all((r.verdict == "block") == (r.host in chosen) and r.rule is None for r in rows)
+    none = U.judge(spark, pages, spark.createDataFrame([], "host string"), rules=())
+    assert none.where("verdict = 'block'").count() == 0
+
+
 @pytest.mark.parametrize("max_bytes,bits", [(1 << 20, 10), (1 << 20, 2), (64, 8)])
 def test_cascade_is_exact_for_its_universe(spark, max_bytes, bits):
     keys = spark.range(3000).select(F.concat(F.lit("host"), "id").alias("key"), (F.col("id") % 7 == 0).alias("listed"))
