@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import written
 from .components import components
-from .vectors import matrix, usable, usable_rows
+from .vectors import matrix, tame, usable, usable_rows
 
 TILE = "cell int, part long, tile long, dim int, n int, ids binary, copies binary, vectors binary"
 
@@ -123,6 +123,9 @@ def _tiles(rows: DataFrame, tile: int) -> DataFrame:
             nonlocal count
             count += 1
             v = np.concatenate([b[2] for b in block])
+            with np.errstate(over="ignore"):
+                narrow = v.astype(np.float32)
+            v = narrow if (narrow == v).all() else v  # single precision travels where it holds every value exactly
             cols = [[key[0]], [part], [count], [key[1]], [len(v)]]
             blobs = [np.concatenate([b[k] for b in block]).tobytes() for k in range(2)] + [v.tobytes()]
             types = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
@@ -153,6 +156,11 @@ def _tiles(rows: DataFrame, tile: int) -> DataFrame:
 EMPTY = pa.table({c: pa.array([], pa.int64()) for c in ("vec_id", "links", "root")})
 
 
+def _vectors(data: bytes, n: int, dim: int) -> np.ndarray:
+    """A tile's vectors in double precision, whichever precision they travelled in."""
+    return tame(np.frombuffer(data, np.float32 if len(data) == 4 * n * dim else np.float64).reshape(n, dim).astype(np.float64))
+
+
 def _compare(threshold: float):
     def run(table: pa.Table) -> pa.Table:
         t = table.to_pylist()
@@ -166,7 +174,7 @@ def _compare(threshold: float):
         def load(rs: list[dict]) -> tuple[np.ndarray, ...]:
             ids = np.concatenate([np.frombuffer(r["ids"], np.int64) for r in rs])
             copies = np.concatenate([np.frombuffer(r["copies"], np.int64) for r in rs])
-            return ids, copies, np.concatenate([np.frombuffer(r["vectors"], np.float64).reshape(r["n"], -1) for r in rs])
+            return ids, copies, np.concatenate([_vectors(r["vectors"], r["n"], r["dim"]) for r in rs])
 
         ids, copies, x = load(groups[True])
         if same:
@@ -212,7 +220,7 @@ def near_duplicates(
         return alone.withColumn("kept", kept)
     sample = distinct.orderBy(F.xxhash64("vec_id")).limit(min(max_pivots, max(1, n // 8192))).select("embedding").collect()
     dim = len(sample[0][0])
-    pivots = np.array([r[0] for r in sample if len(r[0]) == dim])
+    pivots = tame(np.array([r[0] for r in sample if len(r[0]) == dim]))
     pivots = pivots / np.linalg.norm(pivots, axis=1)[:, None]
 
     def place(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +229,7 @@ def near_duplicates(
             cell, angle = np.full(len(size), -1, np.int32), np.full(len(size), np.pi)
             at = np.flatnonzero(size == dim)
             if len(at):
-                x = matrix(b.column(1).take(pa.array(at)))
+                x = tame(matrix(b.column(1).take(pa.array(at))))
                 cos = (x / np.linalg.norm(x, axis=1)[:, None]) @ pivots.T
                 cell[at] = cos.argmax(axis=1)
                 angle[at] = np.arccos(np.clip(cos.max(axis=1), -1, 1))

@@ -26,3 +26,13 @@ def matrix(col: pa.Array | pa.ChunkedArray) -> np.ndarray:
         col = col.combine_chunks()
     flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(col), -1) if len(col) else flat.reshape(0, 0)
+
+
+def tame(x: np.ndarray) -> np.ndarray:
+    """Rows whose squares would over- or underflow, scaled by a power of two (which keeps their directions); others as they are."""
+    top = np.abs(x).max(axis=1) if x.size else np.ones(len(x))
+    far = (top > 1e100) | (top < 1e-100)
+    if far.any():
+        x = x.copy()
+        x[far] = np.ldexp(x[far], -np.frexp(top[far])[1][:, None])
+    return x

@@ -52,6 +52,15 @@ def test_links_and_components_equal_brute_force(spark, monkeypatch, tile, pivots
     assert got == {int(i): (int(n), int(c), int(i) == int(c)) for i, n, c in zip(ids, links, comp)}
 
 
+def test_vectors_that_single_precision_does_not_hold(spark):
+    x = clustered(200, 8, 4) + 1e-12 * np.random.default_rng(9).standard_normal((200, 8))
+    ids = np.arange(200)
+    links, comp = brute_dedup(x, ids, 0.95)
+    df = spark.createDataFrame([(int(i), v) for i, v in zip(ids, x.tolist())] + [(500, [1e300, 0.0]), (501, [2e300, 0.0]), (502, [1e-300, 1e-300, 0.0]), (503, [3e-300, 3e-300, 1e-310])], "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in D.near_duplicates(spark, df, tile=16, per_group=2).collect()}
+    assert got == {int(i): (int(n), int(c)) for i, n, c in zip(ids, links, comp)} | {500: (1, 500), 501: (1, 500), 502: (1, 502), 503: (1, 502)}
+
+
 def test_quantisation_bound_holds():
     rng = np.random.default_rng(0)
     x = rng.standard_normal((200, 40))
