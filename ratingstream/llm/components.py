@@ -2,8 +2,8 @@
 
 Every step is a join-free ``groupBy``: each vertex learns the smallest vertex it is linked
 to and links its neighbours to that one. A star's hub may hold a third of all links, so
-the minimum is a partial aggregate first and comes back by a join on the vertex (AQE
-splits a hot key there); no list of neighbours is ever built.
+the minimum is a partial aggregate first and comes back by a join on the vertex; no list of
+neighbours is ever built.
 """
 
 from __future__ import annotations
