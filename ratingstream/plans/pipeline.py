@@ -99,26 +99,26 @@ def materialize_vectors(
 
     The written table cuts the lineage (a lost executor re-reads it instead of
     re-running the pivot) and its row count sizes the join strategy. It is bucketed and sorted by
-    ``movie_id`` (:mod:`ratingstream.plans.vector_store`): joins find it partitioned, also in a later
-    session. Given the ``path`` of an earlier run, the table found there is used as it is; a
+    ``movie_id`` (:mod:`ratingstream.plans.vector_store`), in buckets by its size unless ``partitions`` are
+    given: joins find it partitioned, also in a later session. Given the ``path`` of an earlier run, the table found there is used as it is; a
     table from before bucketing is dealt out when it is cached. The array
     column that a mode uses is cached on first use (``VectorTable.side``), so a join moves only
     the (small) batch side.
     """
-    from .vector_store import open_bucketed, write_bucketed
+    from .vector_store import bucket_count, open_bucketed, write_bucketed
 
     path = path or fresh_path(spark, "vectors")
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = open_bucketed(spark, path)
     if found is None and not is_complete(spark, path):  # a restarted job keeps the vectors its model was built on
-        write_bucketed(spark, vectors, path, n_parts)
+        write_bucketed(spark, vectors, path, dim, partitions)
         found = open_bucketed(spark, path)
-    df, n_parts = found or (spark.read.parquet(path), n_parts)
+    df, n_parts = found or (spark.read.parquet(path), partitions)
     facts = df.agg(
         F.count(F.lit(1)).alias("n"), F.min(F.size("features")).alias("lo"), F.max(F.size("features")).alias("hi")
     ).first()
     if facts["n"] and (facts["lo"] != dim or facts["hi"] != dim):
         raise ValueError(f"vector length {facts['lo']}..{facts['hi']} differs from dim {dim}")
+    n_parts = n_parts or bucket_count(spark, int(facts["n"]), dim)
     return VectorTable(df=df, n=int(facts["n"]), dim=dim, partitions=n_parts, bucketed=found is not None)
 
 

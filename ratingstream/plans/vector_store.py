@@ -18,10 +18,11 @@ import json
 import re
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.features import tag_score_rejects
+from ..operators.features import tag_score_rejects, vector_bytes
 from ..session import create_text, file_stamps, list_names, path_exists, read_text, remove_folder, replace_text
 from ..sources.files import scan_tag_scores
 from . import pipeline as pl
@@ -29,12 +30,35 @@ from . import pipeline as pl
 DESCRIPTION = "_vectors.json"
 
 
-def write_bucketed(spark: SparkSession, vectors: DataFrame, path: str, buckets: int) -> None:
-    """Write vectors in ``buckets`` files by ``movie_id``, sorted within; complete once the description is there."""
+#: Bytes of vectors that a bucket is meant to hold in memory.
+BUCKET_BYTES = 8 << 20
+
+
+def bucket_count(spark: SparkSession, n: int, dim: int) -> int:
+    """Buckets for ``n`` vectors: as many as their size needs, and one per core at least.
+
+    Every batch runs a task per bucket, most of them with a Python worker and a shuffle file each, so
+    buckets that hold next to nothing cost each batch as much as the work itself.
+    """
+    least = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return max(1, least, -(-n * vector_bytes(dim) // BUCKET_BYTES))
+
+
+def write_bucketed(spark: SparkSession, vectors: DataFrame, path: str, dim: int, buckets: int | None = None) -> None:
+    """Write vectors in files by ``movie_id``, sorted within; complete once the description is there.
+
+    Without ``buckets`` their number follows from the vectors' (:func:`bucket_count`), which are made once for both.
+    """
     path = path.rstrip("/")
     name = f"writing_{uuid.uuid4().hex}"
-    dealt = vectors.repartition(buckets, "movie_id")
-    dealt.write.mode("overwrite").bucketBy(buckets, "movie_id").sortBy("movie_id").option("path", path).format("parquet").saveAsTable(name)
+    made = vectors if buckets else vectors.persist(StorageLevel.DISK_ONLY)
+    try:
+        buckets = buckets or bucket_count(spark, made.count(), dim)
+        dealt = made.repartition(buckets, "movie_id")
+        dealt.write.mode("overwrite").bucketBy(buckets, "movie_id").sortBy("movie_id").option("path", path).format("parquet").saveAsTable(name)
+    finally:
+        if made.is_cached:
+            made.unpersist()
     spark.sql(f"DROP TABLE IF EXISTS {name}")  # its files stay
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in vectors.schema)
     replace_text(spark, f"{path}/{DESCRIPTION}", json.dumps({"buckets": buckets, "columns": columns}))
@@ -93,7 +117,7 @@ class VectorStore:
             scores = self._scores()
             tag_score_rejects(scores, self.dim).write.mode("overwrite").parquet(f"{self.root}/rejects/version={version}")
             vectors = pl.movie_vectors(scores, self.dim, self.on_error)
-            write_bucketed(self.spark, vectors, self.path(version), int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+            write_bucketed(self.spark, vectors, self.path(version), self.dim)
         if known is None and self._stamp() == stamp:  # the files didn't change while they were read
             create_text(self.spark, f"{self.root}/stamps/{stamp}", version)
         self.stamp, self.version = stamp, version
@@ -129,4 +153,4 @@ class VectorStore:
         return self.open(version)
 
 
-__all__ = ["VectorStore", "content_fingerprint", "open_bucketed", "write_bucketed"]
+__all__ = ["VectorStore", "bucket_count", "content_fingerprint", "open_bucketed", "write_bucketed"]

@@ -40,6 +40,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FORMAT = "topic_log"
 _STORED = "key binary, value binary, timestamp timestamp"
+#: A batch is spread over the cores, but not in tasks of fewer rows than this.
+MIN_TASK_ROWS = 50_000
+#: A task decodes its rows' row groups from their beginning, so these are kept small.
+ROW_GROUP_BYTES = 8 << 20
 
 
 @dataclass
@@ -98,7 +102,7 @@ def append_wave(spark: SparkSession, root: str, records: DataFrame, wave: str |
     time = F.col("timestamp").cast("timestamp") if "timestamp" in records.columns else F.current_timestamp()
     key, value = F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value")
     stored = records.select(key, value, time.alias("timestamp"), F.col("topic").cast("string").alias("topic"), F.col("partition").cast("int").alias("partition"))
-    stored.write.partitionBy("topic", "partition").parquet(f"{root}/data/{attempt}")
+    stored.write.option("parquet.block.size", ROW_GROUP_BYTES).partitionBy("topic", "partition").parquet(f"{root}/data/{attempt}")
     if observation is not None:
         facts |= {k: v for k, v in observation.get.items()}
     staged = _staged_files(spark, root, attempt)
@@ -171,6 +175,7 @@ class TopicLogReader(DataSourceStreamReader):
         self.start = options.get("startingoffsets", "latest")
         self.checkpoint = options.get("checkpoint")
         self.task_rows = int(options.get("taskrows", 1_000_000))
+        self.min_tasks = int(options.get("mintasks", 1))
         self.position: dict | None = None
         self.waves: list[dict] = []
         self.files: dict[tuple[str, str], list[dict]] = {}
@@ -226,6 +231,8 @@ class TopicLogReader(DataSourceStreamReader):
     def partitions(self, start: dict, end: dict) -> list[Range]:
         self._refresh()
         self.position = end
+        total = sum(max(0, int(until) - int(start.get(t, {}).get(k, 0))) for t, p in end.items() for k, until in p.items())
+        task_rows = min(self.task_rows, max(MIN_TASK_ROWS, -(-total // self.min_tasks)))
         out = []
         for t, p in end.items():
             for k, until in p.items():
@@ -236,11 +243,11 @@ class TopicLogReader(DataSourceStreamReader):
                 while at < until and i < len(files):
                     f = files[i]
                     n = min(until, f["first"] + f["n"]) - at
-                    n = min(n, self.task_rows - rows)
+                    n = min(n, task_rows - rows)
                     if n > 0:
                         pieces.append((f"{self.root}/{f['path']}", at - f["first"], at - f["first"] + n, at))
                         at, rows = at + n, rows + n
-                    if rows >= self.task_rows:
+                    if rows >= task_rows:
                         out.append(Range(t, int(k), pieces))
                         pieces, rows = [], 0
                     if at >= f["first"] + f["n"]:
@@ -262,6 +269,8 @@ class TopicLogReader(DataSourceStreamReader):
                     if a < b:
                         done = at
                         for rows in file.iter_batches(row_groups=[g], columns=["key", "value", "timestamp"]):
+                            if done >= b:
+                                break
                             x, y = max(a, done), min(b, done + rows.num_rows)
                             if x < y:
                                 part = rows.slice(x - done, y - x)
@@ -292,12 +301,13 @@ def stream_topic(
 
     ``starting_offsets``: ``latest``, ``earliest`` or JSON ``{topic: {partition: offset}}`` (-1: latest, -2: earliest), for
     a query without a checkpoint. Partitions that appear later are read from their first record. An ``availableNow`` run
-    takes one capped batch. The folders are read through Arrow's file systems (local, S3, GCS, HDFS with libhdfs).
+    takes one capped batch. Tasks read ``task_rows`` rows at most, and fewer if that leaves cores idle.
+    The folders are read through Arrow's file systems (local, S3, GCS, HDFS with libhdfs).
     """
     if records_per_s and not checkpoint:
         raise ValueError("a capped topic log needs the query's checkpoint folder to find its position after a restart")
     spark.dataSource.register(TopicLogSource)
-    options = {"path": root, "startingOffsets": starting_offsets, "ratePerPartition": str(int(records_per_s)), "interval": str(int(interval_s)), "taskRows": str(int(task_rows))}
+    options = {"path": root, "startingOffsets": starting_offsets, "ratePerPartition": str(int(records_per_s)), "interval": str(int(interval_s)), "taskRows": str(int(task_rows)), "minTasks": str(spark.sparkContext.defaultParallelism)}
     if checkpoint:
         options["checkpoint"] = checkpoint
     return spark.readStream.format(FORMAT).options(**options).load()

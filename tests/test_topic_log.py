@@ -175,3 +175,18 @@ def test_a_cap_needs_the_checkpoint(spark):
     with pytest.raises(ValueError):
         tl.stream_topic(spark, "/nowhere", records_per_s=5)
     assert tl.per_partition_cap(2000, 120) == 240_000 and tl.per_partition_cap(0, 120) == 0
+
+
+def test_a_batch_is_spread_over_the_cores(spark):
+    root = fresh_path(spark, "t_topic")
+    ends = tl.append_wave(spark, root, records(spark, 30_000, 9).coalesce(1), "a").ends
+    read = lambda tasks: tl.TopicLogReader({"path": root, "mintasks": str(tasks)}).partitions({}, ends)
+    assert len(read(1)) == 2  # a task per topic partition
+    parts = read(4)
+    assert len(parts) == 5 and max(sum(hi - lo for _, lo, hi, _ in p.pieces) for p in parts) == 75_000
+    reader, seen = tl.TopicLogReader({"path": root}), {0: [], 1: []}
+    for p in parts:
+        for rows in reader.read(p):
+            seen[p.partition] += rows.column(4).to_pylist()
+    assert seen == {0: list(range(270_000)), 1: list(range(30_000))}
+    assert len(tl.TopicLogReader({"path": root, "mintasks": "64"}).partitions({}, ends)) == 7  # not in crumbs

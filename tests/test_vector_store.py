@@ -65,6 +65,22 @@ def test_joins_do_not_move_the_vectors(spark, no_broadcast, cached):
     vt.unpersist()
 
 
+def test_buckets_follow_the_size_of_the_vectors(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        vt = pl.materialize_vectors(spark, vectors(spark), DIM)
+        least = spark.sparkContext.defaultParallelism
+        assert vt.bucketed and vt.partitions == least
+        side = vt.side("features")
+        assert side.rdd.getNumPartitions() == least and side.count() == 200  # tasks of every batch
+        vt.unpersist()
+        assert vs.bucket_count(spark, 60_000, 1128) > 60
+        assert vs.bucket_count(spark, 6_000_000, 1128) > 90 * vs.bucket_count(spark, 60_000, 1128)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_a_fresh_session_joins_in_place(spark):
     path = fresh_path(spark, "t_vec")
     pl.materialize_vectors(spark, vectors(spark), DIM, path)
