@@ -24,6 +24,10 @@ from .commit_log import read_outcomes, wait_logged
 from .job import StreamPaths, read_table, run_log, run_stream
 
 
+#: Records of a file in the replayed topic's folder, which one task parses.
+FILE_ROWS = 50_000
+
+
 def _days(records: DataFrame) -> list[int]:
     d = records.select(fx.epoch_day("timestamp").alias("d")).distinct()
     return [r[0] for r in d.orderBy("d").collect()]
@@ -39,7 +43,8 @@ def replay_by_day(spark: SparkSession, sf_dir: str) -> StreamPaths:
     state0 = bq.start_state(spark, sf_dir)
     root = fresh_path(spark, "stream")
     inbox, staging = f"{root}/inbox", f"{root}/staging"
-    records.withColumn("day", fx.epoch_day("timestamp")).write.partitionBy("day").parquet(staging)
+    # a day in files of a few records each is parsed by all cores, whatever order the events came in
+    records.withColumn("day", fx.epoch_day("timestamp")).write.option("maxRecordsPerFile", FILE_ROWS).partitionBy("day").parquet(staging)
     opts = StreamOptions(sample_fraction=bq.SAMPLE_FRACTION, report_span=bq.REPORT_SPAN)
     km_opts = KMeansOptions(k=bq.K, dim=vt.dim)
     paths = None

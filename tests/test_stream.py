@@ -256,3 +256,25 @@ def test_batch_without_commit_marker_is_redone(spark):
     assert not is_committed(spark, lost, 0)
     assert process_batch(spark, batch, 0, vt, lost, kopts, StreamOptions()) is True
     assert mt.read_batch(spark, lost.state, 0).orderBy("cluster").collect() == first
+
+
+def test_a_replayed_day_lies_in_files_for_many_tasks(spark, monkeypatch, tmp_path):
+    from ratingstream.session import list_names
+    from ratingstream.streaming import queries as sq
+
+    second = F.when(F.col("id") < 400, 0).otherwise(86400) + F.col("id")
+    spark.range(600).coalesce(1).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(second).alias("ts"), (F.col("id") % 7).alias("user_id"),
+        F.when(F.col("id") % 50 == 0, "error").otherwise("view").alias("event_type"), F.lit(1.5).alias("value"), F.lit("{}").alias("props"),
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(40).select(F.col("id").alias("vec_id"), F.array(F.col("id").cast("float"), F.lit(1.0).cast("float")).alias("embedding")).write.parquet(f"{tmp_path}/embeddings.parquet")
+    monkeypatch.setattr(sq, "FILE_ROWS", 100)
+    got = sq.q_stream_offsets(spark, str(tmp_path))
+    inbox = f"{sq.replay_by_day(spark, str(tmp_path)).root}/../inbox"
+    assert [len(list_names(spark, f"{inbox}/day={d}")) for d in (0, 1)] == [4, 2]
+    assert {(r.batch_id, r.partition): (r.from_offset, r.until_offset, r.n, r.n_rejected) for r in got.collect()} == {
+        (b, p): (min(ids), max(ids) + 1, len(ids), sum(i % 50 == 0 for i in ids))
+        for b, days in ((0, range(400)), (1, range(400, 600)))
+        for p in (0, 1)
+        for ids in [[i for i in days if i % 7 % 2 == p]]
+    }
