@@ -40,10 +40,15 @@ SPLIT_EPS = 1e-14
 
 def state_frame(spark: SparkSession, centers, weights) -> DataFrame:
     """A model table from K centres held on the driver (K x D is the model size)."""
-    rows = [
-        (int(i), [float(x) for x in c], float(w)) for i, (c, w) in enumerate(zip(centers, weights))
-    ]
-    return spark.createDataFrame(rows, MODEL_STATE)
+    table = pa.table(
+        {
+            "cluster": pa.array(range(len(weights)), pa.int32()),
+            "center": pa.array([np.asarray(c, dtype=np.float64) for c in centers], pa.list_(pa.float64())),
+            "weight": pa.array(np.asarray(weights, dtype=np.float64)),
+        }
+    )
+    # as Arrow it is a local table: writing it starts no Python worker
+    return spark.createDataFrame(table, MODEL_STATE)
 
 
 def init_centers(

@@ -195,7 +195,7 @@ def process_batch(
             )
             outputs.append((rng, "offsets"))
         outputs += [
-            (model_report(new_state), "model_report"),
+            (model_report(new_state.coalesce(1)), "model_report"),
             (report, "prediction_report"),
             (new_state.coalesce(1), "state"),
         ]
