@@ -19,6 +19,7 @@ from itertools import chain
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
 from .byte_bpe import byte_of_character
-from .common import batches, kept, texts_of
+from .common import batches, kept
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
@@ -46,25 +47,32 @@ def split(text: str | None) -> list:
     return (data.lower() if data.isascii() else data).split()
 
 
+def split_column(texts: pa.Array) -> pa.ListArray:
+    """Per text its runs without ASCII blanks (beside a leading or trailing blank an empty one); a null text is empty."""
+    return pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+
+
 class _Numbers(dict):
-    """Numbers words in the order they are first asked for; ``new`` holds those of the current batch."""
+    """Numbers units in the order they are first asked for; ``new`` holds those that have no ids yet."""
 
     def __init__(self):
         super().__init__()
-        self.new: list[bytes] = []
+        self.new: list[str] = []
 
-    def __missing__(self, word: bytes) -> int:
-        n = self[word] = len(self)
-        self.new.append(word)
+    def __missing__(self, unit: str) -> int:
+        n = self[unit] = len(self)
+        self.new.append(unit)
         return n
 
 
 class WordIds:
-    """Token ids per distinct word, computed once per worker, by a few library calls per batch of new words.
+    """Token ids per distinct piece of a word, computed once per worker, by a few library calls per batch.
 
-    The file's normaliser runs over all new words at once, its pattern splits them, and its BPE
-    model runs once over all their pieces. A piece's last token is one that the vocabulary marks as
-    ending a word, which tells the pieces apart again. At ``limit`` words the table starts again.
+    Arrow tells a batch's distinct words apart. The file's normaliser runs over all of them at once and
+    its pattern splits them into pieces, whose ids are kept; the BPE model runs once over all new
+    pieces. A piece's last token is one that the vocabulary marks as ending a word, which tells the
+    pieces apart again. Words beyond ``_LATIN`` are pieces of their own, encoded by the library. At
+    ``limit`` pieces the table starts again.
     """
 
     def __init__(self, path: str, limit: int = 600_000):
@@ -85,7 +93,7 @@ class WordIds:
     def clear(self) -> None:
         self.place = _Numbers()
         self.start, self.size, self.flat = (np.zeros(0, t) for t in (np.int64, np.int64, np.uint32))
-        self.words = self.used = 0
+        self.known = self.used = 0
 
     def _merge(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all pieces in order, number of ids per piece)."""
@@ -97,61 +105,90 @@ class WordIds:
             raise ValueError("the vocabulary doesn't mark every piece's end")
         return ids, np.diff(ends, prepend=0)
 
-    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all words in order, number of ids per word)."""
-        text = b" ".join(words).decode("utf-8")
-        parts = (text if text.isascii() else self.whole.normalizer.normalize_str(text)).lower().split(" ")
-        if len(parts) != len(words) or not _LATIN(text):  # the library's character classes and these may differ
-            done = [self.whole.encode(w.decode("utf-8"), add_special_tokens=False).ids for w in words]
-            return np.fromiter(chain.from_iterable(done), np.uint32), np.fromiter(map(len, done), np.int64, len(done))
-        split = [[w] if w.isalpha() else self.find(w) for w in parts]
-        number = _Numbers()
-        at = np.fromiter(map(number.__getitem__, chain.from_iterable(split)), np.int64)
-        if not len(at):
-            return np.zeros(0, np.uint32), np.zeros(len(words), np.int64)
-        ids, sizes = self._merge(number.new)
-        starts = np.cumsum(sizes) - sizes
-        n = np.fromiter(map(len, split), np.int64, len(split))
-        bound = np.concatenate([[0], np.cumsum(sizes[at])])[np.concatenate([[0], np.cumsum(n)])]
-        return ids[_runs(starts[at], sizes[at])], np.diff(bound)
-
-    def _add(self, new: list[bytes]) -> None:
-        plain, latin, other = [], [], []
-        for w in new:
-            (plain if w.isascii() else latin if _LATIN(w.decode("utf-8")) else other).append(w)
-        groups = (plain, latin, other)
-        ids, sizes = zip(*[self.encode(g[i : i + 100_000]) for g in groups for i in range(0, len(g), 100_000)])
-        ids, sizes = np.concatenate(ids), np.concatenate(sizes)
-        number = np.fromiter(map(self.place.__getitem__, chain(*groups)), np.int64, len(new))
-        self.start, self.size = (_room(a, len(self.place)) for a in (self.start, self.size))
-        self.flat = _room(self.flat, self.used + len(ids))
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.size[number] = sizes
-        self.start[number] = self.used + np.cumsum(sizes) - sizes
-        self.used += len(ids)
-
-    def ids(self, docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids in order, number of ids per document)."""
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of whole words, by the library's own rules."""
+        done = [self.whole.encode(w, add_special_tokens=False).ids for w in words]
+        return np.fromiter(chain.from_iterable(done), np.uint32), np.fromiter(map(len, done), np.int64, len(done))
+
+    def _numbers(self, units: list[str], ids_of) -> np.ndarray:
+        """The units' numbers; ``ids_of`` encodes those that are new."""
+        at = np.fromiter(map(self.place.__getitem__, units), np.int64, len(units))
+        new, self.place.new = self.place.new, []
+        if new:
+            ids, sizes = ids_of(new)
+            n, self.known = self.known, len(self.place)
+            self.start, self.size = (_room(a, self.known) for a in (self.start, self.size))
+            self.flat = _room(self.flat, self.used + len(ids))
+            self.flat[self.used : self.used + len(ids)] = ids
+            self.size[n : self.known] = sizes
+            self.start[n : self.known] = self.used + np.cumsum(sizes) - sizes
+            self.used += len(ids)
+        return at
+
+    def _pieces(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray] | None:
+        """(numbers of all pieces in order, number of pieces per word); none if the pattern leaves something out."""
+        text = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), " ")[0].as_py()
+        low = (text if text.isascii() else self.whole.normalizer.normalize_str(text)).lower()
+        parts, pieces = low.split(" "), self.find(low)
+        word_ends, piece_ends = (np.cumsum(np.fromiter(map(len, x), np.int64, len(x))) for x in (parts, pieces))
+        if len(parts) != len(words) or word_ends[-1] != (piece_ends[-1] if pieces else 0):
+            return None
+        return self._numbers(pieces, self._merge), np.diff(np.searchsorted(piece_ends, word_ends, "right"), prepend=0)
+
+    def encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, where each word's begin, how many it has) of distinct words."""
+        plain = pc.string_is_ascii(words).to_numpy(zero_copy_only=False)
+        other = pc.match_substring_regex(words, _OTHER).to_numpy(zero_copy_only=False)
+        order, at, n = [], [], []
+        for group in (plain, ~plain & ~other, other):
+            where = np.flatnonzero(group)
+            for i in range(0, len(where), 100_000):
+                part = words.take(pa.array(where[i : i + 100_000]))
+                found = None if group is other else self._pieces(part)
+                if found is None:  # the library's character classes and these may differ
+                    found = self._numbers(part.to_pylist(), self._encode), np.ones(len(part), np.int64)
+                order.append(where[i : i + 100_000])
+                at.append(found[0])
+                n.append(found[1])
+        start, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        if not order:
+            return np.zeros(0, np.uint32), start, size
+        order, at, n = map(np.concatenate, (order, at, n))
+        sizes = self.size[at]
+        bound = _bounds(sizes)[_bounds(n)]
+        start[order], size[order] = bound[:-1], np.diff(bound)
+        return self.flat[_runs(self.start[at], sizes)], start, size
+
+    def ids(self, docs: pa.ListArray | list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids in order, number of ids per document) of documents given as lists of words."""
         if len(self.place) > self.limit:
             self.clear()
-        n = np.fromiter(map(len, docs), np.int64, len(docs))
-        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(docs)), np.int64, int(n.sum()))
-        if self.place.new:
-            self._add(self.place.new)
-            self.place.new = []
-        size = self.size[at]
-        bound = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(n)])]
-        return self.flat[_runs(self.start[at], size)], np.diff(bound)
+        docs = docs if isinstance(docs, pa.Array) else pa.array(docs, pa.list_(pa.string()))
+        words = docs.flatten().dictionary_encode()
+        flat, start, size = self.encode(words.dictionary)
+        at = words.indices.to_numpy()
+        bound = _bounds(size[at])
+        ids = np.empty(bound[-1], np.uint32)
+        for i in range(0, len(at), 1 << 19):
+            part = at[i : i + (1 << 19)]
+            ids[bound[i] : bound[i + len(part)]] = flat[_runs(start[part], size[part])]
+        return ids, np.diff(bound[_bounds(pc.list_value_length(docs).to_numpy())])
 
 
-#: Here the library's character classes and those of ``regex`` agree, and no blank but the ASCII ones occurs.
-_LATIN = regex.compile(r"[\x00-\x7f\xa1-\u024f]*").fullmatch
+#: Within these the library's character classes and those of ``regex`` agree, and no blank but the ASCII ones occurs.
+_LATIN = r"\x00-\x7f\xa1-\x{24f}"
+_OTHER = f"[^{_LATIN}]"
 
 
 def _room(a: np.ndarray, n: int) -> np.ndarray:
     return a if n <= len(a) else np.concatenate([a, np.zeros(max(n, 2 * len(a)) - len(a), a.dtype)])
 
 
+def _bounds(size: np.ndarray) -> np.ndarray:
+    """Where consecutive runs begin, and the end of the last."""
+    return np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+
+
 def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The positions of consecutive runs laid end to end."""
     ends = np.cumsum(size)
@@ -238,9 +275,9 @@ def pack(
             return batch
 
         held = 0
-        for b in batches(it, "text", 4 << 20):
+        for b in batches(it, "text", 16 << 20):
             id_type = b.schema.field("id").type
-            ids, sizes = table.ids([split(t) for t in texts_of(b, "text")])
+            ids, sizes = table.ids(split_column(b.column(b.schema.get_field_index("text"))))
             bound = np.cumsum(sizes)
             for name, lo, hi in zip(b.column(0).to_pylist(), bound - sizes, bound):
                 parts.append(np.append(ids[lo:hi], np.uint32(end_id)).astype("<u4"))

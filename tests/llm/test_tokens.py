@@ -94,6 +94,31 @@ def test_word_ids_equal_the_librarys():
         assert table.ids([K.split(t)])[0].tolist() == whole.encode(t, add_special_tokens=False).ids
 
 
+def test_word_ids_of_a_column_equal_the_librarys():
+    import pyarrow as pa
+
+    whole = Tokenizer.from_file(P.path(K.VOCABULARY))
+    whole.encode_special_tokens = True
+    texts = [None, "  \x0b a\x0c\r\nB \t", "İẞ Ⱥa J̌x it's IT'S it’s ½a1", *odd_texts(), "x" * 3000]
+    for limit in (600_000, 0):  # 0: the table starts again with each batch
+        table = K.WordIds(P.path(K.VOCABULARY), limit)
+        for part in (texts, texts[::-1], [], [None, ""]):
+            column = pa.array(["left out", *part], pa.string()).slice(1)
+            ids, sizes = table.ids(K.split_column(column))
+            want = [whole.encode(t or "", add_special_tokens=False).ids for t in part]
+            assert ids.tolist() == sum(want, []) and sizes.tolist() == [len(w) for w in want]
+
+
+def test_a_piece_is_merged_once_whatever_stands_beside_it():
+    table = K.WordIds(P.path(K.VOCABULARY))
+    merged = []
+    merge = table._merge
+    table._merge = lambda pieces: merged.extend(pieces) or merge(pieces)
+    for text in ("alpha beta", "alpha. (Beta) beta,", "'alpha' beta-alpha ALPHA!", "été Été, «été» alpha"):
+        table.ids([K.split(text)])
+    assert merged.count("alpha") == merged.count("beta") == merged.count("été") == 1
+
+
 @pytest.mark.parametrize("sizes", [[1], [4096], [5000, 1, 1, 3], [1] * 300, [4096, 4096, 7], [20_000, 300, 300, 4000]])
 def test_assignment_fills_sequences_without_padding(sizes):
     rows = K.assign(np.array(sizes), 4096, 4096.0)
