@@ -143,7 +143,7 @@ class WordIds:
         for group in (plain, ~plain & ~other, other):
             where = np.flatnonzero(group)
             for i in range(0, len(where), 100_000):
-                part = words.take(pa.array(where[i : i + 100_000]))
+                part = words.take(pa.array(where[i : i + 100_000])).cast(pa.string())
                 found = None if group is other else self._pieces(part)
                 if found is None:  # the library's character classes and these may differ
                     found = self._numbers(part.to_pylist(), self._encode), np.ones(len(part), np.int64)
