@@ -37,6 +37,16 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unbroadcast(df: DataFrame) -> DataFrame:
+    """One side of a join that is made by sorting both sides, none of which is broadcast.
+
+    For rows that a Python step makes many of each: Spark sizes its output by the number of rows that
+    go in, and so may take a hundred times what the driver can hold for a small table. Also for words
+    read from files, which take several times a file's bytes there.
+    """
+    return df.hint("merge")
+
+
 def crc_mod(id_col: str, n: int) -> Column:
     """``crc32(id as text) mod n``; null for a null id."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % F.lit(n)

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batches, texts_of, with_columns, words_of, written
+from .common import batches, texts_of, unbroadcast, with_columns, words_of, written
 from .components import components
 
 #: Fixed value: a generator polynomial of the binary Golay code (23, 12, 7).
@@ -178,10 +178,10 @@ def _meeting_points(fps: DataFrame, max_bits: int) -> DataFrame:
     if max_bits == 1:
         # One wrong bit: a one-bit neighbour that is itself a fingerprint.
         met = fps.mapInArrow(run, "at long, fp long")
-        return met.join(fps.select(F.col("fp").alias("at")), "at").select(F.col("fp").alias("a"), F.col("at").alias("b"))
+        return unbroadcast(met).join(fps.select(F.col("fp").alias("at")), "at").select(F.col("fp").alias("a"), F.col("at").alias("b"))
     met = fps.mapInArrow(run, "at long, fp long")
     first = met.groupBy("at").agg(F.min("fp").alias("b"), F.max("fp").alias("m")).where("b < m").drop("m")
-    return met.join(first, "at").where("fp <> b").select(F.col("fp").alias("a"), "b")
+    return unbroadcast(met).join(first, "at").where("fp <> b").select(F.col("fp").alias("a"), "b")
 
 
 def fingerprint_links(spark: SparkSession, fps: DataFrame, max_bits: int = 2, hot_cell: int = 64) -> DataFrame:
@@ -198,7 +198,7 @@ def fingerprint_links(spark: SparkSession, fps: DataFrame, max_bits: int = 2, ho
     look = _cells_of(fps, probe=True)
     s, p = store.alias("s"), look.alias("p")
     cold = store.join(hot, "cell", "left_anti").withColumnRenamed("fp", "b")
-    pairs = look.withColumnRenamed("fp", "a").join(cold, "cell").where("a <> b")
+    pairs = unbroadcast(look.withColumnRenamed("fp", "a")).join(cold, "cell").where("a <> b")
     found = pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits).select("a", "b")
     del s, p
     warm = look.join(hot, "cell", "left_semi").select("fp").distinct()

@@ -45,3 +45,19 @@ def no_docs(spark):
 @pytest.fixture
 def labels(spark):
     return lambda rows: spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+def broadcast_steps(df):
+    """The steps of a plan that stand below a broadcast, down to the next shuffle (whose rows Spark has sized as they are by then)."""
+    depth, shuffle, out = None, None, []
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        at = len(line) - len(line.lstrip(" :+-*"))
+        shuffle = shuffle if shuffle is not None and at > shuffle else None
+        depth = depth if depth is not None and at > depth else None
+        if shuffle is None and depth is not None and line[at:].startswith("Exchange"):
+            shuffle = at
+        elif depth is not None and shuffle is None:
+            out.append(line[at:])
+        elif depth is None and line[at:].startswith("BroadcastExchange"):
+            depth = at
+    return out

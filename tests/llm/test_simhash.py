@@ -7,7 +7,7 @@ import xxhash
 
 from ratingstream.llm import simhash_dedup as S
 from ratingstream.llm.components import components
-from llm_fixtures import no_docs, odd_docs  # noqa: F401
+from llm_fixtures import broadcast_steps, no_docs, odd_docs  # noqa: F401
 
 
 def brute_fingerprint(text, shingle=3):
@@ -84,6 +84,15 @@ def test_links_connect_what_brute_force_connects(spark, hot, bits):
     assert got == [signed(fps[i]) for i in brute_classes(fps, bits)]
 
 
+@pytest.mark.parametrize("bits", [1, 2])
+def test_looked_up_cells_are_not_broadcast(spark, bits):
+    """Some 30 cells and 65 meeting points a fingerprint: small by Spark's reckoning, not in the driver's memory."""
+    fps = S.written(spark, spark.createDataFrame([(i,) for i in range(200)], "fp long"), "fps")
+    links = S.fingerprint_links(spark, fps, bits, hot_cell=8)
+    assert "MapInArrow" in links._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in broadcast_steps(links) if x.startswith("MapInArrow")]
+
+
 def test_components_of_long_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(100)] + [(1000, i) for i in range(1001, 1200)] + [(5, 5), (None, 3), (7, None)]
     got = {r.a: r.b for r in components(spark, spark.createDataFrame(links, "a long, b long")).collect()}
