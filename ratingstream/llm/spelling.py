@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batches, texts_of, written
+from .common import batches, texts_of, unbroadcast, written
 
 #: In Latin-1 a code point is a byte: A-Z lower-cased, a-z and U+00C0 to U+00FF stay, all else parts runs.
 RUNS = bytes(c | 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 0xC0 else 32 for c in range(256))
@@ -226,18 +226,18 @@ def near_pairs(spark: SparkSession, words: DataFrame, hot: int = 64) -> DataFram
     verified = lambda found: (
         found.where((F.col("u") != F.col("v")) & (F.bit_count(F.col("u_mask").bitwiseXOR(F.col("v_mask"))) <= 2))
         .select("u", "v", "v_word", "v_n")
-        .join(words.select(F.col("id").alias("u"), F.col("word").alias("u_word")), "u")
+        .join(unbroadcast(words.select(F.col("id").alias("u"), F.col("word").alias("u_word"))), "u")
         .where(F.levenshtein("u_word", "v_word", 1) == 1)
         .drop("u_word")
     )
-    pairs = verified(look.join(store.join(many, "key", "left_anti"), "key"))
+    pairs = verified(unbroadcast(look).join(store.join(many, "key", "left_anti"), "key"))
     if many.isEmpty():
         return pairs
     whole = {m: FULL for m in range(LONG + 1)}
     crowd = store.join(many, "key", "left_semi").select(F.col("v").alias("id"), F.col("v_word").alias("word"), F.col("v_n").alias("n"))
     asking = look.join(many, "key", "left_semi").select(F.col("u").alias("id")).distinct()
     asking = words.join(asking, "id", "left_semi")
-    return pairs.unionByName(verified(_looked_up(asking, whole).join(_stored(crowd, whole), "key")))
+    return pairs.unionByName(verified(unbroadcast(_looked_up(asking, whole)).join(_stored(crowd, whole), "key")))
 
 
 def _roots(spark: SparkSession, forms: DataFrame) -> DataFrame:
@@ -245,7 +245,7 @@ def _roots(spark: SparkSession, forms: DataFrame) -> DataFrame:
     at = written(spark, forms, "spelling_roots")
     while True:
         on = at.select(F.col("id").alias("root"), F.col("root").alias("next"), F.col("root_word").alias("next_word"))
-        far = at.join(on, "root", "left").select(
+        far = at.join(unbroadcast(on), "root", "left").select(
             "id", F.coalesce("next", "root").alias("root"), F.coalesce("next_word", "root_word").alias("root_word"), F.col("next").isNotNull().alias("moved")
         )
         at = written(spark, far, "spelling_roots")
@@ -279,4 +279,4 @@ def variants(
     )
     joined = written(spark, joined, "spelling_forms")
     roots = _roots(spark, joined.where("form IS NOT NULL").select("id", F.col("form_id").alias("root"), F.col("form").alias("root_word")))
-    return joined.join(roots, "id", "left").select("word", "form", F.coalesce("root_word", "word").alias("root"), "n", "n_near", "form_n")
+    return joined.join(unbroadcast(roots), "id", "left").select("word", "form", F.coalesce("root_word", "word").alias("root"), "n", "n_near", "form_n")

@@ -8,7 +8,7 @@ import pytest
 
 from ratingstream.llm import spelling as S
 from ratingstream.llm.queries import op11_spelling_variants
-from llm_fixtures import no_docs, odd_docs  # noqa: F401
+from llm_fixtures import broadcast_steps, no_docs, odd_docs  # noqa: F401
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
 
@@ -143,3 +143,13 @@ def brute_long(docs):
         form[w] = best if best is not None and n[best] >= 2 * n[w] else None
     assert all(form[f] is None for f in form.values() if f)
     return {(w, f, f or w, n[w], len(near[w]), n[f] if f else None) for w, f in form.items()}
+
+
+def test_looked_up_words_are_not_broadcast(spark):
+    """A word has a hundred reduced neighbours and more: small by Spark's reckoning, not in the driver's memory."""
+    words = [("a" * 4 + chr(97 + i) + chr(97 + j), 3) for i in range(26) for j in range(26)]
+    words = S.written(spark, spark.createDataFrame([(i, w, n) for i, (w, n) in enumerate(words)], "id long, word string, n long"), "words")
+    pairs = S.near_pairs(spark, words, hot=1)
+    assert pairs._jdf.queryExecution().executedPlan().toString().count("MapInArrow") >= 3  # the crowd's join is there too
+    # Words stored under their own key are one row each: those Spark may broadcast, as it sizes them right.
+    assert not [x for x in broadcast_steps(pairs) if x.startswith("MapInArrow") and "u_mask" in x]
