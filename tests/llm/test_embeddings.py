@@ -196,3 +196,45 @@ def test_many_near_copies_are_counted_without_keeping_pairs():
     tracemalloc.stop()
     assert (links == 5999).all() and (root == 5).all()
     assert peak < 400e6  # all 18 million pairs would be 288 MB twice, besides the products
+
+
+def wide_rows(n=700, dim=48, seed=31):
+    """Vectors without neighbours first, then groups near and just out of reach of each other: some blocks have many close pairs, others none."""
+    r = np.random.default_rng(seed)
+    groups = [b + r.normal(size=(60, dim)) * s for b, s in zip(r.normal(size=(5, dim)), (0.01, 0.15, 0.2, 0.23, 0.25))]
+    return np.concatenate([r.normal(size=(n - 300, dim)), *groups]).astype(np.float32).astype(float)
+
+
+def test_projections_lose_no_pair():
+    x = wide_rows()
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    want = {(i, j) for i, j in zip(*np.nonzero(u @ u.T >= 0.95)) if i < j}
+    assert len(want) > 1000
+    for most in (1 << 20, 7):
+        found = [(i, j) for a, b in D.pair_blocks(x, None, 0.95, most) for i, j in zip(a, b)]
+        assert len(found) == len(want) and set(found) == want
+    found = [(i, j + 500) for a, b in D.pair_blocks(x[:500], x[500:], 0.95) for i, j in zip(a, b)]
+    assert len(found) == len(set(found)) and set(found) == {(i, j) for i, j in want if i < 500 <= j}
+    a, b = D.projections(u, u)
+    gap = np.linalg.norm(u[:, None] - u[None], axis=2) ** 2 / 2
+    assert (a @ b.T >= -gap - 1e-5).all()
+
+
+@pytest.mark.parametrize("tile", [1024, 16])
+def test_tiles_meet_without_a_shuffle_of_vectors(spark, monkeypatch, tile):
+    """Each vector is stored twice and shuffled twice, however many tiles meet; pairs of tiles are read from the stored table."""
+    x = wide_rows()
+    ids = np.sort(np.random.default_rng(1).permutation(5000)[: len(x)])
+    links, comp = brute_dedup(x, ids, 0.95)
+    plans = {}
+    real = D.written
+
+    def written(session, df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return real(session, df, name)
+
+    monkeypatch.setattr(D, "written", written)
+    rows = D.near_duplicates(spark, frame(spark, list(zip(ids.tolist(), x.tolist()))), tile=tile, per_group=2).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in rows} == {int(i): (int(n), int(c)) for i, n, c in zip(ids, links, comp)}
+    assert "CartesianProduct" in plans["vector_links"]
+    assert not [x for x in plans["vector_links"].splitlines() if x.lstrip(" :+-*").startswith("Exchange")]
